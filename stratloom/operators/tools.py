@@ -71,8 +71,10 @@ def melt_values(df: DataFrame, keys: list[str], fields: dict[str, Column], order
     Each field is a Column of array<string>. The aggregate combines on the map side and spreads a hot
     group over its distinct values.
     """
-    pairs = F.concat(*[F.transform(c, lambda x, f=f: F.struct(F.lit(f).alias("f"), x.alias("v")))
-                       for f, c in fields.items()])
+    def tagged(field: str):
+        return lambda x: F.struct(F.lit(field).alias("f"), x.alias("v"))
+
+    pairs = F.concat(*[F.transform(c, tagged(f)) for f, c in fields.items()])
     rows = df.select(*keys, F.col(order).alias("_o"), F.explode(pairs).alias("_p"))
     return rows.groupBy(*keys, F.col("_p.f").alias("f"), F.col("_p.v").alias("v")).agg(
         F.min("_o").alias("first"), F.max("_o").alias("last"), F.count(F.lit(1)).alias("n"))
