@@ -69,10 +69,8 @@ def consolidate_v2(raw: DataFrame) -> DataFrame:
     for k in vocab.THICKNESS_KINDS:
         ranges += [bound(k, "lo", F.min).alias(f"{k}_lo"), bound(k, "hi", F.max).alias(f"{k}_hi")]
     g = melted.groupBy(*keys).agg(
-        F.coalesce(F.min_by(F.when(F.col("f") == "loc", F.col("v")),
-                            F.when(F.col("f") == "loc", F.col("first"))), F.lit("")).alias("nearest_locality"),
-        F.coalesce(F.min_by(F.when(F.col("f") == "adm", F.col("v")),
-                            F.when(F.col("f") == "adm", F.col("first"))), F.lit("")).alias("administrative_unit"),
+        F.coalesce(tools.first_value("loc"), F.lit("")).alias("nearest_locality"),
+        F.coalesce(tools.first_value("adm"), F.lit("")).alias("administrative_unit"),
         *[tools.values_sorted(f).alias(f) for f in ("exc", "dep", "raw", "str", "dat", "srck", "src")],
         tools.values_seen("geo", 5).alias("geo"), tools.values_seen("ev", 4).alias("ev"),
         bound("el", "lo", F.min).alias("elevation_min"), bound("el", "hi", F.max).alias("elevation_max"),
@@ -111,7 +109,8 @@ def consolidate_v1(raw: DataFrame, thickness: str = "thickness_studied") -> Data
     wide = wide.withColumn("r", F.when(F.col("f").isin("th", "el"), n.parse_num("v", "evidence")))
     # quotes repeat: the first two rows count, not the first two distinct texts
     quote = F.substring(F.coalesce(F.col("evidence_locality"), F.lit("None")), 1, 150)
-    quotes = tools.first_rows(dom.select(*keys, "ord", quote.alias("q")).filter("q <> ''"), keys, [F.col("ord")], 2)
+    quotes = tools.first_rows(dom.select(*keys, "ord", quote.alias("q")).filter("q <> ''"), keys,
+                              [F.col("ord"), F.col("q")], 2)
     none = F.lit(None)
     ev = quotes.select(*keys, F.lit("ev").alias("f"), F.col("q").alias("v"), F.col("ord").alias("first"),
                        F.col("ord").alias("last"), F.lit(1).cast("bigint").alias("n"), none.cast(n.RANGE_TYPE).alias("r"))
@@ -120,11 +119,8 @@ def consolidate_v1(raw: DataFrame, thickness: str = "thickness_studied") -> Data
     def pooled(field: str, agg, array_agg) -> Column:
         return agg(F.when(F.col("f") == field, array_agg(F.array_compact(F.array("r.lo", "r.hi")))))
 
-    def last_of(field: str) -> Column:
-        return F.max_by(F.when(F.col("f") == field, F.col("v")), F.when(F.col("f") == field, F.col("last")))
-
     g = melted.groupBy(*keys).agg(
-        last_of("loc").alias("nearest_locality"), last_of("adm").alias("administrative_unit"),
+        tools.last_value("loc").alias("nearest_locality"), tools.last_value("adm").alias("administrative_unit"),
         pooled("th", F.min, F.array_min).alias("th_min"), pooled("th", F.max, F.array_max).alias("th_max"),
         pooled("el", F.min, F.array_min).alias("el_min"), pooled("el", F.max, F.array_max).alias("el_max"),
         *[tools.values_sorted(f).alias(f) for f in ("dep", "str", "dat", "src")],

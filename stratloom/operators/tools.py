@@ -90,6 +90,16 @@ def values_sorted(field: str) -> Column:
     return F.sort_array(F.collect_list(F.when(F.col("f") == field, F.col("v"))))
 
 
+def first_value(field: str) -> Column:
+    """Aggregate over melted rows: the value of a field seen first."""
+    return F.min(F.when(F.col("f") == field, F.struct("first", "v")))["v"]
+
+
+def last_value(field: str) -> Column:
+    """Aggregate over melted rows: the value of a field seen last."""
+    return F.max(F.when(F.col("f") == field, F.struct("last", "v")))["v"]
+
+
 def values_seen(field: str, cap: int | None = None) -> Column:
     """Aggregate over melted rows: distinct values of a field in order of first appearance."""
     packed = F.sort_array(F.collect_list(F.when(F.col("f") == field, F.struct("first", "v"))))

@@ -23,11 +23,9 @@ def _milli(e: str) -> str:
 
 VIEWS: dict[str, str] = {}
 
-# sort key of a line: unique at every scale, unlike (order, line)
-_LINE_ORD = ("concat(lpad(cast(l_orderkey as varchar(12)), 12, '0'), '-', cast(l_linenumber as varchar(3)), '-', "
-             "lpad(cast(l_partkey as varchar(11)), 11, '0'), '-', lpad(cast(l_suppkey as varchar(10)), 10, '0'), '-', "
-             "lpad(cast(cast(round(l_extendedprice * 100) as bigint) as varchar(12)), 12, '0'), '-', "
-             "lpad(cast(cast(l_quantity as int) as varchar(3)), 3, '0'))")
+# position of a line; lines may share one, so ordered results break ties by value
+_LINE_ORD = "l_orderkey * 8 + l_linenumber"
+_LINE_ALL = "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_quantity"
 
 VIEWS["fx_raw_records"] = f"""
 select {_LINE_ORD} as ord, l_orderkey as doc_no, s_name as source_file,
@@ -182,7 +180,7 @@ select slug, page, 1000 as w, 2000 as h, n, text, x0,
 from (select concat('pub', cast(cast(floor(l_orderkey / 8) as bigint) % 10 as varchar(9))) as slug,
     cast(floor(l_orderkey / 80) as bigint) as page, l_linenumber * 10 as x0,
     concat(p_name, case when l_partkey % 29 = 0 then ' строение разреза' else '' end) as text,
-    row_number() over (partition by cast(floor(l_orderkey / 8) as bigint) order by {_LINE_ORD}) - 1 as n
+    row_number() over (partition by cast(floor(l_orderkey / 8) as bigint) order by {_LINE_ALL}) - 1 as n
   from lineitem join part on l_partkey = p_partkey) t"""
 
 VIEWS["fx_catalog"] = """

@@ -158,11 +158,11 @@ def _flat(c, sep="'; '"):
 
 
 @query("flatten_records", f"""
-select concat('том ', cast(doc_no as varchar), '.pdf') as source_file, ord_no, nearest_locality, administrative_unit, excavation_type, geomorphic_position, {_flat('type_of_deposits')},
+select concat('том ', cast(doc_no as varchar), '.pdf') as source_file, nearest_locality, administrative_unit, excavation_type, geomorphic_position, {_flat('type_of_deposits')},
   {_flat('deposit_raw_terms')}, thickness_studied, thickness_visible, thickness_borehole_depth, thickness_unspecified, absolute_elevation_m, {_flat('stratigraphic_position')}, {_flat('dating_methods')},
-  source_kind, evidence_locality, evidence_deposit, evidence_geomorph from (select *, cast(row_number() over (partition by doc_no order by ord) - 1 as int) as ord_no from fx_raw_records)""")
+  source_kind, evidence_locality, evidence_deposit, evidence_geomorph from fx_raw_records""")
 def _(v):
-    return r.flatten_records(nested_docs(v)).withColumnRenamed("pos", "ord_no").drop("path")
+    return r.flatten_records(nested_docs(v)).drop("path", "pos")
 
 
 @query("doc_site_summary", """
@@ -233,9 +233,9 @@ for _k in vocab.THICKNESS_KINDS:
     _TH += f", min({_lo}) as {_k}_lo, max({_hi}) as {_k}_hi"
 _EL = d.num_lo_hi("absolute_elevation_m")
 _CONS2 = f"""
-select min(ord) as ord, first(loc order by ord) as nearest_locality, first(adm order by ord) as administrative_unit,
+select min(ord) as ord, first(loc order by ord, loc) as nearest_locality, first(adm order by ord, adm) as administrative_unit,
   coalesce(nullif(array_to_string(list_sort(list_distinct(list(excavation_type) filter (excavation_type not in ('ND', '', 'unspecified', 'None')))), '; '), ''), 'ND') as excavation_type,
-  list(geomorphic_position order by ord) filter (geomorphic_position not in ('ND', '')) as geo, list(evidence_locality order by ord) as ev,
+  list(geomorphic_position order by ord, geomorphic_position) filter (geomorphic_position not in ('ND', '')) as geo, list(evidence_locality order by ord, evidence_locality) as ev,
   {_tagset('type_of_deposits', 'type_of_deposits')}, {_tagset('deposit_raw_terms', 'deposit_raw_terms')}, {_tagset('stratigraphic_position', 'stratigraphic_position')}, {_tagset('dating_methods', 'dating_methods')},
   {_tagset('source_kind', 'source_kinds')}, count(*) as n_records, count(distinct source_file) as n_sources, array_to_string(list_sort(list_distinct(list(source_file))), ' | ') as sources,
   min({_EL[0]}) as el_lo, max({_EL[1]}) as el_hi {_TH} from {_dom(vocab.FOREIGN_NAMES)} d group by lk, ak"""
@@ -256,13 +256,13 @@ def _(v):
 
 _TH1 = d.num_lo_hi("thickness_studied")
 _CONS1 = f"""
-select min(ord) as ord, last(loc order by ord) as nearest_locality, last(adm order by ord) as administrative_unit,
+select min(ord) as ord, last(loc order by ord, loc) as nearest_locality, last(adm order by ord, adm) as administrative_unit,
  coalesce(cast(round(least(min({_TH1[0]}), min({_TH1[1]})), 2) as varchar), 'ND') as thickness_min_m, coalesce(cast(round(greatest(max({_TH1[0]}), max({_TH1[1]})), 2) as varchar), 'ND') as thickness_max_m,
  coalesce(cast(round(min({_EL[0]}), 2) as varchar), 'ND') as elevation_min_m, coalesce(cast(round(max({_EL[1]}), 2) as varchar), 'ND') as elevation_max_m,
  array_to_string(list_sort(list_distinct(flatten(list({d.split_tags('type_of_deposits')})))), '; ') as type_of_deposits,
  array_to_string(list_transform(list_sort(list_transform(list_distinct(flatten(list({d.split_tags('stratigraphic_position')}))), lambda z: {{'p': case z when 'Lower Pleistocene' then 1 when 'Middle Pleistocene' then 2 when 'Upper Pleistocene' then 3 when 'Holocene' then 4 else 9 end, 'v': z}})), lambda z: z.v), '; ') as stratigraphic_position,
  array_to_string(list_sort(list_distinct(flatten(list({d.split_tags('dating_methods')})))), '; ') as dating_methods, count(*) as n_records, count(distinct source_file) as n_sources,
- substring(array_to_string(list_sort(list_distinct(list(source_file))), ' | '), 1, 300) as sources, array_to_string(list(substring(evidence_locality, 1, 150) order by ord)[1:2], ' || ') as evidence
+ substring(array_to_string(list_sort(list_distinct(list(source_file))), ' | '), 1, 300) as sources, array_to_string(list(substring(evidence_locality, 1, 150) order by ord, evidence_locality)[1:2], ' || ') as evidence
 from {_dom(vocab.FOREIGN_NAMES_V1)} d group by lk, ak"""
 
 
@@ -430,17 +430,17 @@ def _(v):
 
 
 @query("ordered_capped_unique", f"""
-select doc_no, array_to_string(list_filter(l, lambda z, i: list_position(l, z) = i)[1:3], '|') as vals from (select doc_no, list(geomorphic_position || type_of_deposits order by ord) filter (geomorphic_position <> 'ND') as l from fx_raw_records group by doc_no) where l is not null""")
+select doc_no, array_to_string(list_filter(l, lambda z, i: list_position(l, z) = i)[1:3], '|') as vals from (select doc_no, list(geomorphic_position || type_of_deposits order by ord, geomorphic_position || type_of_deposits) filter (geomorphic_position <> 'ND') as l from fx_raw_records group by doc_no) where l is not null""")
 def _(v):
     val = F.when(F.col("geomorphic_position") != "ND", F.concat("geomorphic_position", "type_of_deposits"))
     m = tools.keep_first(tools.melt_values(v.raw_records, ["doc_no"], {"x": tools.one_or_none(val)}), ["doc_no"], 3)
     return m.groupBy("doc_no").agg(tools.values_seen("x", 3).alias("vals")).withColumn("vals", F.array_join("vals", "|"))
 
 
-@query("first_non_null", "select doc_no, first(administrative_unit order by ord) filter (administrative_unit <> 'ND') as adm from fx_raw_records group by doc_no")
+@query("first_non_null", "select doc_no, first(administrative_unit order by ord, administrative_unit) filter (administrative_unit <> 'ND') as adm from fx_raw_records group by doc_no")
 def _(v):
     adm = F.when(F.col("administrative_unit") != "ND", F.col("administrative_unit"))
-    return v.raw_records.groupBy("doc_no").agg(F.min_by(adm, F.when(adm.isNotNull(), F.col("ord"))).alias("adm"))
+    return v.raw_records.groupBy("doc_no").agg(F.min(F.when(adm.isNotNull(), F.struct(F.col("ord"), adm.alias("v"))))["v"].alias("adm"))
 
 
 @query("source_overlap", f"""
