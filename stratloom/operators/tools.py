@@ -25,9 +25,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Cut lineage through a reliable checkpoint, so that lost executors do not restart a loop."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cut lineage through a table in the shared checkpoint folder.
+
+    Lost executors then re-read files instead of repeating a loop, and later stages read only the columns
+    they need.
+    """
+    path = scratch_path(df.sparkSession, "stage")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def _parallelism(spark: SparkSession) -> int:
@@ -65,19 +70,24 @@ def first_rows(df: DataFrame, keys: list[str], order: list[Column], k: int = 1)
     return df.withColumn("_rank", F.row_number().over(w)).filter(F.col("_rank") <= k).drop("_rank")
 
 
-def melt_values(df: DataFrame, keys: list[str], fields: dict[str, Column], order: str = "ord") -> DataFrame:
+STRIDE = 4096  # values of one row keep their own order: position = order * STRIDE + place in the list
+
+
+def melt_values(df: DataFrame, keys: list[str], fields: dict[str, Column], order: str = "ord",
+                inner_order: bool = False) -> DataFrame:
     """One row per (group, field, distinct value) with its first and last position and its row count.
 
     Each field is a Column of array<string>. The aggregate combines on the map side and spreads a hot
-    group over its distinct values.
+    group over its distinct values. With ``inner_order`` the place in the array refines the position.
     """
     def tagged(field: str):
-        return lambda x: F.struct(F.lit(field).alias("f"), x.alias("v"))
+        return lambda x, i: F.struct(F.lit(field).alias("f"), x.alias("v"), i.alias("i"))
 
     pairs = F.concat(*[F.transform(c, tagged(f)) for f, c in fields.items()])
     rows = df.select(*keys, F.col(order).alias("_o"), F.explode(pairs).alias("_p"))
+    pos = F.col("_o") * STRIDE + F.least(F.col("_p.i"), F.lit(STRIDE - 1)) if inner_order else F.col("_o")
     return rows.groupBy(*keys, F.col("_p.f").alias("f"), F.col("_p.v").alias("v")).agg(
-        F.min("_o").alias("first"), F.max("_o").alias("last"), F.count(F.lit(1)).alias("n"))
+        F.min(pos).alias("first"), F.max(pos).alias("last"), F.count(F.lit(1)).alias("n"))
 
 
 def keep_first(melted: DataFrame, keys: list[str], cap: int) -> DataFrame:

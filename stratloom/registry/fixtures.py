@@ -174,9 +174,9 @@ select event_id as ord,
 # pages of about thirty lines; pub3 lies sideways, pub5 upside down
 VIEWS["fx_scan_lines"] = f"""
 select slug, page, 1000 as w, 2000 as h, n, text, x0,
-  case when slug = 'pub5' then 1900 - n * 15 else n * 15 end as y0,
+  case when slug = 'pub5' then 1900 - n * 50 else n * 50 end as y0,
   x0 + case when slug = 'pub3' then 20 else 400 end as x1,
-  case when slug = 'pub5' then 1900 - n * 15 else n * 15 end + case when slug = 'pub3' then 300 else 18 end as y1
+  case when slug = 'pub5' then 1900 - n * 50 else n * 50 end + case when slug = 'pub3' then 300 else 18 end as y1
 from (select concat('pub', cast(cast(floor(l_orderkey / 8) as bigint) % 10 as varchar(9))) as slug,
     cast(floor(l_orderkey / 80) as bigint) as page, l_linenumber * 10 as x0,
     concat(p_name, case when l_partkey % 29 = 0 then ' строение разреза' else '' end) as text,

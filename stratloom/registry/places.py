@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from .. import vocab
+from ..functions import geo as g
 from ..functions.common import strip
 from ..operators import places as p
 from . import duck as d
@@ -47,6 +48,15 @@ def _(v):
     return p.region_hint_join(_keyed(v)).select("ord", "region", "box.*")
 
 
+@query("in_bbox", f"""
+select ord, lat between lat0 and lat1 and lon between lon0 and lon1 as inside, lat between lat0 - 0.15 and lat1 + 0.15 and lon between lon0 - 0.15 and lon1 + 0.15 as padded
+from {_HINT} h where lat is not null and region is not null""")
+def _(v):
+    s = p.region_hint_join(_keyed(v)).filter("lat is not null and region is not null")
+    lat, lon, box = F.col("lat"), F.col("lon"), F.col("box")
+    return s.select("ord", g.in_bbox(lat, lon, box).alias("inside"), g.in_bbox(lat, lon, box, 0.15).alias("padded"))
+
+
 @query("geocode_in_box_join", f"select ord, hlat as lat, hlon as lon from {_HINT} h left join {_inbox(_HINT, 5)} x using (rid)")
 def _(v):
     return _ll(p.geocode_in_box_join(p.region_hint_join(_keyed(v)).drop("lat", "lon"), v.gazetteer), "ord")
@@ -195,8 +205,7 @@ def _(v):
 
 
 @query("near_work_area", f"""
-select o_orderkey as ord from (select p.*, row_number() over () as rid from (select job_id, i, lat, lon, cast(substring(elevation, 1, 1) as varchar) as z from fx_proposals) p) q, orders where false
-union all select i * 1000000 + cast(substring(job_id, 4) as bigint) from fx_proposals p where lat is not null and (not exists (select 1 from (select job_id, lat, lon from fx_proposals where i = 0 and lat is not null) a where a.job_id = p.job_id)
+select i * 1000000 + cast(substring(job_id, 4) as bigint) as ord from fx_proposals p where lat is not null and (not exists (select 1 from (select job_id, lat, lon from fx_proposals where i = 0 and lat is not null) a where a.job_id = p.job_id)
   or exists (select 1 from (select job_id, lat, lon from fx_proposals where i = 0 and lat is not null) a where a.job_id = p.job_id and {d.planar('p.lat', 'p.lon', 'a.lat', 'a.lon', '111.32')} <= 150))""")
 def _(v):
     pts = v.proposals.filter("lat is not null").withColumn("ord", F.col("i") * 1000000 + F.substring("job_id", 4, 20).cast("bigint"))

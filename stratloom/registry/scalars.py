@@ -90,20 +90,6 @@ def _(v):
         "ord", g.valid_coord(lat, lon).alias("ok"), g.valid_coord(lat - 8, lon, 35).alias("ok_fix"))
 
 
-@query("in_bbox", """
-select s.ord, s.lat between lat0 and lat1 and s.lon between lon0 and lon1 as inside,
-  s.lat between lat0 - 0.15 and lat1 + 0.15 and s.lon between lon0 - 0.15 and lon1 + 0.15 as padded
-from fx_sections s join customer on o_key(ord) = c_custkey join fx_area_boxes b on b.rank = c_nationkey and b.class = 'boundary'
-where s.lat is not null""".replace("o_key(ord)", "ord % 1500"))
-def _(v):
-    b = v.area_boxes.filter("class = 'boundary'").select(
-        F.col("rank").alias("c_nationkey"), F.struct("lat0", "lat1", "lon0", "lon1").alias("box"))
-    s = v.sections.filter("lat is not null").withColumn("c_custkey", F.col("ord") % 1500)
-    j = s.join(v.table("customer").select("c_custkey", "c_nationkey"), "c_custkey").join(b, "c_nationkey")
-    return j.select("ord", g.in_bbox(F.col("lat"), F.col("lon"), F.col("box")).alias("inside"),
-                    g.in_bbox(F.col("lat"), F.col("lon"), F.col("box"), 0.15).alias("padded"))
-
-
 # ------------------------------------------------------------------ §2.8 numbers
 _LO, _HI = d.num_lo_hi("thickness_studied")
 

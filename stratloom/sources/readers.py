@@ -86,9 +86,13 @@ def read_scan_index(spark: SparkSession, path: str, whole: bool = True) -> DataF
 def read_line_boxes(spark: SparkSession, root: str, multi_line: bool = True) -> DataFrame:
     """(slug, page, w, h, n, text, x0, y0, x1, y1) of files ``<slug>/p<page>.lines.json``."""
     boxes = _json(spark, schemas.LINE_BOXES, root, multi_line)
-    rows = boxes.select(_folder().alias("slug"),
-                        F.regexp_extract("_file", r"/p(\d+)\.lines\.json$", 1).try_cast("int").alias("page"),
-                        "w", "h", F.posexplode("lines").alias("n", "l"))
+    page = F.regexp_extract("_file", r"/p(\d+)\.lines\.json$", 1).try_cast("int")
+    return line_rows(boxes.select(_folder().alias("slug"), page.alias("page"), "w", "h", "lines"))
+
+
+def line_rows(boxes: DataFrame) -> DataFrame:
+    """Page arrays [[text, x0, y0, x1, y1], …] → one row per line; numbers that do not parse become NULL."""
+    rows = boxes.select("slug", "page", "w", "h", F.posexplode("lines").alias("n", "l"))
     return rows.select("slug", "page", "w", "h", "n", F.get("l", F.lit(0)).alias("text"),
                        *[F.get("l", F.lit(k)).try_cast("int").alias(c)
                          for k, c in enumerate(("x0", "y0", "x1", "y1"), start=1)])
