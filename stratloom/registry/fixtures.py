@@ -209,8 +209,8 @@ VIEWS["fx_subsites"] = """
 select c_custkey as ord, concat('job', cast(c_nationkey as varchar(9))) as job_id,
   concat('Площадка ', cast(c_custkey as varchar(9))) as name,
   case c_custkey % 9 when 5 then 'то же самое место' when 7 then 'самостоятельный объект' else 'часть другого объекта' end as relation,
-  case when c_custkey % 4 = 3 then '' else concat('Площадка ', cast(cast(floor(c_custkey / 2) as bigint) as varchar(9))) end as parent,
-  case when c_custkey % 4 = 3 then concat('Площадка ', cast(cast(floor(c_custkey / 2) as bigint) as varchar(9))) else '' end as anchor,
+  case when c_custkey < 4 then 'Сводный разрез' when c_custkey % 4 = 3 then '' else concat('Площадка ', cast(cast(floor(c_custkey / 2) as bigint) as varchar(9))) end as parent,
+  case when c_custkey > 3 and c_custkey % 4 = 3 then concat('Площадка ', cast(cast(floor(c_custkey / 2) as bigint) as varchar(9))) else '' end as anchor,
   case when c_custkey % 4 = 3 then cast(c_custkey % 5 as double) else cast(0 as double) end as offset_km,
   case c_custkey % 4 when 3 then 'юг' else 'нет' end as direction,
   concat(case when c_custkey % 10 = 0 then 'вероятно, ' else '' end, 'у северной окраины села, Якорь ', cast(c_custkey % 40 as varchar(9))) as why,

@@ -122,10 +122,15 @@ def read_proposals(spark: SparkSession, root: str) -> DataFrame:
     """(job_id, i, p) of ``<job>/proposals.json``: a list, or an object with a ``proposals`` list."""
     raw = (spark.read.option("wholetext", True).option("recursiveFileLookup", True)
            .option("pathGlobFilter", "proposals.json").text(root).withColumn("_file", F.col("_metadata.file_path")))
+    return proposal_rows(raw.select(_folder().alias("job_id"), "value"))
+
+
+def proposal_rows(texts: DataFrame) -> DataFrame:
+    """(job_id, value) JSON texts → (job_id, i, p)."""
     as_list = F.from_json("value", f"array<{schemas.PROPOSAL}>")
     as_object = F.from_json("value", f"struct<proposals:array<{schemas.PROPOSAL}>>")["proposals"]
     items = F.when(F.ltrim("value").startswith("["), as_list).otherwise(as_object)
-    return raw.select(_folder().alias("job_id"), F.posexplode(items).alias("i", "p"))
+    return texts.select("job_id", F.posexplode(items).alias("i", "p"))
 
 
 def read_decisions(spark: SparkSession, root: str) -> DataFrame:
@@ -146,7 +151,11 @@ def read_corrections(spark: SparkSession, root: str) -> DataFrame:
     """(marker_key, pos, field, verdict, comment, reviewer, ts): the file name is the marker key."""
     raw = _json_text(spark, root)
     key = F.regexp_replace(F.url_decode(F.substring_index("_file", "/", -1)), r"\.json$", "")
-    rows = raw.select(key.alias("marker_key"),
-                      F.posexplode(F.from_json("value", f"array<{schemas.CORRECTION}>")).alias("pos", "c"))
+    return correction_rows(raw.select(key.alias("marker_key"), "value"))
+
+
+def correction_rows(texts: DataFrame) -> DataFrame:
+    """(marker_key, value) JSON texts → one row per entry."""
+    rows = texts.select("marker_key", F.posexplode(F.from_json("value", f"array<{schemas.CORRECTION}>")).alias("pos", "c"))
     return rows.select("marker_key", "pos", "c.field", "c.verdict", "c.comment",
                        F.col("c.user").alias("reviewer"), "c.ts", F.col("c.movedFrom").alias("moved_from"))

@@ -1,0 +1 @@
+"""Structured Streaming: job pick-up, status folding, idempotent merge."""
