@@ -125,18 +125,19 @@ def build_proposals(recs: DataFrame, hits: DataFrame | None = None) -> DataFrame
     open_fields = {c: known(c) for c in ("excavation", "deposits", "strat", "dating", "source_kinds")}
     first_fields = {"admin": one("admin"), "elevation": one("elevation"), **{c: known(c) for c in ("geomorph", "raw_terms", "thickness")}}
     quote = {"quotes": F.filter(F.transform("quotes", strip), lambda x: x.isNotNull() & ~x.isin("", "[]", "ND"))}
-    all_quotes = tools.melt_values(named, keys, quote, inner_order=True)
-    melted = tools.melt_values(named, keys, open_fields, inner_order=True).unionByName(
-        tools.keep_first(tools.melt_values(named, keys, first_fields, inner_order=True), keys, 8)).unionByName(
-        tools.keep_first(all_quotes, keys, 8))
+    values = tools.materialise(tools.melt_values(named, keys, {
+        **open_fields, **first_fields, **quote, "row": F.array(F.lit(""))}, inner_order=True))
+    capped = F.col("f").isin([*first_fields, "quotes"])
+    melted = values.filter(~capped).unionByName(tools.keep_first(values.filter(capped), keys, 8))
     packed = melted.groupBy(*keys).agg(
+        F.sum(F.when(F.col("f") == "row", F.col("n"))).alias("n_records"),
+        F.min(F.when(F.col("f") == "row", F.col("first"))).alias("first"),
         F.coalesce(tools.first_value("admin"), F.lit("ND")).alias("admin"),
         F.coalesce(tools.first_value("elevation"), F.lit("ND")).alias("elevation"),
         *[tools.values_seen(c, caps.get(c)).alias(c) for c in (*open_fields, "geomorph", "raw_terms", "thickness", "quotes")])
-    size = named.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_records"), F.min("ord").alias("first"))
-    out = size.join(packed, keys, "left")
+    out = packed
     if hits is not None:
-        pages = all_quotes.select(*keys, F.col("v").alias("evidence")).join(hits, ["job_id", "evidence"]).select(*keys, "page").distinct()
+        pages = values.filter("f = 'quotes'").select(*keys, F.col("v").alias("evidence")).join(hits, ["job_id", "evidence"]).select(*keys, "page").distinct()
         low = tools.first_rows(pages, keys, [F.col("page")], 10).groupBy(*keys).agg(F.sort_array(F.collect_list("page")).alias("pages"))
         out = out.join(low, keys, "left")
     return tools.ordinal(out, ["job_id"], [F.desc("n_records"), F.col("first"), F.col("locality")], "i").drop("first")

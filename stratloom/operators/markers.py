@@ -81,8 +81,7 @@ def build_markers(records: DataFrame, evidence: DataFrame | None = None, kinds:
         "elbin": n.bins_span(F.col("elmin"), F.col("elmax"), 20), "thbin": tools.one_or_none(n.bin5(th)),
         "accbin": F.array(n.acc_bin(F.col("accuracy"))),
         **{f"th_{k}": single(f"th_{k}", "ND", "", "None") for k in vocab.THICKNESS_KINDS}}
-    quotes = tools.keep_first(tools.melt_values(records, KEYS, {"ev": F.col("quotes")}, inner_order=True), KEYS, 14)
-    melted = tools.melt_values(records, KEYS, open_fields, inner_order=True).unionByName(quotes)
+    melted = tools.melt_capped(records, KEYS, {**open_fields, "ev": F.col("quotes")}, {"ev": 14}, inner_order=True)
     lists = melted.groupBy(*KEYS).agg(*[tools.values_seen(f).alias(f) for f in [*open_fields, "ev"]])
     nums = records.groupBy(*KEYS).agg(
         F.min("marker").alias("marker"), F.min("ord").alias("first_ord"), F.count(F.lit(1)).alias("source_count"),

@@ -47,18 +47,17 @@ def consolidate_v2(raw: DataFrame) -> DataFrame:
         return F.filter(F.transform(F.split(F.coalesce(F.col(c), F.lit("ND")), ";"), strip),
                         lambda p: p.rlike(r"\d"))
 
-    wide = tools.melt_values(dom, keys, {
+    melted = tools.melt_capped(dom, keys, {
         "dep": t.split_tags("type_of_deposits"), "raw": t.split_tags("deposit_raw_terms"),
         "str": t.split_tags("stratigraphic_position"), "dat": t.split_tags("dating_methods"),
         "exc": _text("excavation_type", "unspecified"), "srck": _text("source_kind"),
         "src": F.array(F.coalesce(F.col("source_file"), F.lit("None"))),
         "el": F.array(F.coalesce(F.col("absolute_elevation_m"), F.lit("ND"))),
-        **{k: measures(f"thickness_{k}") for k in vocab.THICKNESS_KINDS}})
-    spelled = tools.melt_values(dom, keys, {
+        **{k: measures(f"thickness_{k}") for k in vocab.THICKNESS_KINDS},
         "loc": tools.one_or_none(F.when(F.col("loc") != "", F.col("loc"))),
         "adm": tools.one_or_none(F.when(F.col("adm") != "", F.col("adm"))),
-        "geo": _text("geomorphic_position"), "ev": _text("evidence_locality")})
-    melted = wide.unionByName(tools.keep_first(spelled, keys, 5))
+        "geo": _text("geomorphic_position"), "ev": _text("evidence_locality")},
+        caps={"loc": 1, "adm": 1, "geo": 5, "ev": 4})
     is_number = F.col("f").isin([*vocab.THICKNESS_KINDS, "el"])
     melted = melted.withColumn("r", F.when(is_number, n.parse_num("v")))
 

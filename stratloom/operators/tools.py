@@ -35,6 +35,16 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame, by: list[str]) -> DataFrame:
+    """Give a scan of few splits to all cores; a scan that already has enough splits stays unshuffled.
+
+    A Parquet file is split by row groups, so a small file with one row group would keep all the text work
+    of its rows in one task.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= slots else df.repartition(slots, *by)
+
+
 def _parallelism(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -95,6 +105,17 @@ def keep_first(melted: DataFrame, keys: list[str], cap: int) -> DataFrame:
     return first_rows(melted, [*keys, "f"], [F.col("first"), F.col("v")], cap)
 
 
+def melt_capped(df: DataFrame, keys: list[str], fields: dict[str, Column], caps: dict[str, int],
+                order: str = "ord", inner_order: bool = False) -> DataFrame:
+    """:func:`melt_values` of all fields in one pass; capped fields keep only their first values.
+
+    The distinct values are written once and read by both branches, so the input is parsed once.
+    """
+    melted = materialise(melt_values(df, keys, fields, order, inner_order))
+    capped = F.col("f").isin(list(caps))
+    return melted.filter(~capped).unionByName(keep_first(melted.filter(capped), keys, max(caps.values())))
+
+
 def values_sorted(field: str) -> Column:
     """Aggregate over melted rows: distinct values of a field in alphabetical order."""
     return F.sort_array(F.collect_list(F.when(F.col("f") == field, F.col("v"))))

@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..operators import tools
 from .fixtures import TABLES, VIEWS, needed_views, with_views
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -14,6 +15,10 @@ _ORACLES: dict[str, str] = {}
 _MODULES = ["scalars", "records", "places", "links_marks", "jobs_web"]
 
 
+# tables with per-row text work, and a column to spread them by when they come as one small file
+SPREAD_BY = {"lineitem": ["l_orderkey", "l_partkey"], "orders": ["o_orderkey"], "documents": ["doc_id"], "pages": ["page_id"]}
+
+
 class Views:
     """DataFrames over one data folder: ``v.table("orders")`` or ``v.raw_records`` for a view."""
 
@@ -21,7 +26,8 @@ class Views:
         self.spark, self.folder = spark, folder
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        df = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return tools.spread(df, SPREAD_BY[name]) if name in SPREAD_BY else df
 
     def sql(self, text: str) -> DataFrame:
         body = with_views(text)
