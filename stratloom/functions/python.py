@@ -6,9 +6,10 @@ import unicodedata
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def nfd_strip(s: pd.Series) -> pd.Series:
     """Text without combining marks after canonical decomposition."""
     def one(x):

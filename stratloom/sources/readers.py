@@ -45,8 +45,9 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
 def read_results_csv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     """CSV as text: empty cells stay empty, malformed lines drop out, a byte order mark is ignored."""
     schema = ", ".join(f"`{c}` string" for c in columns)
-    return (spark.read.schema(schema).option("header", True).option("mode", "DROPMALFORMED")
-            .option("encoding", "UTF-8").option("emptyValue", "").option("nullValue", "\u0000").csv(path))
+    rows = (spark.read.schema(schema).option("header", True).option("mode", "DROPMALFORMED")
+            .option("encoding", "UTF-8").option("emptyValue", "").csv(path))
+    return rows.select([F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in columns])
 
 
 def _json_text(spark: SparkSession, path: str, whole: bool = True) -> DataFrame:
