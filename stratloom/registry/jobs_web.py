@@ -316,10 +316,10 @@ def _(v):
     return h.hierarchy_links(sub, top.unionByName(rows))[0].filter("marker = '55.0,44.0'")
 
 
-@query("existing_row_anti", "select s.ord from fx_subsites s where relation <> 'то же самое место' and not exists (select 1 from (select name as n, lat as la, lon as lo from fx_subsites where lat is not null and ord % 2 = 0) h where lower(s.name) = lower(n) and round(s.lat, 5) = round(la, 5) and round(s.lon, 5) = round(lo, 5))")
+@query("existing_row_anti", "select s.ord from fx_subsites s where relation <> 'то же самое место' and not exists (select 1 from (select name as n, lat as la, lon as lo from fx_subsites where lat is not null and relation = 'часть другого объекта') h where lower(s.name) = lower(n) and round(s.lat, 5) = round(la, 5) and round(s.lon, 5) = round(lo, 5))")
 def _(v):
     s = v.subsites
-    return h.existing_row_anti(s, s.filter("lat is not null and ord % 2 = 0").withColumnRenamed("name", "nearest_locality")).select("ord")
+    return h.existing_row_anti(s, s.filter("lat is not null and relation = 'часть другого объекта'").withColumnRenamed("name", "nearest_locality")).select("ord")
 
 
 _ANCH = "(select c_custkey as ord, concat('job', cast(c_nationkey as varchar(9))) as job_id, case when c_custkey % 5 < 3 then concat('Якорь ', cast(c_custkey % 40 as varchar(9))) else concat('Площадка ', cast(cast(floor(c_custkey / 2) as bigint) as varchar(9))) end as locality, 45 + cast(c_custkey as double) / cast(100 as double) as lat, 40.0 + cast(c_custkey % 10 as double) as lon from customer)"

@@ -52,7 +52,7 @@ def _(v):
 
 
 # sections whose quotes are pieces of conversations and whose sources are the pages' publications
-_LSEC = """(select item_id as ord, cast(45 + item_id % 10 as double) as lat, cast(30 + item_id % 4 as double) as lon, concat(text, ' || ', substring(text, 30, 400)) as evidence, 'EN.pdf | fr (загружено пользователем) | de' as sources from benchmark)"""
+_LSEC = """(select item_id as ord, cast(45 + item_id % 10 as double) as lat, cast(30 + item_id % 4 as double) as lon, concat(text, ' || ', substring(text, 30)) as evidence, 'EN.pdf | fr (загружено пользователем) | de' as sources from benchmark)"""
 _LPAGES = "(select case lang when 'en' then 'en.pdf' else lang end as publication, doc_id as idx, doc_id as ord, text from documents)"
 
 
@@ -130,7 +130,7 @@ def _(v):
     return k.missing_scans_anti(v.links, v.scan_index)
 
 
-_PATHS = "(select path, row_number as ord from (select concat('/a', cast(p_size as varchar(9)), '/Customer#', lpad(cast(p_partkey as varchar(9)), 9, '0'), '.pdf') as path, p_partkey as row_number from part where p_partkey % 2 = 0))"
+_PATHS = "(select path, row_number as ord from (select concat('/a', cast(p_size as varchar(9)), '/Customer#', lpad(cast(p_partkey as varchar(9)), 9, '0'), '.pdf') as path, p_partkey as row_number from part where p_size > 25))"
 
 
 @query("source_path_join", f"select filename as publication, coalesce(arg_min(path, ord), max(case when status = 'ready' then 'uploads/' || job_id || '/source.pdf' end)) as object from fx_status left join {_PATHS} p on split_part(path, '/', -1) = filename group by filename")

@@ -223,7 +223,7 @@ def _(v):
     return p.accuracy_radius_join(pts, v.gazetteer)
 
 
-_GRID = "(select cast(floor(lat / 0.5) as bigint) as cy, cast(floor(lon / 0.5) as bigint) as cx, max(rank) as height from fx_gazetteer where rank % 3 > 0 group by 1, 2)"
+_GRID = "(select cast(floor(lat / 0.5) as bigint) as cy, cast(floor(lon / 0.5) as bigint) as cx, max(rank) as height from fx_gazetteer where type <> 'river' group by 1, 2)"
 
 
 @query("dem_lookup_join", f"select lat, lon, height from (select distinct lat, lon, cast(floor(lat / 0.5) as bigint) as cy, cast(floor(lon / 0.5) as bigint) as cx from fx_sections where lat is not null) left join {_GRID} z using (cy, cx)")
@@ -231,7 +231,7 @@ def _(v):
     return p.dem_lookup_join(v.sections.filter("lat is not null"), v.sql(f"select * from {_GRID} z"), 0.5)
 
 
-_SIDE = "(select round(lat, 5) as lat5, round(lon, 5) as lon5, cast(max(rank) as double) as v from fx_gazetteer where rank % 2 = 0 group by 1, 2)"
+_SIDE = "(select round(lat, 5) as lat5, round(lon, 5) as lon5, cast(max(rank) as double) as v from fx_gazetteer where class = 'place' group by 1, 2)"
 
 
 @query("sidecar_join", f"select ord, v as elev_dem, coalesce(v, 5000.0) as accuracy from fx_sections left join {_SIDE} z on round(lat, 5) = lat5 and round(lon, 5) = lon5")
