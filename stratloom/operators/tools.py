@@ -10,9 +10,15 @@ from pyspark.sql import functions as F
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """Shared folder for checkpoints: the session's setting, or a fresh one when it has none."""
+    """Shared folder for checkpoints: the session's setting.
+
+    Without the setting a session on one machine gets a fresh folder; on a cluster that is an error, as
+    executors would write to their own disks.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="stratloom-ckpt-")
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(root)
