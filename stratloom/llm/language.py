@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import append_columns, text_slices
 
-PER_LANGUAGE = 1_500  # texts of each language the model is fitted on, at most
+PER_LANGUAGE = 1_500  # texts of each language the model is fitted on, about
 BUCKETS = 1 << 14
 ORDERS = (1, 2, 3)  # lengths of the n-grams
 EVIDENCE = 30.0  # n-grams that count as independent; keeps scores of long texts below certainty
@@ -72,7 +72,7 @@ class Model:
 
 def fit(docs: DataFrame, usable=None, id_col: str = "doc_id", text: str = "text", lang: str = "lang",
         per_language: int = PER_LANGUAGE) -> Model:
-    """A model from at most ``per_language`` texts of each language, chosen by the hash of their id.
+    """A model from about ``per_language`` texts of each language, chosen by the hash of their id.
 
     Priors count all usable rows. Rows without language, id or text are not learnt from. ``usable`` is a
     condition on the id. Languages are in alphabetical order, so ties in a prediction go to the first.
@@ -85,10 +85,10 @@ def fit(docs: DataFrame, usable=None, id_col: str = "doc_id", text: str = "text"
     languages = sorted(prior)
     if not languages:
         return Model([], np.zeros(0), np.zeros((BUCKETS, 0), np.float32))
-    # ranks are cut before the shuffle too, so a hot language sends few rows; the chosen ids are bounded
-    w = Window.partitionBy("_lang").orderBy(F.xxhash64("_id"), "_id")
-    chosen = rows.select("_id", "_lang").withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= per_language)
-    sample = rows.join(F.broadcast(chosen.select("_id", "_lang").distinct()), ["_id", "_lang"])
+    # a share of each language, by the hash of the id: no ranking, and nothing of a hot language is shuffled
+    parts = 1 << 20
+    share = F.create_map(*[x for k in languages for x in (F.lit(k), F.lit(-(-per_language * parts // prior[k])))])
+    sample = rows.filter(F.pmod(F.xxhash64("_id"), F.lit(parts)) < share[F.col("_lang")])
 
     def count(batches):
         at = {x: i for i, x in enumerate(languages)}

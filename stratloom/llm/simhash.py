@@ -131,14 +131,14 @@ def links(values: DataFrame, radius: int = RADIUS, shard: int = SHARD) -> DataFr
     way by its free bits; as fewer and fewer bits are free, shards are bounded. A shard builds trees of bounded size
     and asks each for its own fingerprints; it gives a spanning forest of what it finds, not the pairs.
     """
-    spark = values.sparkSession
     rows, masks, found = values.select("fp", F.lit(0).alias("path")), {0: 0}, None
     while True:
         finer = [(p, m) for p, fixed in masks.items() for m in _finer(fixed, radius)]
-        # as many rows as there are choices of blocks
-        choice = spark.createDataFrame([(p, i, m - (1 << 64) if m >= 1 << 63 else m) for i, (p, m) in enumerate(finer)],
-                                       "path int, next int, mask long")
-        keyed = rows.join(F.broadcast(choice), "path").select("fp", F.col("next").alias("path"), F.col("fp").bitwiseAND(F.col("mask")).alias("v"))
+        # path -> its choices of blocks, a constant
+        choices = [F.array(*[F.struct(F.lit(i).alias("next"), F.lit(m - (1 << 64) if m >= 1 << 63 else m).alias("mask"))
+                             for i, (p, m) in enumerate(finer) if p == path]) for path in masks]
+        at = F.explode(F.get(F.array(*choices), F.col("path"))).alias("c")
+        keyed = rows.select("fp", at).select("fp", F.col("c.next").alias("path"), F.col("fp").bitwiseAND(F.col("c.mask")).alias("v"))
         hot = materialise(keyed.groupBy("path", "v").count().filter(F.col("count") > shard).select("path", "v"))
         last = hot.isEmpty()
         grouped = (keyed if last else keyed.join(hot, ["path", "v"], "left_anti")).groupBy("path", "v") \
@@ -148,7 +148,7 @@ def links(values: DataFrame, radius: int = RADIUS, shard: int = SHARD) -> DataFr
         if last:
             return found.distinct()
         rows = materialise(keyed.join(hot, ["path", "v"], "left_semi").select("fp", "path"))
-        masks = {i: m for i, (_, m) in enumerate(finer) if m != (1 << 64) - 1}
+        masks = dict(enumerate(m for _, m in finer))
 
 
 def _search(radius: int):
