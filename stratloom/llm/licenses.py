@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 GRAM = 3  # words of a gram; templates of fewer words are one gram
 DRIFT = 3  # diagonals that differ by at most so much belong to one span: words were put in or left out
-LEAST_COVER = 0.6  # share of a template's words that a span must hold for its label
+LEAST_COVER = 0.7  # share of a template's words that a span must hold for its label
 
 # Phrases of the contract with their labels.
 BASE = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}

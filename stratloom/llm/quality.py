@@ -6,6 +6,7 @@ DataFrame functions only.
 from __future__ import annotations
 
 from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,9 +14,11 @@ from pyspark.sql import functions as F
 from ..operators.tools import materialise
 
 ROUNDS = 25  # of expectation and maximisation
-START_ACCURACY, START_GOOD = 0.8, 0.8
-LEAST, MOST = 0.55, 0.995  # accuracies stay better than chance, so good and bad cannot change places
-SMOOTH = 2.0  # votes that an accuracy starts with on either side
+GOOD = "good"
+START_SHARE = 0.85  # of good texts
+START_WRONG, START_OWN, START_OTHER = 0.005, 0.9, 0.1  # how often a rule votes bad: on good texts, on its own kind of bad ones, on other kinds
+MOST_WRONG, LEAST_OWN, EDGE = 0.01, 0.5, 0.001  # bounds: on good texts at most, on its own kind at least; and away from 0 and 1
+SMOOTH = 2.0  # votes that each rate starts with
 LEAST_WORDS = 50
 WINDOW = 3
 
@@ -76,44 +79,65 @@ def rules() -> dict[str, Column]:
         return F.when(bad, -1).when(good, 1).otherwise(0)
 
     return {
-        "length": vote(F.col("n_words") >= 100, F.col("n_words") < LEAST_WORDS),
         "symbols": vote(symbols < 0.02, symbols > 0.2),
         "repeats": vote(repeats < 0.15, repeats > 0.4),
         "upper": vote(upper < 0.15, upper > 0.4),
         "word_length": vote(mean.between(3, 8), (mean < 2.5) | (mean > 11)),
-        "lines": vote(lines < 0.1, lines > 0.3),
+        "lines": vote(lines < 0.1, (lines > 0.3) & (F.col("n_dup_lines") >= 3)),
         "ends": vote(ends.between(0.02, 0.25), (ends < 0.004) | (ends > 0.5)),
     }
 
 
-def _good_odds(names: list[str], accuracy: dict[str, float], good: float) -> Column:
-    """Posterior probability of a good text given its votes."""
-    from math import log
+def _likelihoods(names: list[str], rates: dict[str, dict[str, float]], shares: dict[str, float]) -> dict[str, Column]:
+    """For each kind of text its share times the probability of the row's votes."""
+    out = {}
+    for kind, share in shares.items():
+        p = F.lit(share)
+        for k in names:
+            p = p * F.when(F.col(k) == 1, 1 - rates[kind][k]).when(F.col(k) == -1, rates[kind][k]).otherwise(1.0)
+        out[kind] = p
+    return out
+
 
-    odds = reduce(lambda a, b: a + b, [F.col(k).cast("double") * F.lit(log(accuracy[k] / (1 - accuracy[k]))) for k in names])
-    return 1 / (1 + F.exp(-(odds + F.lit(log(good / (1 - good))))))
+def _posterior(names: list[str], rates: dict[str, dict[str, float]], shares: dict[str, float]) -> Column:
+    """Probability of a good text given its votes."""
+    p = _likelihoods(names, rates, shares)
+    return p[GOOD] / reduce(add, p.values())
 
 
-def learn(votes: DataFrame, names: list[str], rounds: int = ROUNDS) -> tuple[dict[str, float], float]:
-    """Accuracy of each rule and share of good texts, by EM over all rows.
+def learn(votes: DataFrame, names: list[str], rounds: int = ROUNDS) -> tuple[dict[str, dict[str, float]], dict[str, float]]:
+    """(how often each rule votes bad on each kind of text, share of each kind), by EM over all rows.
 
-    Rows with equal votes are equal to EM, so they are counted once first: at most 3 ** len(names) rows stay,
-    and each round is one aggregate over them. No rows give the starting values.
+    Kinds are good texts and, as a rule seldom sees every way to be bad, one kind of bad text for each rule; a
+    rule's accuracy is 1 less its rate on good texts, and its rate on bad ones. Rows with equal votes are equal to
+    EM and are counted once first: at most 3 ** len(names) rows stay, and each round is one aggregate over them.
+    No rows give the starting values.
     """
     patterns = materialise(votes.groupBy(*names).agg(F.count(F.lit(1)).alias("n")).coalesce(1).sortWithinPartitions(*names))
-    accuracy, good = dict.fromkeys(names, START_ACCURACY), START_GOOD
+    kinds = [GOOD, *names]
+    start = {c: {k: START_WRONG if c == GOOD else START_OWN if c == k else START_OTHER for k in names} for c in kinds}
+    rates, shares = start, {c: START_SHARE if c == GOOD else (1 - START_SHARE) / len(names) for c in kinds}
+    sums = [F.sum("n").alias("all")]
+    for i, c in enumerate(kinds):
+        weight = F.col("n") * F.col(f"p{i}") / F.col("p")
+        sums.append(F.sum(weight).alias(f"s{i}"))
+        for j, k in enumerate(names):
+            sums += [F.sum(F.when(F.col(k) == -1, weight)).alias(f"b{i}_{j}"), F.sum(F.when(F.col(k) != 0, weight)).alias(f"v{i}_{j}")]
     for _ in range(rounds):
-        p, n = F.col("p"), F.col("n")
-        sums = [F.sum(n * p).alias("good"), F.sum(n).alias("all")]
-        for k in names:
-            right = F.when(F.col(k) == 1, p).when(F.col(k) == -1, 1 - p)
-            sums += [F.sum(n * right).alias(f"{k}_right"), F.sum(F.when(F.col(k) != 0, n)).alias(f"{k}_all")]
-        r = patterns.withColumn("p", _good_odds(names, accuracy, good)).agg(*sums).first()
+        p = [x.alias(f"p{i}") for i, x in enumerate(_likelihoods(names, rates, shares).values())]
+        each = patterns.select("*", *p)
+        r = each.withColumn("p", reduce(add, [F.col(f"p{i}") for i in range(len(kinds))])).agg(*sums).first()
         if not r["all"]:
             break
-        accuracy = {k: min(MOST, max(LEAST, ((r[f"{k}_right"] or 0.0) + SMOOTH * START_ACCURACY) / ((r[f"{k}_all"] or 0) + SMOOTH))) for k in names}
-        good = min(0.99, max(0.01, (r["good"] + 1) / (r["all"] + 2)))
-    return accuracy, good
+        new: dict[str, dict[str, float]] = {}
+        for i, c in enumerate(kinds):
+            new[c] = {}
+            for j, k in enumerate(names):
+                rate = ((r[f"b{i}_{j}"] or 0.0) + SMOOTH * start[c][k]) / ((r[f"v{i}_{j}"] or 0.0) + SMOOTH)
+                low, high = (EDGE, MOST_WRONG) if c == GOOD else (LEAST_OWN if c == k else EDGE, 1 - EDGE)
+                new[c][k] = min(high, max(low, rate))
+        rates, shares = new, {c: (r[f"s{i}"] + 1) / (r["all"] + len(kinds)) for i, c in enumerate(kinds)}
+    return rates, shares
 
 
 def judge(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -127,7 +151,7 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFr
     # measured once, read for learning and for the verdict; a few numbers per text
     measured = materialise(measure(docs, id_col, text))
     voted = measured.select("*", *[v.alias(f"vote_{k}") for k, v in cast.items()])
-    accuracy, good = learn(voted, names)
+    rates, shares = learn(voted, names)
     failed = base_failed()
-    return voted.withColumn("base_failed", failed).withColumn("posterior", _good_odds(names, accuracy, good)) \
+    return voted.withColumn("base_failed", failed).withColumn("posterior", _posterior(names, rates, shares)) \
         .withColumn("kept", ~F.col("base_failed") & (F.col("posterior") >= 0.5))

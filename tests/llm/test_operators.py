@@ -101,7 +101,7 @@ def test_notices(spark, docs):
     got = licenses.find_notices(docs)
     assert rows_of(got, "id", "n_words", "n_base", "first_word", "last_word", "base_labels") == sorted(want)
     assert licenses.find_notices(empty(docs)).count() == 0
-    made = spark.createDataFrame([(1, "Licensed under the Apache License, Version 2.0."), (2, "It is licensed under the Apache License, 2.0"), (3, "the license")], "doc_id long, text string")
+    made = spark.createDataFrame([(1, "Licensed under the Apache License, Version 2.0."), (2, "It is licensed under the Apache License, version 2"), (3, "the license")], "doc_id long, text string")
     found = {r["id"]: r for r in licenses.find_notices(made).collect()}
     assert found[1]["labels"] == "apache-2.0" and found[1]["score"] == 1.0 and found[1]["spans"][0][:2] == (0, 7)
     assert found[2]["labels"] == "apache-2.0" and found[2]["score"] < 1
@@ -190,15 +190,19 @@ def test_quality(spark, docs):
     assert quality.judge(empty(docs)).count() == 0
 
 
-def test_em_finds_accuracies(spark):
+def test_em_finds_rates(spark):
     rng = random.Random(6)
-    truth = {"vote_a": 0.95, "vote_b": 0.7, "vote_c": 0.85}
-    rows = []
-    for _ in range(4000):
-        good = rng.random() < 0.7
-        rows.append([0 if rng.random() < 0.2 else (1 if good else -1) * (1 if rng.random() < p else -1) for p in truth.values()])
-    accuracy, share = quality.learn(spark.createDataFrame(rows, "vote_a int, vote_b int, vote_c int"), list(truth), rounds=60)
-    assert abs(share - 0.7) < 0.06 and all(abs(accuracy[k] - p) < 0.06 for k, p in truth.items())
+    names, rows = ["vote_a", "vote_b", "vote_c"], []
+    for _ in range(6000):
+        kind = "good" if rng.random() < 0.8 else rng.choice(names)
+        rate = {k: 0.005 if kind == "good" else 0.9 if k == kind else 0.05 for k in names}
+        rows.append([kind, *[0 if rng.random() < 0.1 else -1 if rng.random() < rate[k] else 1 for k in names]])
+    votes = spark.createDataFrame(rows, "kind string, vote_a int, vote_b int, vote_c int")
+    rates, shares = quality.learn(votes, names)
+    assert abs(shares["good"] - 0.8) < 0.05 and all(abs(rates[k][k] - 0.9) < 0.12 and rates["good"][k] < 0.015 for k in names)
+    right = votes.filter((quality._posterior(names, rates, shares) >= 0.5) == (F.col("kind") == "good")).count()
+    assert right > 0.95 * len(rows)
+    assert quality.learn(votes.filter("false"), names)[1]["good"] == quality.START_SHARE
 
 
 def test_block_max_top_is_exact():
