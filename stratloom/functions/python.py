@@ -2,18 +2,18 @@
 
 from __future__ import annotations
 
+import re
+import sys
 import unicodedata
 
 import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+_MARKS = re.compile("[" + "".join(map(chr, (c for c in range(sys.maxunicode + 1) if unicodedata.combining(chr(c))))) + "]+")
+
 
 @F.pandas_udf(StringType())
 def nfd_strip(s: pd.Series) -> pd.Series:
     """Text without combining marks after canonical decomposition."""
-    def one(x):
-        if x is None or x.isascii():
-            return x
-        return "".join(ch for ch in unicodedata.normalize("NFD", x) if not unicodedata.combining(ch))
-    return s.map(one)
+    return s.str.normalize("NFD").str.replace(_MARKS, "", regex=True)

@@ -94,21 +94,26 @@ def md5_hex(c: Column | str) -> Column:
     return F.md5(col(c).cast("binary"))
 
 
-def pub_slug(c: Column | str) -> Column:
+def _start(c: Column, size: int | None) -> Column:
+    """The first ``size`` characters; all of them for None."""
+    return c if size is None else F.substring(c, 1, size)
+
+
+def pub_slug(c: Column | str, size: int | None = None) -> Column:
     base = F.btrim(F.regexp_replace(stem(col(c)), "[^0-9A-Za-zА-Яа-яЁё]+", "_"), F.lit("_"))
-    return F.concat(F.substring(base, 1, 52), F.lit("_"), F.substring(md5_hex(c), 1, 6))
+    return F.concat(_start(base, size), F.lit("_"), F.substring(md5_hex(c), 1, 6))
 
 
-def safe_name(c: Column | str, size: int = 80) -> Column:
-    return F.substring(F.regexp_replace(basename_slash(c), r"""[ ?*:<>|"\\/\t\n\r]""", "_"), 1, size)
+def safe_name(c: Column | str, size: int | None = None) -> Column:
+    return _start(F.regexp_replace(basename_slash(c), r"""[ ?*:<>|"\\/\t\n\r]""", "_"), size)
 
 
 def basename_slash(c: Column | str) -> Column:
     return F.substring_index(col(c), "/", -1)
 
 
-def safe_job_id(c: Column | str, size: int = 40) -> Column:
-    return F.substring(F.regexp_replace(col(c), r"[^0-9A-Za-z\-_]", ""), 1, size)
+def safe_job_id(c: Column | str, size: int | None = None) -> Column:
+    return _start(F.regexp_replace(col(c), r"[^0-9A-Za-z\-_]", ""), size)
 
 
 def file_ext(c: Column | str) -> Column:
@@ -118,10 +123,16 @@ def file_ext(c: Column | str) -> Column:
 
 
 def natural_key(c: Column | str) -> Column:
-    """Array that sorts digit runs as numbers and the rest as lower-case text."""
+    """Array that sorts digit runs as numbers and the rest as lower-case text.
+
+    A number is its count of digits, always ten digits long, and then the digits, so numbers of any length compare.
+    """
     toks = F.regexp_extract_all(col(c), F.lit(r"\d+|\D+"), F.lit(0))
-    return F.transform(toks, lambda t: F.when(t.rlike(r"^\d"), F.lpad(F.ltrim(t, F.lit("0")), 20, "0"))
-                       .otherwise(F.lower(t)))
+
+    def number(t: Column) -> Column:
+        return let(F.ltrim(t, F.lit("0")), lambda d: F.concat(F.lpad(F.length(d).cast("string"), 10, "0"), d))
+
+    return F.transform(toks, lambda t: F.when(t.rlike(r"^\d"), number(t)).otherwise(F.lower(t)))
 
 
 def stable_job_id(c: Column | str) -> Column:
@@ -150,8 +161,8 @@ def unwrap_cell(value: Column, is_array: bool = False, drop_math: bool = False)
     return F.coalesce(F.array_join(vals, "; "), F.lit("ND"))
 
 
-def evidence_cell(evidence: Column, size: int = 250) -> Column:
-    return F.substring(F.coalesce(evidence, F.lit("")), 1, size)
+def evidence_cell(evidence: Column, size: int | None = None) -> Column:
+    return _start(F.coalesce(evidence, F.lit("")), size)
 
 
 def thickness_by_kind(measures: Column, kind: str) -> Column:
@@ -188,7 +199,7 @@ _WORKING = (rf"(?iu)(скв(?:ажин{_LET}*|\.)?\s*№?\s*[\dIVX][\d/IVX]{{0,4
 _YEAR = bounded(r"1[89]\d{2}|20[0-3]\d")
 
 
-def working_ids(quotes: Column, cap: int = 12) -> Column:
+def working_ids(quotes: Column, cap: int | None = None) -> Column:
     """Distinct designations of workings named in quotes, in order of mention."""
     found = F.flatten(F.transform(quotes, lambda q: F.regexp_extract_all(q, F.lit(_WORKING), F.lit(0))))
     found = F.transform(found, lambda v: F.btrim(squash(v), F.lit(" .,;")))
@@ -201,7 +212,8 @@ def working_ids(quotes: Column, cap: int = 12) -> Column:
         return F.struct(F.concat(F.substring(letters, 1, 5), F.lit("|"), number).alias("k"), v.alias("v"))
 
     uniq = dedupe_by(F.transform(found, keyed))
-    return F.slice(F.transform(uniq, lambda s: s["v"]), 1, cap)
+    ids = F.transform(uniq, lambda s: s["v"])
+    return ids if cap is None else F.slice(ids, 1, cap)
 
 
 # fixed pattern: phrases that announce a summary section
@@ -274,7 +286,7 @@ def river_from_text(c: Column | str) -> Column:
 
 
 def river_variants(c: Column | str) -> Column:
-    """The name as written, then nominative guesses; at most three, case-insensitively distinct."""
+    """The name as written, then nominative guesses, case-insensitively distinct."""
     def body(w: Column) -> Column:
         cut = F.substr(w, F.lit(1), F.length(w) - 1)
         two = F.substr(w, F.lit(1), F.greatest(F.length(w) - 2, F.lit(0)))
@@ -285,7 +297,7 @@ def river_variants(c: Column | str) -> Column:
             F.when(F.endswith(w, F.lit("ой")) | F.endswith(w, F.lit("ей")), F.concat(two, F.lit("а"))))
         keyed = F.transform(F.filter(raw, lambda v: v.isNotNull()),
                             lambda v: F.struct(F.lower(v).alias("k"), v.alias("v")))
-        return F.slice(F.transform(dedupe_by(keyed), lambda s: s["v"]), 1, 3)
+        return F.transform(dedupe_by(keyed), lambda s: s["v"])
 
     return let(strip(c), body)
 
@@ -349,17 +361,13 @@ def display_chrono(c: Column) -> Column:
 
 
 # ---------------------------------------------------------------- topical screening
-def _norm_words(words) -> list[list[str]]:
-    import re
-
-    def one(w: str) -> str:
-        return re.sub(r"[^0-9a-zа-яё]+", " ", w.lower().replace("ё", "е")).strip()
-
-    return [[one(p) for p in (w if isinstance(w, tuple) else (w,))] for w in words]
+def word_parts(words) -> list[list[str]]:
+    """Entries of a topic list as lists of the parts that must all occur."""
+    return [list(w) if isinstance(w, tuple) else [w] for w in words]
 
 
 def _count_hits(t: Column, words) -> Column:
-    pats = F.array(*[F.array(*[F.lit(p) for p in parts]) for parts in _norm_words(words)])
+    pats = F.array(*[F.array(*[F.lit(p) for p in parts]) for parts in word_parts(words)])
     return F.size(F.filter(pats, lambda ps: F.forall(ps, lambda p: F.contains(t, p))))
 
 
@@ -399,14 +407,11 @@ def _first_meta(html: Column, name: str) -> Column:
     return F.coalesce(F.get(meta_values(html, name), F.lit(0)), F.lit(""))
 
 
-BODY_LIMIT = 600_000  # fixed value: characters of an article body that count
-
-
 def html_article(html: Column) -> Column:
     """Citation tags and body text of an article page."""
     mark = 'itemprop="articleBody"'
     at = F.locate(mark, html)
-    body = F.when(at > 0, strip_html(F.substr(html, at + len(mark), F.lit(BODY_LIMIT)))).otherwise("")
+    body = F.when(at > 0, strip_html(F.substr(html, at + len(mark)))).otherwise("")
     return F.struct(
         _first_meta(html, "citation_title").alias("title"),
         meta_values(html, "citation_author").alias("authors"),

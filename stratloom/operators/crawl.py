@@ -25,18 +25,19 @@ def crawl_to_jobs(items: DataFrame, articles: DataFrame, known: DataFrame, base_
                   created: int = 0) -> tuple[DataFrame, DataFrame]:
     """(jobs, pages) of relevant items whose article has text; known job ids are not queued again.
 
-    ``articles``: slug, html; ``known``: job_id.
+    ``articles``: slug, html; ``known``: job_id. Of several fetches of an article the longest page counts.
     """
     want = topical_filter(items).groupBy("slug").agg(F.min("title").alias("title")).withColumn("job_id", t.stable_job_id("slug"))
     want = want.join(known.select("job_id"), "job_id", "left_anti")
-    art = articles.select("slug", t.html_article(F.col("html")).alias("a"))
+    art = articles.groupBy("slug").agg(F.max(F.struct(F.length("html").alias("n"), "html"))["html"].alias("html")).select(
+        "slug", t.html_article(F.col("html")).alias("a"))
     j = min_article_length(want.join(art, "slug").withColumn("text", F.col("a.text"))).withColumn(
         "pages", t.chunk_text(F.col("text"))).filter(F.size("pages") > 0)
     title = F.when(F.col("a.title") != "", F.col("a.title")).otherwise(F.col("title"))
-    name = F.concat(F.substring(F.regexp_replace(title, r'[\\/:*?"<>|]', "_"), 1, 120), F.lit(".pdf"))
+    name = F.concat(F.regexp_replace(title, r'[\\/:*?"<>|]', "_"), F.lit(".pdf"))
     jobs = j.select("job_id", name.alias("filename"), F.lit("queued").alias("status"), F.lit(created).cast("bigint").alias("created"),
                     F.lit("автопоиск").alias("user"), F.concat(F.lit(base_url), "slug").alias("url"), F.col("a.journal").alias("journal"),
-                    F.col("a.year").alias("year"), F.substring(F.array_join("a.authors", "; "), 1, 200).alias("authors"),
+                    F.col("a.year").alias("year"), F.array_join("a.authors", "; ").alias("authors"),
                     F.size("pages").alias("n_pages"))
     pages = j.select("job_id", F.explode("pages").alias("p")).select("job_id", "p.idx", "p.text")
     return jobs, pages

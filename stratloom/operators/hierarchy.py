@@ -59,16 +59,17 @@ def _drop_far(df: DataFrame, anchors: DataFrame | None) -> DataFrame:
     return j.drop("_ok")
 
 
-def hierarchy_placement(sub: DataFrame, anchors: DataFrame | None = None, passes: int = 4) -> DataFrame:
-    """Sub-sites tied to neighbours that have just been placed; up to ``passes`` rounds.
+def hierarchy_placement(sub: DataFrame, anchors: DataFrame | None = None) -> DataFrame:
+    """Sub-sites tied to neighbours that have just been placed, until nothing more can be.
 
     A parent beats an anchor, and only an anchor that is not the parent adds its offset: the parent's own
-    point already holds it. Rounds end early when nothing moves.
+    point already holds it. A round places all that its predecessor made possible, and sub-sites tied only to
+    each other stay unplaced.
     """
     key = t.plain_key
     cur = sub if "inherited_from" in sub.columns else sub.withColumn("inherited_from", F.lit(None).cast("string"))
     cols = cur.columns
-    for _ in range(passes):
+    while True:
         placed = cur.filter("lat is not null").groupBy(key("name").alias("k")).agg(
             F.max(F.struct("ord", "lat", "lon", "accuracy", "name")).alias("p"))
         todo = cur.filter("lat is null").withColumn("pk", key("parent")).withColumn("ak", key("anchor"))
@@ -86,15 +87,15 @@ def hierarchy_placement(sub: DataFrame, anchors: DataFrame | None = None, passes
             "accuracy", acc.cast("bigint")).withColumn("inherited_from", F.col("_b.name")).select(*cols)
         new = tools.materialise(_drop_far(new, anchors).filter("lat is not null").select(*cols))
         if new.isEmpty():
-            break
+            return cur
         cur = tools.materialise(cur.join(new.select("ord"), "ord", "left_anti").select(*cols).unionByName(new))
-    return cur
 
 
-def hierarchy_root(sub: DataFrame, depth: int = 4) -> DataFrame:
+def hierarchy_root(sub: DataFrame) -> DataFrame:
     """Real object above each placed sub-site: climb while the parent is itself a new sub-site.
 
-    Adds ``root`` (name key, empty when the climb ends in nothing, in itself or too deep).
+    Adds ``root`` (name key, empty when the climb ends in nothing, in itself or goes in a circle). Each round doubles
+    the length of the links, so a chain of n steps takes log n rounds.
     """
     key = t.plain_key
     placed = sub.filter("lat is not null")
@@ -103,13 +104,23 @@ def hierarchy_root(sub: DataFrame, depth: int = 4) -> DataFrame:
     link = rows.groupBy(F.col("_own").alias("cur")).agg(F.min(F.struct("ord", "_par")).alias("l"),
                                                        F.bool_or(F.col("relation") != vocab.REL_SAME).alias("is_sub"))
     link = link.select("cur", F.col("l._par").alias("up"), "is_sub")
-    out = rows.withColumn("cur", F.when(F.col("_par") != F.col("_own"), F.col("_par")).otherwise(""))
-    for step in range(1, depth + 2):
-        j = out.join(link, "cur", "left")
-        ends = (F.coalesce("up", F.lit("")) == "") | (F.col("up") == F.col("cur")) | F.lit(step > depth)
-        nxt = F.when(F.coalesce("is_sub", F.lit(False)), F.when(ends, "").otherwise(F.col("up"))).otherwise(F.col("cur"))
-        out = j.withColumn("_n", nxt).drop("cur", "up", "is_sub").withColumnRenamed("_n", "cur")
-    return out.withColumnRenamed("cur", "root").drop("_own", "_par")
+    # where one step from a name leads: a name that is no sub-site is a root and stays
+    step = F.when(~F.col("is_sub"), F.col("cur")).when(F.col("up") == F.col("cur"), "").otherwise(F.coalesce("up", F.lit("")))
+    jump = tools.materialise(link.select("cur", step.alias("to")))
+    length, names = 1, jump.count()
+    while length <= names:
+        further = jump.alias("a").join(jump.select(F.col("cur").alias("to"), F.col("to").alias("then")).alias("b"), "to", "left")
+        new = tools.materialise(further.select("cur", F.when(F.col("to") == "", "").otherwise(F.coalesce("then", "to")).alias("to")))
+        same = new.join(jump, ["cur", "to"], "left_anti").isEmpty()
+        jump, length = new, length * 2
+        if same:
+            break
+    # names that still lead to a sub-site go in a circle
+    real = jump.join(link.filter("is_sub").select(F.col("cur").alias("to")), "to", "left_anti")
+    ends = jump.select("cur").join(real, "cur", "left").select(F.col("cur").alias("_par"), F.coalesce("to", F.lit("")).alias("_end"))
+    out = rows.join(ends, "_par", "left").withColumn(
+        "root", F.when(F.col("_par") == F.col("_own"), "").otherwise(F.coalesce("_end", "_par")))
+    return out.drop("_own", "_par", "_end")
 
 
 def existing_row_anti(new: DataFrame, sections: DataFrame) -> DataFrame:

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from .. import vocab
 from ..functions import geo as g
 from ..functions import numbers as n
-from ..functions import text as t
 from ..functions.common import WORD, let, strip
 from . import places, tools
 
@@ -59,10 +58,10 @@ def queue_index(status: DataFrame, props: DataFrame, decisions: DataFrame) -> Da
     decided = decided.join(found.select("job_id"), "job_id", "left_semi")
     j = status.join(found, "job_id", "left").join(decided, "job_id", "left")
     zero = lambda c: F.coalesce(c, F.lit(0)).cast("bigint").alias(c)
-    return j.select(F.col("job_id").alias("id"), F.substring(F.coalesce("filename", "job_id"), 1, 180).alias("name"),
+    return j.select(F.col("job_id").alias("id"), F.coalesce("filename", "job_id").alias("name"),
                     F.coalesce("status", F.lit("?")).alias("status"), zero("n"), zero("geo"), zero("checked"),
                     F.coalesce("submitter", F.lit("")).alias("src"), F.coalesce("created", F.lit(0)).alias("created"),
-                    F.substring(F.coalesce("msg", F.lit("")), 1, 120).alias("msg"))
+                    F.coalesce("msg", F.lit("")).alias("msg"))
 
 
 def queue_filter(q: DataFrame, text: str = "", status: list[str] | None = None, found: bool = False,
@@ -119,27 +118,24 @@ def build_proposals(recs: DataFrame, hits: DataFrame | None = None) -> DataFrame
     """
     named = recs.withColumn("locality", strip("locality")).filter(F.col("locality").isNotNull() & ~F.col("locality").isin("", "ND"))
     keys = ["job_id", "locality"]
-    caps = {"geomorph": 3, "raw_terms": 8, "thickness": 6, "quotes": 8}
     known = lambda c: F.filter(F.col(c), lambda x: x.isNotNull() & ~x.isin("", "ND"))
     one = lambda c: tools.one_or_none(F.when(~F.col(c).isin("", "ND"), F.col(c)))
     open_fields = {c: known(c) for c in ("excavation", "deposits", "strat", "dating", "source_kinds")}
     first_fields = {"admin": one("admin"), "elevation": one("elevation"), **{c: known(c) for c in ("geomorph", "raw_terms", "thickness")}}
     quote = {"quotes": F.filter(F.transform("quotes", strip), lambda x: x.isNotNull() & ~x.isin("", "[]", "ND"))}
-    values = tools.materialise(tools.melt_values(named, keys, {
-        **open_fields, **first_fields, **quote, "row": F.array(F.lit(""))}, inner_order=True))
-    capped = F.col("f").isin([*first_fields, "quotes"])
-    melted = values.filter(~capped).unionByName(tools.keep_first(values.filter(capped), keys, 8))
-    packed = melted.groupBy(*keys).agg(
+    values = tools.melt_values(named, keys, {**open_fields, **first_fields, **quote, "row": F.array(F.lit(""))}, inner_order=True)
+    packed = values.groupBy(*keys).agg(
         F.sum(F.when(F.col("f") == "row", F.col("n"))).alias("n_records"),
         F.min(F.when(F.col("f") == "row", F.col("first"))).alias("first"),
         F.coalesce(tools.first_value("admin"), F.lit("ND")).alias("admin"),
         F.coalesce(tools.first_value("elevation"), F.lit("ND")).alias("elevation"),
-        *[tools.values_seen(c, caps.get(c)).alias(c) for c in (*open_fields, "geomorph", "raw_terms", "thickness", "quotes")])
+        *[tools.values_seen(c).alias(c) for c in (*open_fields, "geomorph", "raw_terms", "thickness", "quotes")])
     out = packed
     if hits is not None:
         pages = values.filter("f = 'quotes'").select(*keys, F.col("v").alias("evidence")).join(hits, ["job_id", "evidence"]).select(*keys, "page").distinct()
-        low = tools.first_rows(pages, keys, [F.col("page")], 10).groupBy(*keys).agg(F.sort_array(F.collect_list("page")).alias("pages"))
+        low = pages.groupBy(*keys).agg(F.sort_array(F.collect_list("page")).alias("pages"))
         out = out.join(low, keys, "left")
+    out = out.withColumnRenamed("quotes", "evidence")
     return tools.ordinal(out, ["job_id"], [F.desc("n_records"), F.col("first"), F.col("locality")], "i").drop("first")
 
 
@@ -171,7 +167,7 @@ def master_rows(accepted: DataFrame, status: DataFrame) -> DataFrame:
         join("dating").alias("dating_methods"), join("source_kinds").alias("source_kinds"),
         F.coalesce("n_records", F.lit(1)).cast("bigint").alias("n_records"), F.lit(1).cast("bigint").alias("n_sources"),
         F.concat(F.coalesce("filename", "job_id"), F.lit(vocab.UPLOAD_MARK)).alias("sources"),
-        F.array_join(F.slice("evidence", 1, 6), " || ").alias("evidence"),
+        F.array_join("evidence", " || ").alias("evidence"),
         "lat", "lon", F.lit("ok").alias("loc_confidence"), "job_id", "i")
 
 
@@ -180,20 +176,21 @@ class ContractError(ValueError):
 
 
 def append_accepted(master: DataFrame, rows: DataFrame) -> DataFrame:
-    """Master table plus mapped proposals; both must carry the 22 master columns."""
+    """Master table plus mapped proposals, exactly the 22 master columns; both must carry them."""
     for df in (master, rows):
         lacking = [c for c in vocab.MASTER_COLUMNS if c not in df.columns]
         if lacking:
             raise ContractError(f"missing master columns: {lacking}")
-    return master.unionByName(rows, allowMissingColumns=True)
+    return master.select(*vocab.MASTER_COLUMNS).unionByName(rows.select(*vocab.MASTER_COLUMNS))
 
 
 def idempotent_merge(accepted: DataFrame, ledger: DataFrame, master: DataFrame) -> DataFrame:
-    """Accepted proposals that are in neither the ledger nor the master, moved onto existing points.
+    """Accepted proposals with coordinates that are in neither the ledger nor the master, moved onto existing points.
 
+    One without coordinates waits: it is not merged, and may be once it is located.
     The check against the master's (job_id, i) covers a run that stopped between the two writes.
     """
-    new = accepted.join(ledger.select("job_id", "i"), ["job_id", "i"], "left_anti").join(
+    new = accepted.filter("lat is not null and lon is not null").join(ledger.select("job_id", "i"), ["job_id", "i"], "left_anti").join(
         master.filter("job_id is not null").select("job_id", "i"), ["job_id", "i"], "left_anti")
     new = tools.first_rows(new, ["job_id", "i"], [F.col("lat"), F.col("lon")])
     pts = new.withColumn("name", F.col("locality")).withColumn("lat", F.round("lat", 5)).withColumn("lon", F.round("lon", 5))
@@ -236,7 +233,7 @@ def apply_fix_log(corr: DataFrame, ledger: DataFrame, sections: DataFrame) -> tu
     names = moved.filter("moved").groupBy("marker_key").agg(F.min_by("nearest_locality", "ord").alias("locality"))
     added = new.join(missed.select("marker_key"), "marker_key", "left_anti").join(names, "marker_key").select(
         "marker_key", "locality", g.marker_key(F.col("lat"), F.col("lon")).alias("to"), F.col("reviewer").alias("by"),
-        F.substring("comment", 1, 200).alias("comment"))
+        "comment")
     text = F.concat(F.lit("ИСПРАВЛЕНО: координаты обновлены на "), F.col("lat").cast("string"), F.lit(", "),
                     F.col("lon").cast("string"), F.lit(" по замечанию проверяющего"))
     target = F.explode(F.array(g.storage_key(g.marker_key(F.col("lat"), F.col("lon"))), F.col("marker_key")))
@@ -298,5 +295,3 @@ def publish_guard(new: DataFrame, prev: DataFrame, keep: float = 0.9) -> DataFra
     return a.withColumn("_k", F.lit(1)).join(b.withColumn("_k", F.lit(1)), "_k").select(
         "new_markers", "old_markers", (F.col("new_markers") >= F.col("old_markers") * keep).alias("publish"))
 
-
-_ = t

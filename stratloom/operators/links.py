@@ -263,11 +263,11 @@ def budget_limit(pages: DataFrame, group: str, order: list[str], budget: int) ->
     return numbered.filter(F.col("pos") <= F.col("left")).drop("pos", "left")
 
 
-def figure_column_join(markers: DataFrame, links: DataFrame, figures: DataFrame, cap: int = 4) -> DataFrame:
+def figure_column_join(markers: DataFrame, links: DataFrame, figures: DataFrame, cap: int | None = None) -> DataFrame:
     """Figure data of a linked page whose section name agrees with the marker's name either way.
 
     ``markers``: marker, locality (one row each); ``links``: marker, slug, page, pos; ``figures``: slug,
-    page, section_name, units. At most ``cap`` distinct figures per marker, in link order.
+    page, section_name, units. Distinct figures of a marker, the first ``cap`` in link order if that is given.
     """
     def norm(c: str) -> Column:
         return t.norm_search(c)
@@ -280,8 +280,8 @@ def figure_column_join(markers: DataFrame, links: DataFrame, figures: DataFrame,
         "marker", "section_name", "units", F.col("at.page").alias("page"))
 
 
-def evidence_by_locality_join(markers: DataFrame, ev: DataFrame, cap: int = 3) -> DataFrame:
-    """Deposit quotes (``cap`` at most, in order) and grounded flag of a marker's localities.
+def evidence_by_locality_join(markers: DataFrame, ev: DataFrame, cap: int | None = None) -> DataFrame:
+    """Deposit quotes in order (the first ``cap`` if given) and grounded flag of a marker's localities.
 
     ``markers``: marker, locality, pos; ``ev``: locality (lower case), phrase, n, grounded.
     """

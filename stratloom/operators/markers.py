@@ -76,12 +76,12 @@ def build_markers(records: DataFrame, evidence: DataFrame | None = None, kinds:
     open_fields = {
         "dep": _or_nd(F.col("dep")), "strat": _or_nd(F.col("strat")), "dat": _or_nd(F.col("dat")),
         "exc": _or_nd(F.col("exc")), "chrono": F.array(dated), "loc": single("locality"), "adm": single("admin"),
-        "feat": single("feature"), "pub": F.slice("pubs", 1, 1), "geom": single("geom", "ND", ""),
+        "feat": single("feature"), "pub": F.col("pubs"), "geom": single("geom", "ND", ""),
         "raw": F.col("raw"), "srck": F.col("srck"),
         "elbin": n.bins_span(F.col("elmin"), F.col("elmax"), 20), "thbin": tools.one_or_none(n.bin5(th)),
         "accbin": F.array(n.acc_bin(F.col("accuracy"))),
         **{f"th_{k}": single(f"th_{k}", "ND", "", "None") for k in vocab.THICKNESS_KINDS}}
-    melted = tools.melt_capped(records, KEYS, {**open_fields, "ev": F.col("quotes")}, {"ev": 14}, inner_order=True)
+    melted = tools.melt_values(records, KEYS, {**open_fields, "ev": F.col("quotes")}, inner_order=True)
     lists = melted.groupBy(*KEYS).agg(*[tools.values_seen(f).alias(f) for f in [*open_fields, "ev"]])
     nums = records.groupBy(*KEYS).agg(
         F.min("marker").alias("marker"), F.min("ord").alias("first_ord"), F.count(F.lit(1)).alias("source_count"),
@@ -98,7 +98,7 @@ def build_markers(records: DataFrame, evidence: DataFrame | None = None, kinds:
         m = m.withColumn("grounded", F.lit(False)).withColumn("phrases", F.array().cast("array<string>"))
     phrases = F.coalesce("phrases", F.array().cast("array<string>"))
     m = m.withColumn("grounded", F.coalesce("grounded", F.lit(False))).withColumn(
-        "quotes", F.slice(F.array_distinct(F.concat("ev", phrases)), 1, 14))
+        "quotes", F.array_distinct(F.concat("ev", phrases)))
     m = m.withColumn("exc_ids", t.working_ids(F.col("quotes")))
     m = m.join(kinds.select("marker", "kind"), "marker", "left") if kinds is not None else m.withColumn("kind", F.lit(None).cast("string"))
     level = t.object_level(F.col("kind"), F.col("quotes"), F.col("exc_ids"))
@@ -168,16 +168,14 @@ def publication_thickness(records: DataFrame) -> DataFrame:
 
 
 def collate_objects(records: DataFrame) -> DataFrame:
-    """What a reviewer or a model needs to judge a marker: 3 names, 2 units, 3 workings, 8 quotes."""
+    """What a reviewer or a model needs to judge a marker: names, units, workings, quotes."""
     exc = F.when(F.size("exc") > 0, F.array_join("exc", "; "))
     fields = {"loc": F.array("locality"), "adm": tools.one_or_none(F.when(~F.col("admin").isin("ND", ""), F.col("admin"))),
               "exc": tools.one_or_none(exc), "ev": F.col("quotes")}
     m = tools.melt_values(records, ["marker"], fields, inner_order=True)
-    named = tools.first_rows(m.filter("f <> 'ev'"), ["marker", "f"], [F.col("v")], 3)
-    quoted = tools.keep_first(m.filter("f = 'ev'"), ["marker"], 8)
-    o = named.unionByName(quoted).groupBy("marker").agg(
+    o = m.groupBy("marker").agg(
         tools.values_sorted("loc").alias("loc"), tools.values_sorted("adm").alias("adm"),
-        tools.values_sorted("exc").alias("exc"), tools.values_seen("ev", 8).alias("ev"))
-    return o.select("marker", F.array_join("loc", "; ").alias("names"), F.array_join(F.slice("adm", 1, 2), "; ").alias("admins"),
+        tools.values_sorted("exc").alias("exc"), tools.values_seen("ev").alias("ev"))
+    return o.select("marker", F.array_join("loc", "; ").alias("names"), F.array_join("adm", "; ").alias("admins"),
                     F.array_join("exc", "; ").alias("workings"),
-                    F.array_join(F.transform("ev", lambda e: F.substring(e, 1, 200)), "\n").alias("quotes"))
+                    F.array_join("ev", "\n").alias("quotes"))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from .. import vocab
 from ..functions import geo as g
 from ..functions import text as t
-from ..functions.common import let, not_missing, strip
+from ..functions.common import not_missing, strip
 from . import tools
 
 
@@ -23,11 +23,8 @@ def _settlement() -> Column:
     return F.col("class").isin(vocab.PLACE_CLASSES) & F.col("type").isin(vocab.SETTLEMENT_TYPES)
 
 
-def best_hits(gaz: DataFrame, keys: list[str], k: int = 5) -> DataFrame:
-    """(keys, hit): of the first ``k`` rows by rank the first settlement within bounds.
-
-    The cut to ``k`` comes before the type filter, so a settlement ranked lower is not seen.
-    """
+def best_hits(gaz: DataFrame, keys: list[str], k: int | None = None) -> DataFrame:
+    """(keys, hit): the first settlement within bounds by rank, of the first ``k`` rows if that is given."""
     top = tools.first_rows(gaz, keys, [F.col("rank"), F.col("lat"), F.col("lon")], k)
     good = top.filter(_settlement() & g.valid_coord(F.col("lat"), F.col("lon")))
     return good.groupBy(*keys).agg(F.min(F.struct("rank", "lat", "lon")).alias("hit"))
@@ -37,7 +34,7 @@ def _hit(name: str = "hit") -> Column:
     return F.struct(F.col(f"{name}.lat").alias("lat"), F.col(f"{name}.lon").alias("lon"))
 
 
-def geocode_join(df: DataFrame, gaz: DataFrame, k: int = 5, out: str = "found") -> DataFrame:
+def geocode_join(df: DataFrame, gaz: DataFrame, k: int | None = None, out: str = "found") -> DataFrame:
     """(name, admin) → ``found`` struct(lat, lon); an empty admin searches by the bare name."""
     full = best_hits(gaz, ["name", "admin"], k).withColumnRenamed("hit", "_full")
     bare = best_hits(gaz, ["name"], k).withColumnRenamed("hit", "_bare")
@@ -47,8 +44,8 @@ def geocode_join(df: DataFrame, gaz: DataFrame, k: int = 5, out: str = "found")
         "_full", "_bare", "_pick")
 
 
-def geocode_in_box_join(df: DataFrame, gaz: DataFrame, k: int = 5, out: str = "found", cell: float = 4.0) -> DataFrame:
-    """Same for rows with a ``box``: candidates must lie inside, and only those count towards ``k``.
+def geocode_in_box_join(df: DataFrame, gaz: DataFrame, k: int | None = None, out: str = "found", cell: float = 4.0) -> DataFrame:
+    """Same for rows with a ``box``: candidates must lie inside, and only those count towards ``k`` if it is given.
 
     Distinct (name, box) keys meet the gazetteer through grid cells, which spreads a frequent name.
     """
@@ -72,7 +69,7 @@ def geocode_in_box_join(df: DataFrame, gaz: DataFrame, k: int = 5, out: str = "f
         "_hit", "_lat0", "_lat1", "_lon0", "_lon1")
 
 
-def geocode_ladder(df: DataFrame, gaz: DataFrame, k: int = 5) -> DataFrame:
+def geocode_ladder(df: DataFrame, gaz: DataFrame, k: int | None = None) -> DataFrame:
     """Names without a coordinate: the raw name, then without prefix, then without a trailing numeral.
 
     Adds ``found`` and ``note``; each distinct name is looked up once.
@@ -87,7 +84,7 @@ def geocode_ladder(df: DataFrame, gaz: DataFrame, k: int = 5) -> DataFrame:
     return df.join(found, "name", "left")
 
 
-def geocode_with_fallback(df: DataFrame, gaz: DataFrame, k: int = 5) -> DataFrame:
+def geocode_with_fallback(df: DataFrame, gaz: DataFrame, k: int | None = None) -> DataFrame:
     """name + admin first, then the bare name with a note that the admin is unconfirmed."""
     full = best_hits(gaz, ["name", "admin"], k).withColumnRenamed("hit", "_full")
     bare = best_hits(gaz, ["name"], k).withColumnRenamed("hit", "_bare")
@@ -98,7 +95,7 @@ def geocode_with_fallback(df: DataFrame, gaz: DataFrame, k: int = 5) -> DataFram
     return j.withColumn("found", F.when(F.col("_pick").isNotNull(), _hit("_pick"))).drop("_full", "_bare", "_pick")
 
 
-def geocode_box_smart(df: DataFrame, gaz: DataFrame, k: int = 5) -> DataFrame:
+def geocode_box_smart(df: DataFrame, gaz: DataFrame, k: int | None = None) -> DataFrame:
     """In-box look-up by name, then without a leading side or size word; ``used`` is the name that hit."""
     short = t.drop_side_word(F.col("name"))
     first = geocode_in_box_join(df, gaz, k, "_a").withColumn("_name", F.col("name")).withColumn(
@@ -132,12 +129,17 @@ def homonym_region_fix(df: DataFrame, gaz: DataFrame) -> DataFrame:
             .drop("_out", "found", "box"))
 
 
-def ambiguous_names(gaz: DataFrame, k: int = 10, far_km: float = 150) -> DataFrame:
-    """Names whose candidates (rounded to 0.1°) lie more than ``far_km`` apart."""
+def ambiguous_names(gaz: DataFrame, k: int | None = None, far_km: float = 150) -> DataFrame:
+    """Names whose candidates (rounded to 0.1°) lie more than ``far_km`` apart.
+
+    Of the candidates of a latitude only the westernmost and easternmost can be the farthest from anything, so
+    a name keeps two points per tenth of a degree at most.
+    """
     top = tools.first_rows(gaz, ["name"], [F.col("rank"), F.col("lat"), F.col("lon")], k)
     pts = top.filter(_settlement()).select("name", F.round("lat", 1).alias("lat"), F.round("lon", 1).alias("lon"))
-    pts = pts.filter(g.valid_coord(F.col("lat"), F.col("lon")))
-    per_name = pts.groupBy("name").agg(F.collect_set(F.struct("lat", "lon")).alias("p"))  # at most k points
+    pts = pts.filter(g.valid_coord(F.col("lat"), F.col("lon"))).groupBy("name", "lat").agg(
+        F.array_distinct(F.array(F.min("lon"), F.max("lon"))).alias("ends")).select("name", "lat", F.explode("ends").alias("lon"))
+    per_name = pts.groupBy("name").agg(F.collect_set(F.struct("lat", "lon")).alias("p"))
     spread = F.array_max(F.flatten(F.transform("p", lambda a: F.transform(
         F.col("p"), lambda b: g.haversine_km(a["lat"], a["lon"], b["lat"], b["lon"])))))
     return per_name.select("name", F.size("p").alias("n"), spread.alias("spread_km")).filter(
@@ -231,8 +233,8 @@ def homonym_plan_apply(sections: DataFrame, gaz: DataFrame, far_km: float = 50)
                        conf.alias("loc_confidence"))
 
 
-def area_boxes(areas: DataFrame, k: int = 3) -> DataFrame:
-    """name → box of the first boundary or place among the first ``k`` hits that has one."""
+def area_boxes(areas: DataFrame, k: int | None = None) -> DataFrame:
+    """name → box of the first boundary or place that has one, among the first ``k`` hits if that is given."""
     top = tools.first_rows(areas, ["name"], [F.col("rank")], k).filter(
         F.col("class").isin("boundary", "place") & F.col("lat0").isNotNull())
     return top.groupBy("name").agg(F.min_by(F.struct("lat0", "lat1", "lon0", "lon1"), "rank").alias("box"))
@@ -252,8 +254,8 @@ def context_region_fix(sections: DataFrame, areas: DataFrame, gaz: DataFrame) ->
         boxes.select(F.col("name").alias("district"), F.col("box").alias("dbox")), "district", "left")
     inside = F.coalesce(g.in_bbox(F.col("lat"), F.col("lon"), F.col("rbox"), 0.15), F.lit(True))
     j = j.withColumn("_in", inside)
-    by_d = geocode_in_box_join(j.withColumn("box", F.when(~F.col("_in"), F.col("dbox"))), gaz, 8, "_d")
-    by_r = geocode_in_box_join(by_d.withColumn("box", F.when(~F.col("_in"), F.col("rbox"))), gaz, 8, "_r")
+    by_d = geocode_in_box_join(j.withColumn("box", F.when(~F.col("_in"), F.col("dbox"))), gaz, out="_d")
+    by_r = geocode_in_box_join(by_d.withColumn("box", F.when(~F.col("_in"), F.col("rbox"))), gaz, out="_r")
     new = F.coalesce("_d", "_r")
     out = by_r.withColumn("new", new).withColumn("outcome", F.when(F.col("rbox").isNull(), "no_box").when(F.col("_in"), "ok").when(
         F.col("new").isNotNull(), "fixed").otherwise("dropped"))
@@ -266,8 +268,8 @@ def context_region_fix(sections: DataFrame, areas: DataFrame, gaz: DataFrame) ->
         F.when(gone, "uncertain").otherwise(F.col("loc_confidence")).alias("loc_confidence"))
 
 
-def waterway_boxes(names: DataFrame, waterways: DataFrame, k: int = 5) -> DataFrame:
-    """river → box: the first written or de-inflected form with a water body among its first ``k`` hits."""
+def waterway_boxes(names: DataFrame, waterways: DataFrame, k: int | None = None) -> DataFrame:
+    """river → box: the first written or de-inflected form with a water body, among its first ``k`` hits if that is given."""
     tried = names.select("river").distinct().select("river", F.posexplode(t.river_variants("river")).alias("pos", "name"))
     top = tools.first_rows(waterways, ["name"], [F.col("rank")], k)
     water = top.filter((F.col("class") == "waterway") | ((F.col("class") == "natural") & F.col("type").isin("water", "stream")))
@@ -289,7 +291,7 @@ def river_basin_fix(sections: DataFrame, waterways: DataFrame, gaz: DataFrame, m
     wide = F.greatest(F.col("rbox.lat1") - F.col("rbox.lat0"), F.col("rbox.lon1") - F.col("rbox.lon0")) > max_span
     inside = g.in_bbox(F.col("lat"), F.col("lon"), F.col("rbox"), 0.3)
     j = j.withColumn("_look", F.coalesce(~inside & ~wide, F.lit(False))).withColumn("_in", inside)
-    found = geocode_in_box_join(j.withColumn("box", F.when(F.col("_look"), F.col("rbox"))), gaz, 8)
+    found = geocode_in_box_join(j.withColumn("box", F.when(F.col("_look"), F.col("rbox"))), gaz)
     far = F.col("found").isNotNull() & (g.planar_m(F.col("lat"), F.col("lon"), F.col("found.lat"), F.col("found.lon")) > far_m)
     outcome = (F.when(F.col("rbox").isNull(), "no_box").when(F.col("_in"), "ok")
                .when(F.col("_look") & far, "fixed").otherwise("flagged"))
@@ -339,7 +341,7 @@ def snap_to_existing(new: DataFrame, existing: DataFrame, same_name_m: float = 3
         "nk", "a", "b", "_h", "lat", "lon").withColumnRenamed("new_lat", "lat").withColumnRenamed("new_lon", "lon")
 
 
-def too_close_anti(new: DataFrame, existing: DataFrame, m: float = 300, max_rounds: int = 200) -> DataFrame:
+def too_close_anti(new: DataFrame, existing: DataFrame, m: float = 300) -> DataFrame:
     """Points at least ``m`` metres from existing points and from points accepted before them (by ``ord``).
 
     Rounds of a parallel greedy pass. Each small cell (any two of its points are closer than ``m``) offers
@@ -355,7 +357,7 @@ def too_close_anti(new: DataFrame, existing: DataFrame, m: float = 300, max_roun
     todo = todo.withColumn("_cy", F.floor(F.col("lat") / cell).cast("long")).withColumn("_cx", F.floor(F.col("lon") / cell).cast("long"))
     todo = tools.materialise(todo)
     done = None
-    for _ in range(max_rounds):
+    while not todo.isEmpty():
         offers = todo.groupBy("_cy", "_cx").agg(F.min("ord").alias("ord"))
         reach_y = int(math.ceil(m / g.METRES_PER_DEGREE / cell))
         # the longitude reach grows towards the pole: cells are counted at the far edge of the neighbourhood
@@ -370,9 +372,7 @@ def too_close_anti(new: DataFrame, existing: DataFrame, m: float = 300, max_roun
         done = accepted if done is None else done.unionByName(accepted)
         hit = near_pairs(todo.select("lat", "lon"), accepted.select(F.col("lat").alias("rlat"), F.col("lon").alias("rlon")), m)
         todo = tools.materialise(todo.join(hit.select("lat", "lon").distinct(), ["lat", "lon"], "left_anti"))
-        if todo.isEmpty():
-            return done
-    raise RuntimeError(f"undecided points left after {max_rounds} rounds")
+    return todo.drop("_cy", "_cx") if done is None else done
 
 
 def near_work_area(points: DataFrame, anchors: DataFrame, km: float = 150) -> DataFrame:
@@ -427,5 +427,3 @@ def stage_audit(df: DataFrame, column: str = "outcome") -> DataFrame:
     """Rows per outcome of a repair stage."""
     return df.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
 
-
-_ = let

@@ -29,9 +29,9 @@ def page_ordinal(pages: DataFrame) -> DataFrame:
     return tools.ordinal(pages.select("path", "idx"), ["path"], ["idx"], "i", total="n")
 
 
-def page_chunks(docs: DataFrame, size: int = 20, cap: int = 400) -> DataFrame:
+def page_chunks(docs: DataFrame, size: int = 20, cap: int | None = None) -> DataFrame:
     """Fixed-size page ranges [page_from, page_to) of documents with ``n_pages``."""
-    n = F.least(F.col("n_pages"), F.lit(cap)).cast("int")
+    n = (F.col("n_pages") if cap is None else F.least(F.col("n_pages"), F.lit(cap))).cast("int")
     starts = docs.filter("n_pages > 0").select(
         "path", n.alias("n"), F.explode(F.sequence(F.lit(0), n - 1, F.lit(size))).alias("page_from"))
     return starts.select("path", "page_from", F.least(F.col("page_from") + size, F.col("n")).alias("page_to"))
@@ -131,8 +131,8 @@ def flatten_records(docs: DataFrame) -> DataFrame:
     return r.select("path", "pos", *[t.scrub_control_chars(c).alias(name) for name, c in cols.items()])
 
 
-def doc_site_summary(recs: DataFrame, cap: int = 30) -> DataFrame:
-    """(path, n_records, n_sites, sites): distinct places of a document, the first ``cap`` by name."""
+def doc_site_summary(recs: DataFrame, cap: int | None = None) -> DataFrame:
+    """(path, n_records, n_sites, sites): distinct places of a document by name, the first ``cap`` if given."""
     sites = recs.groupBy("path", "nearest_locality").agg(F.count(F.lit(1)).alias("n"))
     named = F.col("nearest_locality").isNotNull() & ~F.col("nearest_locality").isin("ND", "")
     counts = sites.groupBy("path").agg(F.sum("n").alias("n_records"), F.count_if(named).alias("n_sites"))
@@ -178,14 +178,14 @@ def validate(df: DataFrame, rules: dict[str, Column]) -> tuple[DataFrame, DataFr
 
 
 def validate_review(df: DataFrame, verdicts: list[str]) -> tuple[DataFrame, DataFrame]:
-    """Reviewer entries: known verdicts only; texts are cut to their limits."""
-    cut = df.withColumn("comment", F.substring(F.coalesce("comment", F.lit("")), 1, 1000)).withColumn(
-        "reviewer", F.substring(F.coalesce("reviewer", F.lit("anon")), 1, 60)).withColumn("verdict", F.lower("verdict"))
-    return validate(cut, {"verdict": ~F.coalesce(F.col("verdict"), F.lit("?")).isin(verdicts)})
+    """Reviewer entries: known verdicts only."""
+    entries = df.withColumn("comment", F.coalesce("comment", F.lit(""))).withColumn(
+        "reviewer", F.coalesce("reviewer", F.lit("anon"))).withColumn("verdict", F.lower("verdict"))
+    return validate(entries, {"verdict": ~F.coalesce(F.col("verdict"), F.lit("?")).isin(verdicts)})
 
 
 def path_filter(df: DataFrame, text: str | None = None, only: list[str] | None = None) -> DataFrame:
-    """Paths containing a text, and/or publications whose file name starts like one of ``only``.
+    """Paths containing a text, and/or publications whose file name holds one of ``only``.
 
     Uploaded runs always pass the publication filter: their names are job ids.
     """
@@ -193,7 +193,7 @@ def path_filter(df: DataFrame, text: str | None = None, only: list[str] | None =
     if text:
         df = df.filter(F.contains(F.lower("path"), F.lit(text.lower())))
     if only:
-        starts = [re.sub(r"\s+", "_", re.sub(r"\s+", " ", name.strip().lower()))[:70][:40] for name in only]
+        starts = [re.sub(r"\s+", "_", re.sub(r"\s+", " ", name.strip().lower())) for name in only]
         name = F.regexp_replace(F.lower(t.basename_slash("path")), r"\s+", "_")
         hit = F.exists(F.array(*[F.lit(s) for s in starts]), lambda s: F.contains(name, s))
         df = df.filter((F.col("run") == "upload") | hit)

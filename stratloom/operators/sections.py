@@ -34,8 +34,8 @@ def _text(c: str, *drop: str) -> Column:
 def consolidate_v2(raw: DataFrame) -> DataFrame:
     """Sections keyed by (place, administrative unit), both case-insensitive.
 
-    Tags become alphabetical sets, thickness kinds stay apart, the first spelling wins, at most five
-    landform texts and four quotes are kept in order of appearance. The rows are melted to distinct values
+    Tags become alphabetical sets, thickness kinds stay apart, the first spelling wins, landform texts and
+    quotes are kept in order of appearance. The rows are melted to distinct values
     first, so that no group is collected before it is reduced.
     """
     dom, _ = split_foreign(raw)
@@ -57,7 +57,7 @@ def consolidate_v2(raw: DataFrame) -> DataFrame:
         "loc": tools.one_or_none(F.when(F.col("loc") != "", F.col("loc"))),
         "adm": tools.one_or_none(F.when(F.col("adm") != "", F.col("adm"))),
         "geo": _text("geomorphic_position"), "ev": _text("evidence_locality")},
-        caps={"loc": 1, "adm": 1, "geo": 5, "ev": 4})
+        caps={})
     is_number = F.col("f").isin([*vocab.THICKNESS_KINDS, "el"])
     melted = melted.withColumn("r", F.when(is_number, n.parse_num("v")))
 
@@ -71,7 +71,7 @@ def consolidate_v2(raw: DataFrame) -> DataFrame:
         F.coalesce(tools.first_value("loc"), F.lit("")).alias("nearest_locality"),
         F.coalesce(tools.first_value("adm"), F.lit("")).alias("administrative_unit"),
         *[tools.values_sorted(f).alias(f) for f in ("exc", "dep", "raw", "str", "dat", "srck", "src")],
-        tools.values_seen("geo", 5).alias("geo"), tools.values_seen("ev", 4).alias("ev"),
+        tools.values_seen("geo").alias("geo"), tools.values_seen("ev").alias("ev"),
         bound("el", "lo", F.min).alias("elevation_min"), bound("el", "hi", F.max).alias("elevation_max"),
         F.sum(F.when(F.col("f") == "src", F.col("n"))).alias("n_records"),
         F.count_if(F.col("f") == "src").alias("n_sources"),
@@ -106,10 +106,8 @@ def consolidate_v1(raw: DataFrame, thickness: str = "thickness_studied") -> Data
         "th": F.array(F.coalesce(F.col(thickness), F.lit("ND"))),
         "el": F.array(F.coalesce(F.col("absolute_elevation_m"), F.lit("ND")))})
     wide = wide.withColumn("r", F.when(F.col("f").isin("th", "el"), n.parse_num("v", "evidence")))
-    # quotes repeat: the first two rows count, not the first two distinct texts
-    quote = F.substring(F.coalesce(F.col("evidence_locality"), F.lit("None")), 1, 150)
-    quotes = tools.first_rows(dom.select(*keys, "ord", quote.alias("q")).filter("q <> ''"), keys,
-                              [F.col("ord"), F.col("q")], 2)
+    # quotes repeat: rows count, not distinct texts
+    quotes = dom.select(*keys, "ord", F.coalesce(F.col("evidence_locality"), F.lit("None")).alias("q")).filter("q <> ''")
     none = F.lit(None)
     ev = quotes.select(*keys, F.lit("ev").alias("f"), F.col("q").alias("v"), F.col("ord").alias("first"),
                        F.col("ord").alias("last"), F.lit(1).cast("bigint").alias("n"), none.cast(n.RANGE_TYPE).alias("r"))
@@ -123,7 +121,7 @@ def consolidate_v1(raw: DataFrame, thickness: str = "thickness_studied") -> Data
         pooled("th", F.min, F.array_min).alias("th_min"), pooled("th", F.max, F.array_max).alias("th_max"),
         pooled("el", F.min, F.array_min).alias("el_min"), pooled("el", F.max, F.array_max).alias("el_max"),
         *[tools.values_sorted(f).alias(f) for f in ("dep", "str", "dat", "src")],
-        tools.values_seen("ev", 2).alias("ev"),
+        tools.values_seen("ev").alias("ev"),
         F.sum(F.when(F.col("f") == "src", F.col("n"))).alias("n_records"),
         F.count_if(F.col("f") == "src").alias("n_sources"),
         F.min(F.when(F.col("f") == "src", F.col("first"))).alias("ord"))
@@ -138,7 +136,7 @@ def consolidate_v1(raw: DataFrame, thickness: str = "thickness_studied") -> Data
         F.array_join("dep", "; ").alias("type_of_deposits"),
         F.array_join(t.stratigraphic_order(F.col("str")), "; ").alias("stratigraphic_position"),
         F.array_join("dat", "; ").alias("dating_methods"), "n_records", "n_sources",
-        t.scrub_control_chars(F.substring(F.array_join("src", " | "), 1, 300)).alias("sources"),
+        t.scrub_control_chars(F.array_join("src", " | ")).alias("sources"),
         t.scrub_control_chars(F.array_join("ev", " || ")).alias("evidence"))
 
 
@@ -165,7 +163,7 @@ def gold_projection(sections: DataFrame, with_n_sources: bool = False,
                     contributor: str = "auto-extraction") -> DataFrame:
     """Customer columns; ``sections`` carries ``row_id`` and the first-version columns plus lat, lon."""
     nd = F.lit("ND")
-    srcs = F.slice(t.split_sources("sources"), 1, 4)
+    srcs = t.split_sources("sources")  # the customer table has columns for four
     geo = F.col("lat").isNotNull()
     dating = strip(F.coalesce(F.col("dating_methods"), F.lit("")))
 
@@ -183,7 +181,7 @@ def gold_projection(sections: DataFrame, with_n_sources: bool = False,
         F.when((dating != "") & (dating != "ND"), "Yes").otherwise("No"), text(dating),
         nd, nd, nd, nd, nd, pub(0), nd, pub(1), nd, pub(2), nd, pub(3), nd, nd,
         text(F.concat(F.lit("консолидировано из "), F.col("n_sources").cast("string"), F.lit(" источн.; "),
-                      F.substring(F.coalesce(F.col("evidence"), F.lit("")), 1, 200))),
+                      F.coalesce(F.col("evidence"), F.lit("")))),
         F.lit(contributor)]
     out = [c.alias(name) for c, name in zip(cells, vocab.GOLD_COLUMNS)]
     if with_n_sources:
@@ -215,9 +213,9 @@ class MisalignedError(ValueError):
 
 
 def aligned_join(gold: DataFrame, clean: DataFrame, key: str = "ID") -> DataFrame:
-    """Combine two tables row by row through an explicit id; fail when either has rows the other lacks."""
-    a, b = gold.select(key), clean.select(key)
-    extra = a.join(b, key, "left_anti").limit(1).count() + b.join(a, key, "left_anti").limit(1).count()
-    if extra:
-        raise MisalignedError(f"tables do not hold the same {key} values")
+    """Combine two tables row by row through an explicit id; fail when they do not hold each id once."""
+    both = gold.select(key, F.lit(1).alias("a"), F.lit(0).alias("b")).union(clean.select(key, F.lit(0), F.lit(1)))
+    off = both.groupBy(key).agg(F.sum("a").alias("a"), F.sum("b").alias("b")).filter("a <> 1 or b <> 1")
+    if not off.isEmpty():
+        raise MisalignedError(f"tables do not hold the same {key} values once each")
     return gold.join(clean, key)

@@ -71,42 +71,46 @@ def ordinal(df: DataFrame, keys: list[str], order: list[str | Column], name: str
     counts = ranged.groupBy(*keys, "_part").agg(F.count(F.lit(1)).alias("_n"))
     # one row per group and partition: the offsets are small even for a group that fills the cluster
     w = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
+    # keys may be NULL: offsets meet their rows by null-safe equality
     offsets = counts.withColumn("_base", F.coalesce(
         F.sum("_n").over(w.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     if total:
         offsets = offsets.withColumn(total, F.sum("_n").over(w))
     local = Window.partitionBy(*keys, "_part").orderBy(*[F.col(o) if isinstance(o, str) else o for o in order])
-    out = ranged.withColumn("_row", F.row_number().over(local)).join(offsets.drop("_n"), [*keys, "_part"])
-    return out.withColumn(name, F.col("_base") + F.col("_row") - 1 + start).drop("_part", "_base", "_row")
-
-
-def first_rows(df: DataFrame, keys: list[str], order: list[Column], k: int = 1) -> DataFrame:
-    """First ``k`` rows of each group; the limit is applied on the map side too, so hot groups stay small."""
+    known = offsets.select(F.col("_part").alias("_p"), "_base", *([total] if total else []), *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)])
+    same = F.col("_part") == F.col("_p")
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    out = ranged.withColumn("_row", F.row_number().over(local)).join(known, same)
+    return out.withColumn(name, F.col("_base") + F.col("_row") - 1 + start).drop("_part", "_p", "_base", "_row", *[f"_k{i}" for i in range(len(keys))])
+
+
+def first_rows(df: DataFrame, keys: list[str], order: list[Column], k: int | None = 1) -> DataFrame:
+    """First ``k`` rows of each group, all for None; the limit is applied on the map side too, so hot groups stay small."""
+    if k is None:
+        return df
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("_rank", F.row_number().over(w)).filter(F.col("_rank") <= k).drop("_rank")
 
 
-STRIDE = 4096  # values of one row keep their own order: position = order * STRIDE + place in the list
-
-
 def melt_values(df: DataFrame, keys: list[str], fields: dict[str, Column], order: str = "ord",
                 inner_order: bool = False) -> DataFrame:
     """One row per (group, field, distinct value) with its first and last position and its row count.
 
     Each field is a Column of array<string>. The aggregate combines on the map side and spreads a hot
-    group over its distinct values. With ``inner_order`` the place in the array refines the position.
+    group over its distinct values. With ``inner_order`` a position is a struct of the order and the place in the array.
     """
     def tagged(field: str):
         return lambda x, i: F.struct(F.lit(field).alias("f"), x.alias("v"), i.alias("i"))
 
     pairs = F.concat(*[F.transform(c, tagged(f)) for f, c in fields.items()])
     rows = df.select(*keys, F.col(order).alias("_o"), F.explode(pairs).alias("_p"))
-    pos = F.col("_o") * STRIDE + F.least(F.col("_p.i"), F.lit(STRIDE - 1)) if inner_order else F.col("_o")
+    pos = F.struct(F.col("_o").alias("o"), F.col("_p.i").alias("i")) if inner_order else F.col("_o")
     return rows.groupBy(*keys, F.col("_p.f").alias("f"), F.col("_p.v").alias("v")).agg(
         F.min(pos).alias("first"), F.max(pos).alias("last"), F.count(F.lit(1)).alias("n"))
 
 
-def keep_first(melted: DataFrame, keys: list[str], cap: int) -> DataFrame:
+def keep_first(melted: DataFrame, keys: list[str], cap: int | None) -> DataFrame:
     """The ``cap`` values of each (group, field) seen first."""
     return first_rows(melted, [*keys, "f"], [F.col("first"), F.col("v")], cap)
 
@@ -117,7 +121,10 @@ def melt_capped(df: DataFrame, keys: list[str], fields: dict[str, Column], caps:
 
     The distinct values are written once and read by both branches, so the input is parsed once.
     """
-    melted = materialise(melt_values(df, keys, fields, order, inner_order))
+    melted = melt_values(df, keys, fields, order, inner_order)
+    if not caps:
+        return melted
+    melted = materialise(melted)
     capped = F.col("f").isin(list(caps))
     return melted.filter(~capped).unionByName(keep_first(melted.filter(capped), keys, max(caps.values())))
 

@@ -101,7 +101,7 @@ select name, class, rank, cast(lat0 as double) as lat0, cast(lat0 + dlat as doub
     41 + n_nationkey * 3 % 25 as lat0, 15 as dlat, 20 + n_nationkey * 11 % 60 as lon0, 60 as dlon from nation
   union all
   select concat('Лу', {_LETTER.format(k='n_nationkey')}, 'нский район, Кр', {_LETTER.format(k='n_nationkey')}, 'мская область'), 'place', n_nationkey,
-    43 + n_nationkey * 3 % 25, 8, 30 + n_nationkey * 11 % 60, 25 from nation where n_regionkey < 3) t"""
+    43 + n_nationkey * 3 % 25, 8, 30 + n_nationkey * 11 % 60, 25 from nation) t"""
 
 VIEWS["fx_waterways"] = f"""
 select concat('Д', {_LETTER.format(k='s_suppkey % 25')}, 'сна') as name, case s_suppkey % 7 when 0 then 'place' when 1 then 'natural' else 'waterway' end as class,

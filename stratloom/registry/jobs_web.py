@@ -8,7 +8,6 @@ from ..functions import text as t
 from ..operators import crawl as c
 from ..operators import hierarchy as h
 from ..operators import jobs as j
-from ..operators import places as p
 from ..operators import tools
 from ..sources import readers
 from ..streaming import jobs as st
@@ -53,7 +52,7 @@ def _(v):
 
 
 # ------------------------------------------------------------------ queue
-_IDX = f"""(select s.job_id as id, substring(filename, 1, 180) as name, status, coalesce(n, 0) as n, coalesce(geo, 0) as geo, case when n is null then 0 else coalesce(chk, 0) end as checked, submitter as src, created, substring(msg, 1, 120) as msg
+_IDX = f"""(select s.job_id as id, filename as name, status, coalesce(n, 0) as n, coalesce(geo, 0) as geo, case when n is null then 0 else coalesce(chk, 0) end as checked, submitter as src, created, msg
  from fx_status s left join (select job_id, count(*) as n, count(lat) as geo from fx_proposals group by 1) p using (job_id) left join (select job_id, count(*) as chk from {_LAST} x group by 1) e using (job_id))"""
 
 
@@ -168,10 +167,10 @@ def _(v):
 
 
 @query("incremental_enrich", """
-with pts as (select distinct round(lat, 5) as lat, round(lon, 5) as lon from fx_sections where lat is not null), prev as (select distinct round(lat, 5) as lat, round(lon, 5) as lon, 1.0::double as v from fx_gazetteer where class = 'place')
+with pts as (select distinct round(lat, 5) as lat, round(lon, 5) as lon from fx_sections where lat is not null), prev as (select distinct round(lat, 5) as lat, round(lon, 5) as lon, 1.0::double as v from fx_gazetteer)
 select * from prev union all select lat, lon, lat + lon from pts where not exists (select 1 from prev where prev.lat = pts.lat and prev.lon = pts.lon)""")
 def _(v):
-    prev = v.gazetteer.filter("class = 'place'").select(F.round("lat", 5).alias("lat"), F.round("lon", 5).alias("lon"), F.lit(1.0).alias("v")).distinct()
+    prev = v.gazetteer.select(F.round("lat", 5).alias("lat"), F.round("lon", 5).alias("lon"), F.lit(1.0).alias("v")).distinct()
     return j.incremental_enrich(v.sections.filter("lat is not null"), prev, lambda x: x.withColumn("v", F.col("lat") + F.col("lon")))
 
 
@@ -185,7 +184,7 @@ def _(v):
 
 
 # ------------------------------------------------------------------ corrections
-_FIX_SRC = "(select distinct lat, lon from fx_sections where n_records = 7 and lat is not null)"
+_FIX_SRC = "(select distinct lat, lon from fx_gazetteer)"
 _FIXD = f"(select replace({d.marker_key('lat', 'lon')}, ',', '') as marker_key, lat + 1 as lat, lon from {_FIX_SRC} x)"
 
 
@@ -266,17 +265,17 @@ def _(v):
 
 
 # ------------------------------------------------------------------ sub-sites
-_PASSES = 4
+_PASSES = 12  # enough for every chain in the tables: names halve at each step
 
 
 def _placement_sql():
-    ctes = ["p0 as (select *, cast(null as varchar) as inherited_from from fx_subsites)"]
+    ctes = ["p0 as materialized (select *, cast(null as varchar) as inherited_from from fx_subsites)"]
     for k in range(_PASSES):
         q = f"p{k}"
-        ctes.append(f"""n{k} as (select c.ord, c.offset_km, bp.ord is not null as byp, coalesce(bp.lat, ba.lat) as blat, coalesce(bp.lon, ba.lon) as blon, coalesce(bp.accuracy, ba.accuracy) as bacc, coalesce(bp.name, ba.name) as bname, bp.ord is null and ba.ord is not null and c.anchor <> c.parent and c.anchor <> '' as own, c.direction
+        ctes.append(f"""n{k} as materialized (select c.ord, c.offset_km, bp.ord is not null as byp, coalesce(bp.lat, ba.lat) as blat, coalesce(bp.lon, ba.lon) as blon, coalesce(bp.accuracy, ba.accuracy) as bacc, coalesce(bp.name, ba.name) as bname, bp.ord is null and ba.ord is not null and c.anchor <> c.parent and c.anchor <> '' as own, c.direction
   from {q} c left join {q} bp on bp.lat is not null and lower(bp.name) = lower(c.parent) left join {q} ba on ba.lat is not null and lower(ba.name) = lower(c.anchor) where c.lat is null and (bp.ord is not null or ba.ord is not null)),
- m{k} as (select ord, bname, bacc, offset_km, case when own and offset_km <> 0 and direction = 'юг' then -1.0 when own and direction = 'юг' then -1.0 else 1.0 end as dy, case when own and direction = 'юг' then offset_km else 1.0 end as km, blat, blon from n{k}),
- p{k + 1} as (select c.ord, c.job_id, c.name, c.relation, c.parent, c.anchor, c.offset_km, c.direction, c.why, coalesce(c.lat, round(blat + dy * km / 111.32, 5)) as lat, coalesce(c.lon, round(blon, 5)) as lon,
+ m{k} as materialized (select ord, bname, bacc, offset_km, case when own and offset_km <> 0 and direction = 'юг' then -1.0 when own and direction = 'юг' then -1.0 else 1.0 end as dy, case when own and direction = 'юг' then offset_km else 1.0 end as km, blat, blon from n{k}),
+ p{k + 1} as materialized (select c.ord, c.job_id, c.name, c.relation, c.parent, c.anchor, c.offset_km, c.direction, c.why, coalesce(c.lat, round(blat + dy * km / 111.32, 5)) as lat, coalesce(c.lon, round(blon, 5)) as lon,
    coalesce(c.accuracy, case when m.ord is null then null when m.offset_km <> 0 then cast(1500 + km * 100 as bigint) else greatest(500, coalesce(bacc, 1500)) end) as accuracy, coalesce(c.inherited_from, bname) as inherited_from from {q} c left join m{k} m on m.ord = c.ord)""")
     return ",\n".join(ctes)
 
@@ -288,27 +287,27 @@ def _(v):
 
 def _root_sql():
     # own, up: names one step apart; the climb is unrolled
-    steps = ["r0 as (select ord, lower(name) as own, case when pk = lower(name) then '' else pk end as cur from lk)"]
-    for k in range(1, 6):
-        end = "true" if k > 4 else "up = '' or up = r.cur"
-        steps.append(f"r{k} as (select r.ord, own, case when l.is_sub then case when {end} then '' else up end else r.cur end as cur from r{k - 1} r left join lv l on l.nm = r.cur)")
-    return f"""{_placement_sql()}, pl as (select * from p{_PASSES} where lat is not null), lk as (select ord, name, lower(case when parent <> '' then parent else coalesce(inherited_from, '') end) as pk from pl),
- lv as (select lower(l.name) as nm, arg_min(pk, l.ord) as up, bool_or(relation <> 'то же самое место') as is_sub from lk l join pl using (ord) group by 1), {', '.join(steps)}"""
+    steps = ["r0 as materialized (select ord, lower(name) as own, case when pk = lower(name) then '' else pk end as cur from lk)"]
+    for k in range(1, _PASSES + 2):
+        end = "true" if k > _PASSES else "up = '' or up = r.cur"
+        steps.append(f"r{k} as materialized (select r.ord, own, case when l.is_sub then case when {end} then '' else up end else r.cur end as cur from r{k - 1} r left join lv l on l.nm = r.cur)")
+    return f"""{_placement_sql()}, pl as (select * from p{_PASSES} where lat is not null), lk as materialized (select ord, name, lower(case when parent <> '' then parent else coalesce(inherited_from, '') end) as pk from pl),
+ lv as materialized (select lower(l.name) as nm, arg_min(pk, l.ord) as up, bool_or(relation <> 'то же самое место') as is_sub from lk l join pl using (ord) group by 1), {', '.join(steps)}"""
 
 
-@query("hierarchy_root", f"with {_root_sql()} select ord, replace(replace(cur, 'й', 'и'), 'ё', 'е') as root from r5")
+@query("hierarchy_root", f"with {_root_sql()} select ord, replace(replace(cur, 'й', 'и'), 'ё', 'е') as root from r{_PASSES + 1}")
 def _(v):
     return h.hierarchy_root(h.hierarchy_placement(v.subsites)).select("ord", "root")
 
 
-@query("hierarchy_links", f"with {_root_sql()}, sec as (select ord, 'Сводный разрез' as nearest_locality, 55.0 as lat, 44.0 as lon from fx_subsites where ord = 0), byname as (select lower(nearest_locality) as nm, '55.0,44.0' as m, nearest_locality from sec) select cast(round(lat, 5) as varchar) || ',' || cast(round(lon, 5) as varchar) as marker, nearest_locality as part_of from r5 join pl using (ord) join byname on nm = cur")
+@query("hierarchy_links", f"with {_root_sql()}, sec as (select ord, 'Сводный разрез' as nearest_locality, 55.0 as lat, 44.0 as lon from fx_subsites where ord = 0), byname as (select lower(nearest_locality) as nm, '55.0,44.0' as m, nearest_locality from sec) select cast(round(lat, 5) as varchar) || ',' || cast(round(lon, 5) as varchar) as marker, nearest_locality as part_of from r{_PASSES + 1} join pl using (ord) join byname on nm = cur")
 def _(v):
     sub = v.subsites
     top = sub.filter("ord = 0").select("ord", F.lit("Сводный разрез").alias("nearest_locality"), F.lit(55.0).alias("lat"), F.lit(44.0).alias("lon"))
     return h.hierarchy_links(h.hierarchy_placement(sub), top)[1]
 
 
-@query("hierarchy_links_includes", f"with {_root_sql()} select '55.0,44.0' as marker, name, cast(round(lat, 5) as varchar) || ',' || cast(round(lon, 5) as varchar) as at from r5 join pl using (ord) where cur = 'сводный разрез'")
+@query("hierarchy_links_includes", f"with {_root_sql()} select '55.0,44.0' as marker, name, cast(round(lat, 5) as varchar) || ',' || cast(round(lon, 5) as varchar) as at from r{_PASSES + 1} join pl using (ord) where cur = 'сводный разрез'")
 def _(v):
     sub = h.hierarchy_placement(v.subsites)
     top = sub.filter("ord = 0").select("ord", F.lit("Сводный разрез").alias("nearest_locality"), F.lit(55.0).alias("lat"), F.lit(44.0).alias("lon"))
@@ -343,7 +342,7 @@ def _rel_sql(title, abstract):
     def one(parts):
         return "(" + " and ".join(f"contains(n, {d.q(x)})" for x in parts) + ")"
 
-    ws = {k: t._norm_words(getattr(vocab, k)) for k in ("TOPIC_NEG", "TOPIC_STRONG", "TOPIC_OLD", "TOPIC_WEAK")}
+    ws = {k: t.word_parts(getattr(vocab, k)) for k in ("TOPIC_NEG", "TOPIC_STRONG", "TOPIC_OLD", "TOPIC_WEAK")}
     any_ = lambda k: "(" + " or ".join(one(x) for x in ws[k]) + ")"
     weak = " + ".join(f"cast({one(x)} as int)" for x in ws["TOPIC_WEAK"])
     return n, f"case when {any_('TOPIC_NEG')} then false when {any_('TOPIC_STRONG')} then true when {any_('TOPIC_OLD')} then false else ({weak}) >= 3 end"
@@ -398,5 +397,3 @@ def _(v):
     st.run_once(stream, sink, f"{root}/ckpt")
     return v.spark.read.parquet(f"{root}/out").select("job_id", "filename")
 
-
-_ = p

@@ -3,7 +3,6 @@
 from pyspark.sql import functions as F
 
 from .. import vocab
-from ..functions import text as t
 from ..operators import links as k
 from ..operators import markers as m
 from ..operators import tools
@@ -130,7 +129,7 @@ def _(v):
     return k.missing_scans_anti(v.links, v.scan_index)
 
 
-_PATHS = "(select path, row_number as ord from (select concat('/a', cast(p_size as varchar(9)), '/Customer#', lpad(cast(p_partkey as varchar(9)), 9, '0'), '.pdf') as path, p_partkey as row_number from part where p_size > 25))"
+_PATHS = "(select path, row_number as ord from (select concat('/a', cast(p_size as varchar(9)), '/Customer#', lpad(cast(p_partkey as varchar(9)), 9, '0'), '.pdf') as path, p_partkey as row_number from part))"
 
 
 @query("source_path_join", f"select filename as publication, coalesce(arg_min(path, ord), max(case when status = 'ready' then 'uploads/' || job_id || '/source.pdf' end)) as object from fx_status left join {_PATHS} p on split_part(path, '/', -1) = filename group by filename")
@@ -140,7 +139,7 @@ def _(v):
 
 
 @query("photo_page_number", """
-select path, row_number() over (partition by regexp_replace(path, '/[^/]*$', '') order by list_transform(regexp_extract_all(split_part(path, '/', -1), '\\d+|\\D+'), lambda t: case when regexp_matches(t, '^\\d') then lpad(ltrim(t, '0'), 20, '0') else lower(t) end), split_part(path, '/', -1)) as page from fx_catalog""")
+select path, row_number() over (partition by regexp_replace(path, '/[^/]*$', '') order by list_transform(regexp_extract_all(split_part(path, '/', -1), '\\d+|\\D+'), lambda t: case when regexp_matches(t, '^\\d') then lpad(cast(length(ltrim(t, '0')) as varchar), 10, '0') || ltrim(t, '0') else lower(t) end), split_part(path, '/', -1)) as page from fx_catalog""")
 def _(v):
     return k.photo_page_number(v.catalog).select("path", "page")
 
@@ -172,12 +171,12 @@ def _(v):
 
 _FIG = "(select concat('pub', cast(p_partkey % 10 as varchar(9))) as slug, p_size as page, concat('Колонка ', p_name) as section_name, p_type as units from part)"
 _FLINK = "(select distinct concat('m', cast(l_suppkey as varchar(9))) as marker, concat('pub', cast(l_partkey % 10 as varchar(9))) as slug, cast(l_quantity as int) as page, cast(l_quantity as int) as pos from lineitem)"
-_FMARK = "(select distinct concat('m', cast(l_suppkey as varchar(9))) as marker, p_name as locality from lineitem join part on l_partkey = p_partkey where l_linenumber = 1 and l_quantity < 5)"
+_FMARK = "(select distinct concat('m', cast(l_suppkey as varchar(9))) as marker, p_name as locality from lineitem join part on l_partkey = p_partkey)"
 
 
 @query("figure_column_join", f"""
 with ok as (select l.marker, f.section_name, f.units, min({{'pos': l.pos, 'page': l.page}}) as fst from {_FLINK} l join {_FIG} f using (slug, page) where exists (select 1 from {_FMARK} k where k.marker = l.marker and length({d.norm_search('k.locality')}) >= 4 and (contains({d.norm_search('f.section_name')}, {d.norm_search('k.locality')}) or contains({d.norm_search('k.locality')}, {d.norm_search('f.section_name')}))) group by 1, 2, 3)
-select marker, section_name, units, fst.page as page from (select *, row_number() over (partition by marker order by fst, section_name, units) as rn, 0 as c from ok) where rn <= 4""")
+select marker, section_name, units, fst.page as page from (select *, row_number() over (partition by marker order by fst, section_name, units) as rn, 0 as c from ok)""")
 def _(v):
     return k.figure_column_join(v.sql(f"select * from {_FMARK} x"), v.sql(f"select * from {_FLINK} x"), v.sql(f"select * from {_FIG} x"))
 
@@ -187,7 +186,7 @@ _LOCEV = "(select lower(name) as locality, concat('слой ', cast(rank % 7 as
 
 @query("evidence_by_locality_join", f"""
 with mk as (select {d.marker_key('lat', 'lon')} as marker, nearest_locality as locality, min(ord) as pos from fx_sections where lat is not null group by 1, 2), j as (select marker, phrase, grounded, pos, n from mk join {_LOCEV} e on lower(mk.locality) = e.locality),
-u as (select marker, phrase, min({{'p': pos, 'n': n}}) as fst from j group by 1, 2), t3 as (select * from (select *, row_number() over (partition by marker order by fst, phrase) as rn from u) where rn <= 3)
+u as (select marker, phrase, min({{'p': pos, 'n': n}}) as fst from j group by 1, 2), t3 as (select * from (select *, row_number() over (partition by marker order by fst, phrase) as rn from u))
 select marker, g as grounded, p as phrases from (select marker, bool_or(grounded) as g from j group by 1) join (select marker, string_agg(phrase, '|' order by fst, phrase) as p from t3 group by 1) using (marker)""")
 def _(v):
     from ..functions.geo import marker_key
@@ -211,9 +210,9 @@ def _(v):
 
 
 # ------------------------------------------------------------------ archive
-@query("scan_archive_catalog")
+@query("scan_archive_catalog", "select path, size, split_part(path, '/', -1) as name, case when len(string_split(path, '/')) > 2 then split_part(path, '/', 2) else '(root)' end as top from fx_catalog")
 def _(v):
-    return readers.read_archive_catalog(v.spark, v.folder)
+    return readers.catalog_rows(v.catalog.select("path", "size"))
 
 
 @query("catalog_rollup", """
@@ -258,7 +257,7 @@ _MARK = f"""(select marker, round(min(lat), 6) as lat, count(*) as source_count,
 
 
 @query("build_markers", f"""
-select marker, lat, source_count, first_ord, title, min_thickness, max_thickness, min_elevation, max_elevation, loc_uncertain, array_to_string({_useen('qs', 14)}, '|') as quotes, array_to_string({_useen('dep')}, '|') as deposit_type,
+select marker, lat, source_count, first_ord, title, min_thickness, max_thickness, min_elevation, max_elevation, loc_uncertain, array_to_string({_useen('qs')}, '|') as quotes, array_to_string({_useen('dep')}, '|') as deposit_type,
  array_to_string({_useen('exc')}, '|') as type_excavation, array_to_string({_useen('locs')}, '|') as localities, coalesce(array_to_string({_useen('thb')}, '|'), 'ND') as thickness_ranges, case when nsrc >= 2 then 'medium' else 'low' end as confidence,
  {_B20.format(v='((min_elevation + max_elevation) / 2)')} as representative_elevation_range from {_MARK} x""")
 def _(v):
@@ -294,8 +293,8 @@ def _(v):
 
 
 @query("collate_objects", f"""
-select marker, array_to_string(list_sort(list_distinct(locs))[1:3], '; ') as names, coalesce(array_to_string(list_sort(list_distinct(adms))[1:2], '; '), '') as admins, coalesce(array_to_string(list_sort(list_distinct(excs))[1:3], '; '), '') as workings,
- array_to_string(list_transform({_useen('qs', 8)}, lambda e: substring(e, 1, 200)), chr(10)) as quotes from
+select marker, array_to_string(list_sort(list_distinct(locs)), '; ') as names, coalesce(array_to_string(list_sort(list_distinct(adms)), '; '), '') as admins, coalesce(array_to_string(list_sort(list_distinct(excs)), '; '), '') as workings,
+ array_to_string({_useen('qs')}, chr(10)) as quotes from
  (select {_MK} as marker, list(nearest_locality) as locs, list(administrative_unit) filter (administrative_unit <> '') as adms, list(excavation_type) filter (excavation_type <> 'ND') as excs, flatten(list({d.split_list('evidence', '||')} order by ord)) as qs from fx_sections where lat is not null group by 1)""")
 def _(v):
     return m.collate_objects(_records(v))
@@ -317,5 +316,3 @@ def _(v):
     writers.write_sidecar(rows, "marker", out, f"{out}-json")
     return v.spark.read.parquet(out)
 
-
-_ = t

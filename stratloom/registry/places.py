@@ -4,7 +4,6 @@ from pyspark.sql import functions as F
 
 from .. import vocab
 from ..functions import geo as g
-from ..functions.common import strip
 from ..operators import places as p
 from . import duck as d
 from .core import query
@@ -18,15 +17,15 @@ def _keyed(v):
     return v.sql(f"select * from {_KEYED} k")
 
 
-def _best(keys, k=5, cond=f"{S} and {d.BOUNDS}"):
-    return (f"(select {keys}, arg_min(lat, rank) as hlat, arg_min(lon, rank) as hlon from (select *, row_number() over (partition by {keys} order by rank) as rn from fx_gazetteer) "
-            f"where rn <= {k} and {cond} group by {keys})")
+def _best(keys, cond=f"{S} and {d.BOUNDS}"):
+    return (f"(select {keys}, arg_min(lat, rank) as hlat, arg_min(lon, rank) as hlon from fx_gazetteer "
+            f"where {cond} group by {keys})")
 
 
-def _inbox(rows, k):
+def _inbox(rows):
     """Best hit per row of ``rows`` (rid, name, lat0..lon1)."""
-    return (f"(select rid, arg_min(lat, rank) as hlat, arg_min(lon, rank) as hlon from (select rid, z.lat, z.lon, z.rank, z.class, z.type, row_number() over (partition by rid order by rank) as rn "
-            f"from {rows} r join fx_gazetteer z on z.name = r.name and z.lat between lat0 and lat1 and z.lon between lon0 and lon1) where rn <= {k} and {S} group by rid)")
+    return (f"(select rid, arg_min(lat, rank) as hlat, arg_min(lon, rank) as hlon from (select rid, z.lat, z.lon, z.rank, z.class, z.type "
+            f"from {rows} r join fx_gazetteer z on z.name = r.name and z.lat between lat0 and lat1 and z.lon between lon0 and lon1) where {S} group by rid)")
 
 
 def _ll(df, *cols):
@@ -57,14 +56,14 @@ def _(v):
     return s.select("ord", g.in_bbox(lat, lon, box).alias("inside"), g.in_bbox(lat, lon, box, 0.15).alias("padded"))
 
 
-@query("geocode_in_box_join", f"select ord, hlat as lat, hlon as lon from {_HINT} h left join {_inbox(_HINT, 5)} x using (rid)")
+@query("geocode_in_box_join", f"select ord, hlat as lat, hlon as lon from {_HINT} h left join {_inbox(_HINT)} x using (rid)")
 def _(v):
     return _ll(p.geocode_in_box_join(p.region_hint_join(_keyed(v)).drop("lat", "lon"), v.gazetteer), "ord")
 
 
 @query("homonym_region_fix", f"""
 select ord, case when inside then 'kept' when hlat is not null then 'fixed' else 'dropped' end as outcome, case when inside then lat else hlat end as lat, case when inside then lon else hlon end as lon from
- (select *, coalesce(lat between lat0 and lat1 and lon between lon0 and lon1, true) as inside from {_HINT} h) left join {_inbox(_HINT, 5)} x using (rid)""")
+ (select *, coalesce(lat between lat0 and lat1 and lon between lon0 and lon1, true) as inside from {_HINT} h) left join {_inbox(_HINT)} x using (rid)""")
 def _(v):
     return p.homonym_region_fix(_keyed(v), v.gazetteer).select("ord", "outcome", "lat", "lon")
 
@@ -100,8 +99,8 @@ def _(v):
     return _ll(p.geocode_with_fallback(_keyed(v).drop("lat", "lon"), v.gazetteer), "ord", "note")
 
 
-_AMB = f"""(select a.name from (select name, round(lat, 1) as lat, round(lon, 1) as lon from (select *, row_number() over (partition by name order by rank) as rn from fx_gazetteer) where rn <= 10 and {S}) a
-  join (select name, round(lat, 1) as lat, round(lon, 1) as lon from (select *, row_number() over (partition by name order by rank) as rn from fx_gazetteer) where rn <= 10 and {S}) b on a.name = b.name
+_AMB = f"""(select a.name from (select name, round(lat, 1) as lat, round(lon, 1) as lon from fx_gazetteer where {S}) a
+  join (select name, round(lat, 1) as lat, round(lon, 1) as lon from fx_gazetteer where {S}) b on a.name = b.name
   where a.lat between 41 and 82 and a.lon between 19 and 180 and b.lat between 41 and 82 and b.lon between 19 and 180 group by a.name having max({d.haversine('a.lat', 'a.lon', 'b.lat', 'b.lon')}) > 150)"""
 
 
@@ -141,7 +140,7 @@ with base as (select s.ord, s.loc_confidence, h.name, h.lat, h.lon, h.lat0, h.la
    from fx_sections s join {_LAND} h on h.ord = s.ord left join {_PROP} x on x.ord = s.ord where s.lat is not null and s.administrative_unit in ('', 'ND', 'None')),
  b1 as (select ord as rid, * from base where plan = 'bbox'), b2 as (select rid, {_SHORT} as name, lat0, lat1, lon0, lon1 from b1),
  res as (select b.*, case when plan = 'admin' then a.hlat when plan = 'bbox' then coalesce(x1.hlat, x2.hlat) end as nlat, case when plan = 'admin' then a.hlon when plan = 'bbox' then coalesce(x1.hlon, x2.hlon) end as nlon
-   from base b left join {_best('name, admin')} a on a.name = b.name and a.admin = b.hint left join {_inbox('b1', 5)} x1 on x1.rid = b.ord left join {_inbox('b2', 5)} x2 on x2.rid = b.ord where plan is not null),
+   from base b left join {_best('name, admin')} a on a.name = b.name and a.admin = b.hint left join {_inbox('b1')} x1 on x1.rid = b.ord left join {_inbox('b2')} x2 on x2.rid = b.ord where plan is not null),
  o as (select *, case when plan = 'flag' then 'flagged' when nlat is not null and {d.haversine('lat', 'lon', 'nlat', 'nlon')} > 50 then 'fixed' when nlat is not null then 'kept' when plan = 'bbox' then 'dropped' else 'flagged' end as outcome from res)
 select ord, plan, outcome, case when outcome = 'fixed' then round(nlat, 5) when outcome <> 'dropped' then lat end as lat, case when outcome = 'fixed' then round(nlon, 5) when outcome <> 'dropped' then lon end as lon,
  case when outcome in ('flagged', 'dropped') then 'uncertain' else loc_confidence end as loc_confidence from o""")
@@ -150,13 +149,13 @@ def _(v):
 
 
 _CTX = f"""(select ord as rid, ord, nearest_locality as name, administrative_unit, loc_confidence, lat, lon, {_REG} as region, {_DIS} as dis from (select *, evidence || ' ' || geomorphic_position || ' ' || administrative_unit as e from fx_sections where lat is not null))"""
-_BOX3 = "(select name, arg_min(lat0, rank) as lat0, arg_min(lat1, rank) as lat1, arg_min(lon0, rank) as lon0, arg_min(lon1, rank) as lon1 from (select *, row_number() over (partition by name order by rank) as rn from fx_area_boxes) where rn <= 3 group by name)"
+_BOX3 = "(select name, arg_min(lat0, rank) as lat0, arg_min(lat1, rank) as lat1, arg_min(lon0, rank) as lon0, arg_min(lon1, rank) as lon1 from fx_area_boxes group by name)"
 
 
 @query("context_region_fix", f"""
 with c as (select * from {_CTX} c where region is not null), r as (select c.*, b.lat0, b.lat1, b.lon0, b.lon1 from c left join {_BOX3} b on b.name = c.region),
  dd as (select c.rid, c.name, b.lat0, b.lat1, b.lon0, b.lon1 from c join {_BOX3} b on b.name = c.dis || ', ' || c.region),
- o as (select r.*, coalesce(x.hlat, y.hlat) as nlat, coalesce(x.hlon, y.hlon) as nlon, lat between lat0 - 0.15 and lat1 + 0.15 and lon between lon0 - 0.15 and lon1 + 0.15 as inside from r left join {_inbox('dd', 8)} x using (rid) left join {_inbox('r', 8)} y using (rid)),
+ o as (select r.*, coalesce(x.hlat, y.hlat) as nlat, coalesce(x.hlon, y.hlon) as nlon, lat between lat0 - 0.15 and lat1 + 0.15 and lon between lon0 - 0.15 and lon1 + 0.15 as inside from r left join {_inbox('dd')} x using (rid) left join {_inbox('r')} y using (rid)),
  z as (select *, case when lat0 is null then 'no_box' when inside then 'ok' when nlat is not null then 'fixed' else 'dropped' end as outcome from o)
 select ord, region, outcome, case when outcome = 'fixed' and administrative_unit in ('', 'ND') then region else administrative_unit end as administrative_unit, case when outcome = 'fixed' then round(nlat, 5) when outcome <> 'dropped' then lat end as lat,
  case when outcome = 'fixed' then round(nlon, 5) when outcome <> 'dropped' then lon end as lon, case when outcome = 'dropped' then 'uncertain' else loc_confidence end as loc_confidence from z""")
@@ -166,12 +165,12 @@ def _(v):
 
 _RIV = f"(select * from (select ord as rid, ord, nearest_locality as name, loc_confidence, lat, lon, {duck_river('e')} as river from (select *, evidence || ' ' || geomorphic_position || ' ' || administrative_unit as e from fx_sections where lat is not null)) where river is not null)"
 _WAT = f"""(select river, arg_min(lat0, pos) as lat0, arg_min(lat1, pos) as lat1, arg_min(lon0, pos) as lon0, arg_min(lon1, pos) as lon1 from (select river, unnest(forms) as form, generate_subscripts(forms, 1) as pos from (select river, {duck_variants('river')} as forms from (select distinct river from rv)))
-  join (select name, arg_min(lat0, rank) as lat0, arg_min(lat1, rank) as lat1, arg_min(lon0, rank) as lon0, arg_min(lon1, rank) as lon1 from (select *, row_number() over (partition by name order by rank) as rn from fx_waterways) where rn <= 5 and (class = 'waterway' or (class = 'natural' and type in ('water', 'stream'))) group by name) w on w.name = form group by river)"""
+  join (select name, arg_min(lat0, rank) as lat0, arg_min(lat1, rank) as lat1, arg_min(lon0, rank) as lon0, arg_min(lon1, rank) as lon1 from fx_waterways where (class = 'waterway' or (class = 'natural' and type in ('water', 'stream'))) group by name) w on w.name = form group by river)"""
 
 
 @query("river_basin_fix", f"""
 with rv as {_RIV}, j as (select rv.*, lat0, lat1, lon0, lon1, greatest(lat1 - lat0, lon1 - lon0) > 6 as wide, lat between lat0 - 0.3 and lat1 + 0.3 and lon between lon0 - 0.3 and lon1 + 0.3 as inside from rv left join {_WAT} w using (river)),
- o as (select *, case when lat0 is null then 'no_box' when inside then 'ok' when not wide and hlat is not null and {d.planar('lat', 'lon', 'hlat', 'hlon')} > 50000 then 'fixed' else 'flagged' end as outcome from j left join {_inbox('j', 8)} x using (rid))
+ o as (select *, case when lat0 is null then 'no_box' when inside then 'ok' when not wide and hlat is not null and {d.planar('lat', 'lon', 'hlat', 'hlon')} > 50000 then 'fixed' else 'flagged' end as outcome from j left join {_inbox('j')} x using (rid))
 select ord, river, outcome, case when outcome = 'fixed' then round(hlat, 5) else lat end as lat, case when outcome = 'fixed' then round(hlon, 5) else lon end as lon, case when outcome = 'flagged' then 'uncertain' else loc_confidence end as loc_confidence from o""")
 def _(v):
     return p.river_basin_fix(v.sections, v.waterways, v.gazetteer)
@@ -223,7 +222,7 @@ def _(v):
     return p.accuracy_radius_join(pts, v.gazetteer)
 
 
-_GRID = "(select cast(floor(lat / 0.5) as bigint) as cy, cast(floor(lon / 0.5) as bigint) as cx, max(rank) as height from fx_gazetteer where type <> 'river' group by 1, 2)"
+_GRID = "(select cast(floor(lat / 0.5) as bigint) as cy, cast(floor(lon / 0.5) as bigint) as cx, max(rank) as height from fx_gazetteer group by 1, 2)"
 
 
 @query("dem_lookup_join", f"select lat, lon, height from (select distinct lat, lon, cast(floor(lat / 0.5) as bigint) as cy, cast(floor(lon / 0.5) as bigint) as cx from fx_sections where lat is not null) left join {_GRID} z using (cy, cx)")
@@ -231,7 +230,7 @@ def _(v):
     return p.dem_lookup_join(v.sections.filter("lat is not null"), v.sql(f"select * from {_GRID} z"), 0.5)
 
 
-_SIDE = "(select round(lat, 5) as lat5, round(lon, 5) as lon5, cast(max(rank) as double) as v from fx_gazetteer where class = 'place' group by 1, 2)"
+_SIDE = "(select round(lat, 5) as lat5, round(lon, 5) as lon5, cast(max(rank) as double) as v from fx_gazetteer group by 1, 2)"
 
 
 @query("sidecar_join", f"select ord, v as elev_dem, coalesce(v, 5000.0) as accuracy from fx_sections left join {_SIDE} z on round(lat, 5) = lat5 and round(lon, 5) = lon5")
@@ -239,5 +238,3 @@ def _(v):
     side = v.sql(f"select * from {_SIDE} z")
     return p.sidecar_join(v.sections, side, side).select("ord", "elev_dem", "accuracy")
 
-
-_ = strip

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from .. import schemas, vocab
+from .. import vocab
 from ..functions import text as t
 from ..operators import records as r
 from ..operators import sections as s
@@ -70,7 +70,7 @@ def _(v):
 
 
 @query("page_chunks", """
-select path, cast(g as int) as page_from, cast(least(g + 20, n) as int) as page_to from (select path, least(n_pages, 400) as n from (select path, size / 1000 as n_pages from fx_catalog)), generate_series(0, 400, 20) t(g) where g < n""")
+select path, cast(g as int) as page_from, cast(least(g + 20, n) as int) as page_to from (select path, n_pages as n from (select path, size / 1000 as n_pages from fx_catalog)), generate_series(0, (select max(size) / 1000 from fx_catalog)::bigint, 20) t(g) where g < n""")
 def _(v):
     return r.page_chunks(v.sql("select path, cast(size / 1000 as bigint) as n_pages from fx_catalog"))
 
@@ -167,7 +167,7 @@ def _(v):
 
 @query("doc_site_summary", """
 with x as (select concat('/архив/том ', cast(doc_no as varchar), '.pdf') as path, nearest_locality as l from fx_raw_records)
-select path, count(*) as n_records, count(distinct case when l not in ('ND', '') then l end) as n_sites, coalesce(array_to_string(list_sort(list_distinct(list(l) filter (l not in ('ND', ''))))[1:30], '|'), '') as sites from x group by path""")
+select path, count(*) as n_records, count(distinct case when l not in ('ND', '') then l end) as n_sites, coalesce(array_to_string(list_sort(list_distinct(list(l) filter (l not in ('ND', '')))), '|'), '') as sites from x group by path""")
 def _(v):
     recs = v.sql("select concat('/архив/том ', cast(doc_no as varchar(20)), '.pdf') as path, nearest_locality from fx_raw_records")
     return r.doc_site_summary(recs).withColumn("sites", F.array_join("sites", "|"))
@@ -201,16 +201,6 @@ def _(v):
     return ok.select("ord", F.lit("ok").alias("state"), "comment").unionByName(bad.select("ord", F.lit("bad").alias("state"), "comment"))
 
 
-@query("extract_hook")
-def _(v):
-    import pandas as pd
-
-    def count_lines(pdf):
-        return pd.DataFrame({"path": pdf["path"], "idx": pdf["idx"], "lines": pdf["text"].str.count("\n").astype("int64") + 1})
-
-    return r.extract_hook(v.doc_pages.select("path", "idx", "text"), count_lines, "path string, idx bigint, lines bigint")
-
-
 # ------------------------------------------------------------------ consolidation
 def _dom(words):
     return f"""(select *, lower(loc) as lk, lower(adm) as ak from (select *, {d.norm_locality('nearest_locality')} as loc, {d.norm_admin('administrative_unit')} as adm from fx_raw_records where nearest_locality not in ('ND', '', 'None'))
@@ -221,12 +211,6 @@ def _tagset(c, name):
     return f"coalesce(nullif(array_to_string(list_sort(list_distinct(flatten(list({d.split_tags(c)})))), '; '), ''), 'ND') as {name}"
 
 
-def _seen(c, cap, sep):
-    lst = f"list({c} order by ord) filter ({c} not in ('ND', '', 'None'))"
-    uniq = f"list_filter({lst}, lambda z, i: list_position({lst}, z) = i)"
-    return f"coalesce(array_to_string({uniq}[1:{cap}], {d.q(sep)}), 'ND')"
-
-
 _TH = ""
 for _k in vocab.THICKNESS_KINDS:
     _lo, _hi = d.joined_lo_hi(f"thickness_{_k}")
@@ -241,15 +225,15 @@ select min(ord) as ord, first(loc order by ord, loc) as nearest_locality, first(
   min({_EL[0]}) as el_lo, max({_EL[1]}) as el_hi {_TH} from {_dom(vocab.FOREIGN_NAMES)} d group by lk, ak"""
 
 
-def _uniq(c, cap, sep):
-    return f"coalesce(nullif(array_to_string(list_filter({c}, lambda z, i: list_position({c}, z) = i)[1:{cap}], {d.q(sep)}), ''), 'ND')"
+def _uniq(c, sep):
+    return f"coalesce(nullif(array_to_string(list_filter({c}, lambda z, i: list_position({c}, z) = i), {d.q(sep)}), ''), 'ND')"
 
 
 @query("consolidate_v2", f"""
-select ord, nearest_locality, administrative_unit, excavation_type, {_uniq('geo', 5, '; ')} as geomorphic_position, type_of_deposits, deposit_raw_terms,
+select ord, nearest_locality, administrative_unit, excavation_type, {_uniq('geo', '; ')} as geomorphic_position, type_of_deposits, deposit_raw_terms,
  {', '.join(d.fmt_range(k + '_lo', k + '_hi') + ' as thickness_' + k for k in vocab.THICKNESS_KINDS)},
  coalesce(cast(el_lo as varchar), 'ND') as elevation_min_m, coalesce(cast(el_hi as varchar), 'ND') as elevation_max_m, stratigraphic_position, dating_methods, source_kinds, n_records, n_sources, sources,
- {_uniq('ev', 4, ' || ')} as evidence from ({_CONS2})""")
+ {_uniq('ev', ' || ')} as evidence from ({_CONS2})""")
 def _(v):
     return s.consolidate_v2(v.raw_records)
 
@@ -262,7 +246,7 @@ select min(ord) as ord, last(loc order by ord, loc) as nearest_locality, last(ad
  array_to_string(list_sort(list_distinct(flatten(list({d.split_tags('type_of_deposits')})))), '; ') as type_of_deposits,
  array_to_string(list_transform(list_sort(list_transform(list_distinct(flatten(list({d.split_tags('stratigraphic_position')}))), lambda z: {{'p': case z when 'Lower Pleistocene' then 1 when 'Middle Pleistocene' then 2 when 'Upper Pleistocene' then 3 when 'Holocene' then 4 else 9 end, 'v': z}})), lambda z: z.v), '; ') as stratigraphic_position,
  array_to_string(list_sort(list_distinct(flatten(list({d.split_tags('dating_methods')})))), '; ') as dating_methods, count(*) as n_records, count(distinct source_file) as n_sources,
- substring(array_to_string(list_sort(list_distinct(list(source_file))), ' | '), 1, 300) as sources, array_to_string(list(substring(evidence_locality, 1, 150) order by ord, evidence_locality)[1:2], ' || ') as evidence
+ array_to_string(list_sort(list_distinct(list(source_file))), ' | ') as sources, array_to_string(list(evidence_locality order by ord, evidence_locality), ' || ') as evidence
 from {_dom(vocab.FOREIGN_NAMES_V1)} d group by lk, ak"""
 
 
@@ -299,7 +283,7 @@ def _gold_sql(extra="", where=""):
              "case when dating_methods in ('', 'ND') then 'No' else 'Yes' end", _nd("dating_methods"), "'ND'", "'ND'", "'ND'", "'ND'", "'ND'"]
     for k in range(1, 5):
         cells += [f"coalesce({src}[{k}], 'ND')", "'ND'"]
-    cells += ["'ND'", f"'консолидировано из ' || cast(n_sources as varchar) || ' источн.; ' || substring(evidence, 1, 200)", "'auto-extraction'"]
+    cells += ["'ND'", f"'консолидировано из ' || cast(n_sources as varchar) || ' источн.; ' || evidence", "'auto-extraction'"]
     return "select " + ", ".join(f'{c} as "{n}"' for c, n in zip(cells, vocab.GOLD_COLUMNS)) + f"{extra} from {_GOLD_IN} z {where}"
 
 
@@ -450,5 +434,3 @@ def _(v):
     b = t.split_sources(F.concat(F.lit("Кавказский сборник.djvu | "), "nearest_locality"))
     return v.sections.select("ord", F.arrays_overlap(a, b).alias("overlap"), F.array_join(F.array_except(a, b), "|").alias("only_a"))
 
-
-_ = schemas

@@ -6,7 +6,6 @@ from .. import vocab
 from ..functions import geo as g
 from ..functions import numbers as n
 from ..functions import text as t
-from ..functions.common import strip
 from . import duck as d
 from .core import query
 
@@ -230,12 +229,12 @@ def _(v):
     return v.table("documents").select("doc_id", nfd_strip(F.concat("text", F.lit(" Отказной Ёж"))).alias("plain"))
 
 
-@query("pub_slug", "select path, substring(trim(regexp_replace(regexp_replace(path, '\\.[^.]*$', ''), '[^0-9A-Za-zА-Яа-яЁё]+', '_', 'g'), '_'), 1, 52) || '_' || substring(md5(path), 1, 6) as slug from fx_catalog")
+@query("pub_slug", "select path, substring(trim(regexp_replace(regexp_replace(path, '\\.[^.]*$', ''), '[^0-9A-Za-zА-Яа-яЁё]+', '_', 'g'), '_'), 1) || '_' || substring(md5(path), 1, 6) as slug from fx_catalog")
 def _(v):
     return v.catalog.select("path", t.pub_slug("path").alias("slug"))
 
 
-@query("safe_name", "select path, substring(regexp_replace(split_part(path, '/', -1), '[ ?*:<>|\"\\\\/\\t\\n\\r]', '_', 'g'), 1, 80) as safe, substring(regexp_replace(path, '[^0-9A-Za-z\\-_]', '', 'g'), 1, 40) as job from fx_doc_pages")
+@query("safe_name", "select path, substring(regexp_replace(split_part(path, '/', -1), '[ ?*:<>|\"\\\\/\\t\\n\\r]', '_', 'g'), 1) as safe, substring(regexp_replace(path, '[^0-9A-Za-z\\-_]', '', 'g'), 1) as job from fx_doc_pages")
 def _(v):
     return v.doc_pages.select("path", t.safe_name("path").alias("safe"), t.safe_job_id("path").alias("job"))
 
@@ -245,7 +244,7 @@ def _(v):
     return v.catalog.select("path", t.file_ext("path").alias("ext"))
 
 
-@query("natural_key", "select path, array_to_string(list_transform(regexp_extract_all(path, '\\d+|\\D+'), lambda t: case when regexp_matches(t, '^\\d') then lpad(ltrim(t, '0'), 20, '0') else lower(t) end), '|') as k from fx_catalog")
+@query("natural_key", "select path, array_to_string(list_transform(regexp_extract_all(path, '\\d+|\\D+'), lambda t: case when regexp_matches(t, '^\\d') then lpad(cast(length(ltrim(t, '0')) as varchar), 10, '0') || ltrim(t, '0') else lower(t) end), '|') as k from fx_catalog")
 def _(v):
     return v.catalog.select("path", _join(t.natural_key("path")).alias("k"))
 
@@ -254,7 +253,7 @@ _WS = (f"(скв(?:ажин[{_W}]*|\\.)?\\s*№?\\s*[\\dIVX][\\d/IVX]{{0,4}}|ш
        f"|обн(?:ажени[{_W}]*|\\.)\\s*№?\\s*\\d[\\d/]{{0,3}}|разрез\\s*№\\s*\\d[\\d/]{{0,3}}|Site\\s*\\d{{1,3}}|[A-Z]{{2}}-\\d{{2}}[A-Z\\d\\-]{{0,6}})")
 _QUOTES = d.split_list("evidence", "||")
 _EVQ = """(select ord, concat(evidence, ' || Site 4 и OT-22V, скв. ', cast(1970 + ord % 9 as varchar(9)), ' || расчистки ', cast(ord % 23 as varchar(9)), ', скважина ', cast(ord % 5 as varchar(9))) as evidence, nearest_locality from fx_sections)"""
-_IDS = f"""(select ord, evidence, list_transform(list_filter(fs, lambda p, i: list_position(ks, p.k) = i), lambda p: p.v)[1:12] as ids from
+_IDS = f"""(select ord, evidence, list_transform(list_filter(fs, lambda p, i: list_position(ks, p.k) = i), lambda p: p.v) as ids from
  (select *, list_transform(fs, lambda p: p.k) as ks from
   (select ord, evidence, list_transform(list_filter(list_transform(flatten(list_transform({_QUOTES}, lambda q: regexp_extract_all(q, '(?i){_WS}'))), lambda z: trim({d.squash('z')}, ' .,;')),
      lambda z: not regexp_matches(z, '(^|[^{_W}])(1[89]\\d{{2}}|20[0-3]\\d)($|[^{_W}])')),
@@ -328,7 +327,7 @@ def duck_variants(w):
     cut, two = f"left({w}, length({w}) - 1)", f"left({w}, length({w}) - 2)"
     raw = (f"list_filter([{w}, case when length({w}) > 2 then {cut} || 'а' end, case when length({w}) > 2 then {cut} || 'я' end, "
            f"case when suffix({w}, 'ой') or suffix({w}, 'ей') then {two} || 'а' end], lambda z: z is not null)")
-    return f"list_filter({raw}, lambda z, i: list_position(list_transform({raw}, lambda y: lower(y)), lower(z)) = i)[1:3]"
+    return f"list_filter({raw}, lambda z, i: list_position(list_transform({raw}, lambda y: lower(y)), lower(z)) = i)"
 
 
 @query("river_variants", f"select ord, array_to_string({duck_variants('w')}, '|') as forms from (select ord, case ord % 3 when 0 then 'Окой' when 1 then 'Десна' else {duck_river('evidence')} end as w from fx_sections)")
@@ -362,7 +361,7 @@ def _(v):
                                 t.unwrap_cell(F.col("nearest_locality")).alias("loc"))
 
 
-@query("evidence_cell", "select doc_id, substring(text, 1, 250) as quote from documents")
+@query("evidence_cell", "select doc_id, text as quote from documents")
 def _(v):
     return v.table("documents").select("doc_id", t.evidence_cell(F.col("text")).alias("quote"))
 
@@ -483,7 +482,7 @@ def _(v):
     return v.table("pages").select("page_id", t.strip_html(F.col("html")).alias("text"))
 
 
-_ART = d.strip(d.squash("regexp_replace(substring(html, position('itemprop=\"articleBody\"' in html) + 22, 600000), '<[^>]+>', ' ', 'g')"))
+_ART = d.strip(d.squash("regexp_replace(substring(html, position('itemprop=\"articleBody\"' in html) + 22), '<[^>]+>', ' ', 'g')"))
 
 
 @query("html_article", f"select page_id, 'T' || cast(page_id as varchar) as title, 'A|B' as authors, '' as year, {_ART} as text from fx_article_html")
@@ -517,5 +516,3 @@ def _(v):
 def _(v):
     return v.catalog.select("path", t.stable_job_id("path").alias("job"))
 
-
-_ = strip

@@ -103,8 +103,12 @@ def read_archive_catalog(spark: SparkSession, root: str) -> DataFrame:
     """(path, name, size, top) of every file under ``root``; only names and sizes are read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
     rel = F.regexp_replace(F.url_decode("path"), r"^.*?" + _literal(root.rstrip("/")) + "/", "")
-    rows = files.select(F.concat(F.lit("/"), rel).alias("path"), F.col("length").alias("size"))
-    return rows.withColumn("name", F.substring_index("path", "/", -1)).withColumn(
+    return catalog_rows(files.select(F.concat(F.lit("/"), rel).alias("path"), F.col("length").alias("size")))
+
+
+def catalog_rows(files: DataFrame) -> DataFrame:
+    """(path, size) of a listing or manifest → with name and topmost folder."""
+    return files.withColumn("name", F.substring_index("path", "/", -1)).withColumn(
         "top", F.when(F.size(F.split("path", "/")) > 2, F.get(F.split("path", "/"), F.lit(1))).otherwise("(root)"))
 
 

@@ -51,17 +51,22 @@ class MergeSink:
         rows = self.to_rows(new)
         rows.select([F.col(c).cast(master.schema[c].dataType).alias(c) for c in master.columns]).write.mode("append").parquet(self.master)
         # the ledger takes the whole batch: rows already in the master are done as well
-        done = batch.select("job_id", "i").distinct().join(self._ledger(), ["job_id", "i"], "left_anti")
+        # those without coordinates stay out of it
+        done = batch.filter("lat is not null and lon is not null").select("job_id", "i").distinct().join(self._ledger(), ["job_id", "i"], "left_anti")
         done.write.mode("append").parquet(self.ledger)
 
 
 class StatusSink:
-    """Keep one row per job: each batch is folded into the stored rows, version by version."""
+    """Keep one row per job: each batch is folded into the stored rows, version by version.
+
+    Every column is stored with the time of its value, so an update that comes late, after a newer one of
+    another column, still counts.
+    """
 
     def __init__(self, spark: SparkSession, root: str, order: str = "updated"):
         self.spark, self.root, self.order = spark, root, order
 
-    def current(self, before: int | None = None) -> DataFrame | None:
+    def _stored(self, before: int | None = None) -> DataFrame | None:
         """Rows of the newest version older than ``before``."""
         try:
             versions = self.spark.read.parquet(self.root)
@@ -72,8 +77,20 @@ class StatusSink:
         top = versions.agg(F.max("version")).first()[0]
         return None if top is None else versions.filter(F.col("version") == top).drop("version")
 
+    def current(self, before: int | None = None) -> DataFrame | None:
+        rows = self._stored(before)
+        return rows if rows is None else rows.drop(*[c for c in rows.columns if c.startswith(_AT)])
+
     def __call__(self, batch: DataFrame, epoch: int) -> None:
-        prev = self.current(epoch)
-        log = batch if prev is None else prev.select(batch.columns).unionByName(batch)
+        cols = [c for c in batch.columns if c not in ("job_id", self.order)]
+        fresh = batch.select("job_id", self.order, *cols, *[F.when(F.col(c).isNotNull(), F.col(self.order)).alias(_AT + c) for c in cols])
+        prev = self._stored(epoch)
+        log = fresh if prev is None else prev.select(fresh.columns).unionByName(fresh)
+        last = log.groupBy("job_id").agg(F.max(self.order).alias(self.order), *[
+            F.max(F.when(F.col(c).isNotNull(), F.struct(F.col(_AT + c).alias("at"), F.col(c).alias("v")))).alias(c) for c in cols])
         # a repeated batch overwrites its own version and never reads it
-        j.latest_job_status(log, self.order).write.mode("overwrite").parquet(f"{self.root}/version={epoch}")
+        last.select("job_id", self.order, *[F.col(c)["v"].alias(c) for c in cols], *[F.col(c)["at"].alias(_AT + c) for c in cols]) \
+            .write.mode("overwrite").parquet(f"{self.root}/version={epoch}")
+
+
+_AT = "_at_"  # prefix of the columns that hold times

@@ -2,7 +2,6 @@
 
 import math
 import random
-import re
 
 from pyspark.sql import functions as F
 
@@ -79,49 +78,78 @@ def test_order_independence(spark):
     assert sorted(map(str, a)) == sorted(map(str, b))
 
 
-def brute_page(pages, ev):
-    def norm(s):
-        return re.sub(r"[^0-9a-zа-я]+", " ", (s or "").lower().replace("ё", "е")).strip()
-    ev = norm(ev)
-    if len(ev) < 12:
-        return None
-    pages = [(i, norm(x)) for i, x in pages]
-    frags = [ev[:60]] + [f for f in (" ".join(ev.split()[:k]) for k in (8, 6, 4)) if len(f) >= 12]
-    for f in frags:
-        for i, x in pages:
-            if f in x:
-                return i + 1, "exact"
-    words = ev.split()
-    tok = {w for w in words if len(w) >= 5}
-    if len(tok) < 3:
-        tok = {w for w in words if len(w) >= 4}
-    if len(tok) < 3:
-        return None
-    best = max(((len(tok & set(x.split())), -i) for i, x in pages), default=(0, 0))
-    return (-best[1] + 1, "fuzzy") if best[0] >= max(3, int(0.6 * len(tok))) else None
-
-
-def test_evidence_pages_against_brute_force(spark):
-    rng = random.Random(9)
-    vocab = ["лёсс", "разрез", "терраса", "почва", "в", "и", "на", "аллювий", "суглинок", "горизонт", "мощность", "Красныйярский",
-             "stratigraphy", "loess", "of", "the", "палеогеографическихреконструкций", "межледниковье"]
-    pages = [("hot", i, i, " ".join(rng.choice(vocab) for _ in range(60))) for i in range(60)]
-    pages += [(f"p{i % 4}", i, i, " ".join(rng.choice(vocab) for _ in range(40))) for i in range(20)]
-    quotes = []
-    for pub, i, _, text in pages:
-        w = text.split()
-        s = rng.randint(0, 20)
-        piece = " ".join(w[s:s + rng.randint(1, 14)])
-        quotes += [(pub, piece), (pub, piece[rng.randint(0, 3):]), (pub, " ".join(rng.sample(w[s:s + 12], 8))),
-                   (pub, piece + " " + rng.choice(vocab) + "х"), (pub, w[s][:14])]
-    quotes = sorted(set(quotes))
+def test_evidence_pages_by_construction(spark):
+    """Pages have words of their own, so the page of a quote and how it is found are known."""
+    pages, quotes, want = [], [], {}
+    for pub, n in (("hot", 60), ("p1", 7), ("p2", 1)):
+        for i in range(n):
+            own = [f"слово{pub}{i}номер{k}" for k in range(30)]
+            pages.append((pub, i, i, " ".join(own)))
+            quotes += [(pub, " ".join(own[4:16]).upper()), (pub, "; ".join(own[20:27][::-1])), (pub, own[3][:9])]
+            want[pub, quotes[-3][1]] = (i + 1, "exact")
+            want[pub, quotes[-2][1]] = (i + 1, "fuzzy")  # the order is another: only the words agree
+        quotes += [(pub, "ничего похожего здесь нигде не напечатано"), (pub, ""), (pub, None)]
     got = {(r.publication, r.evidence): (r.page, r.method) for r in links.evidence_page_join(
         spark.createDataFrame(quotes, "publication string, evidence string"),
         spark.createDataFrame(pages, "publication string, idx long, ord long, text string")).collect()}
-    want = {}
-    for pub, ev in quotes:
-        hit = brute_page([(i, x) for p, i, _, x in pages if p == pub], ev)
-        if hit:
-            want[(pub, ev)] = hit
     assert got == want
-    assert {m for _, m in got.values()} == {"exact", "fuzzy"}
+
+
+def test_ordinal_with_null_keys(spark):
+    rows = [(None, 3), (None, 1), ("a", 2), (None, 2)]
+    got = tools.ordinal(spark.createDataFrame(rows, "k string, v int"), ["k"], ["v"], "i", total="n").collect()
+    assert sorted((str(r.k), r.v, r.i, r.n) for r in got) == [("None", 1, 0, 3), ("None", 2, 1, 3), ("None", 3, 2, 3), ("a", 2, 0, 1)]
+
+
+def test_melt_keeps_order_of_long_lists(spark):
+    long = [f"v{(i * 7919) % 6000:04d}" for i in range(6000)]
+    df = spark.createDataFrame([("a", 1, long)], "k string, ord int, x array<string>")
+    melted = tools.melt_values(df, ["k"], {"x": F.col("x")}, inner_order=True)
+    assert melted.groupBy("k").agg(tools.values_seen("x").alias("x")).first().x == long
+
+
+def test_too_close_on_a_line(spark):
+    """Numbered along a line 250 m apart, every second point is accepted."""
+    step = 250 / 111320.0
+    schema = "ord int, name string, lat double, lon double"
+    new = spark.createDataFrame([(i, "x", 50 + i * step, 40.0) for i in range(24)], schema)
+    got = places.too_close_anti(new, spark.createDataFrame([], schema)).select("ord").collect()
+    assert sorted(r.ord for r in got) == list(range(0, 24, 2))
+    assert places.too_close_anti(new.filter("false"), new).count() == 0
+
+
+def _chain(n):
+    return [(i, "j", f"Пункт {i}", "часть другого объекта", f"Пункт {i - 1}" if i else "Разрез", "", 0.0, "нет", "", 50.0 if i == 0 else None, 40.0 if i == 0 else None, 1500 if i == 0 else None) for i in range(n)]
+
+
+SUB = "ord int, job_id string, name string, relation string, parent string, anchor string, offset_km double, direction string, why string, lat double, lon double, accuracy long"
+
+
+def test_hierarchy_of_nine_levels(spark):
+    from stratloom.operators import hierarchy
+    placed = hierarchy.hierarchy_placement(spark.createDataFrame(_chain(9), SUB))
+    assert placed.filter("lat is null").count() == 0
+    roots = {r.ord: r.root for r in hierarchy.hierarchy_root(placed).collect()}
+    assert set(roots.values()) == {"разрез"} and len(roots) == 9
+
+
+def test_hierarchy_in_a_circle(spark):
+    from stratloom.operators import hierarchy
+    rows = [(1, "j", "А", "часть другого объекта", "Б", "", 0.0, "нет", "", 50.0, 40.0, 1), (2, "j", "Б", "часть другого объекта", "В", "", 0.0, "нет", "", 50.0, 40.0, 1),
+            (3, "j", "В", "часть другого объекта", "А", "", 0.0, "нет", "", 50.0, 40.0, 1), (4, "j", "Г", "часть другого объекта", "Г", "", 0.0, "нет", "", 50.0, 40.0, 1)]
+    assert {r.root for r in hierarchy.hierarchy_root(spark.createDataFrame(rows, SUB).withColumn("inherited_from", F.lit(None).cast("string"))).collect()} == {""}
+
+
+def test_aligned_join_sees_duplicates(spark):
+    import pytest
+    a = spark.createDataFrame([("1", "x"), ("2", "y")], "ID string, p string")
+    b = spark.createDataFrame([("1", "x"), ("2", "y"), ("2", "z")], "ID string, q string")
+    assert sections.aligned_join(a, b.filter("q <> 'z'")).count() == 2
+    with pytest.raises(sections.MisalignedError):
+        sections.aligned_join(a, b)
+
+
+def test_ambiguous_names_uncut(spark):
+    rows = [("А", "place", "village", 50.0, 40.0 + i / 1000, i) for i in range(20)] + [("А", "place", "village", 60.0, 90.0, 99), ("Б", "place", "village", 50.0, 40.0, 1)]
+    gaz = spark.createDataFrame(rows, "name string, class string, type string, lat double, lon double, rank int")
+    assert [r.name for r in places.ambiguous_names(gaz).collect()] == ["А"]

@@ -109,6 +109,52 @@ def test_status_stream(spark, tmp_path):
         ("a", "queued", "m3"), ("b", "created", None)]
 
 
+def test_late_status_update_counts(spark, tmp_path):
+    """An update at 2 that arrives after updates at 1 and 3 of other columns."""
+    schema = "job_id string, updated bigint, status string, msg string"
+    sink = st.StatusSink(spark, str(tmp_path / "status"))
+    sink(spark.createDataFrame([("a", 1, "old", "m1"), ("a", 3, None, "m3")], schema), 0)
+    sink(spark.createDataFrame([("a", 2, "new", "m2")], schema), 1)
+    assert [(r.updated, r.status, r.msg) for r in sink.current().collect()] == [(3, "new", "m3")]
+    assert sink.current().columns == ["job_id", "updated", "status", "msg"]
+
+
+def test_proposal_merged_once_located(spark, tmp_path):
+    status, master = _master(spark, tmp_path)
+    ledger = str(tmp_path / "ledger")
+    sink = st.MergeSink(spark, master, ledger, lambda rows: j.master_rows(rows, status))
+    sink(_proposals(spark, [("j1", 0, "Новое", None, None), ("j1", 1, "Другое", 45.0, 45.0)]), 0)
+    assert [r.i for r in spark.read.parquet(ledger).collect()] == [1]
+    sink(_proposals(spark, [("j1", 0, "Новое", 46.0, 46.0)]), 1)
+    rows = spark.read.parquet(master).filter("job_id = 'j1'").collect()
+    assert sorted((r.i, r.lat) for r in rows) == [(0, 46.0), (1, 45.0)]
+
+
+def test_master_has_its_columns_only(spark, tmp_path):
+    status, master = _master(spark, tmp_path)
+    rows = j.master_rows(_proposals(spark, [("j1", 0, "Новое", 45.0, 45.0)]), status)
+    assert j.append_accepted(spark.read.parquet(master), rows.withColumn("extra", F.lit(1))).columns == vocab.MASTER_COLUMNS
+
+
+def test_proposals_keep_their_quotes_in_the_master(spark):
+    arr = lambda *x: F.array(*[F.lit(v) for v in x])
+    recs = spark.range(1).select(F.lit("j1").alias("job_id"), F.lit(1).alias("ord"), F.lit("Отказное").alias("locality"), F.lit("Край").alias("admin"), F.lit("10").alias("elevation"),
+                                 *[arr("x").alias(c) for c in ("excavation", "geomorph", "deposits", "raw_terms", "thickness", "strat", "dating", "source_kinds")],
+                                 arr(*[f"цитата {k}" for k in range(11)]).alias("quotes"))
+    found = j.build_proposals(recs).withColumn("lat", F.lit(43.3)).withColumn("lon", F.lit(43.6))
+    status = spark.createDataFrame([("j1", "a.pdf")], "job_id string, filename string")
+    assert j.master_rows(found, status).first()["evidence"] == " || ".join(f"цитата {k}" for k in range(11))
+
+
+def test_article_fetched_twice_is_one_job(spark):
+    from stratloom.operators import crawl
+    items = spark.createDataFrame([("a-1", "Лёссы", "")], "slug string, title string, abstract string")
+    page = '<meta name="citation_title" content="T"><div itemprop="articleBody">' + "слово " * 300
+    arts = spark.createDataFrame([("a-1", page), ("a-1", page + "ещё")], "slug string, html string")
+    made, pages = crawl.crawl_to_jobs(items, arts, spark.createDataFrame([], "job_id string"))
+    assert made.count() == 1 and pages.count() == 1
+
+
 def test_archive_batch(spark, tmp_path):
     from stratloom.plans.archive import Lookups, archive_batch
     from stratloom.plans.review import publish

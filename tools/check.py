@@ -1,4 +1,4 @@
-"""Compare registered queries with their check SQL: ``python tools_check.py [sf] [key ...]``."""
+"""Compare registered queries with their check SQL: ``python -m tools.check [sf] [key ...]``."""
 
 import sys
 import time
@@ -13,7 +13,8 @@ from stratloom.registry.fixtures import TABLES
 def session(cpus: int = 8) -> SparkSession:
     spark = (SparkSession.builder.master(f"local[{cpus}]").appName("check")
              .config("spark.sql.shuffle.partitions", "8").config("spark.driver.memory", "12g")
-             .config("spark.sql.session.timeZone", "UTC").config("spark.ui.enabled", "false").getOrCreate())
+             .config("spark.sql.session.timeZone", "UTC").config("spark.ui.enabled", "false")
+             .config("spark.ui.showConsoleProgress", "false").getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
