@@ -378,7 +378,12 @@ def _(v):
     return jobs.select("job_id", F.col("n_pages").cast("bigint").alias("n_pages"), "filename")
 
 
-@query("snippets")
+_AT = "(list_sum(list_transform(ps[1:k], lambda x: length(x))) + (k - 1) * length(name))"
+
+
+@query("snippets", f"""
+with n as (select doc_id, text, regexp_extract(text, '([0-9A-Za-z_]{{5,}})', 1) as name from documents), p as (select *, string_split(lower(text), lower(name)) as ps from n where name <> '')
+select doc_id, unnest(list_transform(generate_series(1, least(4, len(ps) - 1)), lambda k: substring(text, cast(greatest({_AT} - 420, 0) + 1 as bigint), cast(least({_AT}, 420) + 420 as bigint)))) as snippet from p""")
 def _(v):
     docs = v.table("documents").withColumn("name", F.regexp_extract("text", r"(\w{5,})", 1))
     return c.snippets(docs).select("doc_id", F.explode("snippets").alias("snippet"))

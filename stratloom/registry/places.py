@@ -198,7 +198,14 @@ def _(v):
     return p.snap_to_existing(v.new_points, v.existing_points).select("ord", "snapped", "lat", "lon")
 
 
-@query("too_close_anti")
+# groups of dense points lie farther apart than 300 m, so each is walked by itself, in order
+@query("too_close_anti", f"""
+with recursive pts as (select cluster, ord, lat, lon, row_number() over (partition by cluster order by ord) as i from fx_dense_points x
+   where not exists (select 1 from fx_existing_points e where abs(e.lat - x.lat) < 0.01 and {d.planar('x.lat', 'x.lon', 'e.lat', 'e.lon')} < 300)),
+ walk as (select distinct cluster, cast(0 as bigint) as i, cast([] as struct(a double, b double)[]) as kept, cast(null as bigint) as ord, cast(null as double) as lat, cast(null as double) as lon, false as ok from pts
+  union all select q.cluster, q.i, case when q.ok then list_append(q.kept, {{'a': q.lat, 'b': q.lon}}) else q.kept end, q.ord, q.lat, q.lon, q.ok from
+   (select p.cluster, p.i, w.kept, p.ord, p.lat, p.lon, len(list_filter(w.kept, lambda z: {d.planar('p.lat', 'p.lon', 'z.a', 'z.b')} < 300)) = 0 as ok from walk w join pts p on p.cluster = w.cluster and p.i = w.i + 1) q)
+select ord, lat, lon from walk where ok""")
 def _(v):
     return p.too_close_anti(v.dense_points, v.existing_points).select("ord", "lat", "lon")
 
