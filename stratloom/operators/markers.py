@@ -127,6 +127,26 @@ def build_markers(records: DataFrame, evidence: DataFrame | None = None, kinds:
         data_confidence(F.col("grounded"), F.col("max_sources"), F.size(phrases) > 0).alias("confidence"))
 
 
+def enrich_markers(markers: DataFrame, heights: DataFrame | None = None, links: DataFrame | None = None, figures: DataFrame | None = None,
+                   part_of: DataFrame | None = None, includes: DataFrame | None = None) -> DataFrame:
+    """Markers with what other steps know of them; each table is keyed by ``marker`` and may be missing.
+
+    ``heights``: elev_dem; ``links``: src, page; ``figures``: section_name, units, page; ``part_of``: part_of;
+    ``includes``: name, at. Lists are distinct and sorted; they belong to one marker and are small by nature.
+    """
+    def listed(df: DataFrame, name: str, *cols: str) -> DataFrame:
+        return df.groupBy("marker").agg(F.sort_array(F.collect_set(F.struct(*cols))).alias(name))
+
+    out = markers
+    if heights is not None:
+        out = out.join(heights.groupBy("marker").agg(F.max("elev_dem").alias("elev_dem")), "marker", "left")
+    for name, df, cols in (("page_links", links, ("src", "page")), ("figures", figures, ("page", "section_name", "units")),
+                           ("part_of", part_of, ("part_of",)), ("includes", includes, ("name", "at"))):
+        if df is not None:
+            out = out.join(listed(df, name, *cols), "marker", "left").withColumn(name, F.coalesce(name, F.array()))
+    return out
+
+
 FACETS = {
     "type_excavation": vocab.ORDER_EXCAVATION, "deposit_type": vocab.ORDER_DEPOSITS,
     "stratigraphic_position": vocab.ORDER_AGES, "dating_method": vocab.ORDER_DATING,

@@ -8,11 +8,13 @@ from ..functions import text as t
 from ..operators import crawl as c
 from ..operators import hierarchy as h
 from ..operators import jobs as j
+from ..operators import places as geo_places
 from ..operators import tools
 from ..sources import readers
 from ..streaming import jobs as st
 from . import duck as d
 from .core import query
+from .places import best_hit_sql
 
 _LAST = "(select job_id, i, arg_max(verdict, ts) as verdict, arg_max(reviewer, ts) as reviewer, max(ts) as ts from fx_decisions group by job_id, i)"
 
@@ -141,16 +143,15 @@ def _(v):
 _PREC = """(select doc_no, ord, nearest_locality as loc, administrative_unit as adm, geomorphic_position as geo, thickness_studied as th, evidence_locality as e1, evidence_deposit as e2, evidence_geomorph as e3, type_of_deposits as dep from fx_raw_records where nearest_locality not in ('ND', ''))"""
 
 
-def _proposals(v):
+def _proposal_records(v):
     nd = lambda x: F.when(~F.col(x).isin("ND", ""), F.col(x))
     th = tools.one_or_none(F.concat(F.lit("studied: "), nd("thickness_studied"), F.lit(" м")))
-    recs = v.raw_records.select(
+    return v.raw_records.select(
         F.col("doc_no").cast("string").alias("job_id"), "ord", F.col("nearest_locality").alias("locality"), nd("administrative_unit").alias("admin"),
         nd("absolute_elevation_m").alias("elevation"), F.array("excavation_type").alias("excavation"), F.array("geomorphic_position").alias("geomorph"),
         t.split_tags("type_of_deposits").alias("deposits"), t.split_tags("deposit_raw_terms").alias("raw_terms"), th.alias("thickness"),
         t.split_tags("stratigraphic_position").alias("strat"), t.split_tags("dating_methods").alias("dating"), F.array("source_kind").alias("source_kinds"),
         F.array("evidence_locality", "evidence_deposit", "evidence_geomorph").alias("quotes"))
-    return j.build_proposals(recs)
 
 
 def _ouniq(e, cap=None):
@@ -162,10 +163,28 @@ def _ouniq(e, cap=None):
 with gg as (select cast(doc_no as varchar) as job_id, {d.strip('loc')} as locality, count(*) as n_records, min(ord) as fst, first(adm order by ord, adm) filter (adm <> 'ND') as admin, list(geo order by ord, geo) filter (geo <> 'ND') as geo, list('studied: ' || th || ' м' order by ord, th) filter (th <> 'ND') as th, flatten(list([e1, e2, e3] order by ord, e1, e2, e3)) as ev, flatten(list({d.split_tags('dep')} order by ord, dep)) as dep from {_PREC} x group by 1, 2)
 select job_id, row_number() over (partition by job_id order by n_records desc, fst, locality) - 1 as i, locality, n_records, coalesce(admin, 'ND') as admin, {_ouniq('dep')} as deposits from gg""")
 def _(v):
-    b = _proposals(v)
+    b = j.build_proposals(_proposal_records(v))
     return b.select("job_id", "i", "locality", "n_records", "admin", F.array_join("deposits", "|").alias("deposits"))
 
 
+_EV = f"list_filter(list_transform(ev, lambda z: {d.strip('z')}), lambda z: z is not null and z not in ('', '[]', 'ND'))"
+
+
+@query("proposals_to_master", f"""
+with gg as (select cast(doc_no as varchar) as job_id, {d.strip('loc')} as name, count(*) as n_records, coalesce(first(adm order by ord, adm) filter (adm <> 'ND'), '') as admin, flatten(list([e1, e2, e3] order by ord)) as ev, list('studied: ' || th || ' м' order by ord, th) filter (th <> 'ND') as th from {_PREC} x group by 1, 2)
+select g.name as nearest_locality, case when g.admin = '' then 'ND' else g.admin end as administrative_unit, n_records, 'том ' || job_id || '.pdf{vocab.UPLOAD_MARK}' as sources,
+ array_to_string(list_filter({_EV}, lambda z, i: list_position({_EV}, z) = i), ' || ') as evidence, coalesce(f.hlat, b.hlat) as lat, coalesce(f.hlon, b.hlon) as lon
+from gg g left join {best_hit_sql('name, admin')} f on g.name = f.name and g.admin = f.admin left join {best_hit_sql('name')} b on g.name = b.name where coalesce(f.hlat, b.hlat) is not null""")
+def _(v):
+    """Records of jobs → proposals → coordinates → rows of the master table, with all their quotes."""
+    found = j.build_proposals(_proposal_records(v)).withColumn("name", F.col("locality")).withColumn("admin", F.when(F.col("admin") == "ND", "").otherwise(F.col("admin")))
+    placed = geo_places.geocode_with_fallback(found, v.gazetteer).withColumn("lat", F.col("found.lat")).withColumn("lon", F.col("found.lon"))
+    decided = placed.select("job_id", "i", F.lit("accept").alias("verdict"), F.lit("u").alias("reviewer"), F.lit(1).alias("ts"))
+    ready, _waiting = j.accepted_with_coords(placed.withColumn("admin", F.when(F.col("admin") == "", "ND").otherwise(F.col("admin"))), decided, decided.limit(0))
+    status = placed.select("job_id", F.concat(F.lit("том "), "job_id", F.lit(".pdf")).alias("filename")).distinct()
+    return j.master_rows(ready, status).select("nearest_locality", "administrative_unit", "n_records", "sources", "evidence", "lat", "lon")
+
+
 @query("incremental_enrich", """
 with pts as (select distinct round(lat, 5) as lat, round(lon, 5) as lon from fx_sections where lat is not null), prev as (select distinct round(lat, 5) as lat, round(lon, 5) as lon, 1.0::double as v from fx_gazetteer)
 select * from prev union all select lat, lon, lat + lon from pts where not exists (select 1 from prev where prev.lat = pts.lat and prev.lon = pts.lon)""")

@@ -3,8 +3,11 @@
 from pyspark.sql import functions as F
 
 from .. import vocab
+from ..functions.geo import marker_key
+from ..functions.text import split_sources
 from ..operators import links as k
 from ..operators import markers as m
+from ..operators import places
 from ..operators import tools
 from ..sources import readers, writers
 from . import duck as d
@@ -189,7 +192,6 @@ with mk as (select {d.marker_key('lat', 'lon')} as marker, nearest_locality as l
 u as (select marker, phrase, min({{'p': pos, 'n': n}}) as fst from j group by 1, 2), t3 as (select * from (select *, row_number() over (partition by marker order by fst, phrase) as rn from u))
 select marker, g as grounded, p as phrases from (select marker, bool_or(grounded) as g from j group by 1) join (select marker, string_agg(phrase, '|' order by fst, phrase) as p from t3 group by 1) using (marker)""")
 def _(v):
-    from ..functions.geo import marker_key
     mk = v.sections.filter("lat is not null").groupBy(marker_key(F.col("lat"), F.col("lon")).alias("marker"), F.col("nearest_locality").alias("locality")).agg(F.min("ord").alias("pos"))
     return k.evidence_by_locality_join(mk, v.sql(f"select * from {_LOCEV} e")).withColumn("phrases", F.array_join("phrases", "|"))
 
@@ -267,6 +269,26 @@ def _(v):
                     j("quotes"), j("deposit_type"), j("type_excavation"), j("localities"), j("thickness_ranges"), "confidence", "representative_elevation_range")
 
 
+_MLINK = "(select ord, unnest(" + d.split_list("sources", "|") + ") as src, ord % 90 as page, lat, lon from fx_sections where lat is not null)"
+_MFIG = "(select concat('Колонка ', p_name) as section_name, p_type as units, cast(p_size as bigint) as page, c_custkey as ord from part join customer on p_partkey = c_custkey)"
+
+
+@query("marker_enriched", f"""
+with h as (select round(lat, 5) as a, round(lon, 5) as b, cast(max(rank) as double) as v from fx_gazetteer group by 1, 2), l as (select {d.marker_key('lat', 'lon')} as marker, list_sort(list_distinct(list(src || ':' || cast(page as varchar)))) as ls from {_MLINK} z group by 1),
+f as (select {d.marker_key('s.lat', 's.lon')} as marker, list_sort(list_distinct(list(section_name || ':' || units))) as fs from {_MFIG} g join fx_sections s on s.ord = g.ord where s.lat is not null group by 1)
+select m.marker, m.source_count, max(h.v) as elev_dem, coalesce(array_to_string(any_value(ls), '|'), '') as links, coalesce(array_to_string(any_value(fs), '|'), '') as figures
+from {_MARK} m left join fx_sections s on {d.marker_key('s.lat', 's.lon')} = m.marker left join h on h.a = round(s.lat, 5) and h.b = round(s.lon, 5) left join l on l.marker = m.marker left join f on f.marker = m.marker group by 1, 2""")
+def _(v):
+    rec = _records(v)
+    dem = v.gazetteer.groupBy(F.round("lat", 5).alias("lat5"), F.round("lon", 5).alias("lon5")).agg(F.max("rank").cast("double").alias("v"))
+    heights = places.sidecar_join(rec.select("marker", "lat", "lon").distinct(), dem, dem.limit(0)).select("marker", "elev_dem")
+    links = v.sections.filter("lat is not null").select(marker_key(F.col("lat"), F.col("lon")).alias("marker"), F.explode(split_sources("sources")).alias("src"), (F.col("ord") % 90).alias("page"))
+    figures = v.sql(f"select * from {_MFIG} g").join(rec.select("ord", "marker"), "ord")
+    e = m.enrich_markers(m.build_markers(rec), heights, links, figures)
+    text = lambda c, a, b: F.array_join(F.array_sort(F.array_distinct(F.transform(c, lambda x: F.concat(x[a], F.lit(":"), x[b].cast("string"))))), "|")
+    return e.select("marker", "source_count", "elev_dem", text("page_links", "src", "page").alias("links"), text("figures", "section_name", "units").alias("figures"))
+
+
 @query("data_confidence", "select ord, case when n_records % 3 = 0 and n_sources >= 3 then 'high' when n_records % 3 = 0 or n_sources >= 2 or n_records > 7 then 'medium' else 'low' end as confidence from fx_sections")
 def _(v):
     return v.sections.select("ord", m.data_confidence(F.col("n_records") % 3 == 0, F.col("n_sources"), F.col("n_records") > 7).alias("confidence"))

@@ -17,7 +17,7 @@ def _keyed(v):
     return v.sql(f"select * from {_KEYED} k")
 
 
-def _best(keys, cond=f"{S} and {d.BOUNDS}"):
+def best_hit_sql(keys, cond=f"{S} and {d.BOUNDS}"):
     return (f"(select {keys}, arg_min(lat, rank) as hlat, arg_min(lon, rank) as hlon from fx_gazetteer "
             f"where {cond} group by {keys})")
 
@@ -34,7 +34,7 @@ def _ll(df, *cols):
 
 @query("geocode_join", f"""
 select ord, case when k.admin <> '' then f.hlat else b.hlat end as lat, case when k.admin <> '' then f.hlon else b.hlon end as lon from {_KEYED} k
-left join {_best('name, admin')} f on k.name = f.name and k.admin = f.admin left join {_best('name')} b on k.name = b.name""")
+left join {best_hit_sql('name, admin')} f on k.name = f.name and k.admin = f.admin left join {best_hit_sql('name')} b on k.name = b.name""")
 def _(v):
     return _ll(p.geocode_join(_keyed(v).drop("lat", "lon"), v.gazetteer), "ord")
 
@@ -84,7 +84,7 @@ _NAMES = """(select i, job_id, case when i % 3 = 0 then locality || ' II' when i
 
 
 @query("geocode_ladder", f"""
-with fx_names as {_NAMES}, best as (select name, arg_min(variant, pos) as variant, arg_min(hlat, pos) as hlat, arg_min(hlon, pos) as hlon from (select l.name, pos, variant, hlat, hlon from {_LADDER} l join {_best('name')} b on b.name = l.variant) group by name)
+with fx_names as {_NAMES}, best as (select name, arg_min(variant, pos) as variant, arg_min(hlat, pos) as hlat, arg_min(hlon, pos) as hlon from (select l.name, pos, variant, hlat, hlon from {_LADDER} l join {best_hit_sql('name')} b on b.name = l.variant) group by name)
 select job_id, i, hlat as lat, hlon as lon, case when variant is null then null when variant = locality then 'найдено по названию без уточнения' else 'найдено как «' || variant || '» — номер объекта отброшен' end as note
 from fx_names left join best on best.name = locality""")
 def _(v):
@@ -94,7 +94,7 @@ def _(v):
 
 @query("geocode_with_fallback", f"""
 select ord, coalesce(f.hlat, b.hlat) as lat, coalesce(f.hlon, b.hlon) as lon, case when f.hlat is null and b.hlat is not null and k.admin <> '' then 'по названию без уточнения' end as note from {_KEYED} k
-left join {_best('name, admin')} f on k.name = f.name and k.admin = f.admin left join {_best('name')} b on k.name = b.name""")
+left join {best_hit_sql('name, admin')} f on k.name = f.name and k.admin = f.admin left join {best_hit_sql('name')} b on k.name = b.name""")
 def _(v):
     return _ll(p.geocode_with_fallback(_keyed(v).drop("lat", "lon"), v.gazetteer), "ord", "note")
 
@@ -140,7 +140,7 @@ with base as (select s.ord, s.loc_confidence, h.name, h.lat, h.lon, h.lat0, h.la
    from fx_sections s join {_LAND} h on h.ord = s.ord left join {_PROP} x on x.ord = s.ord where s.lat is not null and s.administrative_unit in ('', 'ND', 'None')),
  b1 as (select ord as rid, * from base where plan = 'bbox'), b2 as (select rid, {_SHORT} as name, lat0, lat1, lon0, lon1 from b1),
  res as (select b.*, case when plan = 'admin' then a.hlat when plan = 'bbox' then coalesce(x1.hlat, x2.hlat) end as nlat, case when plan = 'admin' then a.hlon when plan = 'bbox' then coalesce(x1.hlon, x2.hlon) end as nlon
-   from base b left join {_best('name, admin')} a on a.name = b.name and a.admin = b.hint left join {_inbox('b1')} x1 on x1.rid = b.ord left join {_inbox('b2')} x2 on x2.rid = b.ord where plan is not null),
+   from base b left join {best_hit_sql('name, admin')} a on a.name = b.name and a.admin = b.hint left join {_inbox('b1')} x1 on x1.rid = b.ord left join {_inbox('b2')} x2 on x2.rid = b.ord where plan is not null),
  o as (select *, case when plan = 'flag' then 'flagged' when nlat is not null and {d.haversine('lat', 'lon', 'nlat', 'nlon')} > 50 then 'fixed' when nlat is not null then 'kept' when plan = 'bbox' then 'dropped' else 'flagged' end as outcome from res)
 select ord, plan, outcome, case when outcome = 'fixed' then round(nlat, 5) when outcome <> 'dropped' then lat end as lat, case when outcome = 'fixed' then round(nlon, 5) when outcome <> 'dropped' then lon end as lon,
  case when outcome in ('flagged', 'dropped') then 'uncertain' else loc_confidence end as loc_confidence from o""")
