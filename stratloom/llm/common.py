@@ -66,6 +66,17 @@ def append_columns(df: DataFrame, text: str, fields: list[T.StructField],
     return kept.mapInArrow(run, T.StructType(kept.schema.fields + fields))
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores behind it as it takes to be no column of ``df``."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def pa_type(kind: T.DataType) -> pa.DataType:
     from pyspark.sql.pandas.types import to_arrow_type
     return to_arrow_type(kind)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .blockmax import BlockMaxIndex
-from .common import append_columns, ragged
+from .common import append_columns, ragged, unused
 
 K1, B = 1.2, 0.75
 SHARE = 0.6  # BM25 that a passage must reach, as a share of the item's score against itself
@@ -144,7 +144,7 @@ def find_items(docs: DataFrame, benchmark: DataFrame, text: str = "text", id_col
     size = items.agg(F.count("t").alias("n"), F.coalesce(F.sum(F.octet_length("t")), F.lit(0)).alias("b")).first()
     shards = max(1, -(-size["n"] // SHARD_ITEMS), -(-size["b"] // SHARD_BYTES))
     out = docs.drop(column)
-    parts = []
+    parts: list[str] = []
     for s in range(shards):
         mine = items.filter(F.pmod(F.xxhash64("id", "t"), F.lit(shards)) == s) if shards > 1 else items
         shared = docs.sparkSession.sparkContext.broadcast(Index([(r["id"], r["t"]) for r in mine.collect()]))
@@ -156,7 +156,7 @@ def find_items(docs: DataFrame, benchmark: DataFrame, text: str = "text", id_col
                                 key=lambda r: (r["item_id"] is None, r["item_id"])) for found in index.search(texts)]]
             return compute
 
-        name = f"_{column}_{s}"
+        (name,) = unused(out, f"_{column}_{s}")
         out = append_columns(out, text, [T.StructField(name, FOUND)], start)
         parts.append(name)
     return out.withColumn(column, F.array_sort(F.concat(*parts)) if shards > 1 else F.col(parts[0])).drop(*parts)

@@ -112,7 +112,7 @@ def fit(docs: DataFrame, usable=None, id_col: str = "doc_id", text: str = "text"
     return Model(languages, np.log(size / size.sum()), np.log(matrix / matrix.sum(axis=0)).astype(np.float32))
 
 
-def identify_language(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
+def identify_language(docs: DataFrame, model: Model, text: str = "text", names: tuple[str, ...] = ("lang_pred", "lang_score")) -> DataFrame:
     """Append ``lang_pred`` (a learnt language, or ``und`` for a text that is null or has no letter) and ``lang_score``.
 
     Texts of ``und`` score 0. Equal texts get equal answers.
@@ -122,4 +122,4 @@ def identify_language(docs: DataFrame, model: Model, text: str = "text") -> Data
     def start():
         return lambda texts: list(shared.value.predict(texts))
 
-    return append_columns(docs, text, [T.StructField("lang_pred", T.StringType()), T.StructField("lang_score", T.DoubleType())], start)
+    return append_columns(docs, text, [T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType())], start)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.tools import materialise
-from .common import append_columns
+from .common import append_columns, unused
 
 SHINGLE = 3
 RADIUS = 3
@@ -226,15 +226,16 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text", radius
     Null ids come last. Of rows that repeat the chosen id and fingerprint one stays, that of the smallest text.
     """
     groups = near_duplicates(docs, id_col, text, radius)
-    key, missing = F.coalesce(F.col("id"), F.lit(0)).alias("_id"), F.col("id").isNull().alias("_missing")
-    chosen = groups.select("group", missing, key, F.col("fp").alias("_fp")) \
-        .groupBy("group").agg(F.min(F.struct("_missing", "_id", "_fp")).alias("k")).select("k.*")
+    names = unused(docs, "_missing", "_id", "_fp", "_n")
+    missing, key, fp, n = names
+    chosen = groups.select("group", F.col("id").isNull().alias(missing), F.coalesce(F.col("id"), F.lit(0)).alias(key), F.col("fp").alias(fp)) \
+        .groupBy("group").agg(F.min(F.struct(missing, key, fp)).alias("k")).select("k.*")
 
     def start():
         return lambda texts: [np.array([fingerprint(t) for t in texts], np.uint64).view(np.int64)]
 
     own = F.col(id_col).cast("long")
-    rows = append_columns(docs, text, [T.StructField("_fp", T.LongType())], start) \
-        .withColumn("_missing", own.isNull()).withColumn("_id", F.coalesce(own, F.lit(0)))
-    w = Window.partitionBy("_missing", "_id", "_fp").orderBy(text)
-    return rows.join(chosen, ["_missing", "_id", "_fp"]).withColumn("_n", F.row_number().over(w)).filter("_n = 1").select(docs.columns)
+    rows = append_columns(docs, text, [T.StructField(fp, T.LongType())], start) \
+        .withColumn(missing, own.isNull()).withColumn(key, F.coalesce(own, F.lit(0)))
+    w = Window.partitionBy(missing, key, fp).orderBy(text)
+    return rows.join(chosen, [missing, key, fp]).withColumn(n, F.row_number().over(w)).filter(F.col(n) == 1).select(docs.columns)

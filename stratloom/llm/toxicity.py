@@ -114,7 +114,8 @@ def fit(docs: DataFrame, labels: DataFrame, usable=None, id_col: str = "doc_id",
     return Model(number, idf, index, np.array(toxic, float), np.array(ids, np.int64), plain_pos / plain if plain else pos / n)
 
 
-def score_toxicity(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
+def score_toxicity(docs: DataFrame, model: Model, text: str = "text",
+                   names: tuple[str, ...] = ("toxicity", "predicted", "nearest_ids", "nearest_cosines")) -> DataFrame:
     """Append ``toxicity`` (0 to 1), ``predicted`` (1 from 0.5 on) and the nearest examples as evidence.
 
     A null or empty text, and one without any term of the vocabulary, has the base rate and no evidence.
@@ -131,5 +132,5 @@ def score_toxicity(docs: DataFrame, model: Model, text: str = "text") -> DataFra
         return compute
 
     return append_columns(docs, text, [
-        T.StructField("toxicity", T.DoubleType()), T.StructField("predicted", T.IntegerType()),
-        T.StructField("nearest_ids", T.ArrayType(T.LongType())), T.StructField("nearest_cosines", T.ArrayType(T.DoubleType()))], start)
+        T.StructField(names[0], T.DoubleType()), T.StructField(names[1], T.IntegerType()),
+        T.StructField(names[2], T.ArrayType(T.LongType())), T.StructField(names[3], T.ArrayType(T.DoubleType()))], start)
