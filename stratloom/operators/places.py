@@ -393,12 +393,26 @@ def near_work_area(points: DataFrame, anchors: DataFrame, km: float = 150) -> Da
     return near.unionByName(free).drop("_cy", "_cx")
 
 
+HALF_ROUND = 20_100_000.0  # metres to the other side of the Earth
+
+
 def accuracy_radius_join(points: DataFrame, gaz: DataFrame, reach_m: float = 5000) -> DataFrame:
-    """Radius by the type of the nearest gazetteer place; the default where none is in reach."""
+    """Radius by the type of the nearest gazetteer place; the default where the gazetteer is empty.
+
+    Points without a place within ``reach_m`` look four times as far, until all have one.
+    """
     table = F.create_map(*[x for k, v in vocab.RADIUS_BY_TYPE.items() for x in (F.lit(k), F.lit(v))])
     pts = points.select("lat", "lon").distinct()
     places = gaz.groupBy(F.col("lat").alias("rlat"), F.col("lon").alias("rlon")).agg(F.min(F.struct("rank", "type")).alias("p"))
-    best = near_pairs(pts, places, reach_m).groupBy("lat", "lon").agg(F.min(F.struct("d", "p")).alias("b"))
+    best, todo = None, pts
+    while True:
+        found = near_pairs(todo, places, reach_m).groupBy("lat", "lon").agg(F.min(F.struct("d", "p")).alias("b"))
+        found = tools.materialise(found)
+        best = found if best is None else best.unionByName(found)
+        todo = tools.materialise(todo.join(found.select("lat", "lon"), ["lat", "lon"], "left_anti"))
+        if reach_m > HALF_ROUND or todo.isEmpty():
+            break
+        reach_m *= 4
     radius = best.select("lat", "lon", F.coalesce(F.try_element_at(table, F.col("b.p.type")), F.lit(vocab.DEFAULT_RADIUS)).alias("radius_m"))
     return pts.join(radius, ["lat", "lon"], "left").withColumn("radius_m", F.coalesce("radius_m", F.lit(vocab.DEFAULT_RADIUS)))
 

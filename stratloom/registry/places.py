@@ -223,7 +223,7 @@ _RADIUS = "case type " + " ".join(f"when '{k}' then {r}" for k, r in vocab.RADIU
 
 @query("accuracy_radius_join", f"""
 with n as (select distinct lat, lon from (select lat + cast(ord % 7 as double) / cast(200 as double) as lat, lon from fx_sections where lat is not null)), g as (select lat, lon, arg_min(type, rank) as type, min(rank) as rank from fx_gazetteer group by lat, lon)
-select n.lat, n.lon, cast(coalesce(arg_min({_RADIUS}, {{'d': {d.planar('n.lat', 'n.lon', 'g.lat', 'g.lon')}, 'r': g.rank}}), 5000) as int) as radius_m from n left join g on g.lat between n.lat - 0.06 and n.lat + 0.06 and {d.planar('n.lat', 'n.lon', 'g.lat', 'g.lon')} < 5000 group by n.lat, n.lon""")
+select n.lat, n.lon, cast(coalesce(arg_min({_RADIUS}, {{'d': {d.planar('n.lat', 'n.lon', 'g.lat', 'g.lon')}, 'r': g.rank}}), 5000) as int) as radius_m from n left join g on true group by n.lat, n.lon""")
 def _(v):
     pts = v.sql("select lat + cast(ord % 7 as double) / cast(200 as double) as lat, lon from fx_sections where lat is not null")
     return p.accuracy_radius_join(pts, v.gazetteer)

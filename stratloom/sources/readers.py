@@ -50,7 +50,7 @@ def read_results_csv(spark: SparkSession, path: str, columns: list[str]) -> Data
     return rows.select([F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in columns])
 
 
-def _json_text(spark: SparkSession, path: str, whole: bool = True) -> DataFrame:
+def _json_text(spark: SparkSession, path: str, whole: bool = False) -> DataFrame:
     return spark.read.option("wholetext", whole).option("recursiveFileLookup", True).text(path).withColumn(
         "_file", F.col("_metadata.file_path"))
 
@@ -65,19 +65,19 @@ def explode_sidecar(maps: DataFrame, column: str = "m") -> DataFrame:
     return out.filter(F.col("lat5").isNotNull() & F.col("lon5").isNotNull())
 
 
-def read_sidecar(spark: SparkSession, path: str, whole: bool = True) -> DataFrame:
+def read_sidecar(spark: SparkSession, path: str, whole: bool = False) -> DataFrame:
     maps = _json_text(spark, path, whole).select(F.from_json("value", "map<string,double>").alias("m"))
     return explode_sidecar(maps)
 
 
-def read_page_links(spark: SparkSession, path: str, whole: bool = True) -> DataFrame:
-    """(marker, src, page, approx) rows of the page-link map."""
+def read_page_links(spark: SparkSession, path: str, whole: bool = False) -> DataFrame:
+    """(marker, src, page, approx) rows of the page-link map, an object per line; ``whole`` reads files of several lines."""
     links = _json_text(spark, path, whole).select(F.explode(F.from_json("value", schemas.PAGE_LINKS)).alias("marker", "l"))
     return links.select("marker", F.explode("l").alias("l")).select(
         "marker", "l.src", F.explode("l.pages").alias("page"), "l.approx")
 
 
-def read_scan_index(spark: SparkSession, path: str, whole: bool = True) -> DataFrame:
+def read_scan_index(spark: SparkSession, path: str, whole: bool = False) -> DataFrame:
     """(publication, page, scan_key) rows of the scan index."""
     idx = _json_text(spark, path, whole).select(F.explode(F.from_json("value", schemas.SCAN_INDEX)).alias("publication", "m"))
     return idx.select("publication", F.explode("m").alias("p", "scan_key")).select(
