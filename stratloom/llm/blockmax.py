@@ -47,7 +47,9 @@ class BlockMaxIndex:
     def score_blocks(self, terms: np.ndarray, weights: np.ndarray, blocks: np.ndarray) -> np.ndarray:
         """Exact scores of the items of some blocks; 0 elsewhere."""
         entries, w = self._entries(terms, weights)
-        mine = np.isin(self.entry_block[entries], blocks)
+        asked = np.zeros(self.n_blocks, bool)
+        asked[blocks] = True
+        mine = asked[self.entry_block[entries]]
         return self._scores(entries[mine], w[mine])
 
     def top(self, terms: np.ndarray, weights: np.ndarray, k: int, first: int = 4) -> tuple[np.ndarray, np.ndarray]:

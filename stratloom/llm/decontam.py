@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -72,7 +73,7 @@ class Index:
         lies whole in one of them.
         """
         get = self.terms.get
-        coded = [np.fromiter((get(w, -1) for w in tokens(t)), np.int64) for t in texts]
+        coded = [np.array(list(map(get, tokens(t), repeat(-1))), np.int64) for t in texts]
         size = np.array([len(c) for c in coded], np.int64)
         segments = -(-size // self.stride)
         base = np.r_[0, np.cumsum(segments)[:-1]]
@@ -100,7 +101,11 @@ class Index:
         last = len(owner) - 1
         for s in np.flatnonzero((bound[:-1] >= 1).any(axis=1)):
             end = first[s + 2] if s < last and joined[s] else first[s + 1]
-            yield int(owner[s]), int(s - base[owner[s]]) * self.stride, np.unique(term[first[s]:end]), np.flatnonzero(bound[s] >= 1)
+            own, blocks = np.unique(term[first[s]:end]), np.flatnonzero(bound[s] >= 1)
+            # terms of both halves counted once: most passages end here
+            blocks = blocks[self.bounds[np.ix_(own, blocks)].sum(axis=0, dtype=np.float64) >= 1]
+            if len(blocks):
+                yield int(owner[s]), int(s - base[owner[s]]) * self.stride, own, blocks
 
     def search(self, texts: list[str]) -> list[dict[int, tuple[float, float, float]]]:
         """For each text the items found there, with the best BM25 share of the self score, and both overlaps."""
