@@ -171,7 +171,7 @@ _EV = f"list_filter(list_transform(ev, lambda z: {d.strip('z')}), lambda z: z is
 
 
 @query("proposals_to_master", f"""
-with gg as (select cast(doc_no as varchar) as job_id, {d.strip('loc')} as name, count(*) as n_records, coalesce(first(adm order by ord, adm) filter (adm <> 'ND'), '') as admin, flatten(list([e1, e2, e3] order by ord)) as ev, list('studied: ' || th || ' м' order by ord, th) filter (th <> 'ND') as th from {_PREC} x group by 1, 2)
+with gg as (select cast(doc_no as varchar) as job_id, {d.strip('loc')} as name, count(*) as n_records, coalesce(first(adm order by ord, adm) filter (adm <> 'ND'), '') as admin, list_transform(list_sort(flatten(list([{{'o': ord, 'i': 0, 'v': e1}}, {{'o': ord, 'i': 1, 'v': e2}}, {{'o': ord, 'i': 2, 'v': e3}}]))), lambda z: z.v) as ev from {_PREC} x group by 1, 2)
 select g.name as nearest_locality, case when g.admin = '' then 'ND' else g.admin end as administrative_unit, n_records, 'том ' || job_id || '.pdf{vocab.UPLOAD_MARK}' as sources,
  array_to_string(list_filter({_EV}, lambda z, i: list_position({_EV}, z) = i), ' || ') as evidence, coalesce(f.hlat, b.hlat) as lat, coalesce(f.hlon, b.hlon) as lon
 from gg g left join {best_hit_sql('name, admin')} f on g.name = f.name and g.admin = f.admin left join {best_hit_sql('name')} b on g.name = b.name where coalesce(f.hlat, b.hlat) is not null""")

@@ -179,3 +179,30 @@ def test_archive_batch(spark, tmp_path):
     assert [(r.marker, r.src, r.page, r.approx) for r in links] == [("50.5,40.25", "Том 1.pdf", 2, False)]
     assert spark.read.json(f"{out}/map/markers").first()["title"] == "Красный Яр"
     assert publish(spark, f"{out}/master", f"{out}/map", f"{out}/map2").count() == 1
+    # the next version computes heights for new coordinates only, and its markers carry them
+    asked = []
+
+    def height(points):
+        asked.extend((r.lat, r.lon) for r in points.collect())
+        return points.withColumn("v", F.lit(99.0))
+
+    none = spark.createDataFrame([], "lat double, lon double, v double")
+    link = spark.createDataFrame([("50.5,40.25", "Том 1.pdf", 2), ("50.5,40.25", "Том 1.pdf", 2)], "marker string, src string, page int")
+    first = publish(spark, f"{out}/master", f"{out}/map", f"{out}/map3", heights=none, compute_height=height, links=link).first()
+    assert (first.elev_dem, [tuple(x) for x in first.page_links]) == (99.0, [("Том 1.pdf", 2)]) and asked == [(50.5, 40.25)]
+    kept = spark.read.parquet(f"{out}/map3/heights")
+    publish(spark, f"{out}/master", f"{out}/map3", f"{out}/map4", heights=kept, compute_height=height)
+    assert asked == [(50.5, 40.25)] and spark.read.json(f"{out}/map4/markers").first()["elev_dem"] == 99.0
+
+
+def test_orphans_are_restored_once(spark):
+    from stratloom.plans.review import restore_orphans
+    corr = spark.createDataFrame([("50.140.2", "partial", "про Отказное", "u", 1), ("gone", "partial", "разрез Отказное далеко", "u", 2), ("lost", "correct", "", "u", 3)],
+                                 "marker_key string, verdict string, comment string, reviewer string, ts long")
+    now = spark.createDataFrame([("50.140.2", "50.140.2", "Отказное", 50.1, 40.2)], "marker string, marker_key string, name string, lat double, lon double")
+    moved = spark.createDataFrame([("lost", "50.140.2")], "marker_key string, to string")
+    once = restore_orphans(corr, now, moved)
+    added = sorted((r.movedFrom, r.marker_key, r.origin) for r in once.filter("movedFrom is not null").collect())
+    assert added == [("gone", "50.140.2", "named"), ("lost", "50.140.2", "ledger")] and once.count() == 5
+    again = restore_orphans(once.select(corr.columns), now, moved)
+    assert again.count() == 5
