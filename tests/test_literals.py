@@ -45,7 +45,7 @@ def test_names(spark):
     assert values(spark, ["Костенки I", "с. Борщево-3", "Ям"], lambda c: F.array_join(t.name_variants(c), "|")) == [
         "Костенки I|Костенки", "с. Борщево-3|Борщево-3|Борщево", ""]
     assert values(spark, ["с.  Красный   Яр .", "Городище"], t.norm_locality) == ["Красный Яр", "Городище"]
-    assert values(spark, ["Десне", "Окой"], lambda c: F.array_join(t.river_variants(c), "|")) == ["Десне|Десна|Десня", "Окой|Окоа|Окоя"]
+    assert values(spark, ["Десне", "Окой"], lambda c: F.array_join(t.river_variants(c), "|")) == ["Десне|Десна|Десня", "Окой|Окоа|Окоя|Ока"]
     assert values(spark, ["Site 1", "OT-22V", "Отказное", "скв. 5"], t.is_internal_label) == [True, True, False, False]
 
 
