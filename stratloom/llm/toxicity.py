@@ -6,19 +6,22 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.tools import materialise
 from .blockmax import BlockMaxIndex
-from .common import append_columns, words
+from .common import append_columns, ragged, words
 
 EXAMPLES = 12_000  # labelled rows the classifier is fitted on, at most
-TERMS = 256  # terms of the vocabulary, at most: those that tell the labels apart best
-LEAST_CHI2 = 10.83  # a term's chi-square with one degree of freedom at p = 0.001
+LEAST_WEIGHT = 0.005  # share of its idf that a term weighs which says nothing about the label
 NEAREST = 15
 PRIOR_WEIGHT = 0.5
+BATCH = 64  # texts scored at once
+MANY = 16  # terms of one in MANY examples or more are multiplied as a matrix
+SLACK = 1e-4  # far above what single precision can be wrong by in a cosine
 
 
 STEM = 5  # the first letters of a longer word are a term of their own, so that inflected words meet
@@ -30,37 +33,99 @@ def terms_of(text: str) -> list[str]:
 
 
 class Model:
-    """Vocabulary with idf, index of unit vectors, labels and ids of the examples, base rate of the label."""
+    """Number and weight of every term of the examples, index of unit vectors, labels and ids of the examples, base rate of the label.
 
-    def __init__(self, terms, idf, index, toxic, ids, rate):
-        self.terms, self.idf, self.index, self.toxic, self.ids, self.rate = terms, idf, index, toxic, ids, rate
+    ``new`` is the weight of a term that no example has: it counts in a text's length.
+    """
+
+    def __init__(self, terms, idf, index, toxic, ids, rate, new=0.0):
+        self.terms, self.idf, self.index, self.toxic, self.ids, self.rate, self.new = terms, idf, index, toxic, ids, rate, new
 
     def vector(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        known = self.terms
-        counts = Counter(t for t in map(known.get, terms_of(text)) if t is not None)
-        at = np.fromiter(sorted(counts), np.int64, len(counts))
-        w = (1 + np.log([counts[t] for t in at])) * self.idf[at] if len(at) else np.zeros(0)
-        norm = np.sqrt((w * w).sum())
+        counts = Counter(terms_of(text))
+        known = sorted((self.terms[t], c) for t, c in counts.items() if t in self.terms)
+        other = np.array([c for t, c in counts.items() if t not in self.terms], float)
+        at = np.array([t for t, _ in known], np.int64)
+        w = (1 + np.log(np.array([c for _, c in known], float))) * self.idf[at]
+        norm = np.sqrt((w * w).sum() + (((1 + np.log(other)) * self.new) ** 2).sum())
         return at, w / norm if norm else w
 
     def score(self, text: str) -> tuple[float, list[int], list[float]]:
+        return self.score_all([text])[0]
+
+    def score_all(self, texts: list[str]) -> list[tuple[float, list[int], list[float]]]:
         """Votes weigh the squared cosine; the base rate counts as one more vote."""
-        at, w = self.vector(text)
-        if not len(at):
-            return self.rate, [], []
-        near, cosine = self.index.top(at, w, NEAREST)
-        vote = cosine * cosine
-        score = (vote @ self.toxic[near] + PRIOR_WEIGHT * self.rate) / (vote.sum() + PRIOR_WEIGHT)
-        return float(min(1.0, max(0.0, score))), self.ids[near].tolist(), np.minimum(cosine, 1.0).tolist()
+        out = []
+        for base in range(0, len(texts), BATCH):
+            vectors = [self.vector(x) for x in texts[base:base + BATCH]]
+            for near, cosine in self.nearest(vectors):
+                if len(near):
+                    vote = cosine * cosine
+                    score = (vote @ self.toxic[near] + PRIOR_WEIGHT * self.rate) / (vote.sum() + PRIOR_WEIGHT)
+                    out.append((float(min(1.0, max(0.0, score))), self.ids[near].tolist(), np.minimum(cosine, 1.0).tolist()))
+                else:
+                    out.append((self.rate, [], []))
+        return out
+
+    def __getstate__(self):
+        return {k: v for k, v in self.__dict__.items() if k != "_parts"}
+
+    def parts(self):
+        """Terms of many examples as rows of a matrix, starts of each term's postings, and the postings by example."""
+        if "_parts" not in self.__dict__:
+            x = self.index
+            start = x.entry_start[x.term_entries]
+            df = np.diff(start)
+            row = np.full(x.n_terms, -1)
+            many = np.flatnonzero(df * MANY >= max(1, x.n_items))
+            row[many] = np.arange(len(many))
+            dense = np.zeros((len(many), x.n_items), np.float32)
+            for r, t in enumerate(many):
+                dense[r, x.item[start[t]:start[t + 1]]] = x.weight[start[t]:start[t + 1]]
+            term = np.repeat(np.arange(x.n_terms, dtype=np.int32), df)
+            order = np.argsort(x.item, kind="stable")
+            self._parts = dense, row, start, np.searchsorted(x.item[order], np.arange(x.n_items + 1)), term[order], x.weight[order]
+        return self._parts
+
+    def nearest(self, vectors):
+        """The NEAREST examples of highest cosine above 0 of each vector, ties by position; exact.
+
+        Sums in single precision find all that can be among them, which are then scored in double precision.
+        """
+        dense, row, start, own, term, weight = self.parts()
+        asked = np.zeros((len(vectors), len(dense)), np.float32)
+        for q, (at, w) in enumerate(vectors):
+            r = row[at]
+            asked[q, r[r >= 0]] = w[r >= 0]
+        about = asked @ dense
+        full = np.zeros(self.index.n_terms)
+        for q, (at, w) in enumerate(vectors):
+            rare = row[at] < 0
+            n = start[at[rare] + 1] - start[at[rare]]
+            posts = ragged(start[at[rare]], n)
+            rough = about[q] + np.bincount(self.index.item[posts], self.index.weight[posts] * np.repeat(w[rare], n), self.index.n_items)
+            least = np.partition(rough, len(rough) - NEAREST)[len(rough) - NEAREST] if len(rough) > NEAREST else 0.0
+            some = np.flatnonzero((rough > 0) & (rough >= least - SLACK))
+            full[at] = w
+            n = own[some + 1] - own[some]
+            posts = ragged(own[some], n)
+            cosine = np.bincount(np.repeat(np.arange(len(some)), n), weight[posts] * full[term[posts]], len(some))
+            full[at] = 0
+            best = np.lexsort((some, -cosine))[:NEAREST]
+            yield some[best], cosine[best]
 
 
 def fit(docs: DataFrame, labels: DataFrame, usable=None, id_col: str = "doc_id", text: str = "text",
-        label: str = "toxic", examples: int = EXAMPLES, terms: int = TERMS) -> Model:
+        label: str = "toxic", examples: int = EXAMPLES) -> Model:
     """A model from at most ``examples`` labelled rows, chosen by the hash of their id.
 
     ``usable`` is a condition on the id for rows that may be learnt from. Rows without id or label are not
     used; an id with several labels has the larger one; an id with several texts gives several examples. No
     labelled text at all gives a model whose score is 0 everywhere.
+
+    Every term of every example is in the index. A term weighs its idf times LEAST_WEIGHT, and up to its whole idf as its
+    correlation with the label, the root of chi-square over n, nears 1, whichever label it points to; below three
+    examples chi-square says nothing.
     """
     chosen = labels.select(F.col(id_col).cast("long").alias("_id"), F.col(label).cast("int").alias("_y")) \
         .filter("_id is not null and _y in (0, 1)")
@@ -86,39 +151,37 @@ def fit(docs: DataFrame, labels: DataFrame, usable=None, id_col: str = "doc_id",
     n, pos = total["n"], total["pos"]
     if not n:
         return Model({}, np.zeros(0), BlockMaxIndex(0, 0, *[np.zeros(0, np.int64)] * 3), np.zeros(0), np.zeros(0, np.int64), 0.0)
-    neg = n - pos
-    a, b = F.col("a").cast("double"), F.col("df").cast("double")
-    chi2 = n * F.pow(a * neg - (b - a) * pos, 2) / (F.lit(float(max(1, pos * neg))) * b * (n - b))
-    vocabulary = found.filter("term <> ''").groupBy("term").agg(F.count("id").alias("df"), F.sum("y").alias("a")) \
-        .filter(F.col("df").between(3, n - 1)).withColumn("chi2", chi2) \
-        .filter((F.col("chi2") >= LEAST_CHI2) & (a / b > pos / n)) \
-        .orderBy(F.desc("chi2"), "term").limit(terms).collect()
-    number = {r["term"]: i for i, r in enumerate(vocabulary)}
-    idf = np.log((n + 1) / (np.array([r["df"] for r in vocabulary], float) + 1)) + 1
-    # at most ``examples`` x ``terms`` small rows
-    rows = found.filter(F.col("term").isin(list(number))).groupBy("id", "y").agg(
-        F.sort_array(F.collect_list(F.struct("n", "term", "tf"))).alias("v")).orderBy("id").collect()
-    item, term, weight, toxic, ids = [], [], [], [], []
-    for r in rows:
-        for text_no in sorted({v["n"] for v in r["v"]}):
-            v = [(number[x["term"]], x["tf"]) for x in r["v"] if x["n"] == text_no]
-            w = np.array([(1 + np.log(tf)) * idf[t] for t, tf in v])
-            item += [len(toxic)] * len(v)
-            term += [t for t, _ in v]
-            weight += (w / np.sqrt((w * w).sum())).tolist()
-            toxic.append(r["y"])
-            ids.append(r["id"])
-    index = BlockMaxIndex(len(toxic), len(number), np.array(item, np.int64), np.array(term, np.int64), np.array(weight))
-    # texts without any telling term have the base rate of such examples
-    plain, plain_pos = n - len(toxic), pos - sum(toxic)
-    return Model(number, idf, index, np.array(toxic, float), np.array(ids, np.int64), plain_pos / plain if plain else pos / n)
+    # at most ``examples`` texts: their terms as columns of numbers
+    rows = found.filter("term <> ''").select("id", "n", "y", "term", "tf").toArrow().combine_chunks()
+    coded = pc.dictionary_encode(rows["term"].combine_chunks()) if len(rows) else pa.array([], pa.string()).dictionary_encode()
+    words_, code = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+    # numbers by alphabet, so that they do not depend on the order of the rows
+    by_name = np.array(sorted(range(len(words_)), key=words_.__getitem__), np.int64)
+    place = np.empty(len(words_), np.int32)
+    place[by_name] = np.arange(len(words_))
+    words_, code = [words_[i] for i in by_name], place[code]
+    del coded
+    id_, text_no, y, tf = (rows[k].to_numpy() for k in ("id", "n", "y", "tf"))
+    order = np.lexsort((code, text_no, id_))
+    id_, text_no, y, tf, code = id_[order], text_no[order], y[order], tf[order], code[order]
+    opens = np.r_[True, (id_[1:] != id_[:-1]) | (text_no[1:] != text_no[:-1])] if len(id_) else np.zeros(0, bool)
+    item, first = np.cumsum(opens) - 1, np.flatnonzero(opens)
+    df, a = np.bincount(code, minlength=len(words_)), np.bincount(code, y, len(words_))
+    chi2 = n * (a * (n - pos) - (df - a) * pos) ** 2 / np.maximum(1.0, float(pos) * (n - pos) * df * (n - df))
+    telling = np.where((df >= 3) & (df < n), np.minimum(1.0, np.sqrt(chi2 / n)), 0.0)
+    weight_of = (np.log((n + 1) / (df + 1)) + 1) * (LEAST_WEIGHT + (1 - LEAST_WEIGHT) * telling)
+    weight = (1 + np.log(tf)) * weight_of[code]
+    weight /= np.sqrt(np.bincount(item, weight * weight))[item]
+    index = BlockMaxIndex(len(first), len(words_), item, code, weight)
+    return Model(dict(zip(words_, range(len(words_)), strict=True)), weight_of, index, y[first].astype(float), id_[first], pos / n,
+                 LEAST_WEIGHT * (np.log(n + 1) + 1))
 
 
 def score_toxicity(docs: DataFrame, model: Model, text: str = "text",
                    names: tuple[str, ...] = ("toxicity", "predicted", "nearest_ids", "nearest_cosines")) -> DataFrame:
     """Append ``toxicity`` (0 to 1), ``predicted`` (1 from 0.5 on) and the nearest examples as evidence.
 
-    A null or empty text, and one without any term of the vocabulary, has the base rate and no evidence.
+    A null or empty text, and one without any term of the examples, has the base rate and no evidence.
     Repeated rows get equal scores; ties between examples go to the smaller position in the index.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -127,7 +190,7 @@ def score_toxicity(docs: DataFrame, model: Model, text: str = "text",
         m = shared.value
 
         def compute(texts):
-            found = [m.score(x) for x in texts]
+            found = m.score_all(texts)
             return [[f[0] for f in found], [int(f[0] >= 0.5) for f in found], [f[1] for f in found], [f[2] for f in found]]
         return compute
 
