@@ -6,12 +6,11 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.tools import materialise
 from .blockmax import BlockMaxIndex
 from .common import append_columns, ragged, words
 
@@ -32,8 +31,13 @@ def terms_of(text: str) -> list[str]:
     return found + [w[:STEM] + "-" for w in found if len(w) > STEM]
 
 
+def hashes(terms) -> np.ndarray:
+    """Terms as 64-bit numbers: a vocabulary of millions is one array."""
+    return np.array([xxhash.xxh64_intdigest(t.encode("utf-8", "surrogatepass")) for t in terms], np.uint64)
+
+
 class Model:
-    """Number and weight of every term of the examples, index of unit vectors, labels and ids of the examples, base rate of the label.
+    """Sorted hash and weight of every term of the examples, index of unit vectors, labels and ids of the examples, base rate of the label.
 
     ``new`` is the weight of a term that no example has: it counts in a text's length.
     """
@@ -43,11 +47,13 @@ class Model:
 
     def vector(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         counts = Counter(terms_of(text))
-        known = sorted((self.terms[t], c) for t, c in counts.items() if t in self.terms)
-        other = np.array([c for t, c in counts.items() if t not in self.terms], float)
-        at = np.array([t for t, _ in known], np.int64)
-        w = (1 + np.log(np.array([c for _, c in known], float))) * self.idf[at]
-        norm = np.sqrt((w * w).sum() + (((1 + np.log(other)) * self.new) ** 2).sum())
+        names, tf = hashes(counts), 1 + np.log(np.fromiter(counts.values(), float, len(counts)))
+        at = np.searchsorted(self.terms, names)
+        known = at < len(self.terms)
+        known[known] = self.terms[at[known]] == names[known]
+        order = np.argsort(at[known])
+        at, w, other = at[known][order], (tf[known] * self.idf[at[known]])[order], tf[~known] * self.new
+        norm = np.sqrt((w * w).sum() + (other * other).sum())
         return at, w / norm if norm else w
 
     def score(self, text: str) -> tuple[float, list[int], list[float]]:
@@ -139,42 +145,41 @@ def fit(docs: DataFrame, labels: DataFrame, usable=None, id_col: str = "doc_id",
 
     def count(batches):
         for batch in batches:
-            rows = [(d, y, n, t, c) for n, (d, y, x) in enumerate(zip(*(batch.column(k).to_pylist() for k in ("_id", "_y", "_text")), strict=True))
-                    for t, c in [("", 0), *Counter(terms_of(x or "")).items()]]
-            # a row with the empty term stands for the document itself
-            cols = list(zip(*rows, strict=True)) if rows else [[]] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.int32(), pa.int64(), pa.string(), pa.int32()), strict=True)],
-                                             names=["id", "y", "n", "term", "tf"])
-
-    found = materialise(known.select("_id", "_y", "_text").mapInArrow(count, "id long, y int, n long, term string, tf int"))
-    total = found.filter("term = ''").agg(F.count("id").alias("n"), F.coalesce(F.sum("y"), F.lit(0)).alias("pos")).first()
-    n, pos = total["n"], total["pos"]
+            found = [Counter(terms_of(x or "")) for x in batch.column("_text").to_pylist()]
+            names = [hashes(c) for c in found]
+            # in the order of the hashes, so that equal texts make equal rows
+            order = [np.argsort(h) for h in names]
+            tf = [np.fromiter(c.values(), np.int32, len(c))[o] for c, o in zip(found, order, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("_id"), batch.column("_y"), pa.array([h[o].view(np.int64) for h, o in zip(names, order, strict=True)], pa.list_(pa.int64())),
+                                              pa.array(tf, pa.list_(pa.int32()))], names=["id", "y", "terms", "tf"])
+
+    # at most ``examples`` texts, each a row of numbers
+    got = known.select("_id", "_y", "_text").mapInArrow(count, "id long, y int, terms array<long>, tf array<int>").toArrow()
+    n, pos = len(got), int(np.sum(got["y"].to_numpy()))
     if not n:
-        return Model({}, np.zeros(0), BlockMaxIndex(0, 0, *[np.zeros(0, np.int64)] * 3), np.zeros(0), np.zeros(0, np.int64), 0.0)
-    # at most ``examples`` texts: their terms as columns of numbers
-    rows = found.filter("term <> ''").select("id", "n", "y", "term", "tf").toArrow().combine_chunks()
-    coded = pc.dictionary_encode(rows["term"].combine_chunks()) if len(rows) else pa.array([], pa.string()).dictionary_encode()
-    words_, code = coded.dictionary.to_pylist(), coded.indices.to_numpy()
-    # numbers by alphabet, so that they do not depend on the order of the rows
-    by_name = np.array(sorted(range(len(words_)), key=words_.__getitem__), np.int64)
-    place = np.empty(len(words_), np.int32)
-    place[by_name] = np.arange(len(words_))
-    words_, code = [words_[i] for i in by_name], place[code]
-    del coded
-    id_, text_no, y, tf = (rows[k].to_numpy() for k in ("id", "n", "y", "tf"))
-    order = np.lexsort((code, text_no, id_))
-    id_, text_no, y, tf, code = id_[order], text_no[order], y[order], tf[order], code[order]
-    opens = np.r_[True, (id_[1:] != id_[:-1]) | (text_no[1:] != text_no[:-1])] if len(id_) else np.zeros(0, bool)
-    item, first = np.cumsum(opens) - 1, np.flatnonzero(opens)
-    df, a = np.bincount(code, minlength=len(words_)), np.bincount(code, y, len(words_))
+        return Model(np.zeros(0, np.uint64), np.zeros(0), BlockMaxIndex(0, 0, *[np.zeros(0, np.int64)] * 3), np.zeros(0), np.zeros(0, np.int64), 0.0)
+    lists = got["terms"].combine_chunks()
+    ids, y, size = got["id"].to_numpy(), got["y"].to_numpy(), lists.value_lengths().to_numpy().astype(np.int64)
+    flat, tf = lists.flatten().to_numpy().view(np.uint64), got["tf"].combine_chunks().flatten().to_numpy()
+    del got, lists
+    starts = np.r_[0, np.cumsum(size)[:-1]]
+    # by id, and texts of one id by their terms
+    order = np.array(sorted(range(n), key=lambda i: (ids[i], flat[starts[i]:starts[i] + size[i]].tobytes(), tf[starts[i]:starts[i] + size[i]].tobytes())), np.int64)
+    at = ragged(starts[order], size[order])
+    flat, tf, ids, y = flat[at], tf[at], ids[order], y[order].astype(float)
+    item = np.repeat(np.arange(n, dtype=np.int32), size[order])
+    del at
+    vocabulary = np.unique(flat)
+    code = np.searchsorted(vocabulary, flat).astype(np.int32)
+    del flat
+    df, a = np.bincount(code, minlength=len(vocabulary)), np.bincount(code, y[item], len(vocabulary))
     chi2 = n * (a * (n - pos) - (df - a) * pos) ** 2 / np.maximum(1.0, float(pos) * (n - pos) * df * (n - df))
     telling = np.where((df >= 3) & (df < n), np.minimum(1.0, np.sqrt(chi2 / n)), 0.0)
     weight_of = (np.log((n + 1) / (df + 1)) + 1) * (LEAST_WEIGHT + (1 - LEAST_WEIGHT) * telling)
     weight = (1 + np.log(tf)) * weight_of[code]
-    weight /= np.sqrt(np.bincount(item, weight * weight))[item]
-    index = BlockMaxIndex(len(first), len(words_), item, code, weight)
-    return Model(dict(zip(words_, range(len(words_)), strict=True)), weight_of, index, y[first].astype(float), id_[first], pos / n,
-                 LEAST_WEIGHT * (np.log(n + 1) + 1))
+    weight /= np.sqrt(np.bincount(item, weight * weight, n))[item]
+    index = BlockMaxIndex(n, len(vocabulary), item, code, weight)
+    return Model(vocabulary, weight_of, index, y, ids, pos / n, LEAST_WEIGHT * (np.log(n + 1) + 1))
 
 
 def score_toxicity(docs: DataFrame, model: Model, text: str = "text",
