@@ -1,4 +1,4 @@
-"""Toxicity from the nearest labelled examples, by exact TF-IDF cosine over a block-max inverted index."""
+"""Toxicity from the nearest labelled examples, by exact TF-IDF cosine over an inverted index of all their terms."""
 
 from __future__ import annotations
 
@@ -42,8 +42,21 @@ class Model:
     ``new`` is the weight of a term that no example has: it counts in a text's length.
     """
 
-    def __init__(self, terms, idf, index, toxic, ids, rate, new=0.0):
-        self.terms, self.idf, self.index, self.toxic, self.ids, self.rate, self.new = terms, idf, index, toxic, ids, rate, new
+    def __init__(self, terms, idf, item, df, tf, toxic, ids, rate, new=0.0):
+        self.terms, self.idf, self.toxic, self.ids, self.rate, self.new = terms, idf, toxic, ids, rate, new
+        # postings by term and item, in as few bytes as they need: this is what is sent to the tasks
+        self.item, self.df, self.tf = item.astype(np.min_scalar_type(len(ids))), df, tf.astype(np.min_scalar_type(int(tf.max(initial=0))))
+
+    @property
+    def index(self) -> BlockMaxIndex:
+        """The unit vectors; all items are one block, as sums of so many terms' maxima bound nothing."""
+        if "_index" not in self.__dict__:
+            n, term = len(self.ids), np.repeat(np.arange(len(self.df), dtype=np.int32), self.df)
+            item = self.item.astype(np.int32)
+            weight = (1 + np.log(self.tf.astype(float))) * self.idf[term]
+            weight /= np.sqrt(np.bincount(item, weight * weight, n))[item]
+            self._index = BlockMaxIndex(n, len(self.df), item, term, weight, max(1, n))
+        return self._index
 
     def vector(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         counts = Counter(terms_of(text))
@@ -74,7 +87,7 @@ class Model:
         return out
 
     def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k != "_parts"}
+        return {k: v for k, v in self.__dict__.items() if k not in ("_parts", "_index")}
 
     def parts(self):
         """Terms of many examples as rows of a matrix, starts of each term's postings, and the postings by example."""
@@ -89,7 +102,7 @@ class Model:
             for r, t in enumerate(many):
                 dense[r, x.item[start[t]:start[t + 1]]] = x.weight[start[t]:start[t + 1]]
             term = np.repeat(np.arange(x.n_terms, dtype=np.int32), df)
-            order = np.argsort(x.item, kind="stable")
+            order = np.argsort(x.item.astype(np.int32), kind="stable")
             self._parts = dense, row, start, np.searchsorted(x.item[order], np.arange(x.n_items + 1)), term[order], x.weight[order]
         return self._parts
 
@@ -157,7 +170,7 @@ def fit(docs: DataFrame, labels: DataFrame, usable=None, id_col: str = "doc_id",
     got = known.select("_id", "_y", "_text").mapInArrow(count, "id long, y int, terms array<long>, tf array<int>").toArrow()
     n, pos = len(got), int(np.sum(got["y"].to_numpy()))
     if not n:
-        return Model(np.zeros(0, np.uint64), np.zeros(0), BlockMaxIndex(0, 0, *[np.zeros(0, np.int64)] * 3), np.zeros(0), np.zeros(0, np.int64), 0.0)
+        return Model(np.zeros(0, np.uint64), np.zeros(0), *[np.zeros(0, np.int64)] * 3, np.zeros(0), np.zeros(0, np.int64), 0.0)
     lists = got["terms"].combine_chunks()
     ids, y, size = got["id"].to_numpy(), got["y"].to_numpy(), lists.value_lengths().to_numpy().astype(np.int64)
     flat, tf = lists.flatten().to_numpy().view(np.uint64), got["tf"].combine_chunks().flatten().to_numpy()
@@ -176,10 +189,8 @@ def fit(docs: DataFrame, labels: DataFrame, usable=None, id_col: str = "doc_id",
     chi2 = n * (a * (n - pos) - (df - a) * pos) ** 2 / np.maximum(1.0, float(pos) * (n - pos) * df * (n - df))
     telling = np.where((df >= 3) & (df < n), np.minimum(1.0, np.sqrt(chi2 / n)), 0.0)
     weight_of = (np.log((n + 1) / (df + 1)) + 1) * (LEAST_WEIGHT + (1 - LEAST_WEIGHT) * telling)
-    weight = (1 + np.log(tf)) * weight_of[code]
-    weight /= np.sqrt(np.bincount(item, weight * weight, n))[item]
-    index = BlockMaxIndex(n, len(vocabulary), item, code, weight)
-    return Model(vocabulary, weight_of, index, y, ids, pos / n, LEAST_WEIGHT * (np.log(n + 1) + 1))
+    order = np.lexsort((item, code))
+    return Model(vocabulary, weight_of, item[order], df, tf[order], y, ids, pos / n, LEAST_WEIGHT * (np.log(n + 1) + 1))
 
 
 def score_toxicity(docs: DataFrame, model: Model, text: str = "text",
