@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -38,7 +39,30 @@ def materialise(df: DataFrame) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, "stage")
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    _WRITTEN[table] = path
+    return table
+
+
+# folders of the tables that materialise() has written, as long as their DataFrames live
+_WRITTEN: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+
+
+def forget(*tables: DataFrame | None) -> None:
+    """Delete the folders of materialised tables; everything built on them must have been written by now.
+
+    DataFrames that materialise() did not write are left alone.
+    """
+    for table in tables:
+        path = _WRITTEN.pop(table, None) if table is not None else None
+        if path:
+            remove(table.sparkSession, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder through Spark's own file systems."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def spread(df: DataFrame, by: list[str]) -> DataFrame:
