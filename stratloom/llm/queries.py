@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_chunks, decontam, language, licenses, quality, sharding, simhash, token_counts, toxicity, warc
+from . import bpe_chunks, decontam, language, licenses, mixing, oracles, prefix_trie, quality, sharding, simhash, token_counts, toxicity, turn_repair, warc
 from .common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -97,6 +97,18 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.place(docs, "doc_id", SHARDS)
 
 
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.conversation_trie(table(spark, folder, "conversations"))
+
+
+def op12_turn_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return turn_repair.damaged_and_repaired(table(spark, folder, "conversations"))
+
+
+def op13_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.taken_words(table(spark, folder, "documents"))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, folder)
@@ -104,8 +116,8 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 
 def llm_queries() -> dict[str, Query]:
     return {f.__name__: f for f in (op1_bpe_chunks, op2_licenses, op3_simhash, op4_quality, op5_toxicity, op6_language, op7_decontamination,
-                                    op8_token_counts, op9_warc, op10_sharding, pipeline)}
+                                    op8_token_counts, op9_warc, op10_sharding, op11_prefix_trie, op12_turn_repair, op13_mixing, pipeline)}
 
 
 def llm_oracles() -> dict[str, str]:
-    return {"op2_licenses": op2_oracle()}
+    return {"op2_licenses": op2_oracle(), "op11_prefix_trie": oracles.trie(), "op12_turn_repair": oracles.repair(), "op13_mixing": oracles.mix()}
