@@ -6,146 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as t
-from ..functions.common import let
 from . import tools
-
-_STEM = 25  # fixed value: characters of a file name that identify a publication
-
-
-def publication_lookup(srcs: DataFrame, pubs: DataFrame) -> DataFrame:
-    """Source name → publication: equal normalised name, else the first name sharing a 25-character start.
-
-    ``srcs`` has ``src``; ``pubs`` has ``publication, ord``. The either-way prefix test becomes two equi-joins
-    on prefixes, and each prefix keeps only the first publication, so nothing is compared pair by pair.
-    """
-    names = pubs.select(t.norm_pubname("publication").alias("k"), "publication", "ord")
-    names = names.groupBy("k").agg(F.min(F.struct("ord", "publication")).alias("p"))
-    want = srcs.select("src").distinct().withColumn("k", t.norm_pubname("src"))
-    exact = want.join(names, "k", "left")
-
-    def starts(c: Column) -> Column:
-        n = F.least(F.length(c), F.lit(_STEM))
-        return F.transform(F.sequence(F.lit(0), n), lambda i: F.substr(c, F.lit(1), i))
-
-    stem = t.stem(F.col("k"))
-    missing = exact.filter("p is null").select("src", stem.alias("stem"))
-    by_start = names.select("p", F.explode(starts(F.col("k"))).alias("start")).groupBy("start").agg(F.min("p").alias("p"))
-    by_stem = names.select("p", F.substring(stem, 1, _STEM).alias("start")).groupBy("start").agg(F.min("p").alias("p"))
-    one = missing.select("src", F.substring("stem", 1, _STEM).alias("start")).join(by_start, "start").select("src", "p")
-    two = missing.select("src", F.explode(starts(F.col("stem"))).alias("start")).join(by_stem, "start").select("src", "p")
-    near = one.unionByName(two).groupBy("src").agg(F.min("p").alias("p"))
-    found = exact.filter("p is not null").select("src", "p").unionByName(near)
-    return found.select("src", F.col("p.publication").alias("publication"))
-
-
-# ---------------------------------------------------------------- quote → page
-def _needles(norm: Column) -> Column:
-    """array<struct<stage, s>>: the first 60 characters, then the first 8, 6 and 4 words (12 characters or more)."""
-    words = F.split(norm, " ")
-    frags = [F.struct(F.lit(0).alias("stage"), F.substring(norm, 1, 60).alias("s"))]
-    frags += [F.struct(F.lit(k).alias("stage"), F.array_join(F.slice(words, 1, n), " ").alias("s"))
-              for k, n in ((1, 8), (2, 6), (3, 4))]
-    return F.filter(F.array(*frags), lambda x: F.length(x["s"]) >= 12)
-
-
-def _anchors(s: Column) -> Column:
-    """Keys one of which every page holding the text must have.
-
-    Words between the first and the last are whole words of the page too: two neighbours make a key (one
-    word when there is no pair). Texts of one or two words fall back on word starts, ends or 12-letter pieces.
-    """
-    def keys(w: Column) -> Column:
-        k = F.size(w)
-        first, last = F.get(w, F.lit(0)), F.get(w, k - 1)
-        pairs = F.transform(F.sequence(F.lit(1), F.greatest(k - 3, F.lit(1))),
-                            lambda i: F.concat(F.lit("b "), F.get(w, i), F.lit(" "), F.get(w, i + 1)))
-        return (F.when(k >= 4, pairs).when(k == 3, F.array(F.concat(F.lit("w "), F.get(w, F.lit(1)))))
-                .when((k == 2) & (F.length(last) >= 6), F.array(F.concat(F.lit("p "), F.substring(last, 1, 6))))
-                .when(k == 2, F.array(F.concat(F.lit("s "), F.right(first, F.lit(6)))))
-                .otherwise(F.array(F.concat(F.lit("g "), F.substring(first, 1, 12)))))
-    return let(F.split(s, " "), keys)
-
-
-def _page_keys(txt: Column, kinds: Column) -> Column:
-    """Distinct anchor keys of a page, only of the kinds its publication's quotes use."""
-    def keys(w: Column) -> Column:
-        none = F.array().cast("array<string>")
-        long6 = F.filter(w, lambda x: F.length(x) >= 6)
-        pairs = F.transform(F.sequence(F.lit(0), F.greatest(F.size(w) - 2, F.lit(0))),
-                            lambda i: F.concat(F.lit("b "), F.get(w, i), F.lit(" "), F.get(w, i + 1)))
-        pieces = F.flatten(F.transform(F.filter(w, lambda x: F.length(x) >= 12), lambda x: F.transform(
-            F.sequence(F.lit(1), F.length(x) - 11), lambda i: F.concat(F.lit("g "), F.substr(x, i, F.lit(12))))))
-        use = lambda k, arr: F.when(F.array_contains(kinds, k), arr).otherwise(none)
-        return F.filter(F.array_distinct(F.concat(
-            use("b", pairs), use("w", F.transform(w, lambda x: F.concat(F.lit("w "), x))),
-            use("p", F.transform(long6, lambda x: F.concat(F.lit("p "), F.substring(x, 1, 6)))),
-            use("s", F.transform(long6, lambda x: F.concat(F.lit("s "), F.right(x, F.lit(6))))),
-            use("g", pieces))), lambda x: x.isNotNull())
-    return let(F.split(txt, " "), keys)
-
-
-def _postings(pages: DataFrame, page_keys: Column, wanted: DataFrame) -> DataFrame:
-    """(publication, key, ord) of the wanted keys only; the page text does not travel."""
-    rows = pages.select("publication", "ord", F.explode(page_keys).alias("key"))
-    return tools.materialise(rows.join(wanted.select("publication", "key").distinct(), ["publication", "key"], "left_semi"))
-
-
-def _rarest(cands: DataFrame, postings: DataFrame, by: list[str], keep: Column) -> DataFrame:
-    """The rarest keys of each text: ``keep`` of them, by the number of pages that hold the key."""
-    df = postings.groupBy("publication", "key").agg(F.count(F.lit(1)).alias("df"))
-    counted = cands.join(df, ["publication", "key"], "left").withColumn("df", F.coalesce("df", F.lit(0)))
-    # keys per text are few (words of one quote), so they fit one array
-    packed = counted.groupBy(*by).agg(F.sort_array(F.collect_list(F.struct("df", "key"))).alias("ks"))
-    chosen = packed.select(*by, F.explode(F.slice("ks", 1, keep)).alias("c")).filter("c.df > 0")
-    return chosen.select(*by, F.col("c.key").alias("key"))
-
-
-def evidence_page_join(ev: DataFrame, pages: DataFrame) -> DataFrame:
-    """Quote → page of its publication: (publication, evidence, page, method).
-
-    Exact: the first 60 characters, then the first 8, 6, 4 words, occur in the page; fuzzy: at least
-    max(3, 60 %) of the quote's long words do. An earlier step beats a later one, then more shared words,
-    then the earlier page. Pages are found through rare keys of the text, never by trying every page.
-    """
-    quotes = ev.select("publication", "evidence").distinct().withColumn("norm", t.norm_search("evidence")).filter(
-        F.length("norm") >= 12)
-    uniq = quotes.select("publication", "norm").distinct()
-    norm_pages = pages.select("publication", "idx", "ord", t.norm_search("text").alias("txt"))
-
-    needles = uniq.select("publication", "norm", F.explode(_needles(F.col("norm"))).alias("x")).select(
-        "publication", "norm", "x.stage", "x.s")
-    texts = needles.select("publication", "s").distinct()
-    cands = texts.withColumn("key", F.explode(F.array_distinct(_anchors(F.col("s")))))
-    kinds = cands.groupBy("publication").agg(F.collect_set(F.substring("key", 1, 1)).alias("kinds"))  # five at most
-    used = norm_pages.join(kinds, "publication")
-    post = _postings(used, _page_keys(F.col("txt"), F.col("kinds")), cands)
-    chosen = _rarest(cands, post, ["publication", "s"], F.lit(1))
-    pairs = chosen.join(post, ["publication", "key"]).select("publication", "s", "ord")
-    hits = pairs.join(norm_pages, ["publication", "ord"]).filter(F.contains("txt", "s")).groupBy("publication", "s").agg(
-        F.min(F.struct("ord", "idx")).alias("at"))
-    exact = needles.join(hits, ["publication", "s"]).groupBy("publication", "norm").agg(
-        F.min(F.struct("stage", "at")).alias("b")).select("publication", "norm", (F.col("b.at.idx") + 1).alias("page"),
-                                                         F.lit("exact").alias("method"))
-    exact = tools.materialise(exact)
-
-    words = F.array_distinct(F.split("norm", " "))
-    long5, long4 = F.filter(words, lambda w: F.length(w) >= 5), F.filter(words, lambda w: F.length(w) >= 4)
-    rest = uniq.join(exact, ["publication", "norm"], "left_anti").withColumn(
-        "toks", F.when(F.size(long5) >= 3, long5).otherwise(long4)).filter(F.size("toks") >= 3)
-    need = F.greatest(F.lit(3), F.floor(F.lit(0.6) * F.size("toks")).cast("int"))
-    rest = rest.withColumn("need", need)
-    tok = rest.select("publication", "norm", "need", F.size("toks").alias("n"), F.explode("toks").alias("key"))
-    lively = norm_pages.join(rest.select("publication").distinct(), "publication", "left_semi")
-    tok_post = _postings(lively, F.array_distinct(F.split("txt", " ")), tok)
-    # a page with `need` of n words holds one of the n - need + 1 rarest
-    rare = _rarest(tok, tok_post, ["publication", "norm", "need", "n"], F.col("n") - F.col("need") + 1)
-    near = rare.join(tok_post, ["publication", "key"]).select("publication", "norm", "ord").distinct()
-    scored = near.join(rest.select("publication", "norm", "toks", "need"), ["publication", "norm"]).join(
-        norm_pages, ["publication", "ord"]).withColumn(
-        "score", F.size(F.array_intersect("toks", F.split("txt", " ")))).filter(F.col("score") >= F.col("need"))
-    fuzzy = scored.groupBy("publication", "norm").agg(F.min(F.struct((-F.col("score")).alias("o"), "ord", "idx")).alias("b")).select(
-        "publication", "norm", (F.col("b.idx") + 1).alias("page"), F.lit("fuzzy").alias("method"))
-    return quotes.join(exact.unionByName(fuzzy), ["publication", "norm"]).drop("norm")
+from .quotes import evidence_page_join, publication_lookup
 
 
 def page_links(sections: DataFrame, pages: DataFrame) -> DataFrame:

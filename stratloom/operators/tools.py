@@ -65,6 +65,19 @@ def remove(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+BROADCAST_BYTES = 64 << 20
+
+
+def measured(df: DataFrame, most: int = BROADCAST_BYTES) -> DataFrame:
+    """``df``, marked for broadcast if its values take at most ``most`` bytes; a larger one is left to shuffle joins.
+
+    The size is counted, not estimated, so ``df`` should be a written table.
+    """
+    width = [F.coalesce(F.octet_length(f.name), F.lit(0)) if f.dataType.typeName() in ("string", "binary") else F.lit(8) for f in df.schema]
+    size = df.agg(F.sum(sum(width, F.lit(16)))).first()[0] or 0
+    return F.broadcast(df) if size <= most else df
+
+
 def spread(df: DataFrame, by: list[str]) -> DataFrame:
     """Give a scan of few splits to all cores; a scan that already has enough splits stays unshuffled.
 

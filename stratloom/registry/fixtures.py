@@ -129,9 +129,12 @@ from orders"""
 
 VIEWS["fx_pages"] = "select lang as publication, doc_id as idx, doc_id as ord, text from documents"
 
+# quotes out of the pages: whole ones, ones that go on differently after some characters or words, and ones in another order
 VIEWS["fx_evidence"] = """
-select item_id, lang as publication, text as evidence
-from benchmark, (select distinct lang from documents) l"""
+select doc_id as item_id, lang as publication, case doc_id % 6 when 0 then substring(text, 41, 200)
+  when 1 then concat(substring(text, 41, 75), ' zzq vvk') when 2 then concat(substring(text, 41, 56), ' zzq vvk')
+  when 3 then concat(substring(text, 41, 40), ' zzq vvk') when 4 then concat(substring(text, 41, 27), ' zzq vvk zzq')
+  else concat('zzq ', substring(text, 121, 60), ' vvk ', substring(text, 41, 60)) end as evidence from documents"""
 
 VIEWS["fx_doc_pages"] = """
 select concat('/архив/', source, '/том ', cast(doc_id % 7 as varchar(3)), '.pdf') as path, source as run,

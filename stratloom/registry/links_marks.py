@@ -22,39 +22,50 @@ def _npub(c):
 
 
 # ------------------------------------------------------------------ publications and pages
-_PUBS = "(select distinct concat('Отчёт ', cast(p_size as varchar(9)), case when p_partkey % 3 = 0 then ' доп' else '' end, case when p_partkey % 4 = 0 then '.djvu' else '.pdf' end) as publication from part)"
+# reports with short names, and volumes whose long names differ late
+_PUBS = """(select distinct publication from (
+  select concat('Отчёт ', cast(p_size as varchar(9)), case when p_partkey % 3 = 0 then ' доп' else '' end, case when p_partkey % 4 = 0 then '.djvu' else '.pdf' end) as publication from part
+  union all select concat('Геологическое строение Поволжья, том ', cast(p_size as varchar(9)), case when p_partkey % 2 = 0 then ', вып. 1.pdf' else '.pdf' end) from part) pubs)"""
+_SRCS = """(select src from fx_links union all
+  select concat('Геологическое строение  Поволжья, том ', cast(p_size + p_partkey % 3 as varchar(9)), case p_partkey % 3 when 0 then '.djvu' when 1 then ', вып. 2.pdf' else ', вып. 1, с картой.pdf' end) from part)"""
 
 
 @query("publication_lookup", f"""
-with pubs as (select publication, publication as ord, {_npub('publication')} as k from {_PUBS} p), s as (select distinct src, {_npub('src')} as n, regexp_replace({_npub('src')}, '\\.[^.]*$', '') as stem from fx_links)
-select src, coalesce(arg_min(publication, ord) filter (k = n), arg_min(publication, ord)) as publication from s join pubs on k = n or starts_with(k, left(stem, 25)) or starts_with(stem, left(regexp_replace(k, '\\.[^.]*$', ''), 25)) group by src""")
+with pubs as (select publication, publication as ord, {_npub('publication')} as k from {_PUBS} p),
+s as (select src, n, regexp_replace(n, '\\.[^.]*$', '') as stem from (select distinct src, {_npub('src')} as n from {_SRCS} x)),
+j as (select src, publication, ord, k = n as eq, length(n) as ln, regexp_replace(k, '\\.[^.]*$', '') as ks, stem, k,
+  len(list_filter(range(1, 1 + least(length(k), length(stem))), lambda i: left(k, i) = left(stem, i))) as c from s, pubs),
+r as (select *, case when eq then 1000 + ln when c >= 25 then c when starts_with(k, left(stem, 25)) then length(left(stem, 25)) when starts_with(stem, left(ks, 25)) then length(left(ks, 25)) end as score from j),
+-- a short name counts from both sides; neighbours of 25 characters or more come first
+b as (select *, max(score) over (partition by src) as best from r where score is not null)
+select src, arg_min(publication, ord) as publication, (case when best >= 1000 then best - 1000 else best end)::int as common, count(distinct publication) > 1 as tied from b where score = best group by src, best""")
 def _(v):
     pubs = v.sql(f"select * from {_PUBS} p").withColumn("ord", F.col("publication"))
-    return k.publication_lookup(v.links.select("src"), pubs)
+    return k.publication_lookup(v.sql(f"select * from {_SRCS} x"), pubs)
 
 
 def _evidence_sql(ev, pages):
     e = f"(select distinct publication, evidence, {d.norm_search('evidence')} as n from {ev})"
-    p = f"(select publication, idx, ord, {d.norm_search('text')} as txt from {pages})"
+    p = f"(select *, list_distinct(string_split(txt, ' ')) as tw from (select publication, idx, ord, {d.norm_search('text')} as txt from {pages}))"
     frag = "array_to_string(string_split(n, ' ')[1:{w}], ' ')"
-    ex = " ".join(f"when length({frag.format(w=w)}) >= 12 and contains(txt, {frag.format(w=w)}) then {s}" for s, w in ((1, 8), (2, 6), (3, 4)))
+    ex = " ".join(f"when length({frag.format(w=w)}) >= 12 and contains(txt, {frag.format(w=w)}) then {s}" for s, w in ((2, 8), (3, 6), (4, 4)))
     return f"""
-e as {e}, p as materialized {p}, x as (select publication, evidence, n, idx, ord, case when contains(txt, left(n, 60)) then 0 {ex} end as stage from e join p using (publication) where length(n) >= 12),
-exact as (select publication, evidence, arg_min(idx, {{'s': stage, 'o': ord}}) + 1 as page, 'exact' as method from x where stage is not null group by publication, evidence),
+e as {e}, p as materialized {p}, x as (select publication, evidence, n, idx, ord, case when contains(txt, n) then 0 when contains(txt, left(n, 60)) then 1 {ex} end as stage from e join p using (publication) where length(n) >= 12),
+exact as (select publication, evidence, min(stage) as stage, arg_min(idx, {{'s': stage, 'o': ord}}) + 1 as page, 'exact' as method from x where stage is not null group by publication, evidence),
 r as (select *, list_distinct(list_filter(string_split(n, ' '), lambda w: length(w) >= 5)) as l5, list_distinct(list_filter(string_split(n, ' '), lambda w: length(w) >= 4)) as l4 from e where length(n) >= 12 and not exists (select 1 from exact z where z.publication = e.publication and z.evidence = e.evidence)),
 q as (select publication, evidence, case when len(l5) >= 3 then l5 else l4 end as toks from r),
-f as (select q.publication, evidence, idx, ord, len(toks) as n, len(list_intersect(toks, list_distinct(string_split(txt, ' ')))) as sc from q join p using (publication) where len(toks) >= 3),
-fuzzy as (select publication, evidence, arg_min(idx, {{'s': -sc, 'o': ord}}) + 1 as page, 'fuzzy' as method from f where sc >= greatest(3, cast(floor(0.6 * n) as int)) group by publication, evidence),
-linked as (select * from exact union all select * from fuzzy)"""
+f as (select q.publication, evidence, idx, ord, len(toks) as n, len(list_intersect(toks, tw)) as sc from q join p using (publication) where len(toks) >= 3),
+fuzzy as (select publication, evidence, 5 as stage, arg_min(idx, {{'s': -sc, 'o': ord}}) + 1 as page, 'fuzzy' as method from f where sc >= greatest(3, cast(floor(0.6 * n) as int)) group by publication, evidence),
+linked as (select publication, evidence, page, method, ['whole', 'start60', 'words8', 'words6', 'words4', 'fuzzy'][stage + 1] as stage from (select * from exact union all select * from fuzzy))"""
 
 
-@query("evidence_page_join", "with " + _evidence_sql("fx_evidence", "fx_pages") + " select publication, evidence, page, method from linked")
+@query("evidence_page_join", "with " + _evidence_sql("fx_evidence", "fx_pages") + " select publication, evidence, page, stage, method from linked")
 def _(v):
     return k.evidence_page_join(v.evidence, v.pages)
 
 
-# sections whose quotes are pieces of conversations and whose sources are the pages' publications
-_LSEC = """(select item_id as ord, cast(45 + item_id % 10 as double) as lat, cast(30 + item_id % 4 as double) as lon, concat(text, ' || ', substring(text, 30)) as evidence, 'EN.pdf | fr (загружено пользователем) | de' as sources from benchmark)"""
+# sections whose quotes are pieces of pages and whose sources are the pages' publications
+_LSEC = """(select item_id as ord, cast(45 + item_id % 10 as double) as lat, cast(30 + item_id % 4 as double) as lon, evidence, 'EN.pdf | fr (загружено пользователем) | de' as sources from fx_evidence)"""
 _LPAGES = "(select case lang when 'en' then 'en.pdf' else lang end as publication, doc_id as idx, doc_id as ord, text from documents)"
 
 
