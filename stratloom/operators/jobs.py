@@ -9,7 +9,7 @@ from .. import vocab
 from ..functions import geo as g
 from ..functions import numbers as n
 from ..functions.common import WORD, let, strip
-from . import places, tools
+from . import groups, places, tools
 
 
 # ---------------------------------------------------------------- folding logs
@@ -116,27 +116,33 @@ def build_proposals(recs: DataFrame, hits: DataFrame | None = None) -> DataFrame
     ``recs``: job_id, ord, locality, admin, elevation (text or NULL), excavation, geomorph, deposits,
     raw_terms, thickness, strat, dating, source_kinds, quotes (arrays). ``hits``: job_id, evidence, page.
     """
-    named = recs.withColumn("locality", strip("locality")).filter(F.col("locality").isNotNull() & ~F.col("locality").isin("", "ND"))
+    named = tools.once(recs.withColumnRenamed("locality", "_name"), "locality", strip("_name")).drop("_name") \
+        .filter(F.col("locality").isNotNull() & ~F.col("locality").isin("", "ND"))
     keys = ["job_id", "locality"]
     known = lambda c: F.filter(F.col(c), lambda x: x.isNotNull() & ~x.isin("", "ND"))
-    one = lambda c: tools.one_or_none(F.when(~F.col(c).isin("", "ND"), F.col(c)))
-    open_fields = {c: known(c) for c in ("excavation", "deposits", "strat", "dating", "source_kinds")}
-    first_fields = {"admin": one("admin"), "elevation": one("elevation"), **{c: known(c) for c in ("geomorph", "raw_terms", "thickness")}}
-    quote = {"quotes": F.filter(F.transform("quotes", strip), lambda x: x.isNotNull() & ~x.isin("", "[]", "ND"))}
-    values = tools.melt_values(named, keys, {**open_fields, **first_fields, **quote, "row": F.array(F.lit(""))}, inner_order=True)
-    packed = values.groupBy(*keys).agg(
-        F.sum(F.when(F.col("f") == "row", F.col("n"))).alias("n_records"),
-        F.min(F.when(F.col("f") == "row", F.col("first"))).alias("first"),
-        F.coalesce(tools.first_value("admin"), F.lit("ND")).alias("admin"),
-        F.coalesce(tools.first_value("elevation"), F.lit("ND")).alias("elevation"),
-        *[tools.values_seen(c).alias(c) for c in (*open_fields, "geomorph", "raw_terms", "thickness", "quotes")])
-    out = packed
+    words = {"excavation": vocab.EXCAVATIONS, "deposits": vocab.DEPOSITS, "strat": vocab.AGES, "dating": vocab.DATING, "source_kinds": vocab.SOURCE_KINDS}
+    texts = ("geomorph", "raw_terms", "thickness")
+
+    def first(c: str) -> Column:
+        return F.coalesce(F.min(F.when(F.col(c).isNotNull() & ~F.col(c).isin("", "ND"), F.struct("ord", c)))[c], F.lit("ND")).alias(c)
+
+    core = tools.materialise(named.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n_records"), F.min("ord").alias("first"), first("admin"), first("elevation"),
+        *[x for c, ws in words.items() for x in groups.first_places(c, F.col(c), ws, "ord")]))
+    quotes = F.filter(F.transform("quotes", strip), lambda x: x.isNotNull() & ~x.isin("", "[]", "ND"))
+    lists = groups.open_values(named, keys, {**{c: groups.other_words(known(c), ws) for c, ws in words.items()}, **{c: known(c) for c in texts}, "quotes": quotes})
+    # numbers need the keys and the counts only; the lists join the numbered rows by their group
+    numbered = tools.ordinal(core.select(*keys, "n_records", "first"), ["job_id"], [F.desc("n_records"), F.col("first"), F.col("locality")], "i") \
+        .select(*keys, "i")
+    cells = lists.groupBy(*keys).agg(*[groups.seen(c).alias(f"x_{c}") for c in (*words, *texts, "quotes")])
+    out = core.join(numbered, keys).join(cells, keys, "left")
+    empty = F.array().cast("array<string>")
+    out = out.select(*keys, "n_records", "admin", "elevation", "i", *[groups.words_in_order(c, ws, F.col(f"x_{c}")).alias(c) for c, ws in words.items()],
+                     *[F.coalesce(groups.by_place(F.col(f"x_{c}")), empty).alias(a) for c, a in (*zip(texts, texts, strict=True), ("quotes", "evidence"))])
     if hits is not None:
-        pages = values.filter("f = 'quotes'").select(*keys, F.col("v").alias("evidence")).join(hits, ["job_id", "evidence"]).select(*keys, "page").distinct()
-        low = pages.groupBy(*keys).agg(F.sort_array(F.collect_list("page")).alias("pages"))
-        out = out.join(low, keys, "left")
-    out = out.withColumnRenamed("quotes", "evidence")
-    return tools.ordinal(out, ["job_id"], [F.desc("n_records"), F.col("first"), F.col("locality")], "i").drop("first")
+        pages = lists.filter("f = 'quotes'").select(*keys, F.col("v").alias("evidence")).join(hits, ["job_id", "evidence"]).select(*keys, "page").distinct()
+        out = out.join(pages.groupBy(*keys).agg(F.sort_array(F.collect_list("page")).alias("pages")), keys, "left")
+    return out
 
 
 def job_bundle_join(props: DataFrame, decisions: DataFrame, status: DataFrame) -> DataFrame:

@@ -9,21 +9,20 @@ from .. import vocab
 from ..functions import numbers as n
 from ..functions import text as t
 from ..functions.common import not_missing, strip
-from . import tools
+from . import groups, tools
 
 
 def _located(raw: DataFrame) -> DataFrame:
     """Records that name a place, with the normalised place and administrative unit."""
-    named = raw.filter(not_missing(strip("nearest_locality")))
-    return named.withColumn("loc", t.norm_locality("nearest_locality")).withColumn(
-        "adm", t.norm_admin("administrative_unit"))
+    names = F.struct(strip("nearest_locality").alias("name"), t.norm_locality("nearest_locality").alias("loc"), t.norm_admin("administrative_unit").alias("adm"))
+    named = tools.once(raw, "_n", names).filter(not_missing(F.col("_n.name")))
+    return named.select(*raw.columns, "_n.loc", "_n.adm")
 
 
 def split_foreign(raw: DataFrame, words: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """(domestic, international): a Latin letter or a foreign keyword in the name decides."""
-    rows = _located(raw)
-    foreign = t.is_foreign(F.col("loc"), words)
-    return rows.filter(~foreign), rows.filter(foreign)
+    rows = tools.once(_located(raw), "_foreign", t.is_foreign(F.col("loc"), words))
+    return rows.filter(~F.col("_foreign")).drop("_foreign"), rows.filter("_foreign").drop("_foreign")
 
 
 def _text(c: str, *drop: str) -> Column:
@@ -31,100 +30,102 @@ def _text(c: str, *drop: str) -> Column:
     return tools.one_or_none(F.when(not_missing(s, *drop), s))
 
 
+# tag columns with a fixed vocabulary
+_TAGS = {"dep": vocab.DEPOSITS, "str": vocab.AGES, "dat": vocab.DATING, "exc": vocab.EXCAVATIONS, "srck": vocab.SOURCE_KINDS}
+_KEYS = ["lk", "ak"]
+
+
+def _tagged(rows: DataFrame, fields: dict[str, Column], numbers: dict[str, Column]) -> DataFrame:
+    """Place keys, tag arrays, and the bounds (lo, hi) of the parts of each number cell, computed once per row."""
+    rows = rows.withColumn("lk", F.lower("loc")).withColumn("ak", F.lower("adm"))
+    return rows.select("*", *[c.alias(f"t_{f}") for f, c in fields.items()], *[c.alias(f"r_{f}") for f, c in numbers.items()])
+
+
+def section_lists(rows: DataFrame, open_fields: dict[str, Column], tags: list[str]) -> DataFrame:
+    """(lk, ak, f, v, first, n): sources, texts and tags outside the vocabularies, one row per distinct value of a place."""
+    strange = {f: groups.other_words(F.col(f"t_{f}"), _TAGS[f]) for f in tags}
+    return groups.open_values(rows, _KEYS, {**open_fields, **strange})
+
+
+def _cells(lists: DataFrame, tags: list[str], sorted_: list[str], placed: list[str]) -> DataFrame:
+    """The sink: one row per place with the joined lists, as a table of sections needs them."""
+    return lists.groupBy(*_KEYS).agg(
+        *[groups.by_name(groups.seen(f)).alias(f"x_{f}") for f in [*tags, *sorted_]], *[groups.by_place(groups.seen(f)).alias(f"x_{f}") for f in placed],
+        F.count_if(F.col("f") == "src").alias("n_sources"))
+
+
+def _tag_set(f: str) -> Column:
+    return F.sort_array(F.concat(groups.words_of_bits(F.col(f"b_{f}"), _TAGS[f]), F.col(f"x_{f}")))
+
+
+def _measures(c: str) -> Column:
+    """Bounds of each part of a cell that has a digit."""
+    parts = F.filter(F.split(F.coalesce(F.col(c), F.lit("ND")), ";"), lambda p: p.rlike(r"\d"))
+    return F.transform(parts, lambda p: n.parse_num(strip(p)))
+
+
 def consolidate_v2(raw: DataFrame) -> DataFrame:
     """Sections keyed by (place, administrative unit), both case-insensitive.
 
     Tags become alphabetical sets, thickness kinds stay apart, the first spelling wins, landform texts and
-    quotes are kept in order of appearance. The rows are melted to distinct values
-    first, so that no group is collected before it is reduced.
+    quotes are kept in order of appearance. Tags of the fixed vocabularies are bits and numbers are bounds in one
+    aggregate; other texts are rows of their own (:func:`section_lists`) until the cells are written.
     """
     dom, _ = split_foreign(raw)
-    dom = dom.withColumn("lk", F.lower("loc")).withColumn("ak", F.lower("adm"))
-    keys = ["lk", "ak"]
-
-    def measures(c: str) -> Column:
-        # a joined cell counts part by part, so parts are what is made distinct
-        return F.filter(F.transform(F.split(F.coalesce(F.col(c), F.lit("ND")), ";"), strip),
-                        lambda p: p.rlike(r"\d"))
-
-    melted = tools.melt_capped(dom, keys, {
-        "dep": t.split_tags("type_of_deposits"), "raw": t.split_tags("deposit_raw_terms"),
-        "str": t.split_tags("stratigraphic_position"), "dat": t.split_tags("dating_methods"),
-        "exc": _text("excavation_type", "unspecified"), "srck": _text("source_kind"),
-        "src": F.array(F.coalesce(F.col("source_file"), F.lit("None"))),
-        "el": F.array(F.coalesce(F.col("absolute_elevation_m"), F.lit("ND"))),
-        **{k: measures(f"thickness_{k}") for k in vocab.THICKNESS_KINDS},
-        "loc": tools.one_or_none(F.when(F.col("loc") != "", F.col("loc"))),
-        "adm": tools.one_or_none(F.when(F.col("adm") != "", F.col("adm"))),
-        "geo": _text("geomorphic_position"), "ev": _text("evidence_locality")},
-        caps={})
-    is_number = F.col("f").isin([*vocab.THICKNESS_KINDS, "el"])
-    melted = melted.withColumn("r", F.when(is_number, n.parse_num("v")))
-
-    def bound(field: str, side: str, agg) -> Column:
-        return agg(F.when(F.col("f") == field, F.col(f"r.{side}")))
-
-    ranges = []
-    for k in vocab.THICKNESS_KINDS:
-        ranges += [bound(k, "lo", F.min).alias(f"{k}_lo"), bound(k, "hi", F.max).alias(f"{k}_hi")]
-    g = melted.groupBy(*keys).agg(
-        F.coalesce(tools.first_value("loc"), F.lit("")).alias("nearest_locality"),
-        F.coalesce(tools.first_value("adm"), F.lit("")).alias("administrative_unit"),
-        *[tools.values_sorted(f).alias(f) for f in ("exc", "dep", "raw", "str", "dat", "srck", "src")],
-        tools.values_seen("geo").alias("geo"), tools.values_seen("ev").alias("ev"),
-        bound("el", "lo", F.min).alias("elevation_min"), bound("el", "hi", F.max).alias("elevation_max"),
-        F.sum(F.when(F.col("f") == "src", F.col("n"))).alias("n_records"),
-        F.count_if(F.col("f") == "src").alias("n_sources"),
-        F.min(F.when(F.col("f") == "src", F.col("first"))).alias("ord"), *ranges)
+    tags = {"dep": t.split_tags("type_of_deposits"), "str": t.split_tags("stratigraphic_position"), "dat": t.split_tags("dating_methods"),
+            "exc": _text("excavation_type", "unspecified"), "srck": _text("source_kind")}
+    cells = {**{k: f"thickness_{k}" for k in vocab.THICKNESS_KINDS}, "el": "absolute_elevation_m"}
+    numbers = {k: _measures(c) if k != "el" else F.array(n.parse_num(F.coalesce(F.col(c), F.lit("ND")))) for k, c in cells.items()}
+    rows = _tagged(dom, tags, numbers)
+
+    def spelling(c: str) -> Column:
+        return F.coalesce(F.min(F.when(F.col(c) != "", F.struct("ord", c)))[c], F.lit(""))
+
+    core = rows.groupBy(*_KEYS).agg(
+        F.min("ord").alias("ord"), F.count(F.lit(1)).alias("n_records"), spelling("loc").alias("nearest_locality"), spelling("adm").alias("administrative_unit"),
+        *[F.bit_or(groups.word_bits(F.col(f"t_{f}"), _TAGS[f])).alias(f"b_{f}") for f in tags],
+        *[F.min(F.array_min(f"r_{k}.lo")).alias(f"{k}_lo") for k in cells], *[F.max(F.array_max(f"r_{k}.hi")).alias(f"{k}_hi") for k in cells])
+    lists = section_lists(rows, {"raw": t.split_tags("deposit_raw_terms"), "src": F.array(F.coalesce(F.col("source_file"), F.lit("None"))),
+                                 "geo": _text("geomorphic_position"), "ev": _text("evidence_locality")}, list(tags))
+    g = core.join(_cells(lists, list(tags), ["raw", "src"], ["geo", "ev"]), _KEYS)
     scrub = t.scrub_control_chars
     return g.select(
         "ord", scrub("nearest_locality").alias("nearest_locality"),
         scrub("administrative_unit").alias("administrative_unit"),
-        tools.text_or_nd(F.col("exc")).alias("excavation_type"),
-        scrub(tools.text_or_nd(F.col("geo"))).alias("geomorphic_position"),
-        tools.text_or_nd(F.col("dep")).alias("type_of_deposits"),
-        scrub(tools.text_or_nd(F.col("raw"))).alias("deposit_raw_terms"),
+        tools.text_or_nd(_tag_set("exc")).alias("excavation_type"),
+        scrub(tools.text_or_nd(F.col("x_geo"))).alias("geomorphic_position"),
+        tools.text_or_nd(_tag_set("dep")).alias("type_of_deposits"),
+        scrub(tools.text_or_nd(F.col("x_raw"))).alias("deposit_raw_terms"),
         *[n.format_range(F.col(f"{k}_lo"), F.col(f"{k}_hi")).alias(f"thickness_{k}") for k in vocab.THICKNESS_KINDS],
-        F.coalesce(F.col("elevation_min").cast("string"), F.lit("ND")).alias("elevation_min_m"),
-        F.coalesce(F.col("elevation_max").cast("string"), F.lit("ND")).alias("elevation_max_m"),
-        tools.text_or_nd(F.col("str")).alias("stratigraphic_position"),
-        tools.text_or_nd(F.col("dat")).alias("dating_methods"),
-        tools.text_or_nd(F.col("srck")).alias("source_kinds"), "n_records", "n_sources",
-        scrub(F.array_join("src", " | ")).alias("sources"),
-        scrub(tools.text_or_nd(F.col("ev"), " || ")).alias("evidence"))
+        F.coalesce(F.col("el_lo").cast("string"), F.lit("ND")).alias("elevation_min_m"),
+        F.coalesce(F.col("el_hi").cast("string"), F.lit("ND")).alias("elevation_max_m"),
+        tools.text_or_nd(_tag_set("str")).alias("stratigraphic_position"),
+        tools.text_or_nd(_tag_set("dat")).alias("dating_methods"),
+        tools.text_or_nd(_tag_set("srck")).alias("source_kinds"), "n_records", "n_sources",
+        scrub(F.array_join("x_src", " | ")).alias("sources"),
+        scrub(tools.text_or_nd(F.col("x_ev"), " || ")).alias("evidence"))
 
 
 def consolidate_v1(raw: DataFrame, thickness: str = "thickness_studied") -> DataFrame:
     """First-version sections: bounds of all rows pooled, ages in time order, the last spelling wins."""
     dom, _ = split_foreign(raw, vocab.FOREIGN_NAMES_V1)
-    dom = dom.withColumn("lk", F.lower("loc")).withColumn("ak", F.lower("adm"))
-    keys = ["lk", "ak"]
-    wide = tools.melt_values(dom, keys, {
-        "loc": F.array("loc"), "adm": F.array("adm"),
-        "dep": t.split_tags("type_of_deposits"), "str": t.split_tags("stratigraphic_position"),
-        "dat": t.split_tags("dating_methods"), "src": F.array(F.coalesce(F.col("source_file"), F.lit("None"))),
-        "th": F.array(F.coalesce(F.col(thickness), F.lit("ND"))),
-        "el": F.array(F.coalesce(F.col("absolute_elevation_m"), F.lit("ND")))})
-    wide = wide.withColumn("r", F.when(F.col("f").isin("th", "el"), n.parse_num("v", "evidence")))
+    tags = {"dep": t.split_tags("type_of_deposits"), "str": t.split_tags("stratigraphic_position"), "dat": t.split_tags("dating_methods")}
+    numbers = {"th": n.parse_num(F.coalesce(F.col(thickness), F.lit("ND")), "evidence"),
+               "el": n.parse_num(F.coalesce(F.col("absolute_elevation_m"), F.lit("ND")), "evidence")}
+    rows = _tagged(dom, tags, numbers)
+
+    def spelling(c: str) -> Column:
+        return F.max(F.struct("ord", c))[c]
+
+    core = rows.groupBy(*_KEYS).agg(
+        F.min("ord").alias("ord"), F.count(F.lit(1)).alias("n_records"), spelling("loc").alias("nearest_locality"), spelling("adm").alias("administrative_unit"),
+        *[F.bit_or(groups.word_bits(F.col(f"t_{f}"), _TAGS[f])).alias(f"b_{f}") for f in tags],
+        *[F.min(F.least(f"r_{k}.lo", f"r_{k}.hi")).alias(f"{k}_min") for k in numbers], *[F.max(F.greatest(f"r_{k}.lo", f"r_{k}.hi")).alias(f"{k}_max") for k in numbers])
+    lists = section_lists(rows, {"src": F.array(F.coalesce(F.col("source_file"), F.lit("None")))}, list(tags))
     # quotes repeat: rows count, not distinct texts
-    quotes = dom.select(*keys, "ord", F.coalesce(F.col("evidence_locality"), F.lit("None")).alias("q")).filter("q <> ''")
-    none = F.lit(None)
-    ev = quotes.select(*keys, F.lit("ev").alias("f"), F.col("q").alias("v"), F.col("ord").alias("first"),
-                       F.col("ord").alias("last"), F.lit(1).cast("bigint").alias("n"), none.cast(n.RANGE_TYPE).alias("r"))
-    melted = wide.unionByName(ev)
-
-    def pooled(field: str, agg, array_agg) -> Column:
-        return agg(F.when(F.col("f") == field, array_agg(F.array_compact(F.array("r.lo", "r.hi")))))
-
-    g = melted.groupBy(*keys).agg(
-        tools.last_value("loc").alias("nearest_locality"), tools.last_value("adm").alias("administrative_unit"),
-        pooled("th", F.min, F.array_min).alias("th_min"), pooled("th", F.max, F.array_max).alias("th_max"),
-        pooled("el", F.min, F.array_min).alias("el_min"), pooled("el", F.max, F.array_max).alias("el_max"),
-        *[tools.values_sorted(f).alias(f) for f in ("dep", "str", "dat", "src")],
-        tools.values_seen("ev").alias("ev"),
-        F.sum(F.when(F.col("f") == "src", F.col("n"))).alias("n_records"),
-        F.count_if(F.col("f") == "src").alias("n_sources"),
-        F.min(F.when(F.col("f") == "src", F.col("first"))).alias("ord"))
+    quotes = rows.select(*_KEYS, F.lit("ev").alias("f"), F.coalesce(F.col("evidence_locality"), F.lit("None")).alias("v"),
+                         groups.place_of("ord").alias("first"), F.lit(1).cast("bigint").alias("n")).filter("v <> ''")
+    g = core.join(_cells(lists.unionByName(quotes), list(tags), ["src"], ["ev"]), _KEYS)
 
     def num(c: str) -> Column:
         return F.coalesce(F.round(c, 2).cast("string"), F.lit("ND"))
@@ -133,11 +134,11 @@ def consolidate_v1(raw: DataFrame, thickness: str = "thickness_studied") -> Data
         "ord", "nearest_locality", "administrative_unit",
         num("th_min").alias("thickness_min_m"), num("th_max").alias("thickness_max_m"),
         num("el_min").alias("elevation_min_m"), num("el_max").alias("elevation_max_m"),
-        F.array_join("dep", "; ").alias("type_of_deposits"),
-        F.array_join(t.stratigraphic_order(F.col("str")), "; ").alias("stratigraphic_position"),
-        F.array_join("dat", "; ").alias("dating_methods"), "n_records", "n_sources",
-        t.scrub_control_chars(F.array_join("src", " | ")).alias("sources"),
-        t.scrub_control_chars(F.array_join("ev", " || ")).alias("evidence"))
+        F.array_join(_tag_set("dep"), "; ").alias("type_of_deposits"),
+        F.array_join(t.stratigraphic_order(_tag_set("str")), "; ").alias("stratigraphic_position"),
+        F.array_join(_tag_set("dat"), "; ").alias("dating_methods"), "n_records", "n_sources",
+        t.scrub_control_chars(F.array_join("x_src", " | ")).alias("sources"),
+        t.scrub_control_chars(F.array_join("x_ev", " || ")).alias("evidence"))
 
 
 def order_by_support(sections: DataFrame) -> DataFrame:

@@ -88,6 +88,15 @@ def spread(df: DataFrame, by: list[str]) -> DataFrame:
     return df if df.rdd.getNumPartitions() >= slots else df.repartition(slots, *by)
 
 
+def once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """``df`` with a column that is computed once per row.
+
+    A plain column is put in the place of its name wherever it is used, also in filters that move below joins, and is
+    computed anew there; the result of a generator is not.
+    """
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
 def _parallelism(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

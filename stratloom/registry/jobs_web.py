@@ -159,12 +159,31 @@ def _ouniq(e, cap=None):
     return f"coalesce(array_to_string(list_filter({e}, lambda z, i: list_position({e}, z) = i){cut}, '|'), '')"
 
 
+def _placed(e):
+    """List of an aggregate with the place of each value: its row's position, then its place in the row."""
+    return f"flatten(list(list_transform({e}, lambda z, i: {{'o': ord, 'i': i, 'v': z}})))"
+
+
+def _in_order(c, sep="|"):
+    """Distinct known values of such a list by first place, joined."""
+    v = f"list_filter(list_transform(list_sort({c}), lambda z: z.v), lambda z: z is not null and z not in ('', 'ND', '[]'))"
+    return f"coalesce(array_to_string(list_filter({v}, lambda z, i: list_position({v}, z) = i), {d.q(sep)}), '')"
+
+
+_PLISTS = {"excavation": "[excavation_type]", "geomorph": "[geomorphic_position]", "deposits": d.split_tags("type_of_deposits"), "raw_terms": d.split_tags("deposit_raw_terms"),
+           "thickness": "case when thickness_studied in ('ND', '') then [] else ['studied: ' || thickness_studied || ' м'] end", "strat": d.split_tags("stratigraphic_position"),
+           "dating": d.split_tags("dating_methods"), "source_kinds": "[source_kind]", "evidence": "[trim(evidence_locality), trim(evidence_deposit), trim(evidence_geomorph)]"}
+
+
 @query("build_proposals", f"""
-with gg as (select cast(doc_no as varchar) as job_id, {d.strip('loc')} as locality, count(*) as n_records, min(ord) as fst, first(adm order by ord, adm) filter (adm <> 'ND') as admin, list(geo order by ord, geo) filter (geo <> 'ND') as geo, list('studied: ' || th || ' м' order by ord, th) filter (th <> 'ND') as th, flatten(list([e1, e2, e3] order by ord, e1, e2, e3)) as ev, flatten(list({d.split_tags('dep')} order by ord, dep)) as dep from {_PREC} x group by 1, 2)
-select job_id, row_number() over (partition by job_id order by n_records desc, fst, locality) - 1 as i, locality, n_records, coalesce(admin, 'ND') as admin, {_ouniq('dep')} as deposits from gg""")
+with gg as (select cast(doc_no as varchar) as job_id, {d.strip('nearest_locality')} as locality, count(*) as n_records, min(ord) as fst,
+  first(administrative_unit order by ord, administrative_unit) filter (administrative_unit not in ('ND', '')) as admin, first(absolute_elevation_m order by ord, absolute_elevation_m) filter (absolute_elevation_m not in ('ND', '')) as elevation,
+  {', '.join(f"{_placed(e)} as {c}" for c, e in _PLISTS.items())} from fx_raw_records where {d.strip('nearest_locality')} not in ('ND', '') group by 1, 2)
+select job_id, row_number() over (partition by job_id order by n_records desc, fst, locality) - 1 as i, locality, n_records, coalesce(admin, 'ND') as admin, coalesce(elevation, 'ND') as elevation,
+  {', '.join(f"{_in_order(c)} as {c}" for c in _PLISTS)} from gg""")
 def _(v):
     b = j.build_proposals(_proposal_records(v))
-    return b.select("job_id", "i", "locality", "n_records", "admin", F.array_join("deposits", "|").alias("deposits"))
+    return b.select("job_id", "i", "locality", "n_records", "admin", "elevation", *[F.array_join(c, "|").alias(c) for c in _PLISTS])
 
 
 _EV = f"list_filter(list_transform(ev, lambda z: {d.strip('z')}), lambda z: z is not null and z not in ('', '[]', 'ND'))"
