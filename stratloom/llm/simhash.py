@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.tools import materialise
+from ..operators.tools import forget, materialise
 from .common import append_columns, unused
 
 SHINGLE = 3
@@ -195,7 +195,8 @@ def connected(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         low = down.groupBy("u").agg(F.min("v").alias("m"))
         small = down.join(low, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")) \
             .union(low.select("u", "m")).distinct()
-        now = materialise(small.select(F.col("u").alias("hi"), F.col("v").alias("lo")))
+        done, now = now, materialise(small.select(F.col("u").alias("hi"), F.col("v").alias("lo")))
+        forget(done, down)
         after = now.agg(F.count("hi"), F.sum(F.hash("hi", "lo").cast("long"))).first()
         if after == before:
             return now.groupBy(F.col("hi").alias("node")).agg(F.min("lo").alias("root")) \
