@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 from weakref import WeakKeyDictionary
@@ -51,12 +52,18 @@ _WRITTEN: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 def forget(*tables: DataFrame | None) -> None:
     """Delete the folders of materialised tables; everything built on them must have been written by now.
 
-    DataFrames that materialise() did not write are left alone.
+    DataFrames that materialise() did not write are left alone. Spark removes the shuffle files of finished steps when the
+    driver collects its garbage, by default every half hour; long loops would fill the disks until then, so it is asked for here.
     """
+    spark = None
     for table in tables:
         path = _WRITTEN.pop(table, None) if table is not None else None
         if path:
-            remove(table.sparkSession, path)
+            spark = table.sparkSession
+            remove(spark, path)
+    if spark is not None:
+        gc.collect()
+        spark._jvm.System.gc()
 
 
 def remove(spark: SparkSession, path: str) -> None:
