@@ -1,4 +1,4 @@
-"""Toxicity from the nearest labelled examples, by exact TF-IDF cosine over an inverted index of all their terms."""
+"""Toxicity from the nearest labelled examples, by exact TF-IDF cosine over a block-max inverted index of all their terms."""
 
 from __future__ import annotations
 
@@ -11,14 +11,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .blockmax import BlockMaxIndex
+from .blockmax import BlockMaxIndex, coherent_order
 from .common import append_columns, ragged, words
 
 EXAMPLES = 12_000  # labelled rows the classifier is fitted on, at most
 LEAST_WEIGHT = 0.005  # share of its idf that a term weighs which says nothing about the label
 NEAREST = 15
 PRIOR_WEIGHT = 0.5
-BATCH = 64  # texts scored at once
+BATCH = 128  # texts scored at once
+BLOCK = 64  # examples that share their terms' maxima
+FIRST = 3  # blocks of highest bound that are opened before there is a cosine to beat
+FEATURES = 256  # heaviest terms, by which examples are put next to like ones
+KNOWN_WORDS = 1 << 18  # terms whose place in the vocabulary a task remembers at once
 MANY = 16  # terms of one in MANY examples or more are multiplied as a matrix
 SLACK = 1e-4  # far above what single precision can be wrong by in a cosine
 
@@ -31,41 +35,122 @@ def terms_of(text: str) -> list[str]:
     return found + [w[:STEM] + "-" for w in found if len(w) > STEM]
 
 
+def term_counts(text: str) -> Counter:
+    """How often each of ``terms_of`` stands in the text."""
+    out = Counter(words(text))
+    starts = Counter()
+    for w, n in out.items():
+        if len(w) > STEM:
+            starts[w[:STEM] + "-"] += n
+    out.update(starts)
+    return out
+
+
 def hashes(terms) -> np.ndarray:
     """Terms as 64-bit numbers: a vocabulary of millions is one array."""
     return np.array([xxhash.xxh64_intdigest(t.encode("utf-8", "surrogatepass")) for t in terms], np.uint64)
 
 
+class WordMemory:
+    """Words a task has met, with the numbers of their terms; a matter of cost alone."""
+
+    def __init__(self):
+        self.number: dict[str, int] = {}
+        self.start: dict[str, int] = {}
+        self.word_at = self.start_at = np.zeros(0, np.int64)
+
+    def add(self, new: list[str], word_at, start_at) -> None:
+        n = len(self.number)
+        self.number.update(zip(new, range(n, n + len(new)), strict=True))
+        if n + len(new) > len(self.word_at):
+            room = 2 * (n + len(new))
+            self.word_at, self.start_at = (np.r_[x[:n], np.zeros(room - n, np.int64)] for x in (self.word_at, self.start_at))
+        self.word_at[n:n + len(new)], self.start_at[n:n + len(new)] = word_at, start_at
+
+
 class Model:
     """Sorted hash and weight of every term of the examples, index of unit vectors, labels and ids of the examples, base rate of the label.
 
-    ``new`` is the weight of a term that no example has: it counts in a text's length.
+    ``new`` is the weight of a term that no example has: it counts in a text's length. The examples are numbered so
+    that neighbours are alike; ``place`` is their order for ties.
     """
 
     def __init__(self, terms, idf, item, df, tf, toxic, ids, rate, new=0.0):
-        self.terms, self.idf, self.toxic, self.ids, self.rate, self.new = terms, idf, toxic, ids, rate, new
-        # postings by term and item, in as few bytes as they need: this is what is sent to the tasks
-        self.item, self.df, self.tf = item.astype(np.min_scalar_type(len(ids))), df, tf.astype(np.min_scalar_type(int(tf.max(initial=0))))
+        self.terms, self.idf, self.rate, self.new = terms, idf, rate, new
+        self.df, self.tf = df, tf.astype(np.min_scalar_type(int(tf.max(initial=0))))
+        order = coherent_order(self._features(item, len(ids)), BLOCK)
+        number = np.empty(len(ids), np.min_scalar_type(len(ids)))
+        number[order] = np.arange(len(ids))
+        self.toxic, self.ids, self.place = toxic[order], ids[order], order
+        # postings by term, in as few bytes as they need: this is what is sent to the tasks
+        self.item = number[item]
+
+    def _weights(self, item: np.ndarray, term: np.ndarray, n: int) -> np.ndarray:
+        weight = (1 + np.log(self.tf.astype(float))) * self.idf[term]
+        weight /= np.sqrt(np.bincount(item, weight * weight, n))[item]
+        return weight
+
+    def _features(self, item: np.ndarray, n: int) -> np.ndarray:
+        term = np.repeat(np.arange(len(self.df), dtype=np.int32), self.df)
+        weight = self._weights(item, term, n)
+        heavy = np.argsort(-np.bincount(term, weight * weight, len(self.df)), kind="stable")[:FEATURES]
+        row = np.full(len(self.df), -1, np.int32)
+        row[heavy] = np.arange(len(heavy))
+        mine = np.flatnonzero(row[term] >= 0)
+        out = np.zeros((n, max(1, len(heavy))), np.float32)
+        out[item[mine], row[term[mine]]] = weight[mine]
+        return out
 
     @property
     def index(self) -> BlockMaxIndex:
-        """The unit vectors; all items are one block, as sums of so many terms' maxima bound nothing."""
+        """The unit vectors, in blocks of like examples."""
         if "_index" not in self.__dict__:
             n, term = len(self.ids), np.repeat(np.arange(len(self.df), dtype=np.int32), self.df)
             item = self.item.astype(np.int32)
-            weight = (1 + np.log(self.tf.astype(float))) * self.idf[term]
-            weight /= np.sqrt(np.bincount(item, weight * weight, n))[item]
-            self._index = BlockMaxIndex(n, len(self.df), item, term, weight, max(1, n))
+            self._index = BlockMaxIndex(n, len(self.df), item, term, self._weights(item, term, n), BLOCK)
         return self._index
 
-    def vector(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        counts = Counter(terms_of(text))
-        names, tf = hashes(counts), 1 + np.log(np.fromiter(counts.values(), float, len(counts)))
-        at = np.searchsorted(self.terms, names)
+    def _places(self, names: list[str]) -> np.ndarray:
+        """Place of each term in the vocabulary, -1 where it has none."""
+        hashed = hashes(names)
+        at = np.searchsorted(self.terms, hashed)
         known = at < len(self.terms)
-        known[known] = self.terms[at[known]] == names[known]
-        order = np.argsort(at[known])
-        at, w, other = at[known][order], (tf[known] * self.idf[at[known]])[order], tf[~known] * self.new
+        known[known] = self.terms[at[known]] == hashed[known]
+        return np.where(known, at, -1)
+
+    def _numbered(self, found: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Terms that the words and their starts are: places from 0 on, -1 for no term, other negative numbers for terms that no example has."""
+        memory = self.__dict__.setdefault("_seen", WordMemory())
+        at = list(map(memory.number.get, found))
+        if None in at:
+            if len(memory.number) > KNOWN_WORDS:
+                memory = self._seen = WordMemory()
+            new = [w for w in found if w not in memory.number]
+            starts = [w[:STEM] + "-" if len(w) > STEM else None for w in new]
+            unseen = [x for x in dict.fromkeys(starts) if x is not None and x not in memory.start]
+            for x, place in zip(unseen, self._places(unseen).tolist(), strict=True):
+                memory.start[x] = place if place >= 0 else -2 - len(memory.start)
+            memory.add(new, self._places(new), [-1 if x is None else memory.start[x] for x in starts])
+            at = list(map(memory.number.get, found))
+        at = np.array(at, np.int64)
+        return memory.word_at[at], memory.start_at[at]
+
+    def vector(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        counts = Counter(words(text))
+        if not counts:
+            return np.zeros(0, np.int64), np.zeros(0)
+        tf = np.fromiter(counts.values(), np.int64, len(counts))
+        word, start = self._numbered(list(counts))
+        at, which = np.unique(start, return_inverse=True)
+        times = np.bincount(which, tf)
+        if at[0] < 0 and -1 in at[:np.searchsorted(at, 0)]:
+            times, at = times[at != -1], at[at != -1]
+        at, times = np.concatenate((word, at)), 1 + np.log(np.concatenate((tf, times)))
+        known = at >= 0
+        w, other = times[known] * self.idf[at[known]], times[~known] * self.new
+        at = at[known]
+        order = np.argsort(at)
+        at, w = at[order], w[order]
         norm = np.sqrt((w * w).sum() + (other * other).sum())
         return at, w / norm if norm else w
 
@@ -73,24 +158,29 @@ class Model:
         return self.score_all([text])[0]
 
     def score_all(self, texts: list[str]) -> list[tuple[float, list[int], list[float]]]:
-        """Votes weigh the squared cosine; the base rate counts as one more vote."""
-        out = []
-        for base in range(0, len(texts), BATCH):
-            vectors = [self.vector(x) for x in texts[base:base + BATCH]]
-            for near, cosine in self.nearest(vectors):
+        """Votes weigh the squared cosine; the base rate counts as one more vote. Equal texts are scored once."""
+        found, different = {}, list(dict.fromkeys(texts))
+        for base in range(0, len(different), BATCH):
+            part = different[base:base + BATCH]
+            for text, (near, cosine) in zip(part, self.nearest([self.vector(x) for x in part]), strict=True):
                 if len(near):
                     vote = cosine * cosine
                     score = (vote @ self.toxic[near] + PRIOR_WEIGHT * self.rate) / (vote.sum() + PRIOR_WEIGHT)
-                    out.append((float(min(1.0, max(0.0, score))), self.ids[near].tolist(), np.minimum(cosine, 1.0).tolist()))
+                    found[text] = float(min(1.0, max(0.0, score))), self.ids[near].tolist(), np.minimum(cosine, 1.0).tolist()
                 else:
-                    out.append((self.rate, [], []))
-        return out
+                    found[text] = self.rate, [], []
+        return [found[x] for x in texts]
 
     def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k not in ("_parts", "_index")}
+        return {k: v for k, v in self.__dict__.items() if k not in ("_parts", "_index", "_seen", "_opened")}
+
+    def opened(self) -> float:
+        """Share of the blocks that the texts scored so far have opened."""
+        some, of_all = self.__dict__.get("_opened", (0, 0))
+        return some / of_all if of_all else 0.0
 
     def parts(self):
-        """Terms of many examples as rows of a matrix, starts of each term's postings, and the postings by example."""
+        """Terms of many examples as one matrix per block and as a matrix of their maxima, starts of each term's postings, and the postings by example."""
         if "_parts" not in self.__dict__:
             x = self.index
             start = x.entry_start[x.term_entries]
@@ -98,39 +188,73 @@ class Model:
             row = np.full(x.n_terms, -1)
             many = np.flatnonzero(df * MANY >= max(1, x.n_items))
             row[many] = np.arange(len(many))
-            dense = np.zeros((len(many), x.n_items), np.float32)
+            dense = np.zeros((x.n_blocks, len(many), BLOCK), np.float32)
+            most = np.zeros((len(many), x.n_blocks), np.float32)
             for r, t in enumerate(many):
-                dense[r, x.item[start[t]:start[t + 1]]] = x.weight[start[t]:start[t + 1]]
+                own = slice(start[t], start[t + 1])
+                dense[x.item[own] // BLOCK, r, x.item[own] % BLOCK] = x.weight[own]
+                own = slice(x.term_entries[t], x.term_entries[t + 1])
+                most[r, x.entry_block[own]] = x.entry_max[own]
             term = np.repeat(np.arange(x.n_terms, dtype=np.int32), df)
             order = np.argsort(x.item.astype(np.int32), kind="stable")
-            self._parts = dense, row, start, np.searchsorted(x.item[order], np.arange(x.n_items + 1)), term[order], x.weight[order]
+            self._parts = dense, most, row, start, x.weight.astype(np.float32), np.searchsorted(x.item[order], np.arange(x.n_items + 1)), term[order], x.weight[order]
         return self._parts
 
     def nearest(self, vectors):
-        """The NEAREST examples of highest cosine above 0 of each vector, ties by position; exact.
+        """The NEAREST examples of highest cosine above 0 of each vector, ties by place; exact.
 
-        Sums in single precision find all that can be among them, which are then scored in double precision.
+        The short postings of rare terms are added up; the rest of a block is bounded by the sum of the maxima of its
+        frequent terms. The FIRST blocks of each text give a cosine to beat, then the blocks are opened whose bound reaches it.
+        Sums in single precision find all examples that can be among the nearest, which are then scored in double precision.
         """
-        dense, row, start, own, term, weight = self.parts()
-        asked = np.zeros((len(vectors), len(dense)), np.float32)
+        dense, most, row, start, single, own, term, weight = self.parts()
+        x, n = self.index, len(vectors)
+        asked = np.zeros((n, dense.shape[1]), np.float32)
+        rough = np.zeros((n, x.n_blocks * BLOCK), np.float32)
         for q, (at, w) in enumerate(vectors):
             r = row[at]
-            asked[q, r[r >= 0]] = w[r >= 0]
-        about = asked @ dense
-        full = np.zeros(self.index.n_terms)
+            frequent = r >= 0
+            asked[q, r[frequent]] = w[frequent]
+            at, w = at[~frequent], w[~frequent]
+            size = start[at + 1] - start[at]
+            shift = start[at] - np.cumsum(size) + size
+            posts = np.arange(size.sum(), dtype=np.int32) + np.repeat(shift.astype(np.int32), size)
+            rough[q, :x.n_items] = np.bincount(x.item[posts], single[posts] * np.repeat(w.astype(np.float32), size), x.n_items)
+        bound = asked @ most + rough.reshape(n, x.n_blocks, BLOCK).max(axis=2)
+
+        def score(chosen):
+            for b in np.flatnonzero(chosen.any(axis=0)):
+                some = np.flatnonzero(chosen[:, b])
+                rough[some, b * BLOCK:(b + 1) * BLOCK] += asked[some] @ dense[b]
+
+        opened = np.ones(bound.shape, bool)
+        least = np.zeros(n, np.float32)
+        if x.n_blocks > FIRST:
+            first = np.argpartition(-bound, FIRST, axis=1)[:, :FIRST]
+            opened[:] = False
+            np.put_along_axis(opened, first, True, axis=1)
+            score(opened)
+            got = np.take_along_axis(rough.reshape(n, x.n_blocks, BLOCK), first[:, :, None], axis=1).reshape(n, FIRST * BLOCK)
+            least = np.partition(got, FIRST * BLOCK - NEAREST, axis=1)[:, FIRST * BLOCK - NEAREST]
+            more = ~opened & (bound > 0) & (bound >= least[:, None] - SLACK)
+            score(more)
+            opened |= more
+        else:
+            score(opened)
+        before = self.__dict__.get("_opened", (0, 0))
+        self._opened = before[0] + int(opened.sum()), before[1] + opened.size
+        full = np.zeros(x.n_terms)
         for q, (at, w) in enumerate(vectors):
-            rare = row[at] < 0
-            n = start[at[rare] + 1] - start[at[rare]]
-            posts = ragged(start[at[rare]], n)
-            rough = about[q] + np.bincount(self.index.item[posts], self.index.weight[posts] * np.repeat(w[rare], n), self.index.n_items)
-            least = np.partition(rough, len(rough) - NEAREST)[len(rough) - NEAREST] if len(rough) > NEAREST else 0.0
-            some = np.flatnonzero((rough > 0) & (rough >= least - SLACK))
+            some = np.flatnonzero((rough[q] > 0) & (rough[q] >= least[q] - SLACK))
+            if len(some) > NEAREST:
+                near = rough[q, some]
+                some = some[near >= np.partition(near, len(some) - NEAREST)[len(some) - NEAREST] - SLACK]
             full[at] = w
-            n = own[some + 1] - own[some]
-            posts = ragged(own[some], n)
-            cosine = np.bincount(np.repeat(np.arange(len(some)), n), weight[posts] * full[term[posts]], len(some))
+            size = own[some + 1] - own[some]
+            posts = ragged(own[some], size)
+            cosine = np.bincount(np.repeat(np.arange(len(some)), size), weight[posts] * full[term[posts]], len(some))
             full[at] = 0
-            best = np.lexsort((some, -cosine))[:NEAREST]
+            best = np.lexsort((self.place[some], -cosine))[:NEAREST]
             yield some[best], cosine[best]
 
 
@@ -158,7 +282,7 @@ def fit(docs: DataFrame, labels: DataFrame, usable=None, id_col: str = "doc_id",
 
     def count(batches):
         for batch in batches:
-            found = [Counter(terms_of(x or "")) for x in batch.column("_text").to_pylist()]
+            found = [term_counts(x or "") for x in batch.column("_text").to_pylist()]
             names = [hashes(c) for c in found]
             # in the order of the hashes, so that equal texts make equal rows
             order = [np.argsort(h) for h in names]
