@@ -343,11 +343,14 @@ def not_place_reason(c: Column | str) -> Column:
             .when(~n.rlike("[А-Яа-яЁёA-Za-z]{4,}"), "нет словесной основы"))
 
 
+# fixed pattern
+INTERNAL_LABEL = (rf"^[{SPACE}]*(site|участок|площадк[{WORD}]*|section|разрез|скв[{WORD}]*|borehole|pit|шурф)?"
+                  rf"[{SPACE}]*[\-{WORD}]{{0,3}}[\-{SPACE}]?\d+[\-{WORD}]*[{SPACE}]*$")
+
+
 def is_internal_label(c: Column | str) -> Column:
     """"Site 1", "OT-22V": a designation inside one publication, not a place name."""
-    return col(c).rlike(
-        rf"(?iu)^[{SPACE}]*(site|участок|площадк[{WORD}]*|section|разрез|скв[{WORD}]*|borehole|pit|шурф)?"
-        rf"[{SPACE}]*[\-{WORD}]{{0,3}}[\-{SPACE}]?\d+[\-{WORD}]*[{SPACE}]*$")
+    return col(c).rlike("(?iu)" + INTERNAL_LABEL)
 
 
 def is_hedged(c: Column | str) -> Column:

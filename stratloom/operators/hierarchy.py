@@ -9,13 +9,15 @@ from .. import vocab
 from ..functions import geo as g
 from ..functions import text as t
 from . import places, tools
+from .containment import containing
 
 
 def anchor_resolve(sub: DataFrame, anchors: DataFrame, gaz: DataFrame) -> DataFrame:
     """Base point of sub-sites: parent, else the one known site their reason names, else a known site inside
     the anchor phrase, else the gazetteer's first answer. Adds base_lat, base_lon, base_by.
 
-    Sites are made distinct by name within a publication before the join.
+    Sites are made distinct by name within a publication before the join; phrases meet the names they contain through
+    the rarest substring of each name.
     """
     key = t.plain_key
     a = anchors.select("job_id", key("locality").alias("k"), "lat", "lon", "ord").filter("k <> ''").groupBy("job_id", "k").agg(
@@ -24,11 +26,14 @@ def anchor_resolve(sub: DataFrame, anchors: DataFrame, gaz: DataFrame) -> DataFr
         "usable", ~t.is_hedged("why"))
     parent = s.filter(F.col("usable") & (F.col("relation") != vocab.REL_FOREIGN)).join(
         a.withColumnRenamed("k", "pk"), ["job_id", "pk"]).select("ord", F.col("p").alias("p1"))
+    # phrases are compared as texts, once each: many sub-sites repeat them
     free = s.filter(F.col("usable") & (F.col("anchor") == "") & (F.col("parent") == "")).select("ord", "job_id", "wk")
-    told = free.join(a, "job_id").filter(F.contains("wk", "k")).groupBy("ord").agg(
-        F.count(F.lit(1)).alias("c"), F.min("p").alias("p2")).filter("c = 1").drop("c")
+    told = containing(free, a, ["job_id"], "wk", "k").groupBy("job_id", "wk").agg(F.count(F.lit(1)).alias("c"), F.min("k").alias("k"))
+    told = told.filter("c = 1").join(a, ["job_id", "k"]).select("job_id", "wk", F.col("p").alias("p2"))
+    told = free.join(told, ["job_id", "wk"]).select("ord", "p2")
     phrase = s.filter(F.col("usable") & (F.col("anchor") != "")).select("ord", "job_id", "ak")
-    inside = phrase.join(a, "job_id").filter(F.contains("ak", "k")).groupBy("ord").agg(F.min("p").alias("p3"))
+    inside = containing(phrase, a, ["job_id"], "ak", "k").join(a, ["job_id", "k"]).groupBy("job_id", "ak").agg(F.min("p").alias("p3"))
+    inside = phrase.join(inside, ["job_id", "ak"]).select("ord", "p3")
     first = gaz.groupBy(F.col("name").alias("anchor")).agg(F.min(F.struct("rank", "lat", "lon")).alias("p4"))
     j = s.join(parent, "ord", "left").join(told, "ord", "left").join(inside, "ord", "left").join(first, "anchor", "left")
     p4 = F.when(F.col("usable") & (F.col("anchor") != "") & ~t.is_internal_label("anchor"), F.col("p4"))

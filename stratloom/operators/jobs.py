@@ -253,6 +253,28 @@ def orphan_corrections(corr: DataFrame, live: DataFrame) -> DataFrame:
     return corr.filter(F.coalesce("reviewer", F.lit("")) != vocab.SYSTEM_USER).join(live.select("marker_key").distinct(), "marker_key", "left_anti")
 
 
+def nearest_or_only(points: DataFrame, markers: DataFrame, limit_m: float, sure_m: float = 1000.0) -> DataFrame:
+    """(marker_key, marker): the nearest marker within ``sure_m`` of a key's points, else the only one within ``limit_m``.
+
+    Rings grow by doubling: a key leaves once it has a sure marker or a second one, so the many markers of a crowded area
+    are met at the smallest distance only. Markers of one point count as many and are one row.
+    """
+    spots = markers.groupBy(F.col("lat").alias("rlat"), F.col("lon").alias("rlon")).agg(F.min("marker").alias("marker"), F.count(F.lit(1)).alias("n"))
+    spots, todo = tools.materialise(spots), tools.materialise(points)
+    radius, found = min(sure_m, limit_m), None
+    while True:
+        met = places.near_pairs(todo, spots, radius).groupBy("marker_key").agg(F.sum("n").alias("k"), F.min(F.struct("d", "marker")).alias("m"))
+        met = tools.materialise(met.select("marker_key", "k", "m.marker", (F.col("m.d") < sure_m).alias("sure")))
+        last = radius >= limit_m
+        chosen = met.filter(F.col("sure") | ((F.col("k") == 1) & F.lit(last))).select("marker_key", "marker")
+        found = chosen if found is None else found.unionByName(chosen)
+        if last:
+            return found
+        left = tools.materialise(todo.join(met.filter("sure or k > 1").select("marker_key"), "marker_key", "left_anti"))
+        tools.forget(todo)
+        todo, radius = left, min(radius * 2, limit_m)
+
+
 def orphan_resolve(orphans: DataFrame, moved: DataFrame, markers: DataFrame, limit_km: float = 5) -> DataFrame:
     """Where entries of vanished markers belong: (marker_key, target, why).
 
@@ -264,22 +286,22 @@ def orphan_resolve(orphans: DataFrame, moved: DataFrame, markers: DataFrame, lim
     led = keys.join(moved, "marker_key").join(markers.select(F.col("marker").alias("to")), "to", "left_semi").groupBy(
         "marker_key").agg(F.max("to").alias("a"))
 
-    # a name is looked up through its longest word; namesakes collapse to one row first
+    # a name is looked up through the word that fewest names have; namesakes collapse to one row first
     tokens = lambda c: F.regexp_extract_all(F.lower(c), F.lit(f"[{WORD}]+"), F.lit(0))
     names = markers.filter(F.length("name") >= 5).groupBy(F.lower("name").alias("nm")).agg(
         F.min("marker").alias("lo"), F.max("marker").alias("hi"))
-    longest = let(tokens("nm"), lambda w: F.array_max(F.transform(w, lambda x: F.struct(F.length(x).alias("l"), x.alias("w"))))["w"])
-    words = orphans.filter("comment <> ''").select("marker_key", "comment", F.explode(F.array_distinct(tokens("comment"))).alias("w"))
-    named = words.join(names.withColumn("w", longest), "w").filter(F.rlike(F.lower("comment"), F.concat(
+    each = names.select("nm", "lo", "hi", F.explode(F.array_distinct(tokens("nm"))).alias("w"))
+    often = each.groupBy("w").agg(F.count(F.lit(1)).alias("n"))
+    keyed = each.join(often, "w").groupBy("nm", "lo", "hi").agg(F.min(F.struct("n", (-F.length("w")).alias("l"), "w"))["w"].alias("w"))
+    words = orphans.filter("comment <> ''").select("marker_key", "comment").distinct().select(
+        "marker_key", "comment", F.explode(F.array_distinct(tokens("comment"))).alias("w"))
+    named = words.join(keyed, "w").filter(F.rlike(F.lower("comment"), F.concat(
         F.lit(f"(?<![{WORD}])\\Q"), F.col("nm"), F.lit(f"\\E(?![{WORD}])"))))
     nm = named.groupBy("marker_key").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).filter("lo = hi").select(
         "marker_key", F.col("lo").alias("b"))
 
     cuts = keys.select("marker_key", F.explode(g.split_marker_key("marker_key")).alias("p")).select("marker_key", "p.lat", "p.lon")
-    spots = markers.select("marker", F.col("lat").alias("rlat"), F.col("lon").alias("rlon"))
-    near = places.near_pairs(cuts, spots, limit_km * 1000.0)
-    nr = near.groupBy("marker_key").agg(F.count(F.lit(1)).alias("k"), F.min(F.struct("d", "marker")).alias("m")).filter(
-        (F.col("k") == 1) | (F.col("m.d") < 1000)).select("marker_key", F.col("m.marker").alias("c"))
+    nr = nearest_or_only(cuts, markers.select("marker", "lat", "lon"), limit_km * 1000.0).withColumnRenamed("marker", "c")
     j = keys.join(led, "marker_key", "left").join(nm, "marker_key", "left").join(nr, "marker_key", "left")
     return j.select("marker_key", F.coalesce("a", "b", "c").alias("target"),
                     F.when(F.col("a").isNotNull(), "ledger").when(F.col("b").isNotNull(), "named")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as t
 from . import tools
+from .containment import any_of, containing, covered
 from .quotes import evidence_page_join, publication_lookup
 
 
@@ -160,25 +161,24 @@ def line_highlight_join(lines: DataFrame, phrases: DataFrame) -> DataFrame:
     """Lines of a page (4 characters or more) that match a quote (12 or more) linked to the page.
 
     A match is containment either way, or two words and 60 % of the words of four letters or more either
-    way; repeated words count each time. The semi-join stops at the first quote that matches.
+    way; repeated words count each time. Equal lines of a page are compared once, and only with quotes
+    that share a rare substring or a rare word with them.
     """
-    def prep(df: DataFrame, c: str, p: str, least: int, keys: list[str]) -> DataFrame:
-        d = df.withColumn(p, t.norm_search(c)).filter(F.length(p) >= least)
-        return d.withColumn(f"{p}_all", F.split(p, " ")).withColumn(
-            f"{p}_long", F.filter(F.split(p, " "), lambda w: F.length(w) >= 4)).select(*keys, p, f"{p}_all", f"{p}_long")
-
-    a = prep(lines, "text", "t", 4, ["slug", "page", "n"])
-    b = prep(phrases, "phrase", "q", 12, ["slug", "page"]).distinct().select(
-        F.col("slug").alias("_s"), F.col("page").alias("_p"), "q", "q_all", "q_long")
-
-    def covered(words: str, other: str) -> Column:
-        c = F.size(F.filter(words, lambda w: F.array_contains(other, w)))
-        n = F.size(words)
-        return (n >= 2) & (c >= 2) & (c / n >= 0.6)
-
-    match = (F.contains("t", "q") | ((F.length("t") >= 12) & F.contains("q", "t"))
-             | covered("q_long", "t_all") | covered("t_long", "q_all"))
-    return a.join(b, (F.col("slug") == F.col("_s")) & (F.col("page") == F.col("_p")) & match, "left_semi").select("slug", "page", "n")
+    page = ["slug", "page"]
+
+    def prep(df: DataFrame, c: str, p: str, least: int, *keep: str) -> DataFrame:
+        d = df.select(*page, *keep, t.norm_search(c).alias(p)).filter(F.length(p) >= least)
+        return d.withColumn(f"{p}_all", F.split(p, " ")).withColumn(f"{p}_long", F.filter(F.split(p, " "), lambda w: F.length(w) >= 4))
+
+    a, b = tools.materialise(prep(lines, "text", "t", 4, "n")), tools.materialise(prep(phrases, "phrase", "q", 12).distinct())
+    matched = any_of(
+        containing(a, b, page, "t", "q").select(*page, "t"),
+        containing(b, a.filter(F.length("t") >= 12), page, "q", "t").select(*page, "t"),
+        covered(b, a, page, "q_long", "t_all").select(*page, F.array_join("t_all", " ").alias("t")))
+    # both sides of the second cover are word lists of the line: the line itself is met through its long words
+    by_long = covered(a, b, page, "t_long", "q_all").select(*page, "t_long").distinct()
+    out = a.join(matched, [*page, "t"], "left_semi").unionByName(a.join(by_long, [*page, "t_long"], "left_semi"))
+    return out.select(*page, "n").distinct()
 
 
 # ---------------------------------------------------------------- archive

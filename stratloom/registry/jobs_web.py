@@ -249,7 +249,8 @@ def _(v):
     return j.apply_fix_log(_corr_on_markers(v), ledger, v.sections)[1].select("marker_key", "locality", "to")
 
 
-_LIVE = "(select concat(lat_text, lon_text) as marker_key from fx_marker_points where name < 'Customer#000000100')"
+# all markers, those of every third customer no longer where they were
+_LIVE = "(select concat(lat_text, lon_text, case when ord % 3 = 0 then '5' else '' end) as marker_key from fx_marker_points)"
 
 
 @query("orphan_corrections", f"select ord, marker_key from fx_corrections where reviewer <> 'система' and marker_key not in (select marker_key from {_LIVE} l)")
@@ -257,7 +258,7 @@ def _(v):
     return j.orphan_corrections(v.corrections, v.sql(f"select * from {_LIVE} l")).select("ord", "marker_key")
 
 
-_MP = "(select name, cast(lat_text as double) as lat, cast(lon_text as double) + 0.02 as lon, concat('x', name) as marker from fx_marker_points where name > 'Customer#000000050')"
+_MP = "(select name, cast(lat_text as double) as lat, cast(lon_text as double) + 0.02 as lon, concat('x', name) as marker from fx_marker_points)"
 
 @query("orphan_resolve", f"""
 with o as (select distinct marker_key from fx_corrections where reviewer <> 'система'), m as {_MP}, led as (select marker_key, max('x' || name) as a from (select marker_key, min(ord) as k from fx_corrections where reviewer <> 'система' and verdict = 'correct' group by 1) q join m on m.name = 'Customer#' || lpad(cast(k % 1500 as varchar), 9, '0') group by 1),
@@ -360,17 +361,22 @@ def _(v):
 
 
 _ANCH = "(select c_custkey as ord, concat('job', cast(c_nationkey as varchar(9))) as job_id, case when c_custkey % 5 < 3 then concat('Якорь ', cast(c_custkey % 40 as varchar(9))) else concat('Площадка ', cast(cast(floor(c_custkey / 2) as bigint) as varchar(9))) end as locality, 45 + cast(c_custkey as double) / cast(100 as double) as lat, 40.0 + cast(c_custkey % 10 as double) as lon from customer)"
-_SUBA = "(select ord, job_id, name, relation, case when ord % 3 = 0 then '' else parent end as parent, case when ord % 3 = 0 and ord % 2 = 0 then '' when ord % 4 = 1 then concat('у села Якорь ', cast(ord % 40 as varchar(9))) else anchor end as anchor, offset_km, direction, why from fx_subsites)"
+# every fifth sub-site is anchored at a place of the gazetteer, which also has the names of some sub-sites
+_SUBA = "(select s.ord, job_id, s.name, relation, case when s.ord % 3 = 0 then '' else parent end as parent, case when s.ord % 5 = 2 then z.name when s.ord % 3 = 0 and s.ord % 2 = 0 then '' when s.ord % 4 = 1 then concat('у села Якорь ', cast(s.ord % 40 as varchar(9))) else anchor end as anchor, offset_km, direction, why from fx_subsites s join fx_gazetteer z on z.rank = s.ord)"
+_GAZA = "(select name, lat, lon, rank from fx_gazetteer union all select concat('Площадка ', cast(rank as varchar(9))), lat, lon, rank from fx_gazetteer)"
 
 
 @query("anchor_resolve", f"""
 with s as (select *, not regexp_matches(why, '(?i)вероятн|возможно') as usable from {_SUBA} z), a as (select job_id, lower(locality) as k, min({{'o': ord, 'la': lat, 'lo': lon}}) as fst from {_ANCH} y group by 1, 2),
- g as (select name, arg_min(lat, rank) as la, arg_min(lon, rank) as lo from fx_gazetteer group by 1), p1 as (select s.ord, a.fst from s join a on a.job_id = s.job_id and a.k = lower(s.parent) where usable and relation <> '{vocab.REL_FOREIGN}'),
+ gz as (select name as anchor, min({{'o': rank, 'la': lat, 'lo': lon}}) as fst from {_GAZA} q group by 1), p1 as (select s.ord, a.fst from s join a on a.job_id = s.job_id and a.k = lower(s.parent) where usable and relation <> '{vocab.REL_FOREIGN}'),
  p2 as (select s.ord, min(a.fst) as fst from s join a on a.job_id = s.job_id and contains(lower(why), a.k) where usable and anchor = '' and parent = '' group by 1 having count(*) = 1),
- p3 as (select s.ord, min(a.fst) as fst from s join a on a.job_id = s.job_id and contains(lower(anchor), a.k) where usable and anchor <> '' group by 1)
-select s.ord, coalesce(p1.fst.la, p2.fst.la, p3.fst.la) as base_lat, coalesce(p1.fst.lo, p2.fst.lo, p3.fst.lo) as base_lon, case when p1.ord is not null then 'parent' when p2.ord is not null then 'reason' when p3.ord is not null then 'phrase' end as base_by from s left join p1 using (ord) left join p2 using (ord) left join p3 using (ord)""")
+ p3 as (select s.ord, min(a.fst) as fst from s join a on a.job_id = s.job_id and contains(lower(anchor), a.k) where usable and anchor <> '' group by 1),
+ p4 as (select s.ord, gz.fst from s join gz using (anchor) where usable and anchor <> '' and not regexp_matches(anchor, {d.q('(?i)' + t.INTERNAL_LABEL)}))
+select s.ord, coalesce(p1.fst.la, p2.fst.la, p3.fst.la, p4.fst.la) as base_lat, coalesce(p1.fst.lo, p2.fst.lo, p3.fst.lo, p4.fst.lo) as base_lon,
+ case when p1.ord is not null then 'parent' when p2.ord is not null then 'reason' when p3.ord is not null then 'phrase' when p4.ord is not null then 'gazetteer' end as base_by from s left join p1 using (ord) left join p2 using (ord) left join p3 using (ord) left join p4 using (ord)""")
 def _(v):
-    return h.anchor_resolve(v.sql(f"select * from {_SUBA} z"), v.sql(f"select * from {_ANCH} y"), v.gazetteer).select("ord", "base_lat", "base_lon", "base_by")
+    sub, anchors, gaz = (v.sql(f"select * from {x} z") for x in (_SUBA, _ANCH, _GAZA))
+    return h.anchor_resolve(sub, anchors, gaz).select("ord", "base_lat", "base_lon", "base_by")
 
 
 # ------------------------------------------------------------------ crawl
