@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from . import tools
 
 GRAM = 6  # characters of a key; a matter of cost, not of results
+PROBES = 4  # of a name; as well
 SALTS = 16  # tasks that the texts of one key are dealt to
 _NUM, _DEN, _LEAST = 3, 5, 2  # fixed values: share of the words that must be met, as a fraction, and their least number
 
@@ -21,22 +22,27 @@ def _grams(c: str, n: Column) -> Column:
 def containing(texts: DataFrame, names: DataFrame, by: list[str], text: str = "text", name: str = "name") -> DataFrame:
     """(by, text, name): distinct texts with each non-empty name of the same group that they contain literally.
 
-    All substrings of ``GRAM`` characters of a name (all of a shorter name) must occur in texts of its group; names of which one
-    does not are dropped first. The others meet texts through the one that fewest texts have. So a group is
+    ``PROBES`` substrings of a name, of ``GRAM`` characters or all of a shorter name, must occur in texts of its group; names of
+    which one does not are dropped first. The others meet texts through the one that fewest texts have. So a group is
     spread over its substrings, and the texts of a substring are dealt to ``SALTS`` tasks. Nulls match nothing.
     """
     rows = names.select(*by, name).filter(F.length(name) > 0).distinct().withColumn("_len", F.least(F.length(name), F.lit(GRAM)))
+    last = F.length(name) - F.col("_len")
+    starts = F.array_distinct(F.transform(F.sequence(F.lit(0), F.lit(PROBES - 1)), lambda i: F.floor(last * i / (PROBES - 1)).cast("int") + 1))
+    rows = rows.select(*by, name, "_len", F.array_distinct(F.transform(starts, lambda i: F.substr(F.col(name), i, F.col("_len")))).alias("_g"))
+    grams = rows.select(*by, name, F.size("_g").alias("_m"), F.explode("_g").alias("_gram"))
     # at most GRAM rows, whatever the names are
     lengths = F.broadcast(rows.select("_len").distinct())
+    # only substrings that are some name's are written
     seen = texts.select(*by, text).filter(F.length(text) > 0).distinct().join(lengths, F.col("_len") <= F.length(text)) \
-        .select(*by, text, F.pmod(F.xxhash64(text), F.lit(SALTS)).cast("int").alias("_salt"), F.explode(_grams(text, F.col("_len"))).alias("_gram"))
+        .select(*by, text, F.explode(_grams(text, F.col("_len"))).alias("_gram"))
+    seen = tools.materialise(seen.join(grams.select(*by, "_gram").distinct(), [*by, "_gram"], "left_semi"))
     often = seen.groupBy(*by, "_gram").agg(F.count(F.lit(1)).alias("_n"))
-    grams = rows.withColumn("_g", _grams(name, F.col("_len"))).select(*by, name, F.size("_g").alias("_m"), F.explode("_g").alias("_gram"))
     key = grams.join(often, [*by, "_gram"]).groupBy(*by, name, "_m").agg(F.count(F.lit(1)).alias("_f"), F.min(F.struct("_n", "_gram")).alias("_k")) \
-        .filter("_f = _m").select(*by, name, F.col("_k._gram").alias("_gram"))
-    key = key.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        .filter("_f = _m").select(*by, name, F.col("_k._gram").alias("_gram"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"))
+    dealt = seen.withColumn("_salt", F.pmod(F.xxhash64(text), F.lit(SALTS)).cast("int"))
     # one key per name: a pair is found once
-    return seen.join(key, [*by, "_gram", "_salt"]).filter(F.contains(F.col(text), F.col(name))).select(*by, text, name)
+    return dealt.join(key, [*by, "_gram", "_salt"]).filter(F.contains(F.col(text), F.col(name))).select(*by, text, name)
 
 
 def _met(words: str, other: str) -> Column:
