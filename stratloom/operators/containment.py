@@ -45,7 +45,7 @@ def containing(texts: DataFrame, names: DataFrame, by: list[str], text: str = "t
     return dealt.join(key, [*by, "_gram", "_salt"]).filter(F.contains(F.col(text), F.col(name))).select(*by, text, name)
 
 
-def _met(words: str, other: str) -> Column:
+def enough(words: str, other: str) -> Column:
     """Whether enough of the words, repeats counted, are among the others."""
     hits, n = F.size(F.filter(words, lambda w: F.array_contains(F.col(other), w))), F.size(words)
     return (hits >= _LEAST) & (hits * _DEN >= n * _NUM)
@@ -59,9 +59,10 @@ def covered(phrases: DataFrame, texts: DataFrame, by: list[str], words: str, oth
     """
     want = phrases.select(*by, words).filter(F.size(words) >= _LEAST).distinct()
     have = texts.select(*by, others).filter(F.size(others) >= 1).distinct()
-    held = have.select(*by, others, F.explode(F.array_distinct(others)).alias("_w"))
-    often = held.groupBy(*by, "_w").agg(F.count(F.lit(1)).alias("_n"))
     each = want.select(*by, words, F.explode(words).alias("_w")).groupBy(*by, words, "_w").agg(F.count(F.lit(1)).alias("_c"))
+    held = have.select(*by, others, F.explode(F.array_distinct(others)).alias("_w")) \
+        .join(each.select(*by, "_w").distinct(), [*by, "_w"], "left_semi")
+    often = held.groupBy(*by, "_w").agg(F.count(F.lit(1)).alias("_n"))
     known = each.join(often, [*by, "_w"])
     # the words of one list; those that no list holds come first in the order and are looked up in vain
     line = Window.partitionBy(*by, words)
@@ -72,7 +73,7 @@ def covered(phrases: DataFrame, texts: DataFrame, by: list[str], words: str, oth
     first = ranked.filter(F.col("_before") < F.size(words) - need + 1) \
         .select(*by, words, "_w").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     dealt = held.withColumn("_salt", F.pmod(F.xxhash64(others), F.lit(SALTS)).cast("int"))
-    return dealt.join(first, [*by, "_w", "_salt"]).filter(_met(words, others)).select(*by, words, others).distinct()
+    return dealt.join(first, [*by, "_w", "_salt"]).filter(enough(words, others)).select(*by, words, others).distinct()
 
 
 def any_of(*found: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as t
 from . import tools
-from .containment import any_of, containing, covered
+from .containment import any_of, containing, covered, enough
 from .quotes import evidence_page_join, publication_lookup
 
 
@@ -157,12 +157,15 @@ def evidence_by_locality_join(markers: DataFrame, ev: DataFrame, cap: int | None
     return flag.join(listed, "marker", "left")
 
 
-def line_highlight_join(lines: DataFrame, phrases: DataFrame) -> DataFrame:
+COMPARED = 64  # quotes of a page up to which its lines are compared with all of them; a matter of cost, not of results
+
+
+def line_highlight_join(lines: DataFrame, phrases: DataFrame, compared: int = COMPARED) -> DataFrame:
     """Lines of a page (4 characters or more) that match a quote (12 or more) linked to the page.
 
     A match is containment either way, or two words and 60 % of the words of four letters or more either
-    way; repeated words count each time. Equal lines of a page are compared once, and only with quotes
-    that share a rare substring or a rare word with them.
+    way; repeated words count each time. A line of a page of up to ``compared`` quotes stops at the first that matches; on other
+    pages equal lines are looked at once, and only with quotes that share a rare substring or a rare word with them.
     """
     page = ["slug", "page"]
 
@@ -170,15 +173,23 @@ def line_highlight_join(lines: DataFrame, phrases: DataFrame) -> DataFrame:
         d = df.select(*page, *keep, t.norm_search(c).alias(p)).filter(F.length(p) >= least)
         return d.withColumn(f"{p}_all", F.split(p, " ")).withColumn(f"{p}_long", F.filter(F.split(p, " "), lambda w: F.length(w) >= 4))
 
-    a, b = tools.materialise(prep(lines, "text", "t", 4, "n")), tools.materialise(prep(phrases, "phrase", "q", 12).distinct())
+    a, b = prep(lines, "text", "t", 4, "n"), tools.materialise(prep(phrases, "phrase", "q", 12).distinct())
+    many = b.groupBy(*page).agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") > compared).select(*page)
+    few = b.join(many, page, "left_anti").select(*[F.col(c).alias(f"_{c}") for c in b.columns])
+    match = (F.contains("t", "_q") | ((F.length("t") >= 12) & F.contains("_q", "t"))
+             | enough("_q_long", "t_all") | enough("t_long", "_q_all"))
+    direct = a.join(few, (F.col("slug") == F.col("_slug")) & (F.col("page") == F.col("_page")) & match, "left_semi").select(*page, "n")
+    if many.isEmpty():
+        return direct.distinct()
+
+    a, b = tools.materialise(a.join(many, page, "left_semi")), b.join(many, page, "left_semi")
     matched = any_of(
         containing(a, b, page, "t", "q").select(*page, "t"),
         containing(b, a.filter(F.length("t") >= 12), page, "q", "t").select(*page, "t"),
         covered(b, a, page, "q_long", "t_all").select(*page, F.array_join("t_all", " ").alias("t")))
-    # both sides of the second cover are word lists of the line: the line itself is met through its long words
     by_long = covered(a, b, page, "t_long", "q_all").select(*page, "t_long").distinct()
-    out = a.join(matched, [*page, "t"], "left_semi").unionByName(a.join(by_long, [*page, "t_long"], "left_semi"))
-    return out.select(*page, "n").distinct()
+    looked_up = a.join(matched, [*page, "t"], "left_semi").unionByName(a.join(by_long, [*page, "t_long"], "left_semi"))
+    return direct.unionByName(looked_up.select(*page, "n")).distinct()
 
 
 # ---------------------------------------------------------------- archive

@@ -3,6 +3,7 @@
 import math
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from stratloom.operators import containment, hierarchy, jobs, links
@@ -53,14 +54,15 @@ def test_nothing_to_match(spark):
     assert containment.covered(empty, empty.withColumnRenamed("a", "b"), ["g"], "a", "b").count() == 0
 
 
-def test_lines_of_a_hot_page(spark):
+@pytest.mark.parametrize("compared", [0, 3, 64])
+def test_lines_of_a_hot_page(spark, compared):
     rng = random.Random(7)
     words = ["разрез", "глина", "песок", "слой", "на", "у", "реки", "торф", "мощный", "бурый"]
     text = lambda n: " ".join(rng.choice(words) for _ in range(rng.randint(1, n)))
     lines = [("p", 1 if i % 3 == 0 else i % 20, i, text(6)) for i in range(400)]
     quotes = [("p", 1 if i % 3 == 0 else i % 20, text(9)) for i in range(60)]
     got = links.line_highlight_join(spark.createDataFrame(lines, "slug string, page int, n int, text string"),
-                                    spark.createDataFrame(quotes, "slug string, page int, phrase string")).collect()
+                                    spark.createDataFrame(quotes, "slug string, page int, phrase string"), compared).collect()
 
     def met(x, y):
         x = [w for w in x.split() if len(w) >= 4]
