@@ -339,19 +339,32 @@ def _(v):
     return h.hierarchy_root(h.hierarchy_placement(v.subsites)).select("ord", "root")
 
 
-@query("hierarchy_links", f"with {_root_sql()}, sec as (select ord, 'Сводный разрез' as nearest_locality, 55.0 as lat, 44.0 as lon from fx_subsites where ord = 0), byname as (select lower(nearest_locality) as nm, '55.0,44.0' as m, nearest_locality from sec) select cast(round(lat, 5) as varchar) || ',' || cast(round(lon, 5) as varchar) as marker, nearest_locality as part_of from r{_PASSES + 1} join pl using (ord) join byname on nm = cur")
+# the table: one summary site and all placed sub-sites but independent ones
+_SEC = "(select cast(0 as bigint) as o, 'Сводный разрез' as nearest_locality, 55.0::double as la, 44.0::double as lo union all select ord, name, lat, lon from pl where relation <> 'самостоятельный объект')"
+
+
+def _links_sql(rest):
+    at = "cast(round({}, 5) as varchar) || ',' || cast(round({}, 5) as varchar)"
+    return f"""with {_root_sql()}, sec as materialized (select * from {_SEC} z), byname as (select replace(replace(lower(nearest_locality), 'й', 'и'), 'ё', 'е') as nm, min({{'o': o, 'm': {at.format('la', 'lo')}, 'loc': nearest_locality}}) as s from sec group by 1),
+ j as (select pl.name, pl.lat, pl.lon, {at.format('pl.lat', 'pl.lon')} as spot, s, nm from r{_PASSES + 1} join pl using (ord) join byname on nm = replace(replace(cur, 'й', 'и'), 'ё', 'е') where cur <> '') {rest}"""
+
+
+def _sec(v, sub):
+    top = v.spark.range(1).select(F.lit(0).cast("long").alias("ord"), F.lit("Сводный разрез").alias("nearest_locality"), F.lit(55.0).alias("lat"), F.lit(44.0).alias("lon"))
+    rows = sub.filter("lat is not null and relation <> 'самостоятельный объект'").select(F.col("ord").cast("long").alias("ord"), F.col("name").alias("nearest_locality"), "lat", "lon")
+    return top.unionByName(rows)
+
+
+@query("hierarchy_links", _links_sql("select spot as marker, s.loc as part_of from j where s.m <> spot"))
 def _(v):
-    sub = v.subsites
-    top = sub.filter("ord = 0").select("ord", F.lit("Сводный разрез").alias("nearest_locality"), F.lit(55.0).alias("lat"), F.lit(44.0).alias("lon"))
-    return h.hierarchy_links(h.hierarchy_placement(sub), top)[1]
+    sub = h.hierarchy_placement(v.subsites)
+    return h.hierarchy_links(sub, _sec(v, sub))[1]
 
 
-@query("hierarchy_links_includes", f"with {_root_sql()} select '55.0,44.0' as marker, name, cast(round(lat, 5) as varchar) || ',' || cast(round(lon, 5) as varchar) as at from r{_PASSES + 1} join pl using (ord) where cur = 'сводный разрез'")
+@query("hierarchy_links_includes", _links_sql("select distinct s.m as marker, name, spot as at from j where s.m <> spot and replace(replace(lower(name), 'й', 'и'), 'ё', 'е') <> nm and exists (select 1 from sec where lower(sec.nearest_locality) = lower(j.name) and round(la, 5) = round(j.lat, 5) and round(lo, 5) = round(j.lon, 5))"))
 def _(v):
     sub = h.hierarchy_placement(v.subsites)
-    top = sub.filter("ord = 0").select("ord", F.lit("Сводный разрез").alias("nearest_locality"), F.lit(55.0).alias("lat"), F.lit(44.0).alias("lon"))
-    rows = sub.filter("lat is not null").select("ord", F.col("name").alias("nearest_locality"), "lat", "lon")
-    return h.hierarchy_links(sub, top.unionByName(rows))[0].filter("marker = '55.0,44.0'")
+    return h.hierarchy_links(sub, _sec(v, sub))[0]
 
 
 @query("existing_row_anti", "select s.ord from fx_subsites s where relation <> 'то же самое место' and not exists (select 1 from (select name as n, lat as la, lon as lo from fx_subsites where lat is not null and relation = 'часть другого объекта') h where lower(s.name) = lower(n) and round(s.lat, 5) = round(la, 5) and round(s.lon, 5) = round(lo, 5))")

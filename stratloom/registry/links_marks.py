@@ -305,17 +305,42 @@ def _(v):
     return v.sections.select("ord", m.data_confidence(F.col("n_records") % 3 == 0, F.col("n_sources"), F.col("n_records") > 7).alias("confidence"))
 
 
+# radii of most coordinates; the others take the default
+_ACC = "(select round(lat, 5) as lat5, round(lon, 5) as lon5, cast(min(ord) % 60 * 100 as double) as v from fx_sections where lat is not null group by 1, 2 having min(ord) % 4 > 0)"
+_RADIUS = f"(select r.marker, max(coalesce(a.v, {float(vocab.DEFAULT_RADIUS)}::double)) as accuracy from {_REC} r left join {_ACC} a on round(r.lat, 5) = a.lat5 and round(r.lon, 5) = a.lon5 group by 1)"
+_KINDS = f"(select {_MK} as marker, case count(*) % 3 when 0 then 'сводный разрез' when 1 then 'неясно' else 'особый вид' end as kind from fx_sections where lat is not null group by 1)"
+_CANON = {k: c for k, c in m.FACETS.items() if c}
+
+
+def _tags(c):
+    return f"unnest({_nd_list(d.split_tags(c))})"
+
+
+def _with_radius(v):
+    return m.marker_records(v.sections, v.sql(f"select * from {_ACC} a"))
+
+
 @query("facet_categories", f"""
-with dep as (select distinct unnest(dep) as value from {_MARK} x), thb as (select distinct unnest({_nd_list('coalesce(thb, [])')}) as value from {_MARK} x)
-select 'deposit_type' as facet, value, row_number() over (order by case when list_position({d.words(vocab.ORDER_DEPOSITS)}, value) > 0 then list_position({d.words(vocab.ORDER_DEPOSITS)}, value) else 1000000000 end, value) - 1 as pos from dep
-union all select 'thickness_ranges', value, row_number() over (order by case when value = 'ND' then 1000000000 else cast(split_part(value, '–', 1) as int) end, value) - 1 from thb""")
+with r as materialized (select * from {_REC} x), el as (select marker, least(elmin, elmax) as lo, greatest(elmin, elmax) as hi from r),
+f as (select 'type_excavation' as facet, {_tags('excavation_type')} as value from r union select 'deposit_type', {_tags('type_of_deposits')} from r
+ union select 'stratigraphic_position', {_tags('stratigraphic_position')} from r union select 'dating_method', {_tags('dating_methods')} from r
+ union select 'chronological_data', case when len({d.split_tags('dating_methods')}) > 0 then 'Yes' else 'No' end from r union select 'object_kind', kind from {_KINDS} k
+ union select 'elevation_ranges', cast(x as varchar) || '–' || cast(x + 20 as varchar) || ' m' from (select unnest(generate_series(cast(floor(lo / 20) * 20 as bigint), cast(floor(hi / 20) * 20 as bigint), 20)) as x from el where lo is not null)
+ union select 'elevation_ranges', 'ND' from (select marker from el group by 1 having count(lo) = 0)
+ union select 'thickness_ranges', unnest({_nd_list('coalesce(thb, [])')}) from {_MARK} y
+ union select 'accuracy_ranges', case when accuracy < 20 then '0–20 m' when accuracy < 100 then '20–100 m' when accuracy < 500 then '100–500 m' when accuracy < 1000 then '500–1,000 m' when accuracy < 2000 then '1–2 km' when accuracy < 5000 then '2–5 km' else '≥5 km' end from {_RADIUS} z),
+p as (select *, case facet {' '.join(f"when '{k}' then list_position({d.words(c)}, value)" for k, c in _CANON.items())} when 'elevation_ranges' then try_cast(split_part(value, '–', 1) as int) + 1 when 'thickness_ranges' then try_cast(split_part(value, '–', 1) as int) + 1 end as place from f)
+select facet, value, row_number() over (partition by facet order by case when coalesce(place, 0) > 0 then place else 1000000000 end, value) - 1 as pos from p""")
 def _(v):
-    return m.facet_categories(m.build_markers(_records(v))).filter(F.col("facet").isin("deposit_type", "thickness_ranges"))
+    rec = _with_radius(v)
+    r = F.count(F.lit(1)) % 3
+    kinds = rec.groupBy("marker").agg(F.when(r == 0, "сводный разрез").when(r == 1, "неясно").otherwise("особый вид").alias("kind"))
+    return m.facet_categories(m.build_markers(rec, kinds=kinds))
 
 
-@query("dataset_summary", f"select cast(sum(source_count) as bigint) as raw_records, count(*) as markers, count(*) filter (source_count > 1) as duplicate_groups, 5000.0::double as accuracy_min, 5000.0::double as accuracy_max from {_MARK} x")
+@query("dataset_summary", f"select cast(sum(source_count) as bigint) as raw_records, count(*) as markers, count(*) filter (source_count > 1) as duplicate_groups, min(accuracy) as accuracy_min, max(accuracy) as accuracy_max from {_MARK} x join {_RADIUS} r using (marker)")
 def _(v):
-    return m.dataset_summary(m.build_markers(_records(v)))
+    return m.dataset_summary(m.build_markers(_with_radius(v)))
 
 
 @query("publication_thickness", f"""
@@ -333,19 +358,34 @@ def _(v):
     return m.collate_objects(_records(v))
 
 
-@query("write_marker_dataset", f"select marker, source_count from {_MARK} x")
+@query("write_marker_dataset", f"""
+select 'markers' as part, marker, source_count as n, title as text, accuracy as number from {_MARK} x join {_RADIUS} r using (marker)
+union all select 'records', marker, ord, nearest_locality, accuracy from {_REC} x join {_RADIUS} r using (marker)
+union all select 'categories', 'deposit_type', row_number() over (order by case when list_position({d.words(vocab.ORDER_DEPOSITS)}, value) > 0 then list_position({d.words(vocab.ORDER_DEPOSITS)}, value) else 1000000000 end, value) - 1, value, null from (select distinct unnest(dep) as value from {_MARK} x)
+union all select 'summary', null, count(*), null, max(accuracy) from {_RADIUS} r""")
 def _(v):
     out = tools.scratch_path(v.spark, "dataset")
-    rec = _records(v)
-    b = m.build_markers(rec)
+    rec = _with_radius(v)
+    b = tools.materialise(m.build_markers(rec))
     writers.write_marker_dataset(b, rec, m.facet_categories(b), m.dataset_summary(b), out)
-    return v.spark.read.schema("marker string, source_count bigint").json(f"{out}/markers")
 
+    def part(name, schema, marker, n, text, number):
+        rows = v.spark.read.schema(schema).json(f"{out}/{name}")
+        if name == "categories":
+            rows = rows.filter("facet = 'deposit_type'")  # facet_categories checks all of them
+        return rows.selectExpr(f"'{name}' as part", f"{marker} as marker", f"{n} as n", f"{text} as text", f"{number} as number")
+
+    return part("markers", "marker string, source_count bigint, title string, max_accuracy double", "marker", "source_count", "title", "max_accuracy") \
+        .unionByName(part("records", "marker string, ord bigint, locality string, accuracy double", "marker", "ord", "locality", "accuracy")) \
+        .unionByName(part("categories", "facet string, value string, pos bigint", "facet", "pos", "value", "cast(null as double)")) \
+        .unionByName(part("summary", "markers bigint, accuracy_max double", "cast(null as string)", "markers", "cast(null as string)", "accuracy_max"))
 
-@query("write_sidecars", f"select distinct {_MK} as marker, 5000.0::double as accuracy from fx_sections where lat is not null")
+
+@query("write_sidecars", f"select 'table' as form, marker, accuracy from {_RADIUS} r union all select 'map', marker, accuracy from {_RADIUS} r")
 def _(v):
     out = tools.scratch_path(v.spark, "sidecars")
-    rows = _records(v).groupBy("marker").agg(F.max("accuracy").alias("accuracy"))
+    rows = _with_radius(v).groupBy("marker").agg(F.max("accuracy").alias("accuracy"))
     writers.write_sidecar(rows, "marker", out, f"{out}-json")
-    return v.spark.read.parquet(out)
-
+    entries = v.spark.read.text(f"{out}-json").select(F.explode(F.from_json("value", "map<string, struct<accuracy: double>>")).alias("marker", "e"))
+    return v.spark.read.parquet(out).select(F.lit("table").alias("form"), "marker", "accuracy") \
+        .unionByName(entries.select(F.lit("map").alias("form"), "marker", F.col("e.accuracy").alias("accuracy")))

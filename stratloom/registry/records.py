@@ -344,13 +344,15 @@ def _(v):
     return s.tier_counts(_tiers(v))
 
 
-@query("write_delivery", f"select id, tier from ({_tier_sql()}) where tier = 'A'")
+@query("write_delivery", f"select id, tier, tier = 'A' as core from ({_tier_sql()})")
 def _(v):
     out = tools.scratch_path(v.spark, "delivery")
     tiers = _tiers(v)
     plain = tiers.toDF(*[c.replace(" ", "_").replace(",", "").replace("(", "").replace(")", "") for c in tiers.columns])
     writers.write_delivery(plain, s.split_foreign(v.raw_records)[1], out)
-    return writers.read_core(v.spark, out).select(F.col("ID").alias("id"), F.col("confidence_tier").alias("tier"))
+    core = writers.read_core(v.spark, out).select("ID", F.lit(True).alias("core"))
+    return v.spark.read.parquet(f"{out}/full").join(core, "ID", "left").select(
+        F.col("ID").alias("id"), F.col("confidence_tier").alias("tier"), F.coalesce("core", F.lit(False)).alias("core"))
 
 
 @query("aligned_join", "select row_id as \"ID\", n_sources, evidence from " + _GOLD_IN + " z")
