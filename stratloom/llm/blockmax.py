@@ -40,12 +40,16 @@ class BlockMaxIndex:
     """
 
     def __init__(self, n_items: int, n_terms: int, item: np.ndarray, term: np.ndarray, weight: np.ndarray,
-                 block: int = 64):
-        order = np.lexsort((item, term))
-        self.item, term, self.weight = item[order], term[order], weight[order].astype(np.float64)
+                 block: int = 64, ordered: bool = False):
+        if not ordered:
+            order = np.lexsort((item, term))
+            item, term, weight = item[order], term[order], weight[order]
+        self.item, self.weight = item, weight.astype(np.float64, copy=False)
         self.n_items, self.n_terms, self.block = n_items, n_terms, block
         self.n_blocks = max(1, -(-n_items // block))
-        entry = term.astype(np.int64) * self.n_blocks + self.item // block
+        entry = term.astype(np.int64)
+        entry *= self.n_blocks
+        entry += self.item // block
         first = np.flatnonzero(np.r_[True, entry[1:] != entry[:-1]]) if len(entry) else np.zeros(0, np.int64)
         self.entry_start = np.r_[first, len(entry)]
         self.entry_block = entry[first] % self.n_blocks

@@ -105,11 +105,29 @@ class Model:
     def index(self) -> BlockMaxIndex:
         """The unit vectors, in blocks of like examples."""
         if "_index" not in self.__dict__:
+            self._sort()
             n, term = len(self.ids), np.repeat(np.arange(len(self.df), dtype=np.int32), self.df)
-            item = self.item.astype(np.int32)
-            self._index = BlockMaxIndex(n, len(self.df), item, term, self._weights(item, term, n), BLOCK)
+            self._index = BlockMaxIndex(n, len(self.df), self.item, term, self._weights(self.item, term, n), BLOCK, ordered=True)
         return self._index
 
+    def _sort(self) -> None:
+        """Order the postings of each term by example, in place where term, example and count fit in one number."""
+        term = np.repeat(np.arange(len(self.df), dtype=np.int32), self.df)
+        right, left = 8 * self.tf.itemsize, 8 * (self.tf.itemsize + self.item.itemsize)
+        if left + len(self.df).bit_length() > 64:
+            order = np.lexsort((self.item, term))
+            self.item, self.tf = self.item[order], self.tf[order]
+            return
+        packed = term.astype(np.uint64)
+        packed <<= np.uint64(left - right)
+        packed |= self.item
+        packed <<= np.uint64(right)
+        packed |= self.tf
+        packed.sort()
+        self.tf = packed.astype(self.tf.dtype)  # the lowest bits
+        packed >>= np.uint64(right)
+        self.item = packed.astype(self.item.dtype)
+
     def _places(self, names: list[str]) -> np.ndarray:
         """Place of each term in the vocabulary, -1 where it has none."""
         hashed = hashes(names)
@@ -195,9 +213,14 @@ class Model:
                 dense[x.item[own] // BLOCK, r, x.item[own] % BLOCK] = x.weight[own]
                 own = slice(x.term_entries[t], x.term_entries[t + 1])
                 most[r, x.entry_block[own]] = x.entry_max[own]
-            term = np.repeat(np.arange(x.n_terms, dtype=np.int32), df)
-            order = np.argsort(x.item.astype(np.int32), kind="stable")
-            self._parts = dense, most, row, start, x.weight.astype(np.float32), np.searchsorted(x.item[order], np.arange(x.n_items + 1)), term[order], x.weight[order]
+            own = np.r_[0, np.cumsum(np.bincount(x.item, minlength=x.n_items))]
+            order = np.argsort(x.item, kind="stable")
+            weight = x.weight[order]
+            term = np.repeat(np.arange(x.n_terms, dtype=np.int32), df)[order]
+            del order
+            # from here on the postings by term serve sums in single precision only
+            x.weight = x.weight.astype(np.float32)
+            self._parts = dense, most, row, start, x.weight, own, term, weight
         return self._parts
 
     def nearest(self, vectors):
