@@ -14,24 +14,30 @@ from .core import query
 
 
 def nested_docs(v):
-    """One extraction result per order: its lines as nested records. Orders are small by nature."""
-    def f(c, quote=None, many=False):
-        value = t.split_tags(c) if many else F.when(F.col(c) != "ND", F.col(c))
-        return F.struct(value.alias("value"), (F.col(quote) if quote else F.lit("")).alias("evidence")).alias(c)
-
-    def th(kind):
-        return F.struct(F.lit(kind).alias("kind"), F.col(f"thickness_{kind}").alias("value_m"), F.lit("").alias("evidence"))
-
-    rec = F.struct(
-        f("nearest_locality", "evidence_locality"), f("administrative_unit"), f("excavation_type"),
-        f("geomorphic_position", "evidence_geomorph"), f("deposit_raw_terms", many=True),
-        f("type_of_deposits", "evidence_deposit", True), F.array(*[th(k) for k in vocab.THICKNESS_KINDS]).alias("thickness"),
-        f("absolute_elevation_m"), f("stratigraphic_position", many=True), f("dating_methods", many=True),
-        F.col("source_kind").alias("source_kind"))
-    rows = v.raw_records.select("doc_no", "ord", rec.alias("r"))
-    docs = rows.groupBy("doc_no").agg(F.sort_array(F.collect_list(F.struct("ord", "r"))).alias("z"))
-    return docs.select("doc_no", F.format_string("/архив/том %d.pdf", "doc_no").alias("path"),
-                       F.transform("z", lambda x: x["r"]).alias("records"))
+    """One extraction result per order: its lines as nested records. Orders are small by nature.
+
+    The lines travel as flat columns and are nested where their order is put together: nested fields take about twice the bytes.
+    """
+    def record(x):
+        def f(c, quote=None, many=False):
+            value = t.split_tags(x[c]) if many else F.when(x[c] != "ND", x[c])
+            return F.struct(value.alias("value"), (x[quote] if quote else F.lit("")).alias("evidence")).alias(c)
+
+        def th(kind):
+            return F.struct(F.lit(kind).alias("kind"), x[f"thickness_{kind}"].alias("value_m"), F.lit("").alias("evidence"))
+
+        return F.struct(
+            f("nearest_locality", "evidence_locality"), f("administrative_unit"), f("excavation_type"),
+            f("geomorphic_position", "evidence_geomorph"), f("deposit_raw_terms", many=True),
+            f("type_of_deposits", "evidence_deposit", True), F.array(*[th(k) for k in vocab.THICKNESS_KINDS]).alias("thickness"),
+            f("absolute_elevation_m"), f("stratigraphic_position", many=True), f("dating_methods", many=True),
+            x["source_kind"].alias("source_kind"))
+
+    raw = v.raw_records.drop("source_file")
+    docs = raw.groupBy("doc_no").agg(F.collect_list(F.struct(*[c for c in raw.columns if c != "doc_no"])).alias("z"))
+    nested = F.sort_array(F.transform("z", lambda x: F.struct(x["ord"].alias("ord"), record(x).alias("r"))))
+    return tools.once(docs, "records", F.transform(nested, lambda x: x["r"])).select(
+        "doc_no", F.format_string("/архив/том %d.pdf", "doc_no").alias("path"), "records")
 
 
 def _docs(sql_extra=""):
@@ -138,7 +144,7 @@ def _(v):
     out = tools.scratch_path(v.spark, "docs")
     docs = nested_docs(v).select(F.concat(F.lit("/архив/том "), F.floor(F.col("doc_no") / 3).cast("string"), F.lit(".pdf")).alias("path"),
                                  F.size("records").alias("n_records"), "records")
-    docs.write.json(out)
+    docs.write.option("compression", "gzip").json(out)
     back = readers.read_doc_results(v.spark, out, multi_line=False)
     return back.groupBy("path").agg(F.sum(F.size("records")).alias("n_records"), F.count(F.lit(1)).alias("n_files"))
 
