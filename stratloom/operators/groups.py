@@ -31,10 +31,10 @@ def other_words(tags: Column, words: list[str]) -> Column:
     return F.array_except(tags, F.array(*[F.lit(w) for w in words]))
 
 
-def place_of(order: str, i: Column | int = 0) -> Column:
+def place_of(order: Column | str, i: Column | int = 0) -> Column:
     """One number for the order of a row and a place in one of its lists."""
     inner = F.least(i, F.lit(_INNER - 1)) if isinstance(i, Column) else F.lit(i)
-    return F.col(order).cast("long") * _INNER + inner
+    return (F.col(order) if isinstance(order, str) else order).cast("long") * _INNER + inner
 
 
 def first_places(field: str, tags: Column, words: list[str], order: str) -> list[Column]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import vocab
@@ -110,39 +110,74 @@ def pending_no_coord(props: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- proposals
-def build_proposals(recs: DataFrame, hits: DataFrame | None = None) -> DataFrame:
+CROWDED = 10_000  # records of a bucket of jobs up to which a job is put together in one place; a matter of cost, not of results
+_BUCKETS = 1 << 16
+_KEYS = ["job_id", "locality"]
+_LISTS = ("excavation", "deposits", "strat", "dating", "source_kinds", "geomorph", "raw_terms", "thickness", "evidence")
+
+
+def build_proposals(recs: DataFrame, hits: DataFrame | None = None, crowded: int = CROWDED) -> DataFrame:
     """Records of a job grouped by place, largest group first.
 
     ``recs``: job_id, ord, locality, admin, elevation (text or NULL), excavation, geomorph, deposits,
     raw_terms, thickness, strat, dating, source_kinds, quotes (arrays). ``hits``: job_id, evidence, page.
+    Records travel once, to their job. Jobs of buckets that hold more than ``crowded`` records, and four times the mean, are
+    spread over their values instead.
     """
     named = tools.once(recs.withColumnRenamed("locality", "_name"), "locality", strip("_name")).drop("_name") \
         .filter(F.col("locality").isNotNull() & ~F.col("locality").isin("", "ND"))
-    keys = ["job_id", "locality"]
-    known = lambda c: F.filter(F.col(c), lambda x: x.isNotNull() & ~x.isin("", "ND"))
-    words = {"excavation": vocab.EXCAVATIONS, "deposits": vocab.DEPOSITS, "strat": vocab.AGES, "dating": vocab.DATING, "source_kinds": vocab.SOURCE_KINDS}
-    texts = ("geomorph", "raw_terms", "thickness")
+    quotes = F.transform("quotes", lambda x: F.nullif(strip(x), F.lit("[]"))).alias("evidence")
+    rows = named.select(*_KEYS, "ord", "admin", "elevation", *_LISTS[:-1], quotes).withColumn(
+        "_bucket", F.pmod(F.xxhash64("job_id"), F.lit(_BUCKETS)))
+    sizes = tools.materialise(recs.groupBy(F.pmod(F.xxhash64("job_id"), F.lit(_BUCKETS)).alias("_bucket")).agg(F.count(F.lit(1)).alias("n")))
+    total = sizes.agg(F.sum("n")).first()[0] or 0
+    hot = sizes.filter(F.col("n") > max(crowded, 4 * total // _BUCKETS)).select("_bucket")
+    if hot.isEmpty():
+        out = _proposals_by_job(rows)
+    else:
+        hot = F.broadcast(hot)
+        out = _proposals_by_job(rows.join(hot, "_bucket", "left_anti")).unionByName(_proposals_by_value(rows.join(hot, "_bucket", "left_semi")))
+    if hits is not None:
+        pages = out.select(*_KEYS, F.explode("evidence").alias("evidence")).join(hits, ["job_id", "evidence"]).select(*_KEYS, "page").distinct()
+        out = out.join(pages.groupBy(*_KEYS).agg(F.sort_array(F.collect_list("page")).alias("pages")), _KEYS, "left")
+    return out
+
+
+def _known(v: Column) -> Column:
+    return v.isNotNull() & ~v.isin("", "ND")
+
 
+def _plain_fields() -> list[Column]:
     def first(c: str) -> Column:
-        return F.coalesce(F.min(F.when(F.col(c).isNotNull() & ~F.col(c).isin("", "ND"), F.struct("ord", c)))[c], F.lit("ND")).alias(c)
+        return F.coalesce(F.min(F.when(_known(F.col(c)), F.struct("ord", c)))[c], F.lit("ND")).alias(c)
+    return [F.count(F.lit(1)).alias("n_records"), F.min("ord").alias("first"), first("admin"), first("elevation")]
 
-    core = tools.materialise(named.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n_records"), F.min("ord").alias("first"), first("admin"), first("elevation"),
-        *[x for c, ws in words.items() for x in groups.first_places(c, F.col(c), ws, "ord")]))
-    quotes = F.filter(F.transform("quotes", strip), lambda x: x.isNotNull() & ~x.isin("", "[]", "ND"))
-    lists = groups.open_values(named, keys, {**{c: groups.other_words(known(c), ws) for c, ws in words.items()}, **{c: known(c) for c in texts}, "quotes": quotes})
+
+def _proposals_by_job(rows: DataFrame) -> DataFrame:
+    """Proposals of jobs of bounded size: one shuffle by job serves groups, lists and numbers."""
+    def listed(c: str) -> Column:
+        placed = F.flatten(F.transform("z", lambda x: F.transform(F.coalesce(x[c], F.array().cast("array<string>")), lambda v, i: F.struct(
+            groups.place_of(x["ord"], i).alias("first"), v.alias("v")))))
+        return F.array_distinct(F.transform(F.sort_array(F.filter(placed, lambda e: _known(e["v"]))), lambda e: e["v"])).alias(c)
+
+    cells = rows.repartition("job_id").groupBy(*_KEYS).agg(*_plain_fields(), F.collect_list(F.struct("ord", *_LISTS)).alias("z"))
+    cells = cells.select(*_KEYS, "n_records", "first", "admin", "elevation", *[listed(c) for c in _LISTS])
+    line = Window.partitionBy("job_id").orderBy(F.desc("n_records"), "first", "locality")
+    return cells.withColumn("i", F.row_number().over(line).cast("bigint") - 1).select(
+        *_KEYS, "n_records", "admin", "elevation", "i", *_LISTS)
+
+
+def _proposals_by_value(rows: DataFrame) -> DataFrame:
+    """Proposals of crowded jobs: values are rows of their own until the cells are written, and no task holds all rows of a job."""
+    core = tools.materialise(rows.groupBy(*_KEYS).agg(*_plain_fields()))
+    lists = groups.open_values(rows, _KEYS, {c: F.coalesce(F.col(c), F.array().cast("array<string>")) for c in _LISTS})
     # numbers need the keys and the counts only; the lists join the numbered rows by their group
-    numbered = tools.ordinal(core.select(*keys, "n_records", "first"), ["job_id"], [F.desc("n_records"), F.col("first"), F.col("locality")], "i") \
-        .select(*keys, "i")
-    cells = lists.groupBy(*keys).agg(*[groups.seen(c).alias(f"x_{c}") for c in (*words, *texts, "quotes")])
-    out = core.join(numbered, keys).join(cells, keys, "left")
+    numbered = tools.ordinal(core.select(*_KEYS, "n_records", "first"), ["job_id"], [F.desc("n_records"), F.col("first"), F.col("locality")], "i") \
+        .select(*_KEYS, "i")
+    cells = lists.filter(_known(F.col("v"))).groupBy(*_KEYS).agg(*[groups.seen(c).alias(f"x_{c}") for c in _LISTS])
+    out = core.join(numbered, _KEYS).join(cells, _KEYS, "left")
     empty = F.array().cast("array<string>")
-    out = out.select(*keys, "n_records", "admin", "elevation", "i", *[groups.words_in_order(c, ws, F.col(f"x_{c}")).alias(c) for c, ws in words.items()],
-                     *[F.coalesce(groups.by_place(F.col(f"x_{c}")), empty).alias(a) for c, a in (*zip(texts, texts, strict=True), ("quotes", "evidence"))])
-    if hits is not None:
-        pages = lists.filter("f = 'quotes'").select(*keys, F.col("v").alias("evidence")).join(hits, ["job_id", "evidence"]).select(*keys, "page").distinct()
-        out = out.join(pages.groupBy(*keys).agg(F.sort_array(F.collect_list("page")).alias("pages")), keys, "left")
-    return out
+    return out.select(*_KEYS, "n_records", "admin", "elevation", "i", *[F.coalesce(groups.by_place(F.col(f"x_{c}")), empty).alias(c) for c in _LISTS])
 
 
 def job_bundle_join(props: DataFrame, decisions: DataFrame, status: DataFrame) -> DataFrame:

@@ -2,9 +2,10 @@
 
 import glob
 
-from stratloom.operators import tools
+from stratloom.operators import jobs, tools
 from stratloom.registry import all_queries
 from stratloom.registry.core import Views
+from stratloom.registry.jobs_web import _proposal_records
 from stratloom.registry.records import nested_docs
 
 SF = "/root/testdata/sf0.001"
@@ -25,3 +26,13 @@ def test_written_documents_are_compressed(spark, tmp_path, monkeypatch):
     assert all_queries()["scan_doc_results"](spark, SF).count() > 0
     files = glob.glob(f"{tmp_path}/docs/part-*")
     assert files and all(f.endswith(".json.gz") for f in files)
+
+
+def test_records_travel_once_to_their_proposals(spark):
+    recs = _proposal_records(Views(spark, SF))
+    once = jobs.build_proposals(recs)
+    text = once._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join LeftOuter" not in text and text.count("collect_list") == 1
+    spread = jobs.build_proposals(recs, crowded=0)
+    assert "Union" in spread._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(tuple, once.collect()), key=str) == sorted(map(tuple, spread.select(once.columns).collect()), key=str)
