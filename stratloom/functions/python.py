@@ -6,14 +6,21 @@ import re
 import sys
 import unicodedata
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 _MARKS = re.compile("[" + "".join(map(chr, (c for c in range(sys.maxunicode + 1) if unicodedata.combining(chr(c))))) + "]+")
 
 
-@F.pandas_udf(StringType())
-def nfd_strip(s: pd.Series) -> pd.Series:
+_SLICE = 256  # texts that are Python strings at a time; a matter of memory, not of results
+
+
+@F.arrow_udf(StringType())
+def nfd_strip(s: pa.Array) -> pa.Array:
     """Text without combining marks after canonical decomposition."""
-    return s.str.normalize("NFD").str.replace(_MARKS, "", regex=True)
+    def bare(x: str | None) -> str | None:
+        return x if x is None or x.isascii() else _MARKS.sub("", unicodedata.normalize("NFD", x))
+
+    parts = [pa.array([bare(x) for x in s.slice(i, _SLICE).to_pylist()], pa.string()) for i in range(0, len(s), _SLICE)]
+    return pa.concat_arrays(parts) if parts else pa.array([], pa.string())

@@ -62,3 +62,13 @@ def test_quotes_of_a_place_are_reduced_before_they_meet_markers(spark):
     lines = [x.split("- ")[-1].strip() for x in plan(out).split("\n")]
     joins = [i for i, x in enumerate(lines) if x.startswith("Join Inner")]
     assert joins and all(any(x.startswith("Aggregate") for x in lines[i:]) for i in joins)
+
+
+def test_texts_are_stripped_a_few_at_a_time():
+    import pyarrow as pa
+
+    from stratloom.functions import python
+    texts = ["Ёлка й é", None, "", "plain"] * 300
+    got = python.nfd_strip.func(pa.array(texts))  # plain Arrow in and out, no whole batch of Python strings
+    assert got.to_pylist() == ["Елка и e", None, "", "plain"] * 300
+    assert python.nfd_strip.func(pa.array([], pa.string())).to_pylist() == []
