@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratloom.llm import bpe_chunks, decontam, language, near_copies, toxicity
+from stratloom.llm import bpe_chunks, decontam, language, near_copies, simhash, toxicity
 from stratloom.llm.common import held_out, table, unused
 from stratloom.operators.tools import materialise
 
@@ -34,8 +34,8 @@ def with_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: five-word shingles of similarity 0.8 or more."""
-    return near_copies.keep_one(docs)
+    """One document of each SimHash group, then of each group of near copies that fingerprints miss: five-word shingles of similarity 0.8 or more."""
+    return near_copies.keep_one(materialise(simhash.keep_one(docs)))
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
