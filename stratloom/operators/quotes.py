@@ -1,4 +1,4 @@
-"""Quotes to pages through a positional index, source names to publications through sorted neighbours."""
+"""Quotes to pages through their rarest keys, source names to publications through sorted neighbours."""
 
 from __future__ import annotations
 
@@ -8,12 +8,14 @@ from pyspark.sql import functions as F
 from ..functions import text as t
 from ..functions.common import let
 from . import tools
+from .marks import keys_among, mixed, quotes_in_pages
 
 _STEM = 25  # fixed value: characters of a file name that identify a publication
 _START, _LEAST = 60, 12  # fixed values: characters of a quote's start, and of the shortest text that is looked up
 _WORDS = (8, 6, 4)  # fixed values: words of shorter starts
 STAGES = ("whole", f"start{_START}", *(f"words{n}" for n in _WORDS), "fuzzy")
 _CERTAIN = 3  # a fuzzy match shares three words at least
+_AT_ONCE = 200_000  # quotes whose words a task holds at a time; a matter of memory, not of results
 
 
 # ---------------------------------------------------------------- source → publication
@@ -101,73 +103,42 @@ def _at(w: Column, i: Column | int) -> Column:
     return F.get(w, F.lit(i) if isinstance(i, int) else i)
 
 
-def _four(w: Column, i: Column) -> Column:
-    """Key of two whole words with the letters that touch them on both sides."""
-    return F.concat(F.lit("c:"), F.right(_at(w, i - 1), F.lit(1)), F.lit(" "), _at(w, i), F.lit(" "), _at(w, i + 1), F.lit(" "), F.left(_at(w, i + 2), F.lit(1)))
+def _hash(*parts: Column) -> Column:
+    """A key as a number, that of the same parts in a page of the publication (``marks.text_keys``)."""
+    return mixed(F.xxhash64("publication"), *[F.xxhash64(x) for x in parts])
 
 
-def _three(w: Column, i: Column) -> Column:
-    return F.concat(F.lit("t:"), F.right(_at(w, i - 1), F.lit(1)), F.lit(" "), _at(w, i), F.lit(" "), F.left(_at(w, i + 1), F.lit(1)))
+def _end(w: Column, i: Column | int, n: int = 1) -> Column:
+    return F.right(_at(w, i), F.lit(n))
 
 
-def _parts(s: Column) -> Column:
-    """array<struct<i, key, a, b>> that a text falls into; ``a`` must end the word before the key, ``b`` start the one behind it.
-
-    A text may start and end inside a word of the page, so only its inner words are whole: each pair of them makes a key. A text
-    of three words has one whole word, shorter ones six or twelve letters of a word.
-    """
-    none = F.lit(None).cast("string")
-
-    def entry(i: Column, key: Column, a: Column, b: Column) -> Column:
-        return F.struct(i.cast("int").alias("i"), key.alias("key"), a.alias("a"), b.alias("b"))
-
-    def parts(w0: Column) -> Column:
-        cut = F.endswith(s, F.lit(" "))  # the start of a quote may be cut behind a word, which then is whole
-
-        def of(w: Column) -> Column:
-            k = F.size(w)
-            first, last = _at(w, 0), F.concat(_at(w, k - 1), F.when(cut, " ").otherwise(""))
-            many = F.transform(F.sequence(F.lit(1), F.greatest(k - 3, F.lit(1))), lambda i: entry(
-                i, _four(w, i), F.when(i == 1, first).otherwise(none), F.when(i == k - 3, last).otherwise(none)))
-            return (F.when(k >= 4, many)
-                    .when(k == 3, F.array(entry(F.lit(1), _three(w, F.lit(1)), first, last)))
-                    .when((k == 2) & (F.length(_at(w, 1)) >= 6), F.array(entry(F.lit(1), F.concat(F.lit("p:"), F.left(_at(w, 1), F.lit(6))), first, last)))
-                    .when(k == 2, F.array(entry(F.lit(0), F.concat(F.lit("s:"), F.right(first, F.lit(6))), first, last)))
-                    .otherwise(F.array(entry(F.lit(0), F.concat(F.lit("g:"), F.left(first, F.lit(12))), none, last))))
-        return let(F.when(cut, F.slice(w0, 1, F.size(w0) - 1)).otherwise(w0), of)
-
-    return let(F.split(s, " "), parts)
+def _start(w: Column, i: Column | int, n: int = 1) -> Column:
+    return F.left(_at(w, i), F.lit(n))
 
 
-def _windows(norm: Column, n: int) -> Column:
-    """All runs of ``n`` words of a normalised text in order, each with a space behind it where another word follows.
+def _anchor(s: Column, df: Column) -> Column:
+    """struct<n, kind, h>: the rarest key of a text, which every page that holds the text has as well.
 
-    One regular expression walks the text; the runs overlap, as each stands in a look-ahead.
+    A text may start and end inside a word of the page, so only its inner words are whole: each pair of them makes a key. A text
+    of three words has one whole word, shorter ones six or twelve letters of a word. ``df`` has the number of pages of each
+    word of the quote that the text is the start of; ``n`` is 0 if no page holds one of the whole words.
     """
-    return F.regexp_extract_all(norm, F.lit(rf"(?<![^ ])(?=((?:[^ ]+ ){{{n - 1}}}[^ ]+ ?))"), F.lit(1))
-
+    def key(n: Column, kind: str, h: Column) -> Column:
+        return F.struct(n.cast("double").alias("n"), F.lit(kind).alias("kind"), h.alias("h"))
 
-def _pieces(norm: Column) -> Column:
-    """Each run of 12 letters of each long word, followed by the word."""
-    def cut(word: Column) -> Column:
-        bare = F.rtrim(word)
-        return F.transform(F.sequence(F.lit(1), F.greatest(F.length(bare) - 11, F.lit(1))), lambda j: F.concat(F.substr(bare, j, F.lit(12)), word))
-    return F.flatten(F.transform(F.filter(_windows(norm, 1), lambda w: F.length(F.rtrim(w)) >= 12), cut))
+    def of(w: Column) -> Column:
+        k, one = F.size(w), F.lit(1)
+        # two whole words with the letters that touch them on both sides
+        many = F.transform(F.sequence(one, F.greatest(k - 3, one)), lambda i: key(
+            _at(df, i).cast("double") * _at(df, i + 1), "c", _hash(_at(w, i), _at(w, i + 1), _end(w, i - 1), _start(w, i + 2))))
+        return (F.when(k >= 4, F.array_min(many))
+                .when(k == 3, key(_at(df, 1), "t", _hash(_at(w, 1), _end(w, 0), _start(w, 2))))
+                .when((k == 2) & (F.length(_at(w, 1)) >= 6), key(one, "p", _hash(_start(w, 1, 6), _end(w, 0))))
+                .when(k == 2, key(one, "s", _hash(_end(w, 0, 6), _start(w, 1))))
+                .otherwise(key(one, "g", _hash(_start(w, 0, 12)))))
 
-
-# for each kind of key: what a page is cut into, the key, the words next to it, and the place of the key in the run
-_KINDS = {
-    "c": (lambda norm: _windows(norm, 4), lambda w: F.regexp_extract(w, "[^ ] [^ ]+ [^ ]+ [^ ]", 0), lambda w: F.substring_index(w, " ", 1),
-          lambda w: F.regexp_extract(w, "^(?:[^ ]+ ){3}(.*)$", 1), 1),
-    "t": (lambda norm: _windows(norm, 3), lambda w: F.regexp_extract(w, "[^ ] [^ ]+ [^ ]", 0), lambda w: F.substring_index(w, " ", 1),
-          lambda w: F.regexp_extract(w, "^(?:[^ ]+ ){2}(.*)$", 1), 1),
-    "p": (lambda norm: _windows(norm, 2), lambda w: F.regexp_extract(w, " ([^ ]{6})", 1), lambda w: F.substring_index(w, " ", 1),
-          lambda w: F.regexp_extract(w, "^[^ ]+ (.*)$", 1), 1),
-    "s": (lambda norm: _windows(norm, 2), lambda w: F.regexp_extract(w, "([^ ]{6}) ", 1), lambda w: F.substring_index(w, " ", 1),
-          lambda w: F.regexp_extract(w, "^[^ ]+ (.*)$", 1), 0),
-    "g": (_pieces, lambda w: F.left(w, F.lit(12)), lambda w: F.lit(""), lambda w: F.substr(w, F.lit(13)), 0),
-    "w": (lambda norm: F.array_distinct(F.split(norm, " ")), lambda w: w, lambda w: F.lit(""), lambda w: F.lit(""), 0),
-}
+    # the start of a quote may be cut behind a word, which then is whole
+    return let(F.split(F.rtrim(s), " "), of)
 
 
 def _tokens(norm: Column) -> Column:
@@ -177,83 +148,56 @@ def _tokens(norm: Column) -> Column:
                lambda x: F.when(F.size(x["l5"]) >= _CERTAIN, x["l5"]).otherwise(x["l4"]))
 
 
-def positional_index(pages: DataFrame, asked: DataFrame) -> DataFrame:
-    """(publication, ord, idx, key, pos, a, b): the places of the keys asked for, from one scan of the pages.
+def asked_quotes(uniq: DataFrame, pages: DataFrame) -> DataFrame:
+    """The quotes (q, publication, norm) with ``df``, the number of pages of the publication that hold each of their words in turn."""
+    word = F.explode(F.array_distinct(F.split("norm", " "))).alias("w")
+    df = tools.materialise(pages.select("publication", word).groupBy("publication", "w").agg(F.count(F.lit(1)).alias("n"))
+                           .join(tools.measured(tools.materialise(uniq.select("publication", word).distinct())), ["publication", "w"], "left_semi"))
+    each = uniq.select("q", "publication", F.posexplode(F.split("norm", " ")).alias("i", "w")).join(tools.measured(df), ["publication", "w"], "left")
+    each = each.groupBy("q").agg(F.sort_array(F.collect_list(F.struct("i", F.coalesce("n", F.lit(0)).alias("n")))).alias("x"))
+    return tools.materialise(uniq.join(each.select("q", F.transform("x", lambda x: x["n"]).alias("df")), "q"))
 
-    ``asked`` has publication and key, each pair once. Texts stay where they are; an entry has the words around its key and nothing else.
-    """
-    kinds = sorted(r[0] for r in asked.select(F.substring("key", 1, 1)).distinct().collect())  # six letters at most
-    if not kinds:
-        kinds = ["w"]
-
-    def choose(part: int) -> Column:
-        out = F.lit(None)
-        for kind in kinds:
-            out = F.when(F.col("kind") == kind, _KINDS[kind][part](F.col("run"))).otherwise(out)
-        return out
-
-    rows = pages.select("publication", "ord", "idx", t.norm_search("text").alias("norm"))
-    cut = F.array(*[F.struct(F.lit(kind).alias("kind"), _KINDS[kind][0](F.col("norm")).alias("runs")) for kind in kinds])
-    runs = rows.select("publication", "ord", "idx", F.explode(cut).alias("e")).select(
-        "publication", "ord", "idx", "e.kind", "e.runs").select("publication", "ord", "idx", "kind", F.posexplode("runs").alias("pos", "run"))
-    keyed = runs.withColumn("key", F.concat("kind", F.lit(":"), choose(1)))
-    place = F.lit(-1)
-    for kind in kinds:
-        if kind != "w":
-            place = F.when(F.col("kind") == kind, F.col("pos") + _KINDS[kind][4]).otherwise(place)
-    wanted = keyed.join(tools.measured(asked), ["publication", "key"], "left_semi")
-    return tools.materialise(wanted.select("publication", "ord", "idx", "key", place.alias("pos"), choose(2).alias("a"), choose(3).alias("b")))
-
-
-def phrase_hits(parts: DataFrame, index: DataFrame) -> DataFrame:
+
+def phrase_hits(needles: DataFrame, pages: DataFrame) -> DataFrame:
     """(publication, s, at): the earliest page that holds each text, as struct (ord, idx).
 
-    ``parts`` has publication, s, m (number of parts) and the parts. A text is looked for at the places of its rarest part;
-    the other parts must stand at the right distance from it. Keys of all look-ups name the page, so a large publication is
-    many keys.
+    ``needles`` has publication, s, and the kind and hash of one key of the text. Pages give the keys that pass a filter of those
+    asked for, as numbers; a text is compared with the pages that have its key.
     """
-    holds = (F.col("p.a").isNull() | F.endswith("x.a", "p.a")) & (
-        F.col("p.b").isNull() | F.startswith("x.b", "p.b") | (F.startswith("p.key", F.lit("g:")) & F.contains("x.b", "p.b")))
-    df = index.groupBy("publication", "key").agg(F.count(F.lit(1)).alias("df"))
-    rarest = parts.join(df, ["publication", "key"]).groupBy("publication", "s", "m").agg(
-        F.count(F.lit(1)).alias("found"), F.min(F.struct("df", "i", "key", "a", "b")).alias("r")).filter("found = m")
-    p = rarest.select("publication", "s", "m", "r.i", "r.key", "r.a", "r.b")
-    starts = p.alias("p").join(index.alias("x"), ["publication", "key"]).filter(holds).select(
-        "publication", "p.s", "p.m", F.col("p.i").alias("known"), "x.ord", "x.idx", (F.col("x.pos") - F.col("p.i")).alias("start"))
-    starts = tools.materialise(starts)
-    others = starts.filter("m > 1").join(parts.drop("m"), ["publication", "s"]).filter("i <> known") \
-        .withColumn("pos", F.col("start") + F.col("i"))
-    met = others.alias("p").join(index.alias("x"), ["publication", "ord", "idx", "key", "pos"]).filter(holds)
-    met = met.groupBy("publication", "s", "p.m", "ord", "idx", "start").agg(F.count_distinct("i").alias("n")).filter("n = m - 1")
-    hits = starts.filter("m = 1").select("publication", "s", "ord", "idx").unionByName(met.select("publication", "s", "ord", "idx"))
-    return hits.groupBy("publication", "s").agg(F.min(F.struct("ord", "idx")).alias("at"))
-
-
-def shared_words(rest: DataFrame, index: DataFrame) -> DataFrame:
-    """(publication, norm, at): the page that shares most words with each quote, at least max(3, 60 %) of them; then the earliest.
+    kinds = sorted(r[0] for r in needles.select("kind").distinct().collect())  # five at most
+    want = needles.select("publication", "s", "h").distinct()
+    entries = tools.materialise(keys_among(pages, kinds, needles))
+    near = tools.measured(tools.materialise(entries.join(want, "h").select("page", F.col("publication").alias("pub"), "s").distinct()))
+    met = near.join(pages, "page").filter((F.col("pub") == F.col("publication")) & F.contains("norm", "s"))
+    hits = tools.materialise(met.groupBy("publication", "s").agg(F.min(F.struct("ord", "idx")).alias("at")))
+    tools.forget(entries, near)
+    return hits
+
+
+def shared_words(rest: DataFrame, pages: DataFrame) -> DataFrame:
+    """(q, at): the page that shares most words with each quote, at least max(3, 60 %) of them; then the earliest.
 
     A page with ``need`` of n words holds three of the n - need + 3 rarest: only pages with three of these are
-    looked at, and the commonest words only in them.
+    looked at. Quotes and pages that share some words are as many as their product, so they never are rows: each task counts them in
+    memory, page by page, against a bounded number of quotes at a time.
     """
-    words = rest.select("publication", "norm", _tokens(F.col("norm")).alias("toks")).filter(F.size("toks") >= _CERTAIN)
-    need = F.greatest(F.lit(_CERTAIN), F.floor(F.lit(0.6) * F.size("toks")).cast("int"))
-    df = index.filter("pos = -1").groupBy("publication", "key").agg(F.count(F.lit(1)).alias("df"))
-    keyed = words.select("publication", "norm", need.alias("need"), F.size("toks").alias("n"), F.explode("toks").alias("w")) \
-        .withColumn("key", F.concat(F.lit("w:"), "w")).drop("w").join(df, ["publication", "key"], "left")
-    # words of one quote, by how many pages hold them
-    w = Window.partitionBy("publication", "norm").orderBy(F.coalesce("df", F.lit(0)), "key")
-    ranked = tools.materialise(keyed.withColumn("rank", F.row_number().over(w)).withColumn("rare", F.col("rank") <= F.col("n") - F.col("need") + _CERTAIN)
-                               .filter("df is not null").drop("rank", "df", "n"))
-    here = index.filter("pos = -1").select("publication", "ord", "idx", "key")
-    near = tools.materialise(ranked.filter("rare").join(here, ["publication", "key"]).groupBy("publication", "norm", "need", "ord", "idx").agg(
-        F.count_distinct("key").alias("c")).filter(F.col("c") >= _CERTAIN))
-    place = ["publication", "norm", "ord", "idx"]
-    more = near.join(ranked.filter("not rare").select("publication", "norm", "key"), ["publication", "norm"]) \
-        .join(here, ["publication", "ord", "idx", "key"]).groupBy(*place).agg(F.count_distinct("key").alias("d"))
-    score = F.col("c") + F.coalesce("d", F.lit(0))
-    scored = near.join(more, place, "left").withColumn("score", score).filter("score >= need")
-    return scored.groupBy("publication", "norm").agg(F.min(F.struct((-F.col("score")).alias("o"), F.struct("ord", "idx").alias("at"))).alias("b")) \
-        .select("publication", "norm", F.col("b.at").alias("at"))
+    n, need = F.size("toks"), F.greatest(F.lit(_CERTAIN), F.floor(F.lit(0.6) * F.size("toks")).cast("int"))
+    rank = F.array_sort(F.transform("toks", lambda x: F.struct(F.get(F.col("df"), F.array_position("w", x).cast("int") - 1).alias("n"), _hash(x).alias("h"))))
+    words = rest.select("q", "publication", "df", F.split("norm", " ").alias("w"), _tokens(F.col("norm")).alias("toks")).filter(n >= _CERTAIN)
+    words = words.select("q", need.alias("need"), (n - need + _CERTAIN).alias("k"), F.filter(rank, lambda x: x["n"] > 0).alias("rank"), n.alias("n"))
+    # words that no page has come first in the order
+    few = F.greatest(F.col("k") - (F.col("n") - F.size("rank")), F.lit(0))
+    words = words.filter(F.size("rank") >= F.col("need")).select("q", "need", F.transform(F.slice("rank", F.lit(1), few), lambda x: x["h"]).alias("rare"),
+                                                                F.transform(F.slice("rank", few + 1, F.size("rank")), lambda x: x["h"]).alias("other"))
+    words = tools.materialise(words)
+    rounds = -(-words.count() // _AT_ONCE)
+    found = rest.sparkSession.createDataFrame([], "q long, page long, score long")
+    for i in range(rounds):
+        some = words.filter(F.pmod(F.xxhash64("q"), F.lit(rounds)) == i)
+        found = found.unionByName(tools.materialise(quotes_in_pages(pages, some, _CERTAIN)))
+    best = found.join(pages.select("page", "ord", "idx"), "page").groupBy("q").agg(
+        F.min(F.struct((-F.col("score")).alias("o"), F.struct("ord", "idx").alias("at"))).alias("b"))
+    return best.select("q", F.col("b.at").alias("at"))
 
 
 def evidence_page_join(ev: DataFrame, pages: DataFrame) -> DataFrame:
@@ -261,23 +205,23 @@ def evidence_page_join(ev: DataFrame, pages: DataFrame) -> DataFrame:
 
     Exact: the whole quote occurs in the page, else its first 60 characters, else its first 8, 6, 4 words; fuzzy: at least
     max(3, 60 %) of the quote's long words do. An earlier stage beats a later one, then more shared words,
-    then the earlier page. Pages are read once, into a positional index of what the quotes ask for.
+    then the earlier page. Pages are normalised and written once; every look-up names the publication.
     """
     quotes = ev.select("publication", "evidence").distinct().withColumn("norm", t.norm_search("evidence")).filter(F.length("norm") >= _LEAST)
-    quotes = tools.materialise(quotes)
-    uniq = quotes.select("publication", "norm").distinct()
-    needles = uniq.select("publication", "norm", F.explode(_needles(F.col("norm"))).alias("x")).select("publication", "norm", "x.stage", "x.s")
-    parts = needles.select("publication", "s").distinct().withColumn("parts", _parts(F.col("s")))
-    parts = tools.materialise(parts.select("publication", "s", F.size("parts").alias("m"), F.explode("parts").alias("e")).select("publication", "s", "m", "e.*"))
-    words = uniq.select("publication", F.explode(_tokens(F.col("norm"))).alias("w")).select("publication", F.concat(F.lit("w:"), "w").alias("key"))
-    asked = tools.materialise(parts.select("publication", "key").unionByName(words).distinct())
-    index = positional_index(pages, asked)
-    hits = phrase_hits(parts, index.filter("pos >= 0"))
-    exact = tools.materialise(needles.join(hits, ["publication", "s"]).groupBy("publication", "norm").agg(
-        F.min(F.struct("stage", "at")).alias("b")).select("publication", "norm", F.col("b.stage").alias("stage"), "b.at.idx"))
-    fuzzy = shared_words(uniq.join(exact, ["publication", "norm"], "left_anti"), index)
-    found = exact.unionByName(fuzzy.select("publication", "norm", F.lit(len(STAGES) - 1).alias("stage"), F.col("at.idx").alias("idx")))
+    quotes = tools.materialise(quotes.filter("publication is not null"))
+    pages = tools.materialise(pages.filter("publication is not null").select(
+        F.monotonically_increasing_id().alias("page"), "publication", "ord", "idx", t.norm_search("text").alias("norm")))
+    uniq = tools.materialise(quotes.select("publication", "norm").distinct().withColumn("q", F.monotonically_increasing_id()))
+    asked = asked_quotes(uniq, pages)
+    needles = asked.select("q", "publication", "df", F.explode(_needles(F.col("norm"))).alias("x")).select(
+        "q", "publication", "x.stage", "x.s", _anchor(F.col("x.s"), F.col("df")).alias("a"))
+    needles = tools.materialise(needles.select("q", "publication", "stage", "s", "a.*").filter("n > 0").drop("n"))
+    hits = phrase_hits(needles, pages)
+    exact = tools.materialise(needles.join(hits, ["publication", "s"]).groupBy("q").agg(
+        F.min(F.struct("stage", "at")).alias("b")).select("q", F.col("b.stage").alias("stage"), "b.at.idx"))
+    fuzzy = shared_words(asked.join(exact, "q", "left_anti"), pages)
+    found = exact.unionByName(fuzzy.select("q", F.lit(len(STAGES) - 1).alias("stage"), F.col("at.idx").alias("idx")))
     stage = F.element_at(F.array(*[F.lit(s) for s in STAGES]), F.col("stage") + 1)
-    return quotes.join(found, ["publication", "norm"]).select(
+    return quotes.join(uniq.join(found, "q"), ["publication", "norm"]).select(
         "publication", "evidence", (F.col("idx") + 1).alias("page"), stage.alias("stage"),
         F.when(stage == STAGES[-1], "fuzzy").otherwise("exact").alias("method"))

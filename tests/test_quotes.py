@@ -129,3 +129,33 @@ def test_common_start_of_strings(spark):
     pairs = [("", "", 0), ("a", "", 0), ("abc", "abd", 2), ("abc", "abc", 3), ("abc", "abcd", 3), ("xbc", "abc", 0)]
     rows = spark.createDataFrame(pairs, "a string, b string, n int").withColumn("got", quotes.common_start(F.col("a"), F.col("b"))).collect()
     assert [r.got for r in rows] == [r.n for r in rows]
+
+
+def test_keys_of_quotes_are_those_of_pages(spark):
+    """The same key from a quote's columns and from a page's text, whatever its kind."""
+    from stratloom.operators import marks
+    texts = {"c": "аб два три вг", "t": "аб слово вг", "p": "аб начальное", "s": "оконча два", "g": "двенадцатьбукв"}
+    rows = spark.createDataFrame([("п", s, [3] * len(s.split(" "))) for s in texts.values()], "publication string, s string, df array<long>")
+    got = {r.s: r.a for r in rows.select("s", quotes._anchor(F.col("s"), F.col("df")).alias("a")).collect()}
+    for kind, s in texts.items():
+        page = f"до x{s}y после"
+        assert got[s].kind == kind
+        assert got[s].h in marks.text_keys(page, marks.np.uint64(marks._xx("п")), [kind], marks.Words()).view(marks.np.int64)
+
+
+def test_many_quotes_that_share_words_make_few_rows(spark):
+    """Pages and quotes that share some words are as many as their product; none of them is shuffled or written."""
+    rng = random.Random(5)
+    vocab = [f"слово{i:03d}" for i in range(60)]
+    pages = [("p", i, i, " ".join(rng.sample(vocab, 30))) for i in range(300)]
+    pages.append(("p", 300, 300, " ".join(f"иное{i}" for i in range(3000))))  # more words than a task has room for at first
+    asked = [("p", " ".join(["zzq", *rng.sample(vocab, 12), f"нет{i}"])) for i in range(300)]
+    store, sc = spark.sparkContext._jsc.sc().statusStore(), spark.sparkContext
+    empty = sc._jvm.java.util.ArrayList()
+    df = quotes.evidence_page_join(spark.createDataFrame(asked, "publication string, evidence string"), spark.createDataFrame(pages, PAGES))
+    got = {r.evidence: r.page for r in df.collect()}
+    want = {q: hit[0] + 1 for p, q in asked if (hit := plain_find([(o, i, x) for _, i, o, x in pages], q))}
+    assert got == want and want
+    stages = store.stageList(empty, False, False, sc._gateway.new_array(sc._jvm.double, 0), empty)
+    last = [stages.apply(i).shuffleWriteRecords() for i in range(min(60, stages.size()))]
+    assert max(last) < 20_000
