@@ -47,9 +47,9 @@ class BlockMaxIndex:
         self.item, self.weight = item, weight.astype(np.float64, copy=False)
         self.n_items, self.n_terms, self.block = n_items, n_terms, block
         self.n_blocks = max(1, -(-n_items // block))
-        entry = term.astype(np.int64)
+        entry = term.astype(np.int32 if n_terms * self.n_blocks < 1 << 31 else np.int64)
         entry *= self.n_blocks
-        entry += self.item // block
+        entry += (self.item // block).astype(entry.dtype)
         first = np.flatnonzero(np.r_[True, entry[1:] != entry[:-1]]) if len(entry) else np.zeros(0, np.int64)
         self.entry_start = np.r_[first, len(entry)]
         self.entry_block = entry[first] % self.n_blocks

@@ -24,6 +24,7 @@ FIRST = 3  # blocks of highest bound that are opened before there is a cosine to
 FEATURES = 256  # heaviest terms, by which examples are put next to like ones
 KNOWN_WORDS = 1 << 18  # terms whose place in the vocabulary a task remembers at once
 MANY = 16  # terms of one in MANY examples or more are multiplied as a matrix
+SLICE = 1 << 18  # postings that are weighed at once
 SLACK = 1e-4  # far above what single precision can be wrong by in a cosine
 
 
@@ -86,8 +87,16 @@ class Model:
         self.item = number[item]
 
     def _weights(self, item: np.ndarray, term: np.ndarray, n: int) -> np.ndarray:
-        weight = (1 + np.log(self.tf.astype(float))) * self.idf[term]
-        weight /= np.sqrt(np.bincount(item, weight * weight, n))[item]
+        """Weights in the unit vectors, made a slice at a time: temporary arrays of all postings are what a task's memory goes for."""
+        weight, square = np.empty(len(term)), np.zeros(n)
+        slices = [slice(a, a + SLICE) for a in range(0, len(term), SLICE)]
+        for some in slices:
+            weight[some] = (1 + np.log(self.tf[some].astype(float))) * self.idf[term[some]]
+            np.add.at(square, item[some], weight[some] * weight[some])
+        length = np.sqrt(square)
+        for some in slices:
+            weight[some] /= length[item[some]]
+        self.length = length
         return weight
 
     def _features(self, item: np.ndarray, n: int) -> np.ndarray:
@@ -105,11 +114,14 @@ class Model:
     def index(self) -> BlockMaxIndex:
         """The unit vectors, in blocks of like examples."""
         if "_index" not in self.__dict__:
-            self._sort()
-            n, term = len(self.ids), np.repeat(np.arange(len(self.df), dtype=np.int32), self.df)
-            self._index = BlockMaxIndex(n, len(self.df), self.item, term, self._weights(self.item, term, n), BLOCK, ordered=True)
+            self._index = self._built()
         return self._index
 
+    def _built(self) -> BlockMaxIndex:
+        self._sort()
+        n, term = len(self.ids), np.repeat(np.arange(len(self.df), dtype=np.int32), self.df)
+        return BlockMaxIndex(n, len(self.df), self.item, term, self._weights(self.item, term, n), BLOCK, ordered=True)
+
     def _sort(self) -> None:
         """Order the postings of each term by example, in place where term, example and count fit in one number."""
         term = np.repeat(np.arange(len(self.df), dtype=np.int32), self.df)
@@ -198,9 +210,12 @@ class Model:
         return some / of_all if of_all else 0.0
 
     def parts(self):
-        """Terms of many examples as one matrix per block and as a matrix of their maxima, starts of each term's postings, and the postings by example."""
+        """Terms of many examples as one matrix per block and as a matrix of their maxima, starts of each term's postings, and the postings by example.
+
+        The index they are made of has an entry for almost every posting of a rare term; no one asks for these later, so it is not kept.
+        """
         if "_parts" not in self.__dict__:
-            x = self.index
+            x = self._built()
             start = x.entry_start[x.term_entries]
             df = np.diff(start)
             row = np.full(x.n_terms, -1)
@@ -214,13 +229,15 @@ class Model:
                 own = slice(x.term_entries[t], x.term_entries[t + 1])
                 most[r, x.entry_block[own]] = x.entry_max[own]
             own = np.r_[0, np.cumsum(np.bincount(x.item, minlength=x.n_items))]
-            order = np.argsort(x.item, kind="stable")
-            weight = x.weight[order]
-            term = np.repeat(np.arange(x.n_terms, dtype=np.int32), df)[order]
+            # from here on the postings by term serve sums in single precision only; the few exact weights are made anew from the counts
+            single, n_terms = x.weight.astype(np.float32), x.n_terms
+            del x
+            order = np.argsort(self.item, kind="stable")
+            tf = self.tf[order]
+            term = np.repeat(np.arange(n_terms, dtype=np.int32), df)[order]
             del order
-            # from here on the postings by term serve sums in single precision only
-            x.weight = x.weight.astype(np.float32)
-            self._parts = dense, most, row, start, x.weight, own, term, weight
+            times = 1 + np.log(np.maximum(1, np.arange(int(tf.max(initial=0)) + 1)).astype(float))
+            self._parts = dense, most, row, start, single, own, term, tf, times
         return self._parts
 
     def nearest(self, vectors):
@@ -230,10 +247,10 @@ class Model:
         frequent terms. The FIRST blocks of each text give a cosine to beat, then the blocks are opened whose bound reaches it.
         Sums in single precision find all examples that can be among the nearest, which are then scored in double precision.
         """
-        dense, most, row, start, single, own, term, weight = self.parts()
-        x, n = self.index, len(vectors)
+        dense, most, row, start, single, own, term, tf, times = self.parts()
+        n, items, blocks = len(vectors), len(self.ids), len(dense)
         asked = np.zeros((n, dense.shape[1]), np.float32)
-        rough = np.zeros((n, x.n_blocks * BLOCK), np.float32)
+        rough = np.zeros((n, blocks * BLOCK), np.float32)
         for q, (at, w) in enumerate(vectors):
             r = row[at]
             frequent = r >= 0
@@ -242,8 +259,8 @@ class Model:
             size = start[at + 1] - start[at]
             shift = start[at] - np.cumsum(size) + size
             posts = np.arange(size.sum(), dtype=np.int32) + np.repeat(shift.astype(np.int32), size)
-            rough[q, :x.n_items] = np.bincount(x.item[posts], single[posts] * np.repeat(w.astype(np.float32), size), x.n_items)
-        bound = asked @ most + rough.reshape(n, x.n_blocks, BLOCK).max(axis=2)
+            rough[q, :items] = np.bincount(self.item[posts], single[posts] * np.repeat(w.astype(np.float32), size), items)
+        bound = asked @ most + rough.reshape(n, blocks, BLOCK).max(axis=2)
 
         def score(chosen):
             for b in np.flatnonzero(chosen.any(axis=0)):
@@ -252,12 +269,12 @@ class Model:
 
         opened = np.ones(bound.shape, bool)
         least = np.zeros(n, np.float32)
-        if x.n_blocks > FIRST:
+        if blocks > FIRST:
             first = np.argpartition(-bound, FIRST, axis=1)[:, :FIRST]
             opened[:] = False
             np.put_along_axis(opened, first, True, axis=1)
             score(opened)
-            got = np.take_along_axis(rough.reshape(n, x.n_blocks, BLOCK), first[:, :, None], axis=1).reshape(n, FIRST * BLOCK)
+            got = np.take_along_axis(rough.reshape(n, blocks, BLOCK), first[:, :, None], axis=1).reshape(n, FIRST * BLOCK)
             least = np.partition(got, FIRST * BLOCK - NEAREST, axis=1)[:, FIRST * BLOCK - NEAREST]
             more = ~opened & (bound > 0) & (bound >= least[:, None] - SLACK)
             score(more)
@@ -266,7 +283,7 @@ class Model:
             score(opened)
         before = self.__dict__.get("_opened", (0, 0))
         self._opened = before[0] + int(opened.sum()), before[1] + opened.size
-        full = np.zeros(x.n_terms)
+        full = np.zeros(len(self.df))
         for q, (at, w) in enumerate(vectors):
             some = np.flatnonzero((rough[q] > 0) & (rough[q] >= least[q] - SLACK))
             if len(some) > NEAREST:
@@ -275,7 +292,8 @@ class Model:
             full[at] = w
             size = own[some + 1] - own[some]
             posts = ragged(own[some], size)
-            cosine = np.bincount(np.repeat(np.arange(len(some)), size), weight[posts] * full[term[posts]], len(some))
+            weight = times[tf[posts]] * self.idf[term[posts]] / np.repeat(self.length[some], size)
+            cosine = np.bincount(np.repeat(np.arange(len(some)), size), weight * full[term[posts]], len(some))
             full[at] = 0
             best = np.lexsort((self.place[some], -cosine))[:NEAREST]
             yield some[best], cosine[best]

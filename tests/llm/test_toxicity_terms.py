@@ -32,3 +32,24 @@ def test_nearest_equals_the_index(spark):
     for (at, w), (near, cosine) in zip(vectors, model.nearest(vectors), strict=True):
         want, scores = model.index.top(at, w, toxicity.NEAREST)
         assert np.allclose(scores, cosine) and len(near) == len(want)
+
+
+def test_a_task_keeps_no_entries_and_no_double_weights():
+    """What stays after the parts are made is bounded by 16 bytes a posting beside the matrices; exact cosines are those of the index."""
+    rng = np.random.default_rng(3)
+    n, v = 3000, 60_000
+    key = np.unique((v ** rng.random(n * 200)).astype(np.int64) % v * n + rng.integers(0, n, n * 200))
+    term, item = key // n, (key % n).astype(np.int32)
+    df, tf = np.bincount(term, minlength=v), rng.integers(1, 5, len(key)).astype(np.int32)
+    model = toxicity.Model(np.arange(v, dtype=np.uint64), 1 / (1 + np.log1p(df)), item, df, tf, np.zeros(n), np.arange(n), 0.1, 0.01)
+    dense, most, row, start, *rest = model.parts()
+    assert "_index" not in model.__dict__
+    assert sum(x.nbytes for x in rest) + model.item.nbytes + model.tf.nbytes <= 16 * len(key)
+    vectors = []
+    for _ in range(20):
+        at = np.unique((v ** rng.random(100)).astype(np.int64) % v)
+        w = model.idf[at]
+        vectors.append((at, w / np.sqrt((w * w).sum())))
+    for (at, w), (near, cosine) in zip(vectors, model.nearest(vectors), strict=True):
+        _, scores = model.index.top(at, w, toxicity.NEAREST)
+        assert len(near) == toxicity.NEAREST and np.allclose(cosine, scores)
