@@ -16,7 +16,7 @@ from .simhash import connected
 SHINGLE = 5
 NUM, DEN = 4, 5  # least similarity, 0.8, as a fraction: every comparison is one of whole numbers
 COMMON = 32  # shingles in more prefixes than this go to the end of the order; a matter of cost, not of results
-SLOT_BYTES = 3  # of a set's name, for the filter of sets that are asked for
+SLOTS = 1 << 24  # of ids, for the filter of rows whose sets are asked for
 
 
 def shingles(text: str | None, k: int = SHINGLE) -> np.ndarray:
@@ -36,53 +36,70 @@ def name_of(own: np.ndarray) -> bytes:
     return xxhash.xxh128_digest(own.tobytes())
 
 
+def parities(own: np.ndarray) -> bytes:
+    """Two to four bits for each shingle: whether the shingles that fall on a bit are odd in number.
+
+    Shingles in both of two sets cancel out, so bits that differ come from shingles of one set only, each from one at least.
+    """
+    size = 64 << max(0, (2 * len(own) - 1).bit_length() - 6)
+    return np.packbits(np.bincount((own & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1, bitorder="little").tobytes()
+
+
+def most_shared(na: int, a: bytes, nb: int, b: bytes) -> int:
+    """Shingles that two sets of these sizes and parities share, at most; the longer parities are folded to the length of the shorter."""
+    x, y = (int.from_bytes(v, "little") for v in (a, b))
+    size, least = 8 * len(a), 8 * len(b)
+    if size < least:
+        x, y, size, least = y, x, least, size
+    while size > least:
+        size >>= 1
+        x = (x >> size) ^ (x & ((1 << size) - 1))
+    return (na + nb - (x ^ y).bit_count()) // 2
+
+
 def prefix_size(n: int) -> int:
     """Sets of similarity NUM / DEN or more share one of their first so many shingles, in any one order of all."""
     return n - -(-n * NUM // DEN) + 1 if n else 0
 
 
 def _prefixes(docs: DataFrame, common: np.ndarray) -> DataFrame:
-    """(id, s, n, prefix): name and size of each row's set, and its first shingles: common ones last, commonest at the very end."""
+    """(id, s, n, bits, prefix): name, size and parities of each row's set, and its first shingles: common ones last, commonest at the very end."""
     shared = docs.sparkSession.sparkContext.broadcast(common)
 
     def run(batches):
         rank = {v: i for i, v in enumerate(shared.value.tolist(), 1)}
         for batch in batches:
-            names, sizes, prefixes = [], [], []
+            names, sizes, bits, prefixes = [], [], [], []
             for text in batch.column("t"):
                 own = shingles(text.as_py())
                 names.append(name_of(own))
                 sizes.append(len(own))
+                bits.append(parities(own))
                 late = np.array([rank.get(v, 0) for v in own.tolist()], np.int64) if rank else np.zeros(len(own), np.int64)
                 prefixes.append(own[np.argsort(late, kind="stable")][:prefix_size(len(own))].view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(names, pa.binary()), pa.array(sizes, pa.int32()), pa.array(prefixes, pa.list_(pa.int64()))],
-                                             names=["id", "s", "n", "prefix"])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(names, pa.binary()), pa.array(sizes, pa.int32()), pa.array(bits, pa.binary()),
+                                              pa.array(prefixes, pa.list_(pa.int64()))], names=["id", "s", "n", "bits", "prefix"])
 
-    return docs.mapInArrow(run, "id long, s binary, n int, prefix array<long>")
+    return docs.mapInArrow(run, "id long, s binary, n int, bits binary, prefix array<long>")
 
 
 def _sets(docs: DataFrame, asked: DataFrame) -> DataFrame:
-    """(s, own): the whole sets whose names are asked for, and perhaps a few others."""
-    # at most 2 ** (8 * SLOT_BYTES) small numbers, whatever is asked for
-    slots = asked.select(F.conv(F.hex(F.substring("s", 1, SLOT_BYTES)), 16, 10).cast("int").alias("slot")).distinct().toArrow()["slot"].to_numpy()
-    mask = np.zeros(1 << 8 * SLOT_BYTES, bool)
+    """(s, own): the whole sets that are asked for, and perhaps a few others; ``asked`` has the id of a row of each."""
+    slot = F.pmod(F.xxhash64("id"), F.lit(SLOTS)).cast("int").alias("slot")  # that of a null id too
+    # at most SLOTS small numbers, whatever is asked for
+    slots = asked.select(slot).distinct().toArrow()["slot"].to_numpy()
+    mask = np.zeros(SLOTS, bool)
     mask[slots] = True
     shared = docs.sparkSession.sparkContext.broadcast(np.packbits(mask))
 
     def run(batches):
         for batch in batches:
-            bits = shared.value
-            names, sets = [], []
-            for text in batch.column("t"):
-                own = shingles(text.as_py())
-                name = name_of(own)
-                slot = int.from_bytes(name[:SLOT_BYTES], "big")
-                if bits[slot >> 3] >> (7 - (slot & 7)) & 1:
-                    names.append(name)
-                    sets.append(own.view(np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), pa.array(sets, pa.list_(pa.int64()))], names=["s", "own"])
+            at = batch.column("slot").to_numpy()
+            own = [shingles(text.as_py()) for text in batch.column("t").filter(pa.array((shared.value[at >> 3] >> (7 - (at & 7)) & 1).astype(bool)))]
+            yield pa.RecordBatch.from_arrays([pa.array([name_of(v) for v in own], pa.binary()), pa.array([v.view(np.int64) for v in own], pa.list_(pa.int64()))],
+                                             names=["s", "own"])
 
-    return docs.mapInArrow(run, "s binary, own array<long>")
+    return docs.select("t", slot).mapInArrow(run, "s binary, own array<long>")
 
 
 def _enough(overlap: Column, a: str, b: str) -> Column:
@@ -100,6 +117,22 @@ def _likely(met: DataFrame) -> DataFrame:
     return pairs.filter(_enough(F.col("c") + F.least("la", "lb") - 1, "na", "nb")).select("a", "b", "na", "nb", "c")
 
 
+def _possible(names: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(a, b, na, nb), written: the pairs that by their parities can be similar enough; no other pair is.
+
+    Most candidates share a passage and little else. They end here, and their sets need not travel.
+    """
+    met = pairs.join(names.select(F.col("k").alias("a"), F.col("bits").alias("bits_a")), "a").join(names.select(F.col("k").alias("b"), F.col("bits").alias("bits_b")), "b")
+
+    def run(batches):
+        for batch in batches:
+            na, nb, a, b = (batch.column(c).to_pylist() for c in ("na", "nb", "bits_a", "bits_b"))
+            stay = [most_shared(m, x, n, y) * (NUM + DEN) >= (m + n) * NUM for m, x, n, y in zip(na, a, nb, b)]
+            yield batch.select(["a", "b", "na", "nb"]).filter(pa.array(stay, pa.bool_()))
+
+    return materialise(met.select("a", "b", "na", "nb", "bits_a", "bits_b").mapInArrow(run, "a long, b long, na int, nb int"))
+
+
 def _verified(docs: DataFrame, names: DataFrame, pairs: DataFrame) -> DataFrame:
     """(a, b): the pairs whose whole sets are similar enough.
 
@@ -107,9 +140,9 @@ def _verified(docs: DataFrame, names: DataFrame, pairs: DataFrame) -> DataFrame:
     written between the two shuffles is all that ever lies on disk of the sets.
     """
     asked = materialise(
-        pairs.join(names.withColumnRenamed("k", "b"), "b").select("s", "a", "b", "na", "nb")
-        .unionByName(pairs.select("a").distinct().join(names.withColumnRenamed("k", "a"), "a").select("s", "a"), allowMissingColumns=True))
-    sent = materialise(_sets(docs, asked).dropDuplicates(["s"]).join(asked, "s").drop("s"))
+        pairs.join(names.withColumnRenamed("k", "b"), "b").select("s", "id", "a", "b", "na", "nb")
+        .unionByName(pairs.select("a").distinct().join(names.withColumnRenamed("k", "a"), "a").select("s", "id", "a"), allowMissingColumns=True))
+    sent = materialise(_sets(docs, asked).dropDuplicates(["s"]).join(asked.drop("id"), "s").drop("s"))
     forget(asked)
     centres = sent.filter("b is null").select("a", F.col("own").alias("own_a"))
     both = sent.filter("b is not null").join(centres, "a") \
@@ -134,7 +167,7 @@ def _to_hubs(pairs: DataFrame) -> DataFrame:
 def links(docs: DataFrame, numbers: DataFrame, names: DataFrame) -> DataFrame:
     """(a, b): pairs of set numbers that connect all sets of similarity NUM / DEN or more.
 
-    ``docs`` has id and t, ``numbers`` one row (k, n, prefix) per distinct set and is deleted once it is read, ``names`` its (k, s). Two sets similar enough share a shingle of both prefixes,
+    ``docs`` has id and t, ``numbers`` one row (k, n, prefix) per distinct set and is deleted once it is read, ``names`` its (k, s, bits, id). Two sets similar enough share a shingle of both prefixes,
     and at the first that they share the rest of either set is long enough; no such pair is left out. First each set is
     compared with one other, of the first sets of its shingles the one it shares most with, which connects most of a large group of near copies by as many
     pairs as it has members; then all pairs that are not connected yet are compared.
@@ -156,10 +189,12 @@ def links(docs: DataFrame, numbers: DataFrame, names: DataFrame) -> DataFrame:
     best = _likely(star).groupBy("b", "nb").agg(F.max(F.struct(F.col("c"), (-F.col("a")).alias("a"), "na")).alias("p")) \
         .select((-F.col("p.a")).alias("a"), "b", F.col("p.na").alias("na"), "nb")
     best = materialise(best)
-    first = _verified(docs, names, best)
+    near = _possible(names, best)
+    forget(best)
+    first = _verified(docs, names, near)
     parts = connected(first).withColumnRenamed("node", "k")
     placed = materialise(posts.join(parts, "k", "left").withColumn("root", F.coalesce("root", "k")))
-    forget(best, posts)
+    forget(near, posts)
     open_ = placed.groupBy("shingle").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("shingle")
     some = materialise(placed.join(open_, "shingle", "left_semi"))
     forget(placed)
@@ -168,8 +203,10 @@ def links(docs: DataFrame, numbers: DataFrame, names: DataFrame) -> DataFrame:
         .select(F.col("k").alias("a"), F.col("n").alias("na"), F.col("left").alias("left_a"), F.col("pk").alias("b"), F.col("pn").alias("nb"), F.col("pleft").alias("left_b"))
     rest = materialise(_likely(rest).drop("c"))
     forget(some)
-    turned = materialise(_to_hubs(rest))
+    near = _possible(names, rest)
     forget(rest)
+    turned = materialise(_to_hubs(near))
+    forget(near)
     second = _verified(docs, names, turned)
     forget(turned)
     return first.union(second)
@@ -189,8 +226,8 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text: str = "text") ->
     common = seen.filter(F.col("df") > COMMON).orderBy("df", "shingle").toArrow()["shingle"].to_numpy().view(np.uint64)
     marked = materialise(_prefixes(rows, common))
     # a written number for each distinct set: what travels afterwards are numbers
-    numbers = materialise(marked.groupBy("s").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix")).withColumn("k", F.monotonically_increasing_id()))
-    names, of_row = materialise(numbers.select("k", "s")), materialise(marked.select("id", "s"))
+    numbers = materialise(marked.groupBy("s").agg(F.first("n").alias("n"), F.first("bits").alias("bits"), F.first("prefix").alias("prefix"), F.min("id").alias("id")).withColumn("k", F.monotonically_increasing_id()))
+    names, of_row = materialise(numbers.select("k", "s", "bits", "id")), materialise(marked.select("id", "s"))
     forget(marked)
     groups = connected(links(rows, numbers, names)).withColumnRenamed("node", "k")
     of_set = materialise(names.join(groups, "k", "left").select("s", F.coalesce("root", "k").alias("group")))

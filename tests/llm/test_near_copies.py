@@ -68,3 +68,30 @@ def test_copies_of_many_bits_go(spark):
     assert far
     docs = spark.createDataFrame([(0, texts[0]), (1, far[0])], "doc_id long, text string")
     assert [r["doc_id"] for r in corpus_pipeline.without_copies(spark, docs, "").collect()] == [0]
+
+
+def test_parities_bound_what_sets_share():
+    rng = random.Random(4)
+    for n in (0, 1, 3, 31, 32, 33, 400, 5000):
+        a = near_copies.shingles(" ".join(f"w{rng.randrange(10**6)}" for _ in range(n + 4 if n else 0)))
+        for cut in (0, 1, n // 9, n // 5, n // 2, n):
+            b = near_copies.np.sort(near_copies.np.r_[a[cut:], near_copies.shingles(" ".join(f"v{rng.randrange(10**6)}" for _ in range(cut + 4)))])
+            shared = len(set(a.tolist()) & set(b.tolist()))
+            assert shared <= near_copies.most_shared(len(a), near_copies.parities(a), len(b), near_copies.parities(b)) <= min(len(a), len(b)) + abs(len(a) - len(b))
+
+
+def test_sets_of_texts_that_share_a_passage_only_stay_where_they_are(spark, monkeypatch):
+    rng = random.Random(5)
+    passage = [f"p{i}" for i in range(240)]
+    texts = [" ".join(passage + [f"w{rng.randrange(10**6)}" for _ in range(60)]) for _ in range(60)]
+    near = texts + [texts[0] + " end"]
+    sent, plain = [], near_copies._sets
+
+    def counted(docs, asked):
+        sent.append(asked.count())
+        return plain(docs, asked)
+
+    monkeypatch.setattr(near_copies, "_sets", counted)
+    docs = spark.createDataFrame(list(enumerate(near)), "doc_id long, text string")
+    assert {r["doc_id"] for r in near_copies.keep_one(docs).collect()} == set(range(60))
+    assert 0 < sum(sent) <= 10, sent
