@@ -70,7 +70,8 @@ def round_to(c: Column, digits: int) -> Column:
 
 
 def marker_key(lat: Column, lon: Column) -> Column:
-    return F.concat(F.round(lat, 6).cast("string"), F.lit(","), F.round(lon, 6).cast("string"))
+    # plus zero: the place -0.0 is the place 0.0
+    return F.concat((F.round(lat, 6) + 0.0).cast("string"), F.lit(","), (F.round(lon, 6) + 0.0).cast("string"))
 
 
 def storage_key(marker: Column) -> Column:

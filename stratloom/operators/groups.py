@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_INNER = 1 << 10  # places inside one list that are told apart; later ones share the last place and go by value
+_INNER = 1 << 20  # places inside one list that are told apart; later ones share the last place and go by value
 
 
 def word_bits(tags: Column, words: list[str]) -> Column:

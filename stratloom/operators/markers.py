@@ -10,7 +10,7 @@ from ..functions import geo as g
 from ..functions import numbers as n
 from ..functions import text as t
 from ..functions.common import strip
-from . import tools
+from . import groups, tools
 
 KEYS = ["lat6", "lon6"]
 
@@ -73,23 +73,34 @@ def build_markers(records: DataFrame, evidence: DataFrame | None = None, kinds:
 
     dated = F.when(F.size("dat") > 0, "Yes").otherwise("No")
     th = F.coalesce("thmax", "thmin")
-    open_fields = {
-        "dep": _or_nd(F.col("dep")), "strat": _or_nd(F.col("strat")), "dat": _or_nd(F.col("dat")),
-        "exc": _or_nd(F.col("exc")), "chrono": F.array(dated), "loc": single("locality"), "adm": single("admin"),
-        "feat": single("feature"), "pub": F.col("pubs"), "geom": single("geom", "ND", ""),
-        "raw": F.col("raw"), "srck": F.col("srck"),
-        "elbin": n.bins_span(F.col("elmin"), F.col("elmax"), 20), "thbin": tools.one_or_none(n.bin5(th)),
-        "accbin": F.array(n.acc_bin(F.col("accuracy"))),
-        **{f"th_{k}": single(f"th_{k}", "ND", "", "None") for k in vocab.THICKNESS_KINDS}}
-    melted = tools.melt_values(records, KEYS, {**open_fields, "ev": F.col("quotes")}, inner_order=True)
-    lists = melted.groupBy(*KEYS).agg(*[tools.values_seen(f).alias(f) for f in [*open_fields, "ev"]])
+    def lists(fields: dict[str, Column], known: dict[str, list[str]], seen) -> DataFrame:
+        melted = tools.melt_values(records, KEYS, fields, inner_order=True, known=known)
+        return melted.groupBy(*KEYS).agg(*[seen(f).alias(f) for f in fields])
+
+    # tags of fixed vocabularies are first places in the one aggregate of plain numbers
+    tags = {"dep": _or_nd(F.col("dep")), "strat": _or_nd(F.col("strat")), "dat": _or_nd(F.col("dat")), "exc": _or_nd(F.col("exc")), "srck": F.col("srck"),
+            "chrono": F.array(dated), "accbin": F.array(n.acc_bin(F.col("accuracy")))}
+    words = {"dep": [*vocab.ORDER_DEPOSITS, "ND"], "strat": [*vocab.ORDER_AGES, "ND"], "dat": vocab.ORDER_DATING, "exc": [*vocab.ORDER_EXCAVATION, "unspecified"],
+             "srck": vocab.SOURCE_KINDS, "chrono": vocab.ORDER_CHRONO, "accbin": vocab.ORDER_ACCURACY}
+    # what the facets are made of, and other texts: who needs the first only does not pay for the second
+    faceted = {"elbin": n.bins_span(F.col("elmin"), F.col("elmax"), 20), "thbin": tools.one_or_none(n.bin5(th)), "ev": F.col("quotes")}
+    strange = {f: tags[f] for f in ("dep", "strat", "dat", "exc", "srck")}
+    texts = {"loc": single("locality"), "adm": single("admin"), "feat": single("feature"), "pub": F.col("pubs"), "geom": single("geom", "ND", ""), "raw": F.col("raw"),
+             **{f"th_{k}": single(f"th_{k}", "ND", "", "None") for k in vocab.THICKNESS_KINDS}}
     nums = records.groupBy(*KEYS).agg(
-        F.min("marker").alias("marker"), F.min("ord").alias("first_ord"), F.count(F.lit(1)).alias("source_count"),
+        F.min("ord").alias("first_ord"), F.count(F.lit(1)).alias("source_count"),
         F.min("thmin").alias("min_thickness"), F.max("thmax").alias("max_thickness"),
         F.min("elmin").alias("min_elevation"), F.max("elmax").alias("max_elevation"),
         F.min("accuracy").alias("min_accuracy"), F.max("accuracy").alias("max_accuracy"),
-        F.max("nsrc").alias("max_sources"), F.bool_or(F.col("loc_confidence") == "uncertain").alias("loc_uncertain"))
-    m = nums.join(lists, KEYS)
+        F.max("nsrc").alias("max_sources"), F.bool_or(F.col("loc_confidence") == "uncertain").alias("loc_uncertain"),
+        *[c for f in tags for c in groups.first_places(f, tags[f], words[f], "ord")])
+    nums = nums.withColumn("marker", g.marker_key(F.col("lat6"), F.col("lon6")))
+    # every marker has its rows in nums; left joins fall away where no list is asked for
+    m = nums.join(lists({**faceted, **strange}, words, lambda f: groups.seen(f) if f in strange else tools.values_seen(f)).withColumnsRenamed({f: f"o_{f}" for f in strange}), KEYS, "left") \
+        .join(lists(texts, {}, tools.values_seen), KEYS, "left")
+    m = m.withColumns({f: groups.words_in_order(f, words[f], F.col(f"o_{f}") if f in strange else F.lit(None).cast("array<struct<first:bigint,v:string>>")) for f in tags})
+    none = F.array().cast("array<string>")
+    m = m.withColumns({f: F.coalesce(f, none) for f in (*faceted, *texts)})
     if evidence is not None:
         from .links import evidence_by_locality_join
         names = records.groupBy("marker", "locality").agg(F.min("ord").alias("pos"))
@@ -190,12 +201,11 @@ def publication_thickness(records: DataFrame) -> DataFrame:
 def collate_objects(records: DataFrame) -> DataFrame:
     """What a reviewer or a model needs to judge a marker: names, units, workings, quotes."""
     exc = F.when(F.size("exc") > 0, F.array_join("exc", "; "))
-    fields = {"loc": F.array("locality"), "adm": tools.one_or_none(F.when(~F.col("admin").isin("ND", ""), F.col("admin"))),
-              "exc": tools.one_or_none(exc), "ev": F.col("quotes")}
-    m = tools.melt_values(records, ["marker"], fields, inner_order=True)
-    o = m.groupBy("marker").agg(
-        tools.values_sorted("loc").alias("loc"), tools.values_sorted("adm").alias("adm"),
-        tools.values_sorted("exc").alias("exc"), tools.values_seen("ev").alias("ev"))
+    names = {"loc": F.array("locality"), "adm": tools.one_or_none(F.when(~F.col("admin").isin("ND", ""), F.col("admin"))), "exc": tools.one_or_none(exc)}
+    # quotes are most of the text: on their own a task holds them or the names, not both
+    n_ = tools.melt_values(records, KEYS, names, inner_order=True).groupBy(*KEYS).agg(*[tools.values_sorted(f).alias(f) for f in names])
+    q = tools.melt_values(records, KEYS, {"ev": F.col("quotes")}, inner_order=True).groupBy(*KEYS).agg(tools.values_seen("ev").alias("ev"))
+    o = n_.join(q, KEYS, "left").withColumn("ev", F.coalesce("ev", F.array().cast("array<string>"))).withColumn("marker", g.marker_key(F.col("lat6"), F.col("lon6")))
     return o.select("marker", F.array_join("loc", "; ").alias("names"), F.array_join("adm", "; ").alias("admins"),
                     F.array_join("exc", "; ").alias("workings"),
                     F.array_join("ev", "\n").alias("quotes"))

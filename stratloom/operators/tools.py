@@ -10,6 +10,8 @@ from weakref import WeakKeyDictionary
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .groups import place_of
+
 
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints: the session's setting.
@@ -147,18 +149,24 @@ def first_rows(df: DataFrame, keys: list[str], order: list[Column], k: int | Non
 
 
 def melt_values(df: DataFrame, keys: list[str], fields: dict[str, Column], order: str = "ord",
-                inner_order: bool = False) -> DataFrame:
+                inner_order: bool = False, known: dict[str, list[str]] | None = None) -> DataFrame:
     """One row per (group, field, distinct value) with its first and last position and its row count.
 
     Each field is a Column of array<string>. The aggregate combines on the map side and spreads a hot
-    group over its distinct values. With ``inner_order`` a position is a struct of the order and the place in the array.
+    group over its distinct values. With ``inner_order`` a position also counts the place in the array; it stays one
+    number (:func:`groups.place_of`), as the least of two structs would need all rows sorted first. ``known`` words of a
+    field have no rows, the others keep their places.
     """
     def tagged(field: str):
         return lambda x, i: F.struct(F.lit(field).alias("f"), x.alias("v"), i.alias("i"))
 
-    pairs = F.concat(*[F.transform(c, tagged(f)) for f, c in fields.items()])
+    def tagged_list(f: str, c: Column) -> Column:
+        pairs = F.transform(c, tagged(f))
+        return F.filter(pairs, lambda p: ~p["v"].isin(known[f])) if f in (known or {}) else pairs
+
+    pairs = F.concat(*[tagged_list(f, c) for f, c in fields.items()])
     rows = df.select(*keys, F.col(order).alias("_o"), F.explode(pairs).alias("_p"))
-    pos = F.struct(F.col("_o").alias("o"), F.col("_p.i").alias("i")) if inner_order else F.col("_o")
+    pos = place_of("_o", F.col("_p.i")) if inner_order else F.col("_o")
     return rows.groupBy(*keys, F.col("_p.f").alias("f"), F.col("_p.v").alias("v")).agg(
         F.min(pos).alias("first"), F.max(pos).alias("last"), F.count(F.lit(1)).alias("n"))
 
