@@ -365,7 +365,8 @@ union all select 'categories', 'deposit_type', row_number() over (order by case
 union all select 'summary', null, count(*), null, max(accuracy) from {_RADIUS} r""")
 def _(v):
     out = tools.scratch_path(v.spark, "dataset")
-    rec = _with_radius(v)
+    # read by four aggregates and a writer
+    rec = tools.materialise(_with_radius(v))
     b = tools.materialise(m.build_markers(rec))
     writers.write_marker_dataset(b, rec, m.facet_categories(b), m.dataset_summary(b), out)
 
