@@ -2,20 +2,24 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as t
 from ..functions.common import let
+from ..functions.python import with_search_bytes
 from . import tools
-from .marks import keys_among, mixed, quotes_in_pages
+from .marks import PAGE_END, mixed, quotes_in_pages, starts_in_pages
 
 _STEM = 25  # fixed value: characters of a file name that identify a publication
 _START, _LEAST = 60, 12  # fixed values: characters of a quote's start, and of the shortest text that is looked up
 _WORDS = (8, 6, 4)  # fixed values: words of shorter starts
 STAGES = ("whole", f"start{_START}", *(f"words{n}" for n in _WORDS), "fuzzy")
 _CERTAIN = 3  # a fuzzy match shares three words at least
-_AT_ONCE = 200_000  # quotes whose words a task holds at a time; a matter of memory, not of results
+_AT_ONCE, _BESIDES = 96 << 20, 120  # bytes of quotes that a task holds at a time, and what each takes besides its text; a matter of memory, not of results
 
 
 # ---------------------------------------------------------------- source → publication
@@ -91,14 +95,6 @@ def publication_lookup(srcs: DataFrame, pubs: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- quote → page
-def _needles(norm: Column) -> Column:
-    """array<struct<stage, s>>: the whole quote, its first 60 characters, its first 8, 6 and 4 words (12 characters or more)."""
-    words = F.split(norm, " ")
-    frags = [F.struct(F.lit(0).alias("stage"), norm.alias("s")), F.struct(F.lit(1).alias("stage"), F.substring(norm, 1, _START).alias("s"))]
-    frags += [F.struct(F.lit(i + 2).alias("stage"), F.array_join(F.slice(words, 1, n), " ").alias("s")) for i, n in enumerate(_WORDS)]
-    return F.filter(F.array(*frags), lambda x: F.length(x["s"]) >= _LEAST)
-
-
 def _at(w: Column, i: Column | int) -> Column:
     return F.get(w, F.lit(i) if isinstance(i, int) else i)
 
@@ -141,63 +137,21 @@ def _anchor(s: Column, df: Column) -> Column:
     return let(F.split(F.rtrim(s), " "), of)
 
 
-def _tokens(norm: Column) -> Column:
-    """Distinct words of five letters or more, of four if there are not three of five."""
-    words = F.array_distinct(F.split(norm, " "))
-    return let(F.struct(F.filter(words, lambda w: F.length(w) >= 5).alias("l5"), F.filter(words, lambda w: F.length(w) >= 4).alias("l4")),
-               lambda x: F.when(F.size(x["l5"]) >= _CERTAIN, x["l5"]).otherwise(x["l4"]))
-
+def _found(pages: DataFrame, quotes: DataFrame, held: Column, look: Callable[[DataFrame, DataFrame], DataFrame]) -> DataFrame:
+    """(q, value, idx): the least value of each quote that ``look`` finds, and its earliest page.
 
-def asked_quotes(uniq: DataFrame, pages: DataFrame) -> DataFrame:
-    """The quotes (q, publication, norm) with ``df``, the number of pages of the publication that hold each of their words in turn."""
-    word = F.explode(F.array_distinct(F.split("norm", " "))).alias("w")
-    df = tools.materialise(pages.select("publication", word).groupBy("publication", "w").agg(F.count(F.lit(1)).alias("n"))
-                           .join(tools.measured(tools.materialise(uniq.select("publication", word).distinct())), ["publication", "w"], "left_semi"))
-    each = uniq.select("q", "publication", F.posexplode(F.split("norm", " ")).alias("i", "w")).join(tools.measured(df), ["publication", "w"], "left")
-    each = each.groupBy("q").agg(F.sort_array(F.collect_list(F.struct("i", F.coalesce("n", F.lit(0)).alias("n")))).alias("x"))
-    return tools.materialise(uniq.join(each.select("q", F.transform("x", lambda x: x["n"]).alias("df")), "q"))
-
-
-def phrase_hits(needles: DataFrame, pages: DataFrame) -> DataFrame:
-    """(publication, s, at): the earliest page that holds each text, as struct (ord, idx).
-
-    ``needles`` has publication, s, and the kind and hash of one key of the text. Pages give the keys that pass a filter of those
-    asked for, as numbers; a text is compared with the pages that have its key.
-    """
-    kinds = sorted(r[0] for r in needles.select("kind").distinct().collect())  # five at most
-    want = needles.select("publication", "s", "h").distinct()
-    entries = tools.materialise(keys_among(pages, kinds, needles))
-    near = tools.measured(tools.materialise(entries.join(want, "h").select("page", F.col("publication").alias("pub"), "s").distinct()))
-    met = near.join(pages, "page").filter((F.col("pub") == F.col("publication")) & F.contains("norm", "s"))
-    hits = tools.materialise(met.groupBy("publication", "s").agg(F.min(F.struct("ord", "idx")).alias("at")))
-    tools.forget(entries, near)
-    return hits
-
-
-def shared_words(rest: DataFrame, pages: DataFrame) -> DataFrame:
-    """(q, at): the page that shares most words with each quote, at least max(3, 60 %) of them; then the earliest.
-
-    A page with ``need`` of n words holds three of the n - need + 3 rarest: only pages with three of these are
-    looked at. Quotes and pages that share some words are as many as their product, so they never are rows: each task counts them in
-    memory, page by page, against a bounded number of quotes at a time.
+    Tasks hold the quotes while they read the pages, as quotes and pages that share some words are as many as their product and must
+    not be rows. They hold a bounded number of bytes (``held`` of a text and those who ask): more quotes take more rounds over the pages.
     """
-    n, need = F.size("toks"), F.greatest(F.lit(_CERTAIN), F.floor(F.lit(0.6) * F.size("toks")).cast("int"))
-    rank = F.array_sort(F.transform("toks", lambda x: F.struct(F.get(F.col("df"), F.array_position("w", x).cast("int") - 1).alias("n"), _hash(x).alias("h"))))
-    words = rest.select("q", "publication", "df", F.split("norm", " ").alias("w"), _tokens(F.col("norm")).alias("toks")).filter(n >= _CERTAIN)
-    words = words.select("q", need.alias("need"), (n - need + _CERTAIN).alias("k"), F.filter(rank, lambda x: x["n"] > 0).alias("rank"), n.alias("n"))
-    # words that no page has come first in the order
-    few = F.greatest(F.col("k") - (F.col("n") - F.size("rank")), F.lit(0))
-    words = words.filter(F.size("rank") >= F.col("need")).select("q", "need", F.transform(F.slice("rank", F.lit(1), few), lambda x: x["h"]).alias("rare"),
-                                                                F.transform(F.slice("rank", few + 1, F.size("rank")), lambda x: x["h"]).alias("other"))
-    words = tools.materialise(words)
-    rounds = -(-words.count() // _AT_ONCE)
-    found = rest.sparkSession.createDataFrame([], "q long, page long, score long")
+    texts = tools.materialise(quotes.groupBy("norm").agg(F.collect_list(F.struct("publication", "q")).alias("asked")))
+    rounds = -(-(texts.agg(F.sum(held)).first()[0] or 0) // _AT_ONCE)
+    found = []
     for i in range(rounds):
-        some = words.filter(F.pmod(F.xxhash64("q"), F.lit(rounds)) == i)
-        found = found.unionByName(tools.materialise(quotes_in_pages(pages, some, _CERTAIN)))
-    best = found.join(pages.select("page", "ord", "idx"), "page").groupBy("q").agg(
-        F.min(F.struct((-F.col("score")).alias("o"), F.struct("ord", "idx").alias("at"))).alias("b"))
-    return best.select("q", F.col("b.at").alias("at"))
+        some = texts.filter(F.pmod(F.xxhash64("norm"), F.lit(rounds)) == i)
+        best = look(pages, some).groupBy("q").agg(F.min(F.struct("value", F.struct("ord", "idx").alias("at"))).alias("b"))
+        found.append(tools.materialise(best.select("q", "b.value", F.col("b.at.idx").alias("idx"))))
+    none = pages.select(F.lit(0).cast("long").alias("q"), F.lit(0).cast("long").alias("value"), "idx").limit(0)
+    return reduce(DataFrame.unionByName, found) if found else none
 
 
 def evidence_page_join(ev: DataFrame, pages: DataFrame) -> DataFrame:
@@ -205,23 +159,18 @@ def evidence_page_join(ev: DataFrame, pages: DataFrame) -> DataFrame:
 
     Exact: the whole quote occurs in the page, else its first 60 characters, else its first 8, 6, 4 words; fuzzy: at least
     max(3, 60 %) of the quote's long words do. An earlier stage beats a later one, then more shared words,
-    then the earlier page. Pages are normalised and written once; every look-up names the publication.
+    then the earlier page. Texts are normalised (``norm_search``) and written once; every look-up names the publication.
     """
-    quotes = ev.select("publication", "evidence").distinct().withColumn("norm", t.norm_search("evidence")).filter(F.length("norm") >= _LEAST)
-    quotes = tools.materialise(quotes.filter("publication is not null"))
-    pages = tools.materialise(pages.filter("publication is not null").select(
-        F.monotonically_increasing_id().alias("page"), "publication", "ord", "idx", t.norm_search("text").alias("norm")))
+    quotes = with_search_bytes(ev.select("publication", "evidence").filter("publication is not null").distinct(), "evidence", keep_text=True)
+    quotes = tools.materialise(quotes.filter(F.length("norm") >= _LEAST))
+    pages = tools.materialise(with_search_bytes(pages.select("publication", "ord", "idx", "text").filter("publication is not null"), "text", end=PAGE_END))
     uniq = tools.materialise(quotes.select("publication", "norm").distinct().withColumn("q", F.monotonically_increasing_id()))
-    asked = asked_quotes(uniq, pages)
-    needles = asked.select("q", "publication", "df", F.explode(_needles(F.col("norm"))).alias("x")).select(
-        "q", "publication", "x.stage", "x.s", _anchor(F.col("x.s"), F.col("df")).alias("a"))
-    needles = tools.materialise(needles.select("q", "publication", "stage", "s", "a.*").filter("n > 0").drop("n"))
-    hits = phrase_hits(needles, pages)
-    exact = tools.materialise(needles.join(hits, ["publication", "s"]).groupBy("q").agg(
-        F.min(F.struct("stage", "at")).alias("b")).select("q", F.col("b.stage").alias("stage"), "b.at.idx"))
-    fuzzy = shared_words(asked.join(exact, "q", "left_anti"), pages)
-    found = exact.unionByName(fuzzy.select("q", F.lit(len(STAGES) - 1).alias("stage"), F.col("at.idx").alias("idx")))
-    stage = F.element_at(F.array(*[F.lit(s) for s in STAGES]), F.col("stage") + 1)
+    length, askers = F.length("norm"), F.size("asked")
+    exact = _found(pages, uniq, length + askers * _BESIDES, lambda p, q: starts_in_pages(p, q, _START, _WORDS))
+    rest = tools.materialise(uniq.join(exact, "q", "left_anti"))
+    fuzzy = _found(pages, rest, (length + _BESIDES) * askers, lambda p, q: quotes_in_pages(p, q, _CERTAIN))
+    found = exact.unionByName(fuzzy.withColumn("value", F.lit(len(STAGES) - 1).cast("long")))
+    stage = F.element_at(F.array(*[F.lit(s) for s in STAGES]), F.col("value").cast("int") + 1)
     return quotes.join(uniq.join(found, "q"), ["publication", "norm"]).select(
         "publication", "evidence", (F.col("idx") + 1).alias("page"), stage.alias("stage"),
         F.when(stage == STAGES[-1], "fuzzy").otherwise("exact").alias("method"))

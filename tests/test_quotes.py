@@ -159,3 +159,59 @@ def test_many_quotes_that_share_words_make_few_rows(spark):
     stages = store.stageList(empty, False, False, sc._gateway.new_array(sc._jvm.double, 0), empty)
     last = [stages.apply(i).shuffleWriteRecords() for i in range(min(60, stages.size()))]
     assert max(last) < 20_000
+
+
+def test_search_bytes_are_the_search_form(spark):
+    from stratloom.functions import text
+    from stratloom.functions.python import search_bytes
+    chars = [chr(c) for c in range(1 << 16) if not 0xD800 <= c < 0xE000] + list("😀𐐀𝐀")
+    texts = ["a".join(chars[i:i + 50]) for i in range(0, len(chars), 50)] + [" Ёж,  İÇ\tKm ΣΑΣ ", "", "  ", None]
+    rows = spark.createDataFrame([(x,) for x in texts], "x string").select("x", text.norm_search("x").alias("n")).collect()
+    for r in rows:
+        got = search_bytes(r.x if r.x is None else r.x.encode())
+        assert got.decode("cp1251") == r.n
+
+
+def written(spark, df):
+    """Rows of df, and the most rows that one of its stages gave to a shuffle."""
+    store, sc = spark.sparkContext._jsc.sc().statusStore(), spark.sparkContext
+    empty, spark_ids = sc._jvm.java.util.ArrayList(), sc._gateway.new_array(sc._jvm.double, 0)
+    rows = df.collect()
+    stages = store.stageList(empty, False, False, spark_ids, empty)
+    return rows, max(stages.apply(i).shuffleWriteRecords() for i in range(min(60, stages.size())))
+
+
+def test_quotes_with_one_key_make_few_rows(spark):
+    """Quotes that differ only in a cut last word were compared with all pages that hold the words before it, one row a pair."""
+    pages = [("p", i, i, f"слово раз два три четыре и {i}") for i in range(300)]
+    asked = [("p", f"раз два три четыре{i}") for i in range(300)] + [("p", "раз два три четыре и 7")]
+    got, most = written(spark, quotes.evidence_page_join(spark.createDataFrame(asked, "publication string, evidence string"), spark.createDataFrame(pages, PAGES)))
+    assert sorted((r.page, r.stage) for r in got) == [(8, "whole")]
+    assert most < 20_000
+
+
+def test_many_rounds_and_small_parts_give_the_same(spark, monkeypatch):
+    """Bounds of memory change no result: quotes in rounds, pages in parts, few pairs at a time, starts of the same hash told apart."""
+    import pyarrow as pa
+
+    from stratloom.functions.python import search_bytes
+    from stratloom.operators import marks
+    rng = random.Random(3)
+    vocab = ["аб", "вгд", "еёжзи", "длинное слово", "ещё длиннее", "q" * 30]
+    pages = [(rng.choice(["p", "o", None]), i, 50 - i, " ".join(rng.choice(vocab) for _ in range(rng.choice([0, 5, 40])))) for i in range(60)]
+    asked = []
+    for _ in range(300):
+        pub, _, _, text = rng.choice(pages)
+        a = rng.randrange(max(1, len(text) - 20))
+        asked.append((rng.choice([pub, "p"]), text[a:a + rng.choice([12, 30, 70, 150])].strip() + rng.choice(["", " конец", "я"])))
+    ev, at = spark.createDataFrame(asked, "publication string, evidence string"), spark.createDataFrame(pages, PAGES)
+    want = sorted(map(tuple, quotes.evidence_page_join(ev, at).collect()))
+    texts = sorted({search_bytes(q.encode()) for _, q in asked})
+    table = pa.table({"norm": texts, "asked": [[{"publication": "p", "q": i}] for i in range(len(texts))]})
+    index = marks.QuoteStarts(marks.Quotes(table), 60, (8, 6, 4))
+    monkeypatch.setattr(marks, "_MIX", marks.np.uint64(0))  # all hashes are equal
+    alike = marks.QuoteStarts(marks.Quotes(table), 60, (8, 6, 4))
+    assert {bytes(alike.data[b:b + n]) for b, n in zip(alike.begin, alike.size)} == {bytes(index.data[b:b + n]) for b, n in zip(index.begin, index.size)}
+    monkeypatch.undo()
+    monkeypatch.setattr(quotes, "_AT_ONCE", 20_000)
+    assert sorted(map(tuple, quotes.evidence_page_join(ev, at).collect())) == want and len(want) > 50
