@@ -82,9 +82,14 @@ def measured(df: DataFrame, most: int = BROADCAST_BYTES) -> DataFrame:
 
     The size is counted, not estimated, so ``df`` should be a written table.
     """
+    return F.broadcast(df) if fits(df, most) else df
+
+
+def fits(df: DataFrame, most: int = BROADCAST_BYTES) -> bool:
+    """Whether the values of a written table take at most ``most`` bytes."""
     width = [F.coalesce(F.octet_length(f.name), F.lit(0)) if f.dataType.typeName() in ("string", "binary") else F.lit(8) for f in df.schema]
     size = df.agg(F.sum(sum(width, F.lit(16)))).first()[0] or 0
-    return F.broadcast(df) if size <= most else df
+    return size <= most
 
 
 def spread(df: DataFrame, by: list[str]) -> DataFrame:

@@ -72,3 +72,25 @@ def test_texts_are_stripped_a_few_at_a_time():
     got = python.nfd_strip.func(pa.array(texts))  # plain Arrow in and out, no whole batch of Python strings
     assert got.to_pylist() == ["Елка и e", None, "", "plain"] * 300
     assert python.nfd_strip.func(pa.array([], pa.string())).to_pylist() == []
+
+
+def test_figures_of_links_leave_a_batch_once_a_marker(spark, monkeypatch):
+    """Links times figures are never rows if tasks can hold the figures; both ways give the same, with nulls, ties and repeats."""
+    import random
+    rng = random.Random(9)
+    markers = spark.createDataFrame([(f"m{i}", w) for i in range(6) for w in rng.sample(["Красный Яр", "Лиман", "Бор сухой", "Кут"], 2)] + [(None, "Лиман"), ("m1", None)],
+                                    "marker string, locality string")
+    names = ["Колонка Красный Яр", "Разрез Лиман", "лиман", "Бор", "", None, "Колонка Бор сухой"]
+    for n, kind in ((300, "int"), (300, "bigint"), (40, "int")):  # pages that hold many figures, and few
+        figures = [(rng.choice(["s", "t", None]), rng.choice([1, 2, 3, 4, None]), rng.choice(names), rng.choice(["u", "v", None])) for _ in range(n if n > 40 else 8)]
+        at = [(rng.choice(["m0", "m1", "m2", "m3", "m4", "m5", None]), rng.choice(["s", "t", None]), rng.choice([1, 2, 3, 4, 5, None]), rng.choice([-3, 0, 1, 2, 7, None])) for _ in range(n)]
+        figures = spark.createDataFrame(figures, "slug string, page int, section_name string, units string")
+        at = spark.createDataFrame(at, f"marker string, slug string, page int, pos {kind}")
+        monkeypatch.setattr(links, "_CELLS", 20)
+        new = links.figure_column_join(markers, at, figures)
+        assert "MapInArrow" in plan(new)
+        monkeypatch.setattr(tools, "fits", lambda df, most=0: False)
+        old = links.figure_column_join(markers, at, figures)
+        assert "MapInArrow" not in plan(old)
+        assert sorted(map(str, new.collect())) == sorted(map(str, old.collect())) and not new.isEmpty()
+        monkeypatch.undo()
